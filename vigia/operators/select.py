@@ -83,14 +83,20 @@ def step_match(step: Column, e: Column) -> Column:
     )
 
 
+def _at(arr: Column, i: Column) -> Column:
+    # safe positional access: never index 0 (an error even in try_element_at), null past the end.
+    # Guards in And/when do not protect an index once Catalyst hoists a common subexpression.
+    return F.try_element_at(arr, F.greatest(i, F.lit(1)))
+
+
 def chain_match_at(path: Column, i: Column, chain: Column) -> Column:
     """Does ``chain`` match the element at 1-based position ``i`` of ``path``?"""
     k = F.size(chain)
-    last = step_match(F.element_at(chain, k), F.element_at(path, i))
+    last = F.coalesce(step_match(_at(chain, k), _at(path, i)), F.lit(False))
     ancestors = F.reverse(F.slice(path, 1, F.greatest(i - 1, F.lit(0))))
     left = F.aggregate(
         ancestors, k - 1,
-        lambda a, e: F.when((a > 0) & step_match(F.element_at(chain, F.greatest(a, F.lit(1))), e), a - 1).otherwise(a),
+        lambda a, e: F.when((a > 0) & F.coalesce(step_match(_at(chain, a), e), F.lit(False)), a - 1).otherwise(a),
     )
     return last & (left == 0)
 
@@ -189,15 +195,15 @@ def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[s
     else:
         chains = parse_selector(spec.container)
         base = base.withColumn("_card_pos", F.explode(positions_matching(p, chains)))
-        base = base.withColumn("card_id", F.element_at(p, F.col("_card_pos"))["id"])
+        base = base.withColumn("card_id", _at(p, F.col("_card_pos"))["id"])
 
     base = base.withColumn("_self_f", F.when(is_el, fields_matching(self_f)))
     base = base.withColumn("_par_f", F.when(is_el, fields_matching(parent_f)))
     contrib = F.transform(
         F.sequence(F.col("_card_pos"), F.greatest(n, F.col("_card_pos"))),
         lambda i: F.struct(
-            F.element_at(p, i)["id"].alias("elem_id"),
-            F.element_at(p, i)["tag"].alias("elem_tag"),
+            _at(p, i)["id"].alias("elem_id"),
+            _at(p, i)["tag"].alias("elem_tag"),
             (is_el & (i == n)).alias("is_self"),
             (is_el & (i == n - 1)).alias("is_parent"),
         ),
@@ -252,7 +258,8 @@ def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[s
 # Content by rule lists (A7): remove, scope, select — rules given per row as data.
 # --------------------------------------------------------------------------------------------
 
-def html_content(rows: DataFrame, id_col: str, keep: list[str] | None = None) -> DataFrame:
+def html_content(rows: DataFrame, id_col: str, keep: list[str] | None = None,
+                 title_selector: str | None = None) -> DataFrame:
     """Text of a page under its rules (columns ``container`` array<struct> chain or null,
     ``selectors`` / ``remove`` array<chain>), one row per page, null when nothing is found.
 
@@ -260,7 +267,9 @@ def html_content(rows: DataFrame, id_col: str, keep: list[str] | None = None) ->
     * scope: the first remaining element matching the container, else the document (F7);
     * fragments: for each selector in order, each matched element inside the scope in document
       order, its runs stripped and joined by ' ' (mode c); nested matches repeat text (A7);
-    * the joined text is whitespace-collapsed, '' → null (T6, T7).
+    * the joined text is whitespace-collapsed, '' → null (T6, T7);
+    * ``title_selector``: also the stripped text of the first element matching it (``titulo``),
+      from the same pass (same window, same aggregation).
     """
     from ..functions.text import collapse_ws, empty_to_null
     from pyspark.sql import Window
@@ -269,36 +278,61 @@ def html_content(rows: DataFrame, id_col: str, keep: list[str] | None = None) ->
     p = F.col("path")
     n = F.size(p)
     positions = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
+    is_el, is_text = F.col("kind") == "el", F.col("kind") == "text"
 
+    # 1. narrow: removal, candidate scope/title elements, every selector match of a text run
     removed = (n > 0) & F.exists(positions, lambda i: F.exists(F.col("remove"), lambda ch: chain_match_at(p, i, ch)))
     r = rows.where(~F.coalesce(removed, F.lit(False)))
-    # scope: first (document order) remaining element matching the container
-    is_scope = (F.col("kind") == "el") & F.col("container").isNotNull() & chain_match_at(p, n, F.col("container"))
-    r = r.withColumn("_scope_cand", F.when(is_scope, F.col("node_id")))
-    w = Window.partitionBy(id_col)
-    r = r.withColumn("scope_id", F.min("_scope_cand").over(w))
-
-    # matched (rule_no, position) pairs of a text row, inside the scope
-    scope_pos = F.array_position(F.transform(p, lambda e: e["id"]), F.col("scope_id"))
-    in_scope_from = F.when(F.col("container").isNull(), F.lit(1)).otherwise(scope_pos + 1)
+    scope_cand = F.when(is_el & F.col("container").isNotNull() & chain_match_at(p, n, F.col("container")), F.col("node_id"))
     frags = F.flatten(F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("selectors"), F.lit(1))),
         lambda r_no: F.transform(
-            F.filter(positions, lambda i: (F.size("selectors") > 0) & (n > 0) & (i >= in_scope_from)
-                     & chain_match_at(p, i, F.element_at(F.col("selectors"), r_no))),
-            lambda i: F.struct(r_no.alias("rule_no"), F.element_at(p, i)["id"].alias("elem_id")),
+            F.filter(positions, lambda i: (F.size("selectors") > 0) & (n > 0)
+                     & chain_match_at(p, i, _at(F.col("selectors"), r_no))),
+            lambda i: F.struct(r_no.alias("rule_no"), i.alias("pos"), _at(p, i)["id"].alias("elem_id")),
         ),
     ))
-    valid = (F.col("kind") == "text") & (F.col("container").isNull() | (scope_pos > 0))
-    t = r.withColumn("_frag", F.explode_outer(F.when(valid, frags)))
+    title_cand = F.lit(None).cast("int")
+    under_title = F.lit(False)
+    if title_selector:
+        chains = parse_selector(title_selector)
+        title_cand = F.when(self_match(title_selector), F.col("node_id"))
+        under_title = is_text & (F.size(positions_matching(p, chains)) > 0)
+    r = r.select(id_col, *keep, "seq", "kind", "text", "cdata_id", "container",
+                 F.transform(p, lambda e: e["id"]).alias("_ids"),
+                 scope_cand.alias("_scope_cand"), title_cand.alias("_title_cand"),
+                 F.when(is_text, frags).alias("_frags"), under_title.alias("_under_title"))
+    # only rows that can matter travel through the shuffle (one 'doc' row keeps every page)
+    r = r.where((F.col("kind") == "doc") | F.col("_scope_cand").isNotNull() | F.col("_title_cand").isNotNull()
+                | (F.size(F.coalesce("_frags", F.array())) > 0) | F.col("_under_title"))
+
+    # 2. per page: first container and first title element (one exchange on the page id,
+    #    reused by the aggregation below)
+    w = Window.partitionBy(id_col)
+    r = (r.withColumn("scope_id", F.min("_scope_cand").over(w))
+          .withColumn("_title_id", F.min("_title_cand").over(w))
+          .withColumn("_has_container", F.max(F.col("container").isNotNull()).over(w)))
+    scope_pos = F.array_position(F.col("_ids"), F.col("scope_id"))
+    in_scope = F.filter("_frags", lambda f: ~F.coalesce(F.col("_has_container"), F.lit(False))
+                        | ((scope_pos > 0) & (f["pos"] > scope_pos)))
+    in_title = (is_text & F.array_contains(F.col("_ids"), F.col("_title_id"))
+                & (F.col("cdata_id").isNull() | (F.col("cdata_id") == F.col("_title_id"))))
+    r = r.withColumn("_title_run", F.when(in_title, F.col("text")))
+    t = r.select("*", F.posexplode_outer(in_scope).alias("_fpos", "_frag"))
     visible = F.col("cdata_id").isNull() | (F.col("cdata_id") == F.col("_frag.elem_id"))
     piece = F.when(F.col("_frag").isNotNull() & visible, F.nullif(strip_ws(F.col("text")), F.lit("")))
+    # a text row exploded into several fragments counts once for the title
+    title_run = F.when(F.coalesce(F.col("_fpos"), F.lit(0)) == 0, F.col("_title_run"))
     t = t.select(id_col, *keep, "seq", piece.alias("_piece"), F.col("_frag.rule_no").alias("_rule_no"),
-                 F.col("_frag.elem_id").alias("_elem_id"))
-    out = t.groupBy(id_col, *keep).agg(
-        F.expr("listagg(_piece, ' ') within group (order by _rule_no, _elem_id, seq)").alias("_joined"),
-    )
-    return out.select(id_col, *keep, empty_to_null(collapse_ws(F.col("_joined"))).alias("content"))
+                 F.col("_frag.elem_id").alias("_elem_id"), title_run.alias("_title_run"))
+    aggs = [F.expr("listagg(_piece, ' ') within group (order by _rule_no, _elem_id, seq)").alias("_joined")]
+    if title_selector:
+        aggs.append(F.expr("listagg(_title_run, '') within group (order by seq)").alias("_title"))
+    out = t.groupBy(id_col, *keep).agg(*aggs)
+    cols = [id_col, *keep, empty_to_null(collapse_ws(F.col("_joined"))).alias("content")]
+    if title_selector:
+        cols.append(strip_ws(F.coalesce(F.col("_title"), F.lit(""))).alias("titulo"))
+    return out.select(*cols)
 
 
 def rules_chains(selectors: list[str] | None) -> list[list[tuple]] | None:
