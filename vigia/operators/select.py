@@ -89,16 +89,35 @@ def _at(arr: Column, i: Column) -> Column:
     return F.try_element_at(arr, F.greatest(i, F.lit(1)))
 
 
+def chain_flags(path: Column, chain: Column) -> Column:
+    """array<boolean> over ``path``: does ``chain`` match the element at each position?
+
+    One pass from the root: ``c`` counts the leading steps (all but the last) matched so far,
+    earliest match first — greedy earliest matching decides a subsequence exactly — and the
+    element at a position matches when all leading steps matched among its ancestors and the
+    last step matches it. O(depth) for every position at once.
+    """
+    k = F.size(chain)
+    init = F.struct(F.lit(0).alias("c"), F.array().cast("array<boolean>").alias("f"))
+
+    def step(acc, e):
+        c = acc["c"]
+        hit = (c >= k - 1) & F.coalesce(step_match(_at(chain, k), e), F.lit(False))
+        adv = (c < k - 1) & F.coalesce(step_match(_at(chain, c + 1), e), F.lit(False))
+        return F.struct(F.when(adv, c + 1).otherwise(c).alias("c"), F.array_append(acc["f"], hit).alias("f"))
+
+    return F.aggregate(path, init, step, lambda acc: acc["f"])
+
+
+def _any_flags(flag_arrays: list[Column]) -> Column:
+    if len(flag_arrays) == 1:
+        return flag_arrays[0]
+    return F.zip_with(flag_arrays[0], _any_flags(flag_arrays[1:]), lambda a, b: a | b)
+
+
 def chain_match_at(path: Column, i: Column, chain: Column) -> Column:
     """Does ``chain`` match the element at 1-based position ``i`` of ``path``?"""
-    k = F.size(chain)
-    last = F.coalesce(step_match(_at(chain, k), _at(path, i)), F.lit(False))
-    ancestors = F.reverse(F.slice(path, 1, F.greatest(i - 1, F.lit(0))))
-    left = F.aggregate(
-        ancestors, k - 1,
-        lambda a, e: F.when((a > 0) & F.coalesce(step_match(_at(chain, a), e), F.lit(False)), a - 1).otherwise(a),
-    )
-    return last & (left == 0)
+    return F.coalesce(_at(chain_flags(path, chain), i), F.lit(False))
 
 
 def attr_test(attrs: Column, tests) -> Column:
@@ -118,30 +137,26 @@ def attr_test(attrs: Column, tests) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
+def selector_flags(selector: str, path: Column) -> Column:
+    """Per-position flags for a literal selector (any alternative; attribute tests excluded)."""
+    return _any_flags([chain_flags(path, chain_literal(ch)) for ch in parse_selector(selector)])
+
+
 def self_match(selector: str, path: str = "path", attrs: str = "attrs", kind: str = "kind") -> Column:
-    """An element row matches ``selector`` itself (any alternative)."""
+    """An element row matches ``selector`` itself (any alternative, attribute tests included)."""
     p = F.col(path)
-    n = F.size(p)
     cond = F.lit(False)
     for ch in parse_selector(selector):
-        cond = cond | (chain_match_at(p, n, chain_literal(ch)) & attr_test(F.col(attrs), ch.attrs))
+        last = F.coalesce(F.try_element_at(chain_flags(p, chain_literal(ch)), F.lit(-1)), F.lit(False))
+        cond = cond | (last & attr_test(F.col(attrs), ch.attrs))
     return (F.col(kind) == "el") & cond
 
 
 def positions_matching(path: Column, chains: list[Chain]) -> Column:
     """1-based positions in ``path`` whose element matches any chain (no attribute tests)."""
-    lits = [chain_literal(c) for c in chains]
-    return F.filter(
-        F.sequence(F.lit(1), F.greatest(F.size(path), F.lit(1))),
-        lambda i: (F.size(path) > 0) & _any([chain_match_at(path, i, c) for c in lits]),
-    )
-
-
-def _any(conds):
-    out = F.lit(False)
-    for c in conds:
-        out = out | c
-    return out
+    flags = _any_flags([chain_flags(path, chain_literal(c)) for c in chains])
+    return F.filter(F.sequence(F.lit(1), F.greatest(F.size(path), F.lit(1))),
+                    lambda i: F.coalesce(_at(flags, i), F.lit(False)))
 
 
 # --------------------------------------------------------------------------------------------
@@ -184,14 +199,22 @@ def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[s
     self_f = [k for k, f in fields.items() if not f.parent]
     parent_f = [k for k, f in fields.items() if f.parent]
 
+    # per-position match flags of every field selector, computed once per row
+    base = rows.where(F.col("kind") != "doc")
+    base = base.select("*", *[selector_flags(fields[k].selector, p).alias(f"_ff{x}") for x, k in enumerate(fields)])
+    ff = {k: F.col(f"_ff{x}") for x, k in enumerate(fields)}
+
+    def self_hit(k):
+        if any(ch.attrs for ch in parse_selector(fields[k].selector)):
+            return self_match(fields[k].selector)
+        return is_el & F.coalesce(F.try_element_at(ff[k], F.lit(-1)), F.lit(False))
+
     def fields_matching(names):
-        arr = [F.when(self_match(fields[k].selector), F.lit(k)) for k in names]
+        arr = [F.when(self_hit(k), F.lit(k)) for k in names]
         return F.filter(F.array(*arr), lambda x: x.isNotNull()) if arr else F.array().cast("array<string>")
 
-    base = rows.where(F.col("kind") != "doc")
     if spec.container is None:
-        starts = F.array(F.lit(1))
-        base = base.withColumn("_card_pos", F.explode(starts)).withColumn("card_id", F.lit(-1))
+        base = base.withColumn("_card_pos", F.lit(1)).withColumn("card_id", F.lit(-1))
     else:
         chains = parse_selector(spec.container)
         base = base.withColumn("_card_pos", F.explode(positions_matching(p, chains)))
@@ -199,8 +222,22 @@ def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[s
 
     base = base.withColumn("_self_f", F.when(is_el, fields_matching(self_f)))
     base = base.withColumn("_par_f", F.when(is_el, fields_matching(parent_f)))
+
+    # a row contributes only to the elements something reads: the container (attributes),
+    # elements a field selector matches, table cells, or — with parent-mode fields — any
+    # element (the parent of a match is not known from a descendant's path)
+    def needed(i):
+        cond = F.lit(bool(parent_f))
+        if spec.container is not None:
+            cond = cond | (i == F.col("_card_pos"))
+        for k in fields:
+            cond = cond | F.coalesce(_at(ff[k], i), F.lit(False))
+        if spec.cells_tag:
+            cond = cond | F.coalesce(_at(p, i)["tag"] == spec.cells_tag, F.lit(False))
+        return cond
+
     contrib = F.transform(
-        F.sequence(F.col("_card_pos"), F.greatest(n, F.col("_card_pos"))),
+        F.filter(F.sequence(F.col("_card_pos"), F.greatest(n, F.col("_card_pos"))), needed),
         lambda i: F.struct(
             _at(p, i)["id"].alias("elem_id"),
             _at(p, i)["tag"].alias("elem_tag"),
@@ -281,23 +318,23 @@ def html_content(rows: DataFrame, id_col: str, keep: list[str] | None = None,
     is_el, is_text = F.col("kind") == "el", F.col("kind") == "text"
 
     # 1. narrow: removal, candidate scope/title elements, every selector match of a text run
-    removed = (n > 0) & F.exists(positions, lambda i: F.exists(F.col("remove"), lambda ch: chain_match_at(p, i, ch)))
+    removed = F.exists(F.col("remove"), lambda ch: F.exists(chain_flags(p, ch), lambda x: x))
     r = rows.where(~F.coalesce(removed, F.lit(False)))
-    scope_cand = F.when(is_el & F.col("container").isNotNull() & chain_match_at(p, n, F.col("container")), F.col("node_id"))
+    r = r.withColumn("_fs", F.when(is_text, F.transform(F.col("selectors"), lambda ch: chain_flags(p, ch))))
+    scope_cand = F.when(is_el & F.coalesce(F.try_element_at(chain_flags(p, F.col("container")), F.lit(-1)), F.lit(False)),
+                        F.col("node_id"))
     frags = F.flatten(F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("selectors"), F.lit(1))),
         lambda r_no: F.transform(
-            F.filter(positions, lambda i: (F.size("selectors") > 0) & (n > 0)
-                     & chain_match_at(p, i, _at(F.col("selectors"), r_no))),
+            F.filter(positions, lambda i: F.coalesce(_at(_at(F.col("_fs"), r_no), i), F.lit(False))),
             lambda i: F.struct(r_no.alias("rule_no"), i.alias("pos"), _at(p, i)["id"].alias("elem_id")),
         ),
     ))
     title_cand = F.lit(None).cast("int")
     under_title = F.lit(False)
     if title_selector:
-        chains = parse_selector(title_selector)
         title_cand = F.when(self_match(title_selector), F.col("node_id"))
-        under_title = is_text & (F.size(positions_matching(p, chains)) > 0)
+        under_title = is_text & F.exists(selector_flags(title_selector, p), lambda x: x)
     r = r.select(id_col, *keep, "seq", "kind", "text", "cdata_id", "container",
                  F.transform(p, lambda e: e["id"]).alias("_ids"),
                  scope_cand.alias("_scope_cand"), title_cand.alias("_title_cand"),

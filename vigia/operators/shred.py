@@ -151,14 +151,23 @@ def _make_shredder(id_col: str, html_col: str, keep_names: list[str], out_schema
     return shred_batches
 
 
-def shred(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
+def shred(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: list[str] | None = None,
+          partitions: int | None = None) -> DataFrame:
     """Shred every page into element/text rows. ``keep`` columns ride along unchanged.
 
     Catalyst does not push filters or pruning through ``mapInArrow``, so the input is projected
-    here to the columns the parser needs.
+    here to the columns the parser needs. Parsing costs far more than moving the markup, so the
+    pages are hash-partitioned by id into ``partitions`` tasks (default: the session's shuffle
+    partitions, at least the core count) — a fixed count AQE does not coalesce away, which also
+    spreads one host's many pages or a few huge pages over all tasks.
     """
     keep = keep or []
+    spark = pages.sparkSession
+    if partitions is None:
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     src = pages.select(id_col, html_col, *keep)
+    if partitions > 0:
+        src = src.repartition(partitions, id_col)
     id_type = src.schema[id_col].dataType
     keep_types = [(k, src.schema[k].dataType) for k in keep]
     schema = rows_schema(id_col, id_type, keep_types)
