@@ -89,24 +89,75 @@ def _at(arr: Column, i: Column) -> Column:
     return F.try_element_at(arr, F.greatest(i, F.lit(1)))
 
 
+MAX_STEPS = 8   # longest descendant chain a rules table may hold
+
+
+def _let(value: Column, fn) -> Column:
+    """Bind ``value`` once (it is the argument of a one-element transform) and use it in ``fn``."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def _first_after(matches: Column, f: Column) -> Column:
+    """First 1-based position after ``f`` whose flag is true, else null."""
+    n = F.size(matches)
+    pos = F.array_position(F.slice(matches, f + 1, F.greatest(n - f, F.lit(0))), F.lit(True))
+    return F.when(pos > 0, f + pos)
+
+
+def _step_flags(path: Column, step) -> Column:
+    """Flags of one step over the path; ``step`` is a Column (rules data) or a literal tuple."""
+    if isinstance(step, tuple):
+        return F.transform(path, lambda e: F.coalesce(literal_step_match(step, e), F.lit(False)))
+    return F.transform(path, lambda e: F.coalesce(step_match(step, e), F.lit(False)))
+
+
+def literal_step_match(step: tuple, e: Column) -> Column:
+    """step_match for a step known when the plan is built: no inner lambda over classes."""
+    tag, classes, cls = step
+    cond = F.lit(True)
+    if tag:
+        cond = cond & (e["tag"] == tag)
+    for c in classes:
+        cond = cond & F.array_contains(e["classes"], F.lit(c))
+    if cls is not None:
+        cond = cond & (e["cls"] == cls)
+    return cond
+
+
+def _finish(path: Column, last_step: Column, f: Column) -> Column:
+    # the element at i matches when the last step matches it and every leading step matched
+    # at or before f < i (greedy earliest matches decide a subsequence exactly)
+    return _let(f, lambda fv: F.transform(_step_flags(path, last_step),
+                                          lambda m, i0: m & fv.isNotNull() & (i0 + 1 > fv)))
+
+
 def chain_flags(path: Column, chain: Column) -> Column:
-    """array<boolean> over ``path``: does ``chain`` match the element at each position?
+    """array<boolean> over ``path``: does ``chain`` (a column of steps) match each position?
 
-    One pass from the root: ``c`` counts the leading steps (all but the last) matched so far,
-    earliest match first — greedy earliest matching decides a subsequence exactly — and the
-    element at a position matches when all leading steps matched among its ancestors and the
-    last step matches it. O(depth) for every position at once.
-    """
+    Leading steps are placed greedily: f_j = first position after f_(j-1) matching step j.
+    O(steps × depth) per row; each f_j is bound once, never re-evaluated inside a lambda."""
     k = F.size(chain)
-    init = F.struct(F.lit(0).alias("c"), F.array().cast("array<boolean>").alias("f"))
+    f = F.lit(0)
+    def advance(j):   # a factory: PySpark reads a second lambda parameter as the element index
+        return lambda fv: F.when(F.lit(j) < k, _first_after(_step_flags(path, _at(chain, F.lit(j))), fv)).otherwise(fv)
+
+    for j in range(1, MAX_STEPS):
+        f = _let(f, advance(j))
+    return _finish(path, _at(chain, k), f)
 
-    def step(acc, e):
-        c = acc["c"]
-        hit = (c >= k - 1) & F.coalesce(step_match(_at(chain, k), e), F.lit(False))
-        adv = (c < k - 1) & F.coalesce(step_match(_at(chain, c + 1), e), F.lit(False))
-        return F.struct(F.when(adv, c + 1).otherwise(c).alias("c"), F.array_append(acc["f"], hit).alias("f"))
 
-    return F.aggregate(path, init, step, lambda acc: acc["f"])
+def chain_flags_lit(path: Column, chain: Chain) -> Column:
+    """Same as :func:`chain_flags` for a chain known when the plan is built (steps unrolled)."""
+    steps = list(chain.steps)
+    if len(steps) == 1:
+        return _step_flags(path, steps[0])
+    f = F.lit(0)
+    def advance(st):
+        return lambda fv: _first_after(_step_flags(path, st), fv)
+
+    for st in steps[:-1]:
+        f = _let(f, advance(st))
+    return _finish(path, steps[-1], f)
 
 
 def _any_flags(flag_arrays: list[Column]) -> Column:
@@ -139,7 +190,7 @@ def attr_test(attrs: Column, tests) -> Column:
 
 def selector_flags(selector: str, path: Column) -> Column:
     """Per-position flags for a literal selector (any alternative; attribute tests excluded)."""
-    return _any_flags([chain_flags(path, chain_literal(ch)) for ch in parse_selector(selector)])
+    return _any_flags([chain_flags_lit(path, ch) for ch in parse_selector(selector)])
 
 
 def self_match(selector: str, path: str = "path", attrs: str = "attrs", kind: str = "kind") -> Column:
@@ -147,16 +198,23 @@ def self_match(selector: str, path: str = "path", attrs: str = "attrs", kind: st
     p = F.col(path)
     cond = F.lit(False)
     for ch in parse_selector(selector):
-        last = F.coalesce(F.try_element_at(chain_flags(p, chain_literal(ch)), F.lit(-1)), F.lit(False))
+        last = F.coalesce(F.try_element_at(chain_flags_lit(p, ch), F.lit(-1)), F.lit(False))
         cond = cond | (last & attr_test(F.col(attrs), ch.attrs))
     return (F.col(kind) == "el") & cond
 
 
 def positions_matching(path: Column, chains: list[Chain]) -> Column:
-    """1-based positions in ``path`` whose element matches any chain (no attribute tests)."""
-    flags = _any_flags([chain_flags(path, chain_literal(c)) for c in chains])
-    return F.filter(F.sequence(F.lit(1), F.greatest(F.size(path), F.lit(1))),
-                    lambda i: F.coalesce(_at(flags, i), F.lit(False)))
+    """1-based positions in ``path`` whose element matches any chain (no attribute tests).
+
+    Costly arrays are only ever HOF *arguments* (evaluated once per row), never referenced from
+    inside a lambda body, where Spark would evaluate them again for every element."""
+    return true_positions(_any_flags([chain_flags_lit(path, c) for c in chains]))
+
+
+def true_positions(flags: Column) -> Column:
+    """1-based positions of the true entries of a boolean array."""
+    seq = F.sequence(F.lit(1), F.greatest(F.size(flags), F.lit(1)))
+    return F.filter(F.zip_with(seq, flags, lambda i, f: F.when(f, i)), lambda x: x.isNotNull())
 
 
 # --------------------------------------------------------------------------------------------
@@ -201,8 +259,9 @@ def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[s
 
     # per-position match flags of every field selector, computed once per row
     base = rows.where(F.col("kind") != "doc")
-    base = base.select("*", *[selector_flags(fields[k].selector, p).alias(f"_ff{x}") for x, k in enumerate(fields)])
-    ff = {k: F.col(f"_ff{x}") for x, k in enumerate(fields)}
+    sels = list(dict.fromkeys(f.selector for f in fields.values()))     # one flag array per distinct selector
+    base = base.select("*", *[selector_flags(sel, p).alias(f"_ff{x}") for x, sel in enumerate(sels)])
+    ff = {k: F.col(f"_ff{sels.index(f.selector)}") for k, f in fields.items()}
 
     def self_hit(k):
         if any(ch.attrs for ch in parse_selector(fields[k].selector)):
@@ -226,38 +285,34 @@ def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[s
     # a row contributes only to the elements something reads: the container (attributes),
     # elements a field selector matches, table cells, or — with parent-mode fields — any
     # element (the parent of a match is not known from a descendant's path)
-    def needed(i):
-        cond = F.lit(bool(parent_f))
-        if spec.container is not None:
-            cond = cond | (i == F.col("_card_pos"))
-        for k in fields:
-            cond = cond | F.coalesce(_at(ff[k], i), F.lit(False))
-        if spec.cells_tag:
-            cond = cond | F.coalesce(_at(p, i)["tag"] == spec.cells_tag, F.lit(False))
-        return cond
-
-    contrib = F.transform(
-        F.filter(F.sequence(F.col("_card_pos"), F.greatest(n, F.col("_card_pos"))), needed),
-        lambda i: F.struct(
-            _at(p, i)["id"].alias("elem_id"),
-            _at(p, i)["tag"].alias("elem_tag"),
-            (is_el & (i == n)).alias("is_self"),
-            (is_el & (i == n - 1)).alias("is_parent"),
-        ),
-    )
+    need = [F.transform(p, lambda e: F.lit(bool(parent_f)))] + [F.col(f"_ff{x}") for x in range(len(sels))]
+    if spec.cells_tag:
+        need.append(F.transform(p, lambda e: F.coalesce(e["tag"] == spec.cells_tag, F.lit(False))))
+    need_arr = _any_flags(need)
+    entries = F.zip_with(p, need_arr, lambda e, nd: F.struct(e["id"].alias("elem_id"), e["tag"].alias("elem_tag"), nd.alias("nd")))
     c = base.select(
-        id_col, *keep, "card_id", "seq", "kind", "tag", "attrs", "text", "cdata_id", "node_id", "_self_f", "_par_f",
-        F.explode(contrib).alias("c"),
-    ).select("*", "c.*").drop("c")
+        id_col, *keep, "card_id", "_card_pos", "seq", "kind", "tag", "attrs", "text", "cdata_id", "node_id", "_self_f", "_par_f",
+        F.size(p).alias("_n"), F.posexplode(entries).alias("_pos0", "c"),
+    )
+    pos = F.col("_pos0") + 1
+    c = c.where((pos >= F.col("_card_pos")) & (F.col("c.nd") | (pos == F.col("_card_pos"))))
+    c = c.select("*", F.col("c.elem_id").alias("elem_id"), F.col("c.elem_tag").alias("elem_tag"),
+                 (is_el & (pos == F.col("_n"))).alias("is_self"), (is_el & (pos == F.col("_n") - 1)).alias("is_parent")).drop("c")
 
     visible = (F.col("kind") == "text") & (F.col("cdata_id").isNull() | (F.col("cdata_id") == F.col("elem_id")))
     stripped = F.nullif(strip_ws(F.col("text")), F.lit(""))
     c = c.withColumn("_raw", F.when(visible, F.col("text"))).withColumn("_str", F.when(visible, stripped))
+    # only the text modes something reads (each ordered concat sorts its group)
+    modes = {f.value for f in fields.values() if f.value.startswith("text_")} | ({"text_a", "text_b"} if spec.cells_tag else set())
+    mode_expr = {
+        "text_a": F.coalesce(F.expr("listagg(_str, '') within group (order by seq)"), F.lit("")),
+        "text_b": strip_ws(F.coalesce(F.expr("listagg(_raw, '') within group (order by seq)"), F.lit(""))),
+        "text_c": F.coalesce(F.expr("listagg(_str, ' ') within group (order by seq)"), F.lit("")),
+    }
+    text_aggs = [(mode_expr[m] if m in modes else F.lit("")).alias(m) for m in ("text_a", "text_b", "text_c")]
     per_elem = c.groupBy(id_col, *keep, "card_id", "elem_id").agg(
         F.first("elem_tag").alias("elem_tag"),
-        F.coalesce(F.expr("listagg(_str, '') within group (order by seq)"), F.lit("")).alias("text_a"),
-        strip_ws(F.coalesce(F.expr("listagg(_raw, '') within group (order by seq)"), F.lit(""))).alias("text_b"),
-        F.coalesce(F.expr("listagg(_str, ' ') within group (order by seq)"), F.lit("")).alias("text_c"),
+        *text_aggs,
         F.min_by(F.when(F.col("is_self"), F.col("attrs")), F.when(F.col("is_self"), F.col("seq"))).alias("attrs"),
         F.max(F.when(F.col("is_self"), F.col("_self_f"))).alias("self_f"),
         F.flatten(F.collect_list(F.when(F.col("is_parent") & (F.size("_par_f") > 0),
@@ -324,10 +379,10 @@ def html_content(rows: DataFrame, id_col: str, keep: list[str] | None = None,
     scope_cand = F.when(is_el & F.coalesce(F.try_element_at(chain_flags(p, F.col("container")), F.lit(-1)), F.lit(False)),
                         F.col("node_id"))
     frags = F.flatten(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size("selectors"), F.lit(1))),
-        lambda r_no: F.transform(
-            F.filter(positions, lambda i: F.coalesce(_at(_at(F.col("_fs"), r_no), i), F.lit(False))),
-            lambda i: F.struct(r_no.alias("rule_no"), i.alias("pos"), _at(p, i)["id"].alias("elem_id")),
+        F.col("_fs"),
+        lambda fl, r0: F.transform(
+            true_positions(fl),
+            lambda i: F.struct((r0 + 1).alias("rule_no"), i.alias("pos"), _at(p, i)["id"].alias("elem_id")),
         ),
     ))
     title_cand = F.lit(None).cast("int")
