@@ -160,6 +160,21 @@ def chain_flags_lit(path: Column, chain: Chain) -> Column:
     return _finish(path, steps[-1], f)
 
 
+def _chain_from_step_flags(step_flags: list[Column]) -> Column:
+    """Chain flags from per-step flag arrays (already computed over the same path)."""
+    if len(step_flags) == 1:
+        return step_flags[0]
+
+    def advance(col):
+        return lambda fv: _first_after(col, fv)
+
+    f = F.lit(0)
+    for col in step_flags[:-1]:
+        f = _let(f, advance(col))
+    last = step_flags[-1]
+    return _let(f, lambda fv: F.transform(last, lambda m, i0: m & fv.isNotNull() & (i0 + 1 > fv)))
+
+
 def _any_flags(flag_arrays: list[Column]) -> Column:
     if len(flag_arrays) == 1:
         return flag_arrays[0]
@@ -257,15 +272,47 @@ def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[s
     self_f = [k for k, f in fields.items() if not f.parent]
     parent_f = [k for k, f in fields.items() if f.parent]
 
-    # per-position match flags of every field selector, computed once per row
     base = rows.where(F.col("kind") != "doc")
-    sels = list(dict.fromkeys(f.selector for f in fields.values()))     # one flag array per distinct selector
-    base = base.select("*", *[selector_flags(sel, p).alias(f"_ff{x}") for x, sel in enumerate(sels)])
+    # one flag array per distinct step over all selectors (container, fields, parent prefixes),
+    # materialised once per row; every chain is then built from these arrays
+    steps: list[tuple] = []
+
+    def step_col(st):
+        if st not in steps:
+            steps.append(st)
+        return F.col(f"_st{steps.index(st)}")
+
+    def flags_of(chain: Chain) -> Column:
+        cols = [step_col(st) for st in chain.steps]
+        return _chain_from_step_flags(cols)
+
+    def selector_of(sel: str) -> Column:
+        return _any_flags([flags_of(ch) for ch in parse_selector(sel)])
+
+    sels = list(dict.fromkeys(f.selector for f in fields.values()))
+    sel_flags = {sel: selector_of(sel) for sel in sels}
+    cont_flags = selector_of(spec.container) if spec.container is not None else None
+    prefix_need = []
+    for k in parent_f:
+        for ch in parse_selector(fields[k].selector):
+            if len(ch.steps) < 2:        # the parent of a one-step match can be any element
+                prefix_need.append(None)
+            else:
+                # the parent of a match sits at or below the element where the chain without its
+                # last step first matches (greedy earliest), so only those positions can hold it
+                prefix_need.append(flags_of(Chain(ch.steps[:-1])))
+    base = base.select("*", *[_step_flags(p, st).alias(f"_st{x}") for x, st in enumerate(steps)])
+    base = base.select("*", *[sel_flags[sel].alias(f"_ff{x}") for x, sel in enumerate(sels)])
     ff = {k: F.col(f"_ff{sels.index(f.selector)}") for k, f in fields.items()}
 
     def self_hit(k):
-        if any(ch.attrs for ch in parse_selector(fields[k].selector)):
-            return self_match(fields[k].selector)
+        chains = parse_selector(fields[k].selector)
+        if any(ch.attrs for ch in chains):
+            cond = F.lit(False)
+            for ch in chains:
+                last = F.coalesce(F.try_element_at(flags_of(ch), F.lit(-1)), F.lit(False))
+                cond = cond | (last & attr_test(F.col("attrs"), ch.attrs))
+            return is_el & cond
         return is_el & F.coalesce(F.try_element_at(ff[k], F.lit(-1)), F.lit(False))
 
     def fields_matching(names):
@@ -275,17 +322,21 @@ def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[s
     if spec.container is None:
         base = base.withColumn("_card_pos", F.lit(1)).withColumn("card_id", F.lit(-1))
     else:
-        chains = parse_selector(spec.container)
-        base = base.withColumn("_card_pos", F.explode(positions_matching(p, chains)))
+        base = base.withColumn("_card_pos", F.explode(true_positions(cont_flags)))
         base = base.withColumn("card_id", _at(p, F.col("_card_pos"))["id"])
 
     base = base.withColumn("_self_f", F.when(is_el, fields_matching(self_f)))
     base = base.withColumn("_par_f", F.when(is_el, fields_matching(parent_f)))
 
     # a row contributes only to the elements something reads: the container (attributes),
-    # elements a field selector matches, table cells, or — with parent-mode fields — any
-    # element (the parent of a match is not known from a descendant's path)
-    need = [F.transform(p, lambda e: F.lit(bool(parent_f)))] + [F.col(f"_ff{x}") for x in range(len(sels))]
+    # elements a field selector matches, table cells, parents of parent-mode matches
+    need = [F.col(f"_ff{x}") for x in range(len(sels))]
+    for pre in prefix_need:
+        if pre is None:
+            need.append(F.transform(p, lambda e: F.lit(True)))
+        else:
+            need.append(_let(F.array_position(pre, F.lit(True)),
+                             lambda f0: F.transform(p, lambda e, i0: (f0 > 0) & (i0 + 1 >= f0))))
     if spec.cells_tag:
         need.append(F.transform(p, lambda e: F.coalesce(e["tag"] == spec.cells_tag, F.lit(False))))
     need_arr = _any_flags(need)
