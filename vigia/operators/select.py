@@ -89,7 +89,6 @@ def _at(arr: Column, i: Column) -> Column:
     return F.try_element_at(arr, F.greatest(i, F.lit(1)))
 
 
-MAX_STEPS = 8   # longest descendant chain a rules table may hold
 
 
 def _let(value: Column, fn) -> Column:
@@ -134,16 +133,15 @@ def _finish(path: Column, last_step: Column, f: Column) -> Column:
 def chain_flags(path: Column, chain: Column) -> Column:
     """array<boolean> over ``path``: does ``chain`` (a column of steps) match each position?
 
-    Leading steps are placed greedily: f_j = first position after f_(j-1) matching step j.
-    O(steps × depth) per row; each f_j is bound once, never re-evaluated inside a lambda."""
+    Leading steps are placed greedily: f_j = first position after f_(j-1) matching step j (an
+    integer ``aggregate`` over the step indexes), then the last step is tested below f.
+    O(steps × depth) per row; one-step chains (the common case) take a lazy fast path."""
     k = F.size(chain)
-    f = F.lit(0)
-    def advance(j):   # a factory: PySpark reads a second lambda parameter as the element index
-        return lambda fv: F.when(F.lit(j) < k, _first_after(_step_flags(path, _at(chain, F.lit(j))), fv)).otherwise(fv)
-
-    for j in range(1, MAX_STEPS):
-        f = _let(f, advance(j))
-    return _finish(path, _at(chain, k), f)
+    f = F.aggregate(
+        F.sequence(F.lit(1), F.greatest(k - 1, F.lit(1))), F.lit(0),
+        lambda fv, j: F.when(j < k, _first_after(_step_flags(path, _at(chain, j)), fv).cast("int")).otherwise(fv))
+    general = _finish(path, _at(chain, k), f)
+    return F.when(k == 1, _step_flags(path, _at(chain, F.lit(1)))).otherwise(general)
 
 
 def chain_flags_lit(path: Column, chain: Chain) -> Column:
