@@ -34,17 +34,29 @@ def _remove_dots(segs: Column) -> Column:
 
 
 def absolute_url(base, link) -> Column:
-    """Resolve ``link`` against ``base``; null or empty link gives the base."""
+    """Resolve ``link`` against ``base``; null or empty link gives the base.
+
+    The URL parts are extracted once and bound in a one-element ``transform`` so the
+    resolution logic reads fields instead of repeating each regex (a small plan, no repeated
+    evaluation)."""
     base = F.col(base) if isinstance(base, str) else base
     link = F.col(link) if isinstance(link, str) else link
-    b_scheme, b_net, b_path, b_query = _part(base, 1), _part(base, 2), _part(base, 3), _part(base, 4)
-    b_has_q = F.regexp_like(base, F.lit(_HAS_QUERY))
-    l_scheme, l_net, l_path, l_query, l_frag = (_part(link, i) for i in (1, 2, 3, 4, 5))
-    l_has_net = F.regexp_like(link, F.lit(r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//"))
-    l_has_q = F.regexp_like(link, F.lit(_HAS_QUERY))
-    l_has_f = F.regexp_like(link, F.lit(_HAS_FRAG))
-
-    def render(net, path, query, has_q, frag, has_f) -> Column:
+    parts = F.struct(
+        base.alias("b"), link.alias("l"),
+        _part(base, 1).alias("b_scheme"), _part(base, 2).alias("b_net"), _part(base, 3).alias("b_path"),
+        _part(base, 4).alias("b_query"),
+        _part(link, 1).alias("l_scheme"), _part(link, 2).alias("l_net"), _part(link, 3).alias("l_path"),
+        _part(link, 4).alias("l_query"), _part(link, 5).alias("l_frag"),
+        F.regexp_like(link, F.lit(r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//")).alias("l_has_net"),
+    )
+    return F.element_at(F.transform(F.array(parts), _resolve), 1)
+
+
+def _resolve(u: Column) -> Column:
+    b_scheme, b_path, b_query = u["b_scheme"], u["b_path"], u["b_query"]
+    l_scheme, l_path, l_query, l_frag = u["l_scheme"], u["l_path"], u["l_query"], u["l_frag"]
+
+    def render(net, path, query, frag) -> Column:
         p = F.when((net != "") & (path != "") & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
         return F.concat(
             b_scheme, F.lit(":"),
@@ -66,15 +78,13 @@ def absolute_url(base, link) -> Column:
     segs = F.when(l_path.startswith("/"), F.split(l_path, "/")).otherwise(merged)
     joined = F.array_join(_remove_dots(segs), "/")
     new_path = F.when(joined == "", F.lit("/")).otherwise(joined)
-
     empty_path_q = F.when(l_query != "", l_query).otherwise(b_query)
-    empty_path_has_q = l_has_q | b_has_q
     return (
-        F.when(link.isNull() | (link == ""), base)
-        .when((l_scheme != "") & (F.lower(l_scheme) != F.lower(b_scheme)), link)
-        .when(l_has_net, render(l_net, l_path, l_query, l_has_q, l_frag, l_has_f))
-        .when(l_path == "", render(b_net, b_path, empty_path_q, empty_path_has_q, l_frag, l_has_f))
-        .otherwise(render(b_net, new_path, l_query, l_has_q, l_frag, l_has_f))
+        F.when(u["l"].isNull() | (u["l"] == ""), u["b"])
+        .when((l_scheme != "") & (F.lower(l_scheme) != F.lower(b_scheme)), u["l"])
+        .when(u["l_has_net"], render(u["l_net"], l_path, l_query, l_frag))
+        .when(l_path == "", render(u["b_net"], b_path, empty_path_q, l_frag))
+        .otherwise(render(u["b_net"], new_path, l_query, l_frag))
     )
 
 

@@ -253,7 +253,7 @@ class RecordSpec:
     first_desc_attr: tuple[str, str] = ("a", "href")
 
 
-def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[str] | None = None) -> DataFrame:
+def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[str] | None = None, _stage: str | None = None) -> DataFrame:
     """Shredded rows → one row per container with its fields.
 
     Plan: a narrow per-row stage finds the container positions and emits one contribution per
@@ -348,30 +348,39 @@ def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[s
     c = c.select("*", F.col("c.elem_id").alias("elem_id"), F.col("c.elem_tag").alias("elem_tag"),
                  (is_el & (pos == F.col("_n"))).alias("is_self"), (is_el & (pos == F.col("_n") - 1)).alias("is_parent")).drop("c")
 
+    if _stage == "contrib":
+        return c
     visible = (F.col("kind") == "text") & (F.col("cdata_id").isNull() | (F.col("cdata_id") == F.col("elem_id")))
     stripped = F.nullif(strip_ws(F.col("text")), F.lit(""))
     c = c.withColumn("_raw", F.when(visible, F.col("text"))).withColumn("_str", F.when(visible, stripped))
     # only the text modes something reads (each ordered concat sorts its group)
-    modes = {f.value for f in fields.values() if f.value.startswith("text_")} | ({"text_a", "text_b"} if spec.cells_tag else set())
+    modes = {f.value for f in fields.values() if f.value.startswith("text_")} | ({"text_a"} if spec.cells_tag else set())
     mode_expr = {
         "text_a": F.coalesce(F.expr("listagg(_str, '') within group (order by seq)"), F.lit("")),
         "text_b": strip_ws(F.coalesce(F.expr("listagg(_raw, '') within group (order by seq)"), F.lit(""))),
         "text_c": F.coalesce(F.expr("listagg(_str, ' ') within group (order by seq)"), F.lit("")),
     }
     text_aggs = [(mode_expr[m] if m in modes else F.lit("")).alias(m) for m in ("text_a", "text_b", "text_c")]
-    per_elem = c.groupBy(id_col, *keep, "card_id", "elem_id").agg(
+    # per element: only what a field, the container or the cells read
+    keep_attrs = F.col("is_self") & ((F.size(F.coalesce("_self_f", F.array())) > 0) | (F.col("elem_id") == F.col("card_id")))
+    elem_aggs = [
         F.first("elem_tag").alias("elem_tag"),
         *text_aggs,
-        F.min_by(F.when(F.col("is_self"), F.col("attrs")), F.when(F.col("is_self"), F.col("seq"))).alias("attrs"),
-        F.max(F.when(F.col("is_self"), F.col("_self_f"))).alias("self_f"),
-        F.flatten(F.collect_list(F.when(F.col("is_parent") & (F.size("_par_f") > 0),
-                                        F.transform("_par_f", lambda f: F.struct(f.alias("f"), F.col("node_id").alias("o")))))).alias("par_marks"),
-        F.min_by(
-            F.when(~F.col("is_self") & (F.col("kind") == "el") & (F.col("tag") == spec.first_desc_attr[0]),
-                   F.try_element_at(F.col("attrs"), F.lit(spec.first_desc_attr[1]))),
-            F.when(~F.col("is_self") & (F.col("kind") == "el") & (F.col("tag") == spec.first_desc_attr[0]), F.col("seq")),
-        ).alias("first_desc_attr"),
-    )
+        F.min_by(F.when(keep_attrs, F.col("attrs")), F.when(keep_attrs, F.col("seq"))).alias("attrs"),
+    ]
+    if self_f:
+        elem_aggs.append(F.max(F.when(F.col("is_self"), F.col("_self_f"))).alias("self_f"))
+    if parent_f:
+        elem_aggs.append(F.flatten(F.collect_list(F.when(F.col("is_parent") & (F.size("_par_f") > 0), F.transform(
+            "_par_f", lambda f: F.struct(f.alias("f"), F.col("node_id").alias("o")))))).alias("par_marks"))
+    if spec.cells_tag:
+        desc = ~F.col("is_self") & (F.col("kind") == "el") & (F.col("tag") == spec.first_desc_attr[0])
+        elem_aggs.append(F.min_by(F.when(desc, F.try_element_at(F.col("attrs"), F.lit(spec.first_desc_attr[1]))),
+                                  F.when(desc, F.col("seq"))).alias("first_desc_attr"))
+    # one exchange on (page, container) serves both groupings (element, then container)
+    per_elem = c.repartition(id_col, "card_id").groupBy(id_col, *keep, "card_id", "elem_id").agg(*elem_aggs)
+    if _stage == "elem":
+        return per_elem
 
     def value_of(f: Field) -> Column:
         if f.value.startswith("attr:"):
@@ -390,7 +399,7 @@ def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[s
         aggs.append(F.max(order.isNotNull()).alias(f"{k}__found"))
     if spec.cells_tag:
         cell = F.when((F.col("elem_tag") == spec.cells_tag) & (F.col("elem_id") != F.col("card_id")),
-                      F.struct(F.col("elem_id").alias("id"), F.col("text_a"), F.col("text_b"), F.col("first_desc_attr").alias("link")))
+                      F.struct(F.col("elem_id").alias("id"), F.col("text_a"), F.col("first_desc_attr").alias("link")))
         aggs.append(F.array_sort(F.collect_list(cell)).alias("cells"))
     return per_elem.groupBy(id_col, *keep, "card_id").agg(*aggs)
 
