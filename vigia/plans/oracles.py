@@ -10,7 +10,7 @@ from ..functions.text import WS_CLASS
 from ..operators.notify import DEFAULT_FLAG, FLAGS
 from ..sources.catalogue import TEMPLATES
 from .standins import (CATALOGUE_YEAR, COUNTRIES, DAY_CUTOFF, DETAIL_BASE, FEED_ITEMS, MIN_DATE, MONTHS_ES,
-                       PAGE_CARDS, RUN_YEAR, SELECTION)
+                       PAGE_CARDS, RUN_YEAR, SELECTION, TABLE_ROWS)
 
 _WS_CODES = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
 WS = "(" + "||".join(f"chr({c})" for c in _WS_CODES) + ")"
@@ -135,6 +135,8 @@ def _outbox(where: str = "") -> str:
 
 
 CR_MONTH = f"{lst(MONTHS_ES)}[o_orderkey % 12 + 1]"
+# table pages: blocks of TABLE_ROWS consecutive order keys, so page order then row order is key order
+TABLE_PAGES = f"(SELECT *, o_orderkey // {TABLE_ROWS} AS pg FROM orders)"
 CR_TITLE = (f"CASE WHEN o_orderkey % 19 = 0 THEN 'Sin título' WHEN o_orderkey % 5 = 3 "
             f"THEN lower((o_orderkey % 28 + 1) || ' de ' || {CR_MONTH} || '. alerta ' || o_orderkey || ' retiro & aviso') "
             f"ELSE 'Alerta ' || o_orderkey || ' retiro & aviso' END")
@@ -209,13 +211,13 @@ ORACLES: dict[str, str] = {
     "rows_bolivia": f"""SELECT url, titulo, fecha FROM (
         SELECT 'https://www.agemed.gob.bo/archivo/' || (o_orderkey // 3) || '.pdf' AS url,
                o_orderkey || ' - Alerta & ' || o_orderstatus AS titulo, strftime(o_orderdate, '%d-%m-%Y') AS fecha,
-               row_number() OVER (PARTITION BY o_orderkey // 3 ORDER BY o_custkey DESC, o_orderkey DESC) AS rn
-        FROM orders WHERE o_orderkey % 13 <> 0 AND year(o_orderdate) = {RUN_YEAR} AND o_orderkey % 11 <> 0) WHERE rn = 1""",
+               row_number() OVER (PARTITION BY o_orderkey // 3 ORDER BY pg DESC, o_orderkey DESC) AS rn
+        FROM {TABLE_PAGES} WHERE o_orderkey % 13 <> 0 AND year(o_orderdate) = {RUN_YEAR} AND o_orderkey % 11 <> 0) WHERE rn = 1""",
     "rows_costarica": f"""SELECT url, titulo, fecha FROM (
         SELECT 'https://www.ministeriodesalud.go.cr/images/docs/' || (o_orderkey // 2) || '.pdf' AS url, {CR_TITLE} AS titulo,
                {ISO_FECHA} AS fecha,
-               row_number() OVER (PARTITION BY o_orderkey // 2 ORDER BY o_custkey DESC, o_orderkey DESC) AS rn
-        FROM orders WHERE o_orderkey % 11 <> 0 AND (NOT {ISO_PARSED} OR year({ORDER_TS}) = {RUN_YEAR})) WHERE rn = 1""",
+               row_number() OVER (PARTITION BY o_orderkey // 2 ORDER BY pg DESC, o_orderkey DESC) AS rn
+        FROM {TABLE_PAGES} WHERE o_orderkey % 11 <> 0 AND (NOT {ISO_PARSED} OR year({ORDER_TS}) = {RUN_YEAR})) WHERE rn = 1""",
     # generic HTML
     "html_blocks": """SELECT page_id, len(regexp_extract_all(html, '<[a-zA-Z][a-zA-Z0-9]*')) AS n_elements,
         len(regexp_extract_all(html, '<p[\\s>/]')) AS n_p, len(regexp_extract_all(html, '<a[\\s>/]')) AS n_a,

@@ -32,6 +32,7 @@ from ..sources import history as HS
 from ..sources import rules as RU
 
 PAGE_CARDS = 40          # orders per rendered listing page
+TABLE_ROWS = 32          # orders per rendered table page
 FEED_ITEMS = 64          # events per rendered feed document
 RUN_YEAR = 1998          # year filter for the table sources (orders span 1995-2001)
 CATALOGUE_YEAR = 2024
@@ -356,11 +357,13 @@ def _row_costarica(k, ts):
 
 
 def render_tables(spark, sf, source: str) -> DataFrame:
-    """Table pages: one per customer, its orders as rows in key order."""
+    """Table pages: a paged table of TABLE_ROWS consecutive order keys, rows in key order.
+
+    Pages are bounded whatever the key distribution; page order then row order is key order."""
     o = T(spark, sf, "orders")
     k = _k()
     row = _row_bolivia(k, F.col("o_orderstatus")) if source == "bolivia" else _row_costarica(k, _ts_of_order(o))
-    rows = o.select(F.col("o_custkey").alias("page_id"), k.alias("k"), row.alias("row"))
+    rows = o.select((k / TABLE_ROWS).cast("bigint").alias("page_id"), k.alias("k"), row.alias("row"))
     pages = rows.groupBy("page_id").agg(F.expr("listagg(row, '') within group (order by k)").alias("rows"))
     head = "<tr><th>N°</th><th>Descripción</th><th>Fecha</th><th>Ver</th></tr>" if source == "bolivia" else ""
     tail = '<tr><td colspan="4">Total</td></tr>' if source == "bolivia" else ""
