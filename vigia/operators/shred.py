@@ -61,6 +61,8 @@ def _make_shredder(id_col: str, html_col: str, keep_names: list[str], out_schema
         from pyspark.sql.types import StructType
 
         schema = to_arrow_schema(StructType.fromJson(json.loads(out_schema_json)))
+        path_type = schema.field("path").type
+        entry_type = path_type.value_type
         void = {"area", "base", "br", "col", "embed", "hr", "img", "input", "keygen", "link",
                 "menuitem", "meta", "param", "source", "track", "wbr", "basefont", "bgsound",
                 "command", "frame", "image", "isindex", "nextid", "spacer"}
@@ -68,30 +70,66 @@ def _make_shredder(id_col: str, html_col: str, keep_names: list[str], out_schema
         keep_ws = {"pre", "textarea"}
         ascii_ws = " \n\t\x0c\r"
 
+        class Out:
+            """Column buffers of one Arrow batch. Path entries are stored once per element
+            (``el_*``); a row's path is a run of indexes into them, so the nested column is
+            built by one vectorised ``take`` instead of converting Python dicts row by row."""
+
+            def __init__(self):
+                self.page, self.seq, self.kind, self.node_id, self.tag = [], [], [], [], []
+                self.attrs, self.text, self.cdata_id = [], [], []
+                self.path_idx, self.path_off = [], [0]
+                self.el_id, self.el_tag, self.el_cls, self.el_classes = [], [], [], []
+
+            def row(self, page, seq, kind, node_id, tag, attrs, text, cdata_id, path):
+                self.page.append(page)
+                self.seq.append(seq)
+                self.kind.append(kind)
+                self.node_id.append(node_id)
+                self.tag.append(tag)
+                self.attrs.append(attrs)
+                self.text.append(text)
+                self.cdata_id.append(cdata_id)
+                self.path_idx.extend(path)
+                self.path_off.append(len(self.path_idx))
+
+            def element(self, nid, tag, classes):
+                self.el_id.append(nid)
+                self.el_tag.append(tag)
+                self.el_cls.append(" ".join(classes))
+                self.el_classes.append(classes)
+                return len(self.el_id) - 1
+
+            def path_column(self):
+                elements = pa.StructArray.from_arrays(
+                    [pa.array(self.el_id, pa.int32()), pa.array(self.el_tag, pa.string()),
+                     pa.array(self.el_cls, pa.string()), pa.array(self.el_classes, pa.list_(pa.string()))],
+                    fields=list(entry_type))
+                values = elements.take(pa.array(self.path_idx, pa.int64()))
+                return pa.ListArray.from_arrays(pa.array(self.path_off, pa.int32()), values, type=path_type)
+
         class Shredder(HTMLParser):
-            def __init__(self, out):
+            def __init__(self, out, page):
                 super().__init__(convert_charrefs=True)
                 self.out = out
-                self.stack = []          # open elements: (id, tag, entry)
+                self.page = page
+                self.stack = []          # open elements: (id, tag)
+                self.gstack = []         # their entry indexes in ``out``
                 self.next_id = 0
-                self.seq = 0
-
-            def _emit(self, kind, node_id, tag, attrs, text, cdata_id, path):
-                self.out.append((self.seq, kind, node_id, tag, attrs, text, cdata_id, path))
-                self.seq += 1
+                self.seq = 1
 
             def _element(self, tag, attrs, push):
                 d = {}
                 for k, v in attrs:
                     d[k] = "" if v is None else v
-                classes = d.get("class", "").split()
                 nid = self.next_id
                 self.next_id += 1
-                entry = {"id": nid, "tag": tag, "cls": " ".join(classes), "classes": classes}
-                path = [e for _, _, e in self.stack] + [entry]
-                self._emit("el", nid, tag, d, None, None, path)
+                g = self.out.element(nid, tag, d.get("class", "").split())
+                self.out.row(self.page, self.seq, "el", nid, tag, list(d.items()), None, None, self.gstack + [g])
+                self.seq += 1
                 if push:
-                    self.stack.append((nid, tag, entry))
+                    self.stack.append((nid, tag))
+                    self.gstack.append(g)
 
             def handle_starttag(self, tag, attrs):
                 self._element(tag, attrs, tag not in void)
@@ -103,50 +141,48 @@ def _make_shredder(id_col: str, html_col: str, keep_names: list[str], out_schema
                 for i in range(len(self.stack) - 1, -1, -1):
                     if self.stack[i][1] == tag:
                         del self.stack[i:]
+                        del self.gstack[i:]
                         return
 
             def handle_data(self, data):
                 if not data:
                     return
-                tags = [t for _, t, _ in self.stack]
-                if data.strip(ascii_ws) == "" and not keep_ws.intersection(tags):
+                if data.strip(ascii_ws) == "" and not any(t in keep_ws for _, t in self.stack):
                     data = "\n" if "\n" in data else " "
                 cdata_id = None
-                for nid, t, _ in reversed(self.stack):
+                for nid, t in reversed(self.stack):
                     if t in special:
                         cdata_id = nid
                         break
                 parent = self.stack[-1][0] if self.stack else None
-                self._emit("text", parent, None, None, data, cdata_id, [e for _, _, e in self.stack])
+                self.out.row(self.page, self.seq, "text", parent, None, None, data, cdata_id, self.gstack)
+                self.seq += 1
 
         for batch in batches:
-            ids = batch.column(id_col).to_pylist()
             htmls = batch.column(html_col).to_pylist()
-            kept = [batch.column(k).to_pylist() for k in keep_names]
-            cols = {f.name: [] for f in schema}
-            for i, (pid, html) in enumerate(zip(ids, htmls)):
-                out = [(0, "doc", None, None, None, None, None, [])]
+            out = Out()
+            for i, html in enumerate(htmls):
+                out.row(i, 0, "doc", None, None, None, None, None, ())
                 if html:
-                    p = Shredder(out)
-                    p.seq = 1
+                    p = Shredder(out, i)
                     try:
                         p.feed(html)
                         p.close()
                     except Exception:  # malformed beyond the parser: keep what was read
                         pass
-                for seq, kind, nid, tag, attrs, text, cdata_id, path in out:
-                    cols[id_col].append(pid)
-                    for k, vals in zip(keep_names, kept):
-                        cols[k].append(vals[i])
-                    cols["seq"].append(seq)
-                    cols["kind"].append(kind)
-                    cols["node_id"].append(nid)
-                    cols["tag"].append(tag)
-                    cols["attrs"].append(None if attrs is None else list(attrs.items()))
-                    cols["text"].append(text)
-                    cols["cdata_id"].append(cdata_id)
-                    cols["path"].append(path)
-            yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in schema], schema=schema)
+            take = pa.array(out.page, pa.int64())
+            cols = {id_col: batch.column(id_col).take(take)}
+            for k in keep_names:
+                cols[k] = batch.column(k).take(take)
+            cols["seq"] = pa.array(out.seq, pa.int32())
+            cols["kind"] = pa.array(out.kind, pa.string())
+            cols["node_id"] = pa.array(out.node_id, pa.int32())
+            cols["tag"] = pa.array(out.tag, pa.string())
+            cols["attrs"] = pa.array(out.attrs, schema.field("attrs").type)
+            cols["text"] = pa.array(out.text, pa.string())
+            cols["cdata_id"] = pa.array(out.cdata_id, pa.int32())
+            cols["path"] = out.path_column()
+            yield pa.RecordBatch.from_arrays([cols[f.name].cast(f.type) for f in schema], schema=schema)
 
     return shred_batches
 
