@@ -55,3 +55,26 @@ def test_unclosed_tags_and_removal(spark):
     assert html_content(RU.with_rules(rows, rules, "k"), "page_id").first().content == "x y y"
     rules2 = RU.rules_from_dict(spark, {"k": {"content_type": "html", "container": "main", "selectors": ["p"]}})
     assert html_content(RU.with_rules(rows, rules2, "k"), "page_id").first().content is None
+
+
+def test_shred_parse_tasks_survive_upstream_partitioning(spark):
+    # pages assembled by a groupBy on the id are already hash-partitioned by it; the shredder's
+    # fixed-count exchange must stay (AQE would otherwise coalesce the parse into few tasks)
+    parts = spark.createDataFrame([(i // 4, f"<p>{i}</p>") for i in range(64)], "page_id long, part string")
+    pages = parts.groupBy("page_id").agg(F.expr("listagg(part, '') within group (order by part)").alias("html"))
+    rows = shred(pages, partitions=5)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "xxhash64(page_id" in plan
+    got = rows.where(F.col("kind") == "text").groupBy("page_id").count().collect()
+    assert len(got) == 16 and all(r["count"] == 4 for r in got)
+
+
+def test_shred_rows_and_paths(spark):
+    html = '<div class="a  b"><p>x<br>y</p><img src="i.png"/></div>tail'
+    rows = shred(spark.createDataFrame([(7, html)], "page_id long, html string")).orderBy("seq").collect()
+    assert [(r.kind, r.tag, r.text) for r in rows] == [
+        ("doc", None, None), ("el", "div", None), ("el", "p", None), ("text", None, "x"), ("el", "br", None),
+        ("text", None, "y"), ("el", "img", None), ("text", None, "tail")]
+    assert [e.tag for e in rows[4].path] == ["div", "p", "br"] and rows[1].path[0].cls == "a b"
+    assert rows[1].path[0].classes == ["a", "b"] and rows[6].attrs == {"src": "i.png"}
+    assert [e.id for e in rows[5].path] == [0, 1] and rows[7].path == [] and rows[7].node_id is None

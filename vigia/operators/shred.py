@@ -195,7 +195,11 @@ def shred(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", kee
     here to the columns the parser needs. Parsing costs far more than moving the markup, so the
     pages are hash-partitioned by id into ``partitions`` tasks (default: the session's shuffle
     partitions, at least the core count) — a fixed count AQE does not coalesce away, which also
-    spreads one host's many pages or a few huge pages over all tasks.
+    spreads one host's many pages or a few huge pages over all tasks. The key is a hash of the id,
+    not the id: an input already hash-partitioned by id (pages assembled by a ``groupBy``) would
+    let the planner drop a repartition on the id itself, and AQE would then coalesce that
+    upstream exchange by bytes into a handful of parse tasks. ``partitions=0`` keeps the input's
+    own splits (a Parquet scan is already cut into byte-bounded splits).
     """
     keep = keep or []
     spark = pages.sparkSession
@@ -203,7 +207,7 @@ def shred(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", kee
         partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     src = pages.select(id_col, html_col, *keep)
     if partitions > 0:
-        src = src.repartition(partitions, id_col)
+        src = src.repartition(partitions, F.xxhash64(id_col))
     id_type = src.schema[id_col].dataType
     keep_types = [(k, src.schema[k].dataType) for k in keep]
     schema = rows_schema(id_col, id_type, keep_types)
