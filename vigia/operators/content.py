@@ -43,7 +43,11 @@ def summary_fallback(summary: Column, titulo: Column) -> Column:
 
 def enrich(news: DataFrame, content: DataFrame, summariser: Summariser = default_summariser,
            key: str = "content_key") -> DataFrame:
-    """J4 + P9: left join to the content table on the chosen link; summary or title."""
+    """J4 + P9: left join to the content table on the chosen link; summary or title.
+
+    A Python summariser (``pandas_udf``) runs in an Arrow-batched stage over every joined row:
+    Spark lifts Python UDFs out of the ``CASE WHEN``, so rows without content reach it with a
+    null text and it should answer null for them (the title is then used)."""
     c = content.select(F.col(key), F.col("content").alias("_content"))
     out = news.join(c, on=key, how="left")
     summ = F.when(F.col("_content").isNotNull(), summariser(F.col("_content"), F.col("titulo")))
