@@ -43,6 +43,16 @@ def test_versioned_history_write(spark, scratch):
     h1 = HS.read_history(spark, root)
     news = H.novelty(b2, h1)
     v2 = HS.write_history_version(H.merge_history(h1, news.drop("resumen")), root)
-    assert v1 != v2 and HS.current_version(root) == v2
+    assert v1 != v2 and HS.current_version(spark, root) == v2
     got = {r.url: r.titulo for r in HS.read_history(spark, root).collect()}
     assert got == {"a": "t1", "b": "t2", "c": "t3"}
+
+
+def test_uncommitted_version_is_ignored(spark, scratch):
+    # a run that wrote its version folder but died before the commit row leaves the old version
+    root = os.path.join(scratch, "history2")
+    b1 = spark.createDataFrame([("a", "t1", 1, 1)], "url string, titulo string, source_rank int, item_pos long")
+    v1 = HS.write_history_version(H.merge_history(HS.read_history(spark, root).select("url", "titulo", "source_rank", "item_pos"), b1), root)
+    spark.createDataFrame([("z", "t9")], "url string, titulo string").write.parquet(os.path.join(root, "v-crashed"))
+    assert HS.current_version(spark, root) == v1
+    assert [r.url for r in HS.read_history(spark, root).collect()] == ["a"]

@@ -91,7 +91,7 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     history = pages.where(F.col("page_id") % 3 == 0).select("url")
     news = H.novelty(pages, history).drop("resumen")
     news = news.withColumn("lang", F.regexp_extract("url", r"/([a-z]{2})/", 1))
-    rows = RU.with_rules(shred(news, keep=["url", "lang"]), RU.rules_scan(spark, PAGE_RULES), "lang")
+    rows = RU.with_rules(shred(news, keep=["url", "lang"]), RU.rules_bundled(spark, PAGE_RULES), "lang")
     text = html_content(rows, "page_id", keep=["url", "lang"], title_selector="title")
     alerts = text.select(
         "url", F.lit(None).cast("string").alias("pdf"), "titulo", F.col("lang").alias("fecha"),

@@ -432,7 +432,7 @@ def q_rules_scan(spark, sf):
 
 def q_rules_join(spark, sf):
     p = _page_lang(T(spark, sf, "pages").select("page_id", "url"))
-    j = RU.with_rules(p, RU.rules_scan(spark, PAGE_RULES), "lang")
+    j = RU.with_rules(p, RU.rules_bundled(spark, PAGE_RULES), "lang")
     return j.select("page_id", "lang", "content_type", F.col("container_sel").alias("container"),
                     F.array_join("selectors_sel", "|").alias("selectors"), F.array_join("remove_sel", "|").alias("remove"))
 
@@ -440,7 +440,7 @@ def q_rules_join(spark, sf):
 def q_html_content(spark, sf):
     p = _page_lang(T(spark, sf, "pages").select("page_id", "url", "html"))
     rows = shred(p, keep=["lang"])
-    rows = RU.with_rules(rows, RU.rules_scan(spark, PAGE_RULES), "lang")
+    rows = RU.with_rules(rows, RU.rules_bundled(spark, PAGE_RULES), "lang")
     return html_content(rows, "page_id", keep=["lang"])
 
 

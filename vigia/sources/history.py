@@ -8,9 +8,10 @@ path it is reading from), then a small pointer file names the current version.
 
 from __future__ import annotations
 
-import os
+import time
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,33 +87,41 @@ def write_history_csv(df: DataFrame, path: str) -> None:
 
 # ---- versioned Parquet history -------------------------------------------------------------
 
-def _pointer(root: str) -> str:
-    return os.path.join(root, "_CURRENT")
+def _versions(root: str) -> str:
+    return root.rstrip("/") + "/_versions"
 
 
-def current_version(root: str) -> str | None:
+def _missing(e: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in str(e)
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The last committed version: the newest row of the small ``_versions`` table (one row per
+    run, read through Spark so the root can be shared storage); none before the first commit."""
     try:
-        with open(_pointer(root)) as fh:
-            v = fh.read().strip()
-            return v or None
-    except FileNotFoundError:
-        return None
+        vs = spark.read.schema("version string, seq long").parquet(_versions(root))
+    except AnalysisException as e:
+        if _missing(e):
+            return None
+        raise
+    rows = vs.orderBy(F.desc("seq"), F.desc("version")).limit(1).collect()
+    return rows[0]["version"] if rows else None
 
 
 def read_history(spark: SparkSession, root: str) -> DataFrame:
-    v = current_version(root)
+    v = current_version(spark, root)
     if v is None:
         return conform(spark.createDataFrame([], ALERT_SCHEMA))
-    return spark.read.parquet(os.path.join(root, v))
+    return spark.read.parquet(root.rstrip("/") + "/" + v)
 
 
 def write_history_version(df: DataFrame, root: str) -> str:
-    """K1: write the merged table as a new version, then switch the pointer (atomic rename)."""
+    """K1: write the merged table as a new version folder, then commit it by appending one row
+    to ``_versions``. Each write is one Spark job with its own atomic commit: a run that dies
+    before the append leaves the previous version current, and nothing read is overwritten."""
+    spark = df.sparkSession
     v = f"v-{uuid.uuid4().hex[:12]}"
-    df.write.mode("error").parquet(os.path.join(root, v))
-    os.makedirs(root, exist_ok=True)
-    tmp = _pointer(root) + ".tmp"
-    with open(tmp, "w") as fh:
-        fh.write(v)
-    os.replace(tmp, _pointer(root))
+    df.write.mode("error").parquet(root.rstrip("/") + "/" + v)
+    spark.createDataFrame([(v, time.time_ns())], "version string, seq long") \
+        .coalesce(1).write.mode("append").parquet(_versions(root))
     return v

@@ -9,7 +9,6 @@ The table is bounded by the number of keys in the file, so joins to it broadcast
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,8 +75,7 @@ def rules_from_json_text(text_df: DataFrame, col: str = "value") -> DataFrame:
 def rules_scan(spark: SparkSession, path: str) -> DataFrame:
     """Read a rules file; unreadable or missing → empty table (defaults apply)."""
     try:
-        if not os.path.exists(path) and "://" not in path:
-            raise FileNotFoundError(path)
+        # the read itself fails on a missing path (shared storage included; no driver-local check)
         df = rules_from_json_text(spark.read.text(path, wholetext=True))
         df.schema  # resolve now
         return df
@@ -85,6 +83,14 @@ def rules_scan(spark: SparkSession, path: str) -> DataFrame:
         return rules_from_json_text(spark.createDataFrame([], "value string"))
 
 
+def rules_bundled(spark: SparkSession, path: str) -> DataFrame:
+    """Rules shipped inside the package: executors of a cluster cannot see the driver's files,
+    so the (small, bounded) file is read on the driver and becomes the same table as a scan."""
+    with open(path, encoding="utf-8") as fh:
+        rules = json.load(fh)
+    return rules_from_dict(spark, rules)
+
+
 def rules_from_dict(spark: SparkSession, rules: dict) -> DataFrame:
     """Rules given in code (the country rules above) → the same table as a scan."""
     if len(rules) > MAX_RULE_KEYS:

@@ -15,8 +15,7 @@ The result after any number of micro-batches equals the batch job over their uni
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,10 +26,17 @@ from ..operators import notify as N
 
 
 def _history_urls(spark: SparkSession, root: str, before: int) -> DataFrame:
-    """Urls of earlier batches only (partition filter on ``batch``); none before the first."""
-    if not os.path.exists(root) or not any(n.startswith("batch=") for n in os.listdir(root)):
-        return spark.createDataFrame([], "url string")
-    return spark.read.parquet(root).where(F.col("batch") < before).select("url")
+    """Urls of earlier batches only (partition filter on ``batch``); none before the first.
+
+    Read through Spark, so the root can be shared storage; a root not written yet raises
+    PATH_NOT_FOUND when the read is planned and means no history."""
+    try:
+        h = spark.read.schema("url string, batch bigint").parquet(root)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return spark.createDataFrame([], "url string")
+        raise
+    return h.where(F.col("batch") < before).select("url")
 
 
 def process_batch(batch: DataFrame, batch_id: int, history_root: str, outbox_root: str,
