@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from vigia.session import checkpoint_dir
 
-SLICE_BYTES = 4 << 20  # bytes of text worked on at once inside a task
+SLICE_BYTES = 1 << 20  # bytes of text worked on at once inside a task
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,14 +87,14 @@ class PolyHash:
     def _table(cls, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         have = cls._powers.get(base)
         if have is None or len(have[0]) < n:
-            size = 1 << max(16, int(n).bit_length())
+            size = max(1 << 16, n + n // 4)
             made = []
             for b in (base, pow(base, -1, 1 << 64)):
                 p = np.full(size, b, np.uint64)
                 p[0] = 1
                 made.append(np.cumprod(p))
             have = cls._powers[base] = (made[0], made[1])
-            if size > SLICE_BYTES * 4:  # a very long text: do not keep its tables
+            if size > SLICE_BYTES * 8:  # a very long text: do not keep its tables
                 del cls._powers[base]
         return have
 
@@ -114,17 +114,20 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_NOT_ALNUM = np.ones(256, bool)  # ASCII characters that are neither letters nor digits
+_NOT_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
-def words(strings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes of all texts: runs of bytes other than ASCII white space.
+def words(strings: pa.Array, alnum: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes of all texts: runs of bytes other than ASCII white space (``alnum``: runs of
+    ASCII letters and digits and of all other characters beyond ASCII).
 
     Returns (hash per word, first word of each text (n + 1 values), start byte and end byte of
     each word within the joined bytes). Lower-case the array first where case must not count.
     """
     body, offs = raw_bytes(strings)
     n = len(body)
-    inside = ~_SPACE[body]
+    inside = ~(_NOT_ALNUM if alnum else _SPACE)[body]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     cuts = offs[1:-1]

@@ -14,7 +14,19 @@ def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigia.llm.suffix_dedup import suffix_dedup as run
+    return run(table(spark, sf_dir, "documents"), length=200)
+
+
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigia.llm.decontaminate import find_benchmark_passages
+    return find_benchmark_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op2_suffix_dedup": suffix_dedup,
+    "op5_decontamination": decontamination,
     "op7_token_ids": token_id_files,
 }
 
