@@ -24,7 +24,19 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_benchmark_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigia.llm.mixing import mix_sources
+    return mix_sources(table(spark, sf_dir, "documents"), weights=(5, 2, 1), cap=3.0)
+
+
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigia.llm.near_copies import near_copies
+    return near_copies(table(spark, sf_dir, "documents"), n=5, similarity=0.8)
+
+
 QUERIES = {
+    "op4_source_mix": source_mix,
+    "op10_jaccard_join": jaccard_join,
     "op2_suffix_dedup": suffix_dedup,
     "op5_decontamination": decontamination,
     "op7_token_ids": token_id_files,
