@@ -24,11 +24,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigia.llm.common import documents, scratch, slices
+from vigia.llm.common import PolyHash, documents, raw_bytes, scratch, slices
 
 MAGIC = b"PFR1"
 BLOCK = 128
@@ -38,41 +39,94 @@ SEGMENT_SCHEMA = "part int, seq int, part_start long, n_ids long, doc_ids array<
 
 # ---- tokenizer -----------------------------------------------------------------------------
 
-class ChunkEncoder:
-    """Encodes whole texts through the tokenizers library, one distinct chunk at a time.
-
-    The tokenizer's normaliser and splitter never join characters across a space, tab or line
-    break, so a text's ids are the ids of the pieces between them, in order. Each distinct piece
-    is encoded once and kept (up to ``keep`` pieces of at most 64 characters).
+# Byte classes: 0 blank, 1 letter, 2 digit, 3 other ASCII, 4 apostrophe, 5 beyond ASCII.
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_CLASS = np.full(256, 3, np.uint8)
+_CLASS[[9, 10, 13, 32]] = 0
+_CLASS[97:123] = 1
+_CLASS[48:58] = 2
+_CLASS[39] = 4
+_CLASS[128:] = 5
+# Where a piece may be cut between two bytes of these classes. The tokenizer's splitter never
+# keeps these together (a letter run ends at any other character, digits stand alone), and no
+# normalisation joins two ASCII characters. Nothing is cut beside a byte beyond ASCII, nor
+# between an apostrophe and a letter (contractions).
+_CUT = np.zeros((6, 6), bool)
+for _left, _right in ((1, 2), (1, 3), (1, 4), (2, 1), (2, 2), (2, 3), (2, 4), (3, 1), (3, 2), (4, 2)):
+    _CUT[_left, _right] = True
+_CUT[0, :] = True
+_CUT[:, 0] = True
+
+
+class PieceEncoder:
+    """Encodes whole texts through the tokenizers library, one distinct piece at a time.
+
+    A text is cut where its tokenizer (lower case, blanks dropped, runs of letters, single
+    digits, runs of other characters) cuts it in any case, so its ids are its pieces' ids in
+    order. Each distinct piece is encoded once and kept: up to ``keep`` pieces of at most 64
+    bytes, looked up by their bytes. A text that holds one of the tokenizer's own special
+    strings is encoded whole.
     """
 
-    def __init__(self, path: str, keep: int = 400_000):
+    _made: dict[str, PieceEncoder] = {}
+
+    def __init__(self, path: str, keep: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.keep = keep
-        self.known: dict[str, bytes] = {"": b""}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian uint32 ids of each text."""
-        pieces = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        known, new = self.known, set()
-        for p in pieces:
-            new.update(p)
-        new -= known.keys()
-        if new:
-            order = list(new)
-            for at in range(0, len(order), 4096):
-                part = order[at:at + 4096]
-                for piece, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                    known[piece] = np.asarray(e.ids, "<u4").tobytes()
-        out = [b"".join(map(known.__getitem__, p)) for p in pieces]
-        for piece in new:
-            if len(piece) > 64:
-                del known[piece]
+        self.known: dict[bytes, bytes] = {}
+
+    @classmethod
+    def of(cls, path: str) -> PieceEncoder:
+        """One encoder a worker process: what a task has learnt serves the next."""
+        if path not in cls._made:
+            cls._made[path] = cls(path)
+        return cls._made[path]
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, strings: pa.Array) -> list[bytes]:
+        """Little-endian uint32 ids of each text (null: none)."""
+        strings = pc.fill_null(strings, "")
+        body, offs = raw_bytes(strings)
+        body = _LOWER[body]
+        kind = _CLASS[body]
+        cut = np.ones(len(body) + 1, bool)
+        if len(body):
+            cut[1:-1] = _CUT[kind[:-1], kind[1:]]
+        cut[offs] = True
+        edge = np.flatnonzero(cut)
+        start, end = edge[:-1], edge[1:]
+        solid = kind[start] > 0 if len(start) else np.zeros(0, bool)
+        start, end = start[solid], end[solid]
+        _, rep, which = np.unique(PolyHash(body).of(start, end) if len(start) else np.zeros(0, np.uint64), return_index=True, return_inverse=True)
+        raw = body.tobytes()
+        pieces = [raw[a:b] for a, b in zip(start[rep].tolist(), end[rep].tolist())]
+        known = self.known
+        new = [p for p in pieces if p not in known]
+        for at in range(0, len(new), 4096):
+            part = new[at:at + 4096]
+            known.update(zip(part, self._ids([p.decode() for p in part])))
+        coded = [known[p] for p in pieces]
+        for p in new:
+            if len(p) > 64:
+                del known[p]
         if len(known) > self.keep:
             known.clear()
-            known[""] = b""
+        size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        flat, first = np.frombuffer(b"".join(coded), "<u4"), np.cumsum(size) - size
+        many = size[which]
+        ends = np.concatenate([[0], np.cumsum(many)])
+        ids = flat[np.repeat(first[which] - ends[:-1], many) + np.arange(ends[-1])].tobytes()
+        text_end = (4 * ends[np.searchsorted(start, offs)]).tolist()
+        out = [ids[a:b] for a, b in zip(text_end, text_end[1:])]
+        for token in self.special:
+            for i in np.flatnonzero(pc.match_substring(strings, token).to_numpy(zero_copy_only=False)):
+                out[i] = self._ids([strings[int(i)].as_py()])[0]
         return out
 
 
@@ -174,7 +228,7 @@ class Segment:
 
 def _encoder_task(tokenizer_path: str, end_id: int, segment_ids: int, percentile: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = ChunkEncoder(tokenizer_path)
+        enc = PieceEncoder.of(tokenizer_path)
         part = TaskContext.get().partitionId()
         end = np.asarray([end_id], "<u4").tobytes()
         held: list[bytes] = []
@@ -194,8 +248,8 @@ def _encoder_task(tokenizer_path: str, end_id: int, segment_ids: int, percentile
             names.clear()
             return out
 
-        for batch in slices(batches):
-            coded = enc.encode(batch.column("text").to_pylist())
+        for batch in slices(batches, limit=2 << 20):
+            coded = enc.encode(batch.column("text"))
             for name, ids in zip(batch.column("doc_id").to_pylist(), coded):
                 held.append(ids + end)
                 names.append(name)
