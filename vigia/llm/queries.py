@@ -34,7 +34,35 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents"), n=5, similarity=0.8)
 
 
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigia.llm.quality import score_quality
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigia.llm.toxicity import score_toxicity
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after the edits that redact personal data in it."""
+    import public_tokenizers
+
+    from vigia.llm.token_counts import token_counts, with_redactions
+    return token_counts(with_redactions(table(spark, sf_dir, "documents")),
+                        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigia.llm.line_dedup import line_dedup as run
+    return run(table(spark, sf_dir, "documents"), min_lines=2).drop("kept")
+
+
 QUERIES = {
+    "op1_token_counts": edited_token_counts,
+    "op3_toxicity": toxicity,
+    "op6_line_dedup": line_dedup,
+    "op9_quality": quality,
     "op4_source_mix": source_mix,
     "op10_jaccard_join": jaccard_join,
     "op2_suffix_dedup": suffix_dedup,
@@ -42,4 +70,9 @@ QUERIES = {
     "op7_token_ids": token_id_files,
 }
 
-ORACLES: dict[str, str] = {}
+def _oracles() -> dict[str, str]:
+    from vigia.llm.line_dedup import ORACLE_SQL
+    return {"op6_line_dedup": ORACLE_SQL}
+
+
+ORACLES = _oracles()
