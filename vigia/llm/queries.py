@@ -58,10 +58,16 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(table(spark, sf_dir, "documents"), min_lines=2).drop("kept")
 
 
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigia.llm.posting_lists import nearest
+    return nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 QUERIES = {
     "op1_token_counts": edited_token_counts,
     "op3_toxicity": toxicity,
     "op6_line_dedup": line_dedup,
+    "op8_nearest_vectors": nearest_vectors,
     "op9_quality": quality,
     "op4_source_mix": source_mix,
     "op10_jaccard_join": jaccard_join,
