@@ -66,6 +66,10 @@ class ItemIndex:
         self.edits = edits
         self.ids = [i for i, _ in items]
         self.symbols = [h[a:b] for a, b in zip(first, first[1:])]
+        # which top 12 bits of a hash an item's words have, for a quick bound before the exact check
+        self.sieves = np.zeros((len(items), 4096), bool)
+        for k, x in enumerate(self.symbols):
+            self.sieves[k, (x >> np.uint64(52)).astype(np.int64)] = True
         self.tables = []
         rng = np.random.default_rng(20_240_607)
         for size in sorted({size_class(len(s)) for s in self.symbols if len(s)}):
@@ -87,7 +91,7 @@ class ItemIndex:
 
     def candidates(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Distinct rows of (place in ``h`` where an item would begin, item, text of the window)."""
-        n, found = len(h), []
+        n, found, items, lead = len(h), [], len(self.symbols), max((len(s) for s in self.symbols), default=0)
         text = np.repeat(np.arange(len(first) - 1), np.diff(first))
         room = first[1:][text] - np.arange(n)
         for size, seed, steps, factors, key, item, offset, sieve in self.tables:
@@ -98,8 +102,12 @@ class ItemIndex:
             many = hi - lo
             row = np.repeat(np.arange(len(at)), many)
             slot = lo[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-            found.append(np.stack([at[row] - offset[slot], item[slot], text[at[row]]]))
-        return np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((3, 0), np.int64)
+            # one number a candidate: the item's begin counts from ``lead`` words before its text
+            begin = at[row] - offset[slot] - first[text[at[row]]] + lead
+            found.append((text[at[row]] * (n + lead + 1) + begin) * items + item[slot])
+        where, item = np.divmod(np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64), max(items, 1))
+        text, begin = np.divmod(where, n + lead + 1)
+        return np.stack([begin - lead + first[text], item, text])
 
     def matches(self, h: np.ndarray, first: np.ndarray, at: np.ndarray, item: np.ndarray,
                 text: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
@@ -113,6 +121,11 @@ class ItemIndex:
                 reach = left[:, None] + np.arange(n + 2 * limit)
                 inside = (reach >= first[text[part]][:, None]) & (reach < first[text[part] + 1][:, None])
                 there = np.where(inside, h[np.clip(reach, 0, len(h) - 1)], np.uint64(0))
+                # at most ``limit`` edits leave all but ``limit`` of the item's words in the stretch
+                near = (self.sieves[k][(there >> np.uint64(52)).astype(np.int64)] & inside).sum(axis=1) >= n - limit
+                part, there, inside = part[near], there[near], inside[near]
+                if not len(part):
+                    continue
                 dist = _edit_distances(symbols, there, inside)
                 for j in np.flatnonzero(dist <= limit):
                     yield int(text[part[j]]), int(k), int(dist[j]), int(max(0, at[part[j]] - first[text[part[j]]]))
@@ -173,7 +186,7 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list]:
 
 
 def find_benchmark_passages(docs: DataFrame, benchmark: DataFrame, *, edits: float = 0.2, repetitions: int = 8,
-                            samples: int = 4, block_bytes: int = 8 << 20) -> DataFrame:
+                            samples: int = 5, block_bytes: int = 8 << 20) -> DataFrame:
     """One row per document and benchmark item found in it: ``doc_id, item_id, distance,
     item_words, at_word`` (its best alignment: least distance, then the earliest).
 
@@ -192,7 +205,7 @@ def find_benchmark_passages(docs: DataFrame, benchmark: DataFrame, *, edits: flo
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, edits: float = 0.2, repetitions: int = 8,
-                      samples: int = 4, block_bytes: int = 8 << 20) -> DataFrame:
+                      samples: int = 5, block_bytes: int = 8 << 20) -> DataFrame:
     """The rows of ``docs``, all columns, in which no benchmark item is found."""
     for items in _blocks(benchmark, block_bytes):
         docs = docs.mapInArrow(_task(items, repetitions, samples, edits, True), docs.schema)
