@@ -63,6 +63,13 @@ def test_against_brute_force(spark, seed, block):
     assert got == brute(rows)
 
 
+def test_rows_equal_in_id_and_text_link_once_each(spark):
+    base = [f"w{i}" for i in range(60)]
+    near = [" ".join(base), " ".join(base[:-1]), " ".join(base[:-2])]
+    rows = [(1, near[0])] * 4 + [(2, near[1])] * 3 + [(3, near[2]), (None, near[2])] + [(9, "far away text of its own")] * 2
+    assert sorted((tuple(r) for r in near_copies(frame(spark, rows)).collect()), key=repr) == brute(rows)
+
+
 def test_one_row_of_each_class_stays(spark):
     rows = corpus(3)
     df = frame(spark, rows)

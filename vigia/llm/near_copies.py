@@ -6,10 +6,11 @@ never pair up with each other. Each node's MinHash signature is cut into bands;
 a band are candidates. ``bands`` and ``rows`` are chosen for the target recall at the similarity
 threshold: a pair at similarity s is met with probability 1 - (1 - s**rows)**bands.
 
-Each candidate pair is verified once, in the tile of the first band it shares: the tile gathers
-its nodes' texts once and its pairs, and a tile of many nodes is split into blocks of nodes, so a
-task holds a bounded number of texts. Verified links give the number of links of each document
-and, by label propagation with pointer jumping, its class.
+Each candidate pair belongs to one tile: that of the first band it shares. A first pass, over
+signatures only, finds the nodes with pairs in a tile; their texts then meet there and every pair
+is verified. A band of many nodes is split into blocks, two a tile, so a task holds a bounded
+number of texts. Pairs are never written out: a tile returns each node's links counted and the
+root of its local component. Components join by label propagation with pointer jumping.
 """
 
 from __future__ import annotations
@@ -94,36 +95,138 @@ def _signature_task(n: int, bands: int, rows: int) -> Callable:
     return run
 
 
-# ---- verification --------------------------------------------------------------------------
+# ---- tiles ---------------------------------------------------------------------------------
+
+def _whole_tiles(batches: Iterator[pa.RecordBatch], rows: int = 4096) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Rows sorted by (band, bi, bj), cut between tiles: (rows, first row of each tile and the end).
+
+    A row equal in tile and node to the one before it is dropped (documents equal in id and text
+    bring their node's text more than once)."""
+    held: list[pa.RecordBatch] = []
+    last: np.ndarray | None = None
+
+    def starts(batch: pa.RecordBatch) -> np.ndarray:
+        key = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("band", "bi", "bj")])
+        return np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("band", "bi", "bj", "a", "b")])
+        fresh = np.ones(batch.num_rows, bool)
+        fresh[1:] = (key[:, 1:] != key[:, :-1]).any(0)
+        fresh[0] = last is None or bool((key[:, 0] != last).any())
+        last = key[:, -1]
+        held.append(batch if fresh.all() else batch.filter(pa.array(fresh)))
+        if sum(b.num_rows for b in held) >= rows:
+            whole = pa.concat_batches(held)
+            at = starts(whole)
+            held = [whole.slice(at[-1])]
+            if len(at) > 1:
+                yield whole.slice(0, at[-1]), at
+    if held:
+        whole = pa.concat_batches(held)
+        if whole.num_rows:
+            yield whole, np.append(starts(whole), whole.num_rows)
+
+
+def _tile_pairs(batch: pa.RecordBatch, at: np.ndarray, most: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs (i < j) of the same tile whose first shared band is the tile's band, some at a time.
+
+    In a tile of two blocks only pairs across the blocks count, so every pair counts once."""
+    band = batch.column("band").to_numpy().view(np.uint64)
+    vectors = batch.column("bands").flatten().to_numpy().reshape(batch.num_rows, -1).view(np.uint64)
+    number = (band >> np.uint64(56)).astype(np.int64)
+    block, bi, bj = (batch.column(c).to_numpy() for c in ("block", "bi", "bj"))
+    size = np.diff(at)
+    for m in np.unique(size[size > 1]):
+        one, two = np.triu_indices(m, 1)
+        first = at[:-1][size == m]
+        for lo in range(0, len(first) * len(one), most):  # pairs of all tiles of this size, numbered
+            tile, pair = np.divmod(np.arange(lo, min(lo + most, len(first) * len(one))), len(one))
+            i, j = first[tile] + one[pair], first[tile] + two[pair]
+            ok = (bi[i] == bj[i]) | (block[i] != block[j])
+            i, j = i[ok], j[ok]
+            shared = vectors[i] == vectors[j]
+            mine = shared.argmax(axis=1) == number[i]
+            yield i[mine], j[mine]
+
+
+def _meeting_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each tile, the nodes that have a pair to verify there."""
+    for batch, at in _whole_tiles(batches):
+        used = np.zeros(batch.num_rows, bool)
+        for i, j in _tile_pairs(batch, at):
+            used[i] = used[j] = True
+        yield batch.filter(pa.array(used))
+
+
+def _shared_counts(sets: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """Common n-grams of each two of the given sets, by products of 0/1 matrices of their n-grams."""
+    gram = np.concatenate([sets[r] for r in rows])
+    owner = np.repeat(np.arange(len(rows)), [len(sets[r]) for r in rows])
+    _, col, many = np.unique(gram, return_inverse=True, return_counts=True)
+    keep = many[col] > 1
+    owner, col = owner[keep], np.unique(col[keep], return_inverse=True)[1]
+    out = np.zeros((len(rows), len(rows)))
+    by = np.argsort(col, kind="stable")
+    owner, col = owner[by], col[by]
+    for lo in range(0, int(col[-1]) + 1 if len(col) else 0, 8192):
+        a, b = np.searchsorted(col, [lo, lo + 8192])
+        x = np.zeros((len(rows), min(8192, int(col[-1]) + 1 - lo)), np.float32)
+        x[owner[a:b], col[a:b] - lo] = 1
+        out += x @ x.T
+    return out
+
 
 def _verify_task(n: int, similarity: float) -> Callable:
-    """Rows sorted by tile, texts before pairs: emits the pairs of similar n-gram sets."""
+    """Per node and tile: the copies it is linked to there, and its local component's least row.
+
+    No link is written out: each counts in the one tile that its pair belongs to, and a spanning
+    forest of a tile's links joins the same nodes as all of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, sets = None, {}
-        for batch in slices(batches):
-            text = batch.column("text")
-            h, first, _, _ = words(pc.utf8_lower(pc.fill_null(text, "")))
-            g, at = ngrams(h, first, n)
-            cols = [batch.column(c).to_pylist() for c in ("band", "bi", "bj", "x", "y")]
-            is_text = text.is_valid().to_numpy(zero_copy_only=False)
-            found = []
-            for i, (band, bi, bj, x, y) in enumerate(zip(*cols)):
-                if tile != (band, bi, bj):
-                    tile, sets = (band, bi, bj), {}
-                if is_text[i]:
-                    sets[x["a"], x["b"]] = np.unique(g[at[i]:at[i + 1]])
-                else:
-                    p, q = sets[x["a"], x["b"]], sets[y["a"], y["b"]]
-                    if min(len(p), len(q)) < similarity * max(len(p), len(q)):
+        for batch, at in _whole_tiles(slices(batches), 512):
+            h, first, _, _ = words(pc.utf8_lower(batch.column("text")))
+            g, begin = ngrams(h, first, n)
+            sets = [np.unique(g[a:b]) for a, b in zip(begin[:-1], begin[1:])]
+            size = np.asarray([len(x) for x in sets], float)
+            tile = np.repeat(np.arange(len(at) - 1), np.diff(at))
+            copies = batch.column("copies").to_numpy()
+            around, root = np.zeros(batch.num_rows, np.int64), np.arange(batch.num_rows)
+            matrices: dict[int, np.ndarray] = {}
+            for i, j in _tile_pairs(batch, at):
+                near = np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j])
+                i, j = i[near], j[near]
+                common = np.zeros(len(i))
+                for t in np.unique(tile[i]):
+                    own = np.flatnonzero(tile[i] == t) if at[t + 1] - at[t] > 8 else None
+                    if own is not None and len(own) > 16:
+                        if t not in matrices:
+                            matrices = {t: _shared_counts(sets, np.arange(at[t], at[t + 1]))}
+                        common[own] = matrices[t][i[own] - at[t], j[own] - at[t]]
                         continue
-                    both = np.concatenate([p, q])
-                    both.sort(kind="stable")
-                    common = int(np.count_nonzero(both[1:] == both[:-1]))
-                    if common >= similarity * (len(both) - common) - 1e-9:
-                        found.append((x, y))
-            if found:
-                node = pa.struct([("a", pa.int64()), ("b", pa.int64())])
-                yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], node), pa.array([f[1] for f in found], node)], ["x", "y"])
+                    for k in np.flatnonzero(tile[i] == t) if own is None else own:
+                        both = np.concatenate([sets[i[k]], sets[j[k]]])
+                        both.sort(kind="stable")
+                        common[k] = np.count_nonzero(both[1:] == both[:-1])
+                linked = common >= similarity * (size[i] + size[j] - common) - 1e-9
+                i, j = i[linked], j[linked]
+                np.add.at(around, i, copies[j])
+                np.add.at(around, j, copies[i])
+                while len(i):  # least row of each local component
+                    low = np.minimum(root[i], root[j])
+                    open_ = root[i] != root[j]
+                    if not open_.any():
+                        break
+                    np.minimum.at(root, root[i], low)
+                    np.minimum.at(root, root[j], low)
+                    root = root[root]
+            while (root[root] != root).any():
+                root = root[root]
+            own = np.flatnonzero(around > 0)
+            a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a[own], b[own], around[own], a[root[own]], b[root[own]])],
+                                             ["a", "b", "around", "ra", "rb"])
 
     return run
 
@@ -167,28 +270,24 @@ def _classes(docs: DataFrame, n: int, similarity: float, bands: int, rows: int,
     nodes = written(seen.groupBy("a", "b").agg(F.count("*").alias("copies"), F.min(F.struct("k", "h")).alias("rep"), F.any_value("bands").alias("bands"))
                     .select(_node().alias("node"), "copies", "rep", "bands"), "near-nodes")
 
+    # tiles: the nodes of one band, in blocks of about ``block`` nodes; a tile holds two blocks
     spread = nodes.select(F.explode("bands").alias("band"), "node")
-    one, two = spread.select("band", F.col("node").alias("x")), spread.select("band", F.col("node").alias("y"))
-    pairs = written(one.join(two, "band").filter("x < y").groupBy("x", "y").agg(F.min("band").alias("band")), "near-pairs")
-
-    # tiles: the nodes of one band, in blocks of about ``block`` nodes where a band has many pairs
-    parts = pairs.groupBy("band").agg(F.ceil(F.sqrt(2 * F.count("*")) / block).cast("int").alias("parts"))
-    side = lambda c: F.pmod(F.xxhash64(c), F.col("parts")).cast("int")
-    tiled = pairs.join(parts, "band").select("band", side("x").alias("bi"), side("y").alias("bj"), "x", "y")
+    parts = spread.groupBy("band").agg(F.count("*").alias("m")).filter("m > 1").select("band", F.ceil(F.col("m") / block).cast("int").alias("parts"))
+    met = spread.join(parts, "band").select("band", "node", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("block"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    met = met.select("band", "node", "block", other.alias("other")).select(
+        "band", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block", "node")
     tile = ["band", "bi", "bj"]
-    members = tiled.select(*tile, F.explode(F.array("x", "y")).alias("node")).distinct()
-    members = members.join(nodes.select("node", "rep.k", "rep.h"), "node")
-    held = texts.select("k", "h", "text").join(members, ["k", "h"]).select(*tile, F.col("node").alias("x"), F.col("node").alias("y"), "text")
-    work = held.unionByName(tiled.withColumn("text", F.lit(None).cast("string")))
-    first = F.col("text").isNull()
-    links = work.repartition(*tile).sortWithinPartitions(*tile, first).mapInArrow(
-        _verify_task(n, similarity), "x struct<a:long,b:long>, y struct<a:long,b:long>")
-    links = written(links, "near-links")
-
-    label = connected(links, "near")
-    ends = links.union(links.select("y", "x")).toDF("node", "other")
-    degree = (ends.join(nodes.select(F.col("node").alias("other"), "copies"), "other")
-              .groupBy("node").agg(F.sum("copies").alias("around")))
+    kept = "band long, bi int, bj int, block int, a long, b long, k long, h long, copies long, bands array<long>"
+    met = met.join(nodes.select("node", "rep", "copies", "bands"), "node").select(
+        *tile, "block", "node.a", "node.b", "rep.k", "rep.h", "copies", "bands")
+    met = met.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(_meeting_task, kept)
+    work = texts.select("k", "h", "text").join(written(met, "near-meetings"), ["k", "h"]).drop("k", "h")
+    found = written(work.repartition(*tile).sortWithinPartitions(*tile, "a", "b").mapInArrow(
+        _verify_task(n, similarity), "a long, b long, around long, ra long, rb long"), "near-links")
+
+    label = connected(found.select(_node().alias("x"), F.struct(F.col("ra").alias("a"), F.col("rb").alias("b")).alias("y")), "near")
+    degree = found.groupBy("a", "b").agg(F.sum("around").alias("around")).select(_node().alias("node"), "around")
     nodes = (nodes.select("node", "copies", "rep").join(label.toDF("node", "label"), "node", "left").join(degree, "node", "left")
              .select("node", "copies", "rep", F.coalesce("label", "node").alias("label"),
                      (F.col("copies") - 1 + F.coalesce("around", F.lit(0))).alias("links")))
