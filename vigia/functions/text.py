@@ -96,8 +96,9 @@ def token_before_space(s) -> Column:
 def lead_words(s, n: int = 30) -> Column:
     """U2 default summariser: the first n words of the whole, whitespace-collapsed text.
 
-    Words are maximal runs of non-whitespace (Unicode classes, as in :func:`collapse_ws`), so
+    Words are maximal runs of characters outside :data:`WS_CLASS` (as in :func:`collapse_ws`), so
     the first n of them joined by one space equal the first n items of the collapsed text split
     on spaces — without building an array of every word of a 20,000-word document."""
-    first = F.regexp_extract(_c(s), r"(?U)^\s*((?:\S+\s+){0,%d}\S+)" % (n - 1), 1)
+    word = "[^" + WS_CLASS[1:]
+    first = F.regexp_extract(_c(s), rf"^{WS_CLASS}*((?:{word}+{WS_CLASS}+){{0,{n - 1}}}{word}+)", 1)
     return collapse_ws(first)

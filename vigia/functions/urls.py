@@ -40,9 +40,11 @@ def absolute_url(base, link) -> Column:
     resolution logic reads fields instead of repeating each regex (a small plan, no repeated
     evaluation)."""
     base = F.col(base) if isinstance(base, str) else base
-    link = F.col(link) if isinstance(link, str) else link
+    raw = F.col(link) if isinstance(link, str) else link
+    # the standard split drops leading control characters and spaces, and tabs and line breaks
+    link = F.regexp_replace(F.regexp_replace(raw, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
     parts = F.struct(
-        base.alias("b"), link.alias("l"),
+        base.alias("b"), raw.alias("l"),
         _part(base, 1).alias("b_scheme"), _part(base, 2).alias("b_net"), _part(base, 3).alias("b_path"),
         _part(base, 4).alias("b_query"),
         _part(link, 1).alias("l_scheme"), _part(link, 2).alias("l_net"), _part(link, 3).alias("l_path"),

@@ -12,10 +12,14 @@ from ..functions.text import collapse_ws, empty_to_null, lead_words, strip_ws
 Summariser = Callable[[Column, Column], Column]
 
 
-def default_summariser(text: Column, title: Column) -> Column:
-    """U2 default: the first 30 words of the whole text (native, no model call). A
-    ``pandas_udf`` taking (text, title) can be passed instead."""
-    return lead_words(text, 30)
+def lead_summariser(words: int) -> Summariser:
+    """A summariser that answers with the first ``words`` words of the text (native, no model
+    call), a stand-in for a model. A ``pandas_udf`` taking (text, title) can be passed instead."""
+    return lambda text, title: lead_words(text, words)
+
+
+#: U2 default: 30 words.
+default_summariser = lead_summariser(30)
 
 
 def content_route(alerts: DataFrame) -> DataFrame:
@@ -27,11 +31,13 @@ def content_route(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn("content_key", key)
 
 
-def doc_first_pages(pages: DataFrame, doc: str, page_no: str, text: str, max_pages: int = 3) -> DataFrame:
-    """S9 + W3 + F12: text of the first ``max_pages`` pages (0-based ``page_no``), non-empty pages
-    joined by one space in page order, whitespace collapsed, '' → null. The page filter reaches
+def doc_first_pages(pages: DataFrame, doc: str, page_no: str, text: str, max_pages: int | None = None) -> DataFrame:
+    """S9 + W3 + F12: text of the first ``max_pages`` pages (0-based ``page_no``; by default of all
+    pages; the reference reads 3), non-empty pages joined by one space in page order, whitespace collapsed, '' → null. The page filter reaches
     the Parquet scan; the ordered concat is one grouped aggregate per document."""
-    kept = pages.where((F.col(page_no) < max_pages) & (F.col(text) != "")).select(doc, page_no, text)
+    kept = pages.where(F.col(text) != "").select(doc, page_no, text)
+    if max_pages is not None:
+        kept = kept.where(F.col(page_no) < max_pages)
     agg = kept.groupBy(doc).agg(F.expr(f"listagg(`{text}`, ' ') within group (order by `{page_no}`)").alias("_t"))
     return agg.select(doc, empty_to_null(collapse_ws(F.col("_t"))).alias("content"))
 
@@ -41,6 +47,13 @@ def summary_fallback(summary: Column, titulo: Column) -> Column:
     return F.coalesce(F.nullif(strip_ws(summary), F.lit("")), titulo)
 
 
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """One row per key (the least row): for tables a left join attaches, so that a page fetched
+    twice does not repeat an alert. Applied when such a table is built, not under its join."""
+    rest = [c for c in df.columns if c != key]
+    return df.groupBy(key).agg(F.min(F.struct(*rest)).alias("_r")).select(key, "_r.*")
+
+
 def enrich(news: DataFrame, content: DataFrame, summariser: Summariser = default_summariser,
            key: str = "content_key") -> DataFrame:
     """J4 + P9: left join to the content table on the chosen link; summary or title.

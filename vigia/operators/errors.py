@@ -2,9 +2,8 @@
 
 The reference loses a whole source when one of its rows fails. Here a failing row carries a
 ``fatal`` reason; the default sends only those rows to a quarantine table, parity mode drops
-every group that holds one. Failing groups are found with a grouped aggregation (map-side
-combined, so a group holding a third of all rows is no hot spot) and removed with a left-anti
-join that AQE can split on a skewed key.
+every group that holds one. Groups are removed with a null-safe left-anti join against the fatal
+rows' keys; nothing aggregates between exchange and join, so AQE can split a skewed group.
 """
 
 from __future__ import annotations
@@ -20,13 +19,29 @@ def status_gate(pages: DataFrame, status: str = "status") -> DataFrame:
     return pages.where(F.coalesce(F.col(status), F.lit(200)) == 200)
 
 
+def http_failure(pages: DataFrame, status: str = "status") -> DataFrame:
+    """Pages with a ``fatal`` reason where their status is not 200 (a missing status counts as 200)."""
+    code = F.coalesce(F.col(status), F.lit(200)) if status in pages.columns else F.lit(200)
+    return pages.withColumn("fatal", F.when(code != 200, F.concat(F.lit("HTTP "), code.cast("string"))))
+
+
 def failing_groups(df: DataFrame, group: list[str], fatal: str = "fatal") -> DataFrame:
-    return df.groupBy(*group).agg(F.bool_or(F.col(fatal).isNotNull()).alias("_bad")).where("_bad").select(*group)
+    """Keys of the fatal rows (a key may repeat)."""
+    return df.where(F.col(fatal).isNotNull()).select(*group)
+
 
+def drop_failed_groups(df: DataFrame, group: list[str], fatal: str = "fatal", failures: DataFrame | None = None) -> DataFrame:
+    """Parity mode: a group with any fatal row contributes nothing; a null group is a group.
 
-def drop_failed_groups(df: DataFrame, group: list[str], fatal: str = "fatal") -> DataFrame:
-    """Parity mode: a group with any fatal row contributes nothing."""
-    return df.join(failing_groups(df, group, fatal), on=group, how="left_anti")
+    ``failures`` adds fatal rows from elsewhere (failed pages, which yield no row of ``df``)."""
+    bad = failing_groups(df, group, fatal)
+    if failures is not None:
+        bad = bad.unionByName(failing_groups(failures, group, fatal))
+    bad = bad.toDF(*[f"_bad_{g}" for g in group])
+    same = F.lit(True)
+    for g in group:
+        same = same & df[g].eqNullSafe(bad[f"_bad_{g}"])
+    return df.join(bad, same, "left_anti")
 
 
 def quarantine(df: DataFrame, fatal: str = "fatal") -> tuple[DataFrame, DataFrame]:
@@ -34,5 +49,6 @@ def quarantine(df: DataFrame, fatal: str = "fatal") -> tuple[DataFrame, DataFram
     return df.where(F.col(fatal).isNull()), df.where(F.col(fatal).isNotNull())
 
 
-def apply_error_policy(df: DataFrame, group: list[str], parity: bool, fatal: str = "fatal") -> DataFrame:
-    return drop_failed_groups(df, group, fatal) if parity else quarantine(df, fatal)[0]
+def apply_error_policy(df: DataFrame, group: list[str], parity: bool, fatal: str = "fatal",
+                       failures: DataFrame | None = None) -> DataFrame:
+    return drop_failed_groups(df, group, fatal, failures) if parity else quarantine(df, fatal)[0]

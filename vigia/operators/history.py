@@ -11,14 +11,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Position of an alert: source, category, page, place in the page (columns a table lacks are skipped).
+ORDER = ("source_rank", "categoria_rank", "page_id", "item_pos")
+
+
 def novelty(candidates: DataFrame, history: DataFrame, key: str = "url") -> DataFrame:
     """J1 + P3: candidates whose key is not in history; in-batch duplicates stay.
 
-    ``left_anti`` against the distinct history keys (never ``NOT IN``: one null key would
-    empty the result). AQE picks broadcast when the key set is measured small at runtime and
-    splits a skewed candidate key for the sort-merge plan otherwise.
+    ``left_anti`` against the history keys (never ``NOT IN``: one null key would empty the
+    result). The keys are not made distinct first: an aggregate between exchange and join would
+    keep AQE from splitting a skewed candidate key. AQE picks broadcast when the key set is
+    measured small at runtime.
     """
-    keys = history.select(key).where(F.col(key).isNotNull()).distinct()
+    keys = history.select(key).where(F.col(key).isNotNull())
     out = candidates.join(keys, on=key, how="left_anti")
     if "resumen" not in out.columns and "titulo" in out.columns:
         out = out.withColumn("resumen", F.col("titulo"))
@@ -35,7 +40,7 @@ def keep_first(df: DataFrame, key: str, order: list[str], cols: list[str] | None
 
 
 def merge_history(history: DataFrame, news: DataFrame, key: str = "url",
-                  order: tuple[str, ...] = ("source_rank", "item_pos")) -> DataFrame:
+                  order: tuple[str, ...] = ORDER) -> DataFrame:
     """A8 + U-3: history ∪ novelty, one row per key; history wins, then batch order."""
     h = history.withColumn("_is_new", F.lit(0))
     n = news.withColumn("_is_new", F.lit(1))
@@ -45,14 +50,17 @@ def merge_history(history: DataFrame, news: DataFrame, key: str = "url",
     return out.drop("_is_new")
 
 
-def dedupe_last(df: DataFrame, key: str = "url", pos: str = "item_pos") -> DataFrame:
-    """A9 + F6: per key the last row's values win, at the first row's position; empty keys out."""
-    cols = [c for c in df.columns if c not in (key, pos)]
+def dedupe_last(df: DataFrame, key: str = "url", order: tuple[str, ...] = ORDER) -> DataFrame:
+    """A9 + F6: per key the last row's values win, at the first row's position; empty keys out.
+
+    Rows are ordered by the columns of ``order`` that ``df`` has."""
+    pos = [c for c in order if c in df.columns]
+    cols = [c for c in df.columns if c not in (key, *pos)]
     rec = F.struct(*[F.col(c) for c in cols])
     return (df.where(F.col(key).isNotNull() & (F.col(key) != ""))
             .groupBy(key)
-            .agg(F.max_by(rec, F.col(pos)).alias("_r"), F.min(pos).alias(pos))
-            .select(key, "_r.*", pos))
+            .agg(F.max_by(rec, F.struct(*pos)).alias("_r"), F.min(F.struct(*pos)).alias("_p"))
+            .select(key, "_r.*", "_p.*"))
 
 
 def run_counters(history: DataFrame, candidates: DataFrame, news: DataFrame, merged: DataFrame,

@@ -31,7 +31,6 @@ class Profile:
     institucion: str
     spec: RecordSpec | None = None
     base_url: str | None = None
-    top_n: int | None = None
     extra: dict = field(default_factory=dict)
 
 
@@ -62,7 +61,7 @@ PROFILES = {
                       RecordSpec("li|clearfix+documents", {
                           "titulo": Field("div.col-md-10", "text_b"),
                           "href": Field("div.col-md-2 a", "attr:href"),
-                      }), base_url="https://www.gob.mx", top_n=10),
+                      }), base_url="https://www.gob.mx"),
     "argentina": Profile("argentina", 6, "Argentina", "ANMAT",
                          RecordSpec("a|panel+panel-default", {
                              "titulo": Field("h3", "text_a"),
@@ -92,8 +91,9 @@ def _truthy(c) -> F.Column:
 
 
 def _pos(df: DataFrame) -> DataFrame:
-    # document position of a record: page, then element order inside the page
-    return df.withColumn("item_pos", F.col("page_id") * F.lit(1_000_000) + F.col("card_id"))
+    # position of a record: (source_rank, categoria_rank, page_id, item_pos); the last is the
+    # element's place inside its page
+    return df.withColumn("item_pos", F.col("card_id").cast("bigint"))
 
 
 def _records(rows: DataFrame, p: Profile) -> DataFrame:
@@ -108,7 +108,7 @@ def cards_brasil(rows: DataFrame) -> DataFrame:
     r = r.withColumn("fecha_ts", ts).withColumn("fecha", fecha)
     r = r.withColumn("fatal", F.when(~F.col("hora_raw__found"), F.lit("time node missing")))
     return _const(_pos(r), p).select(F.col("href").alias("url"), "titulo", "fecha", "fecha_ts",
-                                     "pais", "institucion", "source_id", "source_rank", *PAGE_KEYS[1:], "item_pos", "fatal")
+                                     "pais", "institucion", "source_id", "source_rank", *PAGE_KEYS[1:], "page_id", "item_pos", "fatal")
 
 
 def cards_colombia(rows: DataFrame) -> DataFrame:
@@ -118,15 +118,18 @@ def cards_colombia(rows: DataFrame) -> DataFrame:
     r = r.withColumn("fecha_ts", ts).withColumn("fecha", fecha).withColumn(
         "fatal", F.when(status != "ok", F.concat(F.lit("bad date: "), F.col("fecha_raw"))))
     return _const(_pos(r), p).select(F.col("href").alias("url"), "titulo", "fecha", "fecha_ts", "pais", "institucion",
-                                     "source_id", "source_rank", *PAGE_KEYS[1:], "item_pos", "fatal")
+                                     "source_id", "source_rank", *PAGE_KEYS[1:], "page_id", "item_pos", "fatal")
 
 
-def cards_mexico(rows: DataFrame) -> DataFrame:
+def cards_mexico(rows: DataFrame, top_n: int | None = None) -> DataFrame:
+    """Cards of the source; ``top_n`` (W1, none by default) keeps the first cards of each category
+    in page and document order, before the field filter. The rank limit is pushed below the
+    exchange, so a task sends at most ``top_n`` cards of a category."""
     p = PROFILES["mexico"]
     r = _records(rows, p)
-    # First N cards per category page in document order, before the field filter
-    w = Window.partitionBy("page_id").orderBy("card_id")
-    r = r.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= p.top_n).drop("_rn")
+    if top_n is not None:
+        w = Window.partitionBy("categoria").orderBy("page_id", "card_id")
+        r = r.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= top_n).drop("_rn")
     r = r.where(F.col("titulo__found") & F.col("href__found") & _truthy(F.col("href")))
     digits = first_8_digits(F.col("titulo"))
     ts, fecha, _ = apply_policy(digits, POLICIES["mexico"])
@@ -134,7 +137,7 @@ def cards_mexico(rows: DataFrame) -> DataFrame:
          .withColumn("url", F.concat(F.lit(p.base_url), F.col("href")))
          .withColumn("titulo", clean_title_mexico(F.col("titulo"))))
     return _const(_pos(r), p).select("url", "titulo", "fecha", "fecha_ts", "pais", "institucion", "source_id",
-                                     "source_rank", *PAGE_KEYS[1:], "item_pos", F.lit(None).cast("string").alias("fatal"))
+                                     "source_rank", *PAGE_KEYS[1:], "page_id", "item_pos", F.lit(None).cast("string").alias("fatal"))
 
 
 def cards_argentina(rows: DataFrame) -> DataFrame:
@@ -146,7 +149,7 @@ def cards_argentina(rows: DataFrame) -> DataFrame:
          .withColumn("titulo", F.when(F.col("titulo__found"), F.col("titulo")).otherwise(F.lit(NO_TITLE)))
          .withColumn("fecha_ts", ts).withColumn("fecha", fecha))
     return _const(_pos(r), p).select("url", "titulo", "fecha", "fecha_ts", "pais", "institucion", "source_id",
-                                     "source_rank", *PAGE_KEYS[1:], "item_pos", F.lit(None).cast("string").alias("fatal"))
+                                     "source_rank", *PAGE_KEYS[1:], "page_id", "item_pos", F.lit(None).cast("string").alias("fatal"))
 
 
 def rows_bolivia(rows: DataFrame, run_year: int, dedupe: bool = True) -> DataFrame:
@@ -159,7 +162,7 @@ def rows_bolivia(rows: DataFrame, run_year: int, dedupe: bool = True) -> DataFra
          .withColumn("titulo", F.concat_ws(" - ", cell(1)["text_a"], cell(2)["text_a"]))           # T2
          .withColumn("url", F.when(_truthy(cell(4)["link"]), absolute_url(F.lit(p.base_url), cell(4)["link"]))))
     out = _const(_pos(r), p).select("url", "titulo", "fecha", "fecha_ts", "pais", "institucion", "source_id",
-                                    "source_rank", *PAGE_KEYS[1:], "item_pos", F.lit(None).cast("string").alias("fatal"))
+                                    "source_rank", *PAGE_KEYS[1:], "page_id", "item_pos", F.lit(None).cast("string").alias("fatal"))
     return dedupe_last(out) if dedupe else out
 
 
@@ -172,10 +175,20 @@ def rows_costarica(rows: DataFrame, run_year: int, dedupe: bool = True) -> DataF
          .where(current_year_filter(F.col("fecha_ts"), run_year, strict=False))     # F5
          .withColumn("url", F.when(_truthy(F.col("href")), absolute_url(F.lit(p.base_url), F.col("href")))))
     out = _const(_pos(r), p).select("url", "titulo", "fecha", "fecha_ts", "pais", "institucion", "source_id",
-                                    "source_rank", *PAGE_KEYS[1:], "item_pos", F.lit(None).cast("string").alias("fatal"))
+                                    "source_rank", *PAGE_KEYS[1:], "page_id", "item_pos", F.lit(None).cast("string").alias("fatal"))
     return dedupe_last(out) if dedupe else out
 
 
+def feed_alerts(items: DataFrame, source_id: str) -> DataFrame:
+    """P1 for the feed sources: dated feed items (with ``categoria, categoria_rank, page_id``) in the
+    alert columns."""
+    p = PROFILES[source_id]
+    pdf = F.col("pdf") if "pdf" in items.columns else F.lit(None).cast("string")
+    fatal = F.col("fatal") if "fatal" in items.columns else F.lit(None).cast("string")
+    return _const(items, p).select("url", pdf.alias("pdf"), "titulo", "fecha", "fecha_ts", "pais", "institucion", "source_id", "source_rank",
+                                   *PAGE_KEYS[1:], "page_id", F.col("item_pos").cast("bigint").alias("item_pos"), fatal.alias("fatal"))
+
+
 def detail_fields(rows: DataFrame, url_col: str = "url") -> DataFrame:
     """Fields of a detail page: first h3 / ul under the entry, first .pdf link (absolute).
     The element matched on either attribute gives its href when it has one (else its src)."""

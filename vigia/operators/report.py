@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from ..functions.dates import REPORT_FORMATS, report_date
 
 # The reference's report starts at 2025-11-20 and its daily line hides days
-# up to 2025-11-01; both are arguments here.
-DEFAULT_MIN_DATE = dt.date(2025, 11, 20)
-DEFAULT_DAY_CUTOFF = dt.date(2025, 11, 1)
+# up to 2025-11-01. A caller who wants these passes them; by default all rows stay.
+REFERENCE_MIN_DATE = dt.date(2025, 11, 20)
+REFERENCE_DAY_CUTOFF = dt.date(2025, 11, 1)
 
 
 def with_report_date(history: DataFrame, formats=REPORT_FORMATS) -> DataFrame:
@@ -24,9 +24,10 @@ def with_report_date(history: DataFrame, formats=REPORT_FORMATS) -> DataFrame:
     return history.withColumn("fecha", report_date("fecha", formats))
 
 
-def prepare(history: DataFrame, min_date: dt.date = DEFAULT_MIN_DATE, formats=REPORT_FORMATS) -> DataFrame:
-    """F8: keep dates on or after ``min_date`` (nulls drop)."""
-    return with_report_date(history, formats).where(F.col("fecha") >= F.lit(min_date))
+def prepare(history: DataFrame, min_date: dt.date | None = None, formats=REPORT_FORMATS) -> DataFrame:
+    """F8: keep dates on or after ``min_date`` (nulls drop); without one every row stays."""
+    dated = with_report_date(history, formats)
+    return dated if min_date is None else dated.where(F.col("fecha") >= F.lit(min_date))
 
 
 def select_countries(df: DataFrame, selection: list[str] | None) -> DataFrame:
@@ -49,10 +50,10 @@ def by_country(df: DataFrame) -> DataFrame:
             .withColumnRenamed("pais", "País").orderBy(F.desc("Cantidad"), F.asc("País")))
 
 
-def by_day(df: DataFrame, cutoff: dt.date = DEFAULT_DAY_CUTOFF) -> DataFrame:
-    """A5 + F10: alerts per date, days after ``cutoff``, sorted by date."""
-    return (df.groupBy("fecha").agg(F.count(F.lit(1)).alias("Alertas"))
-            .where(F.col("fecha") > F.lit(cutoff)).orderBy("fecha"))
+def by_day(df: DataFrame, cutoff: dt.date | None = None) -> DataFrame:
+    """A5 + F10: alerts per date, days after ``cutoff`` if one is given, sorted by date."""
+    days = df.groupBy("fecha").agg(F.count(F.lit(1)).alias("Alertas"))
+    return (days if cutoff is None else days.where(F.col("fecha") > F.lit(cutoff))).orderBy("fecha")
 
 
 def countries(df: DataFrame) -> DataFrame:

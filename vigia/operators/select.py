@@ -47,7 +47,8 @@ def parse_selector(sel: str) -> list[Chain]:
         if not alt:
             continue
         steps, attrs = [], ()
-        for tok in alt.split():
+        toks = alt.split()
+        for n, tok in enumerate(toks):
             if "|" in tok:                       # tag|whole class attribute (spaces as '+')
                 tag, cls = tok.split("|", 1)
                 steps.append((tag or None, (), cls.replace("+", " ")))
@@ -59,6 +60,8 @@ def parse_selector(sel: str) -> list[Chain]:
             classes = tuple(c for c in m.group("classes").split(".") if c)
             attrs = tuple((a, op, v) for a, op, v in _ATTR_RE.findall(m.group("attrs") or ""))
             attrs = tuple((a, op or None, v if op else None) for a, op, v in attrs)
+            if attrs and n < len(toks) - 1:
+                raise ValueError(f"attribute test on an ancestor step {tok!r}")
             steps.append((None if tag in (None, "*") else tag.lower(), classes, None))
         chains.append(Chain(tuple(steps), attrs))
     return chains
@@ -179,11 +182,6 @@ def _any_flags(flag_arrays: list[Column]) -> Column:
     return F.zip_with(flag_arrays[0], _any_flags(flag_arrays[1:]), lambda a, b: a | b)
 
 
-def chain_match_at(path: Column, i: Column, chain: Column) -> Column:
-    """Does ``chain`` match the element at 1-based position ``i`` of ``path``?"""
-    return F.coalesce(_at(chain_flags(path, chain), i), F.lit(False))
-
-
 def attr_test(attrs: Column, tests) -> Column:
     cond = F.lit(True)
     for name, op, val in tests:
@@ -216,14 +214,6 @@ def self_match(selector: str, path: str = "path", attrs: str = "attrs", kind: st
     return (F.col(kind) == "el") & cond
 
 
-def positions_matching(path: Column, chains: list[Chain]) -> Column:
-    """1-based positions in ``path`` whose element matches any chain (no attribute tests).
-
-    Costly arrays are only ever HOF *arguments* (evaluated once per row), never referenced from
-    inside a lambda body, where Spark would evaluate them again for every element."""
-    return true_positions(_any_flags([chain_flags_lit(path, c) for c in chains]))
-
-
 def true_positions(flags: Column) -> Column:
     """1-based positions of the true entries of a boolean array."""
     seq = F.sequence(F.lit(1), F.greatest(F.size(flags), F.lit(1)))
@@ -253,7 +243,7 @@ class RecordSpec:
     first_desc_attr: tuple[str, str] = ("a", "href")
 
 
-def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[str] | None = None, _stage: str | None = None) -> DataFrame:
+def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[str] | None = None) -> DataFrame:
     """Shredded rows → one row per container with its fields.
 
     Plan: a narrow per-row stage finds the container positions and emits one contribution per
@@ -348,8 +338,6 @@ def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[s
     c = c.select("*", F.col("c.elem_id").alias("elem_id"), F.col("c.elem_tag").alias("elem_tag"),
                  (is_el & (pos == F.col("_n"))).alias("is_self"), (is_el & (pos == F.col("_n") - 1)).alias("is_parent")).drop("c")
 
-    if _stage == "contrib":
-        return c
     visible = (F.col("kind") == "text") & (F.col("cdata_id").isNull() | (F.col("cdata_id") == F.col("elem_id")))
     stripped = F.nullif(strip_ws(F.col("text")), F.lit(""))
     c = c.withColumn("_raw", F.when(visible, F.col("text"))).withColumn("_str", F.when(visible, stripped))
@@ -379,8 +367,6 @@ def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[s
                                   F.when(desc, F.col("seq"))).alias("first_desc_attr"))
     # one exchange on (page, container) serves both groupings (element, then container)
     per_elem = c.repartition(id_col, "card_id").groupBy(id_col, *keep, "card_id", "elem_id").agg(*elem_aggs)
-    if _stage == "elem":
-        return per_elem
 
     def value_of(f: Field) -> Column:
         if f.value.startswith("attr:"):
@@ -483,14 +469,3 @@ def html_content(rows: DataFrame, id_col: str, keep: list[str] | None = None,
     if title_selector:
         cols.append(strip_ws(F.coalesce(F.col("_title"), F.lit(""))).alias("titulo"))
     return out.select(*cols)
-
-
-def rules_chains(selectors: list[str] | None) -> list[list[tuple]] | None:
-    """Selectors → list of chains as plain tuples, for a rules DataFrame (one chain per alternative)."""
-    if selectors is None:
-        return None
-    out = []
-    for s in selectors:
-        for ch in parse_selector(s):
-            out.append([(t, list(cl), cls) for t, cl, cls in ch.steps])
-    return out

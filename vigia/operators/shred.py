@@ -8,11 +8,16 @@ Tree rules (those of the tree builder the reference uses on top of that parser):
   * void elements close at once; an end tag pops to the nearest open element of that name;
     an end tag with no open match is ignored; nothing is closed implicitly;
   * comments, doctype and processing instructions carry no text;
+  * text that reaches the parser in pieces (a stray '<', an entity) is one run up to the next
+    tag or comment;
   * a text run made only of ASCII whitespace becomes '\\n' (if it holds one) or ' ', except
     inside pre/textarea;
   * text whose innermost special container is script/style/template is tagged with that
     element's id (``cdata_id``), so element text can leave it out unless the element is it.
 
+A page the parser gives up on yields its 'doc' row alone, with the reason in ``text``
+(:func:`parse_errors`), never a part of the page.
+
 Row schema (one row per element, text run, and one 'doc' row per page):
   id, seq, kind ('doc'|'el'|'text'), node_id, tag, attrs, text, cdata_id,
   path array<struct<id, tag, cls, classes>> — ancestors from the root, the element itself last
@@ -49,7 +54,7 @@ def rows_schema(id_col: str, id_type: T.DataType, keep: list[tuple[str, T.DataTy
     return T.StructType(fields)
 
 
-def _make_shredder(id_col: str, html_col: str, keep_names: list[str], out_schema_json: str):
+def _make_shredder(id_col: str, html_col: str, keep_names: list[str], out_schema_json: str, max_rows: int = 20_000):
     """Build the per-partition function; everything it needs is local so it ships by value."""
 
     def shred_batches(batches):
@@ -63,6 +68,8 @@ def _make_shredder(id_col: str, html_col: str, keep_names: list[str], out_schema
         schema = to_arrow_schema(StructType.fromJson(json.loads(out_schema_json)))
         path_type = schema.field("path").type
         entry_type = path_type.value_type
+        # Elements of the public tree builder that close at once, and those whose text
+        # is not part of an enclosing element's.
         void = {"area", "base", "br", "col", "embed", "hr", "img", "input", "keygen", "link",
                 "menuitem", "meta", "param", "source", "track", "wbr", "basefont", "bgsound",
                 "command", "frame", "image", "isindex", "nextid", "spacer"}
@@ -100,6 +107,17 @@ def _make_shredder(id_col: str, html_col: str, keep_names: list[str], out_schema
                 self.el_classes.append(classes)
                 return len(self.el_id) - 1
 
+            def mark(self):
+                return (len(self.page), len(self.path_idx), len(self.el_id))
+
+            def back_to(self, mark):
+                rows, paths, elements = mark
+                for c in (self.page, self.seq, self.kind, self.node_id, self.tag, self.attrs, self.text, self.cdata_id):
+                    del c[rows:]
+                del self.path_idx[paths:], self.path_off[rows + 1:]
+                for c in (self.el_id, self.el_tag, self.el_cls, self.el_classes):
+                    del c[elements:]
+
             def path_column(self):
                 elements = pa.StructArray.from_arrays(
                     [pa.array(self.el_id, pa.int32()), pa.array(self.el_tag, pa.string()),
@@ -117,6 +135,7 @@ def _make_shredder(id_col: str, html_col: str, keep_names: list[str], out_schema
                 self.gstack = []         # their entry indexes in ``out``
                 self.next_id = 0
                 self.seq = 1
+                self.pending = []        # pieces of the text run being read
 
             def _element(self, tag, attrs, push):
                 d = {}
@@ -132,12 +151,20 @@ def _make_shredder(id_col: str, html_col: str, keep_names: list[str], out_schema
                     self.gstack.append(g)
 
             def handle_starttag(self, tag, attrs):
+                self.end_text()
                 self._element(tag, attrs, tag not in void)
 
             def handle_startendtag(self, tag, attrs):
+                self.end_text()
                 self._element(tag, attrs, False)
 
+            def handle_comment(self, data):
+                self.end_text()
+
+            handle_decl = handle_pi = unknown_decl = handle_comment
+
             def handle_endtag(self, tag):
+                self.end_text()
                 for i in range(len(self.stack) - 1, -1, -1):
                     if self.stack[i][1] == tag:
                         del self.stack[i:]
@@ -145,6 +172,11 @@ def _make_shredder(id_col: str, html_col: str, keep_names: list[str], out_schema
                         return
 
             def handle_data(self, data):
+                self.pending.append(data)
+
+            def end_text(self):
+                data = "".join(self.pending)
+                self.pending.clear()
                 if not data:
                     return
                 if data.strip(ascii_ws) == "" and not any(t in keep_ws for _, t in self.stack):
@@ -158,18 +190,7 @@ def _make_shredder(id_col: str, html_col: str, keep_names: list[str], out_schema
                 self.out.row(self.page, self.seq, "text", parent, None, None, data, cdata_id, self.gstack)
                 self.seq += 1
 
-        for batch in batches:
-            htmls = batch.column(html_col).to_pylist()
-            out = Out()
-            for i, html in enumerate(htmls):
-                out.row(i, 0, "doc", None, None, None, None, None, ())
-                if html:
-                    p = Shredder(out, i)
-                    try:
-                        p.feed(html)
-                        p.close()
-                    except Exception:  # malformed beyond the parser: keep what was read
-                        pass
+        def finish(batch, out):
             take = pa.array(out.page, pa.int64())
             cols = {id_col: batch.column(id_col).take(take)}
             for k in keep_names:
@@ -182,7 +203,29 @@ def _make_shredder(id_col: str, html_col: str, keep_names: list[str], out_schema
             cols["text"] = pa.array(out.text, pa.string())
             cols["cdata_id"] = pa.array(out.cdata_id, pa.int32())
             cols["path"] = out.path_column()
-            yield pa.RecordBatch.from_arrays([cols[f.name].cast(f.type) for f in schema], schema=schema)
+            return pa.RecordBatch.from_arrays([cols[f.name].cast(f.type) for f in schema], schema=schema)
+
+        for batch in batches:
+            out = Out()
+            for i in range(batch.num_rows):
+                html = batch.column(html_col)[i].as_py()
+                mark = out.mark()
+                out.row(i, 0, "doc", None, None, None, None, None, ())
+                if html:
+                    p = Shredder(out, i)
+                    try:
+                        p.feed(html)
+                        p.close()
+                        p.end_text()
+                    except Exception as e:  # malformed beyond the parser: nothing of the page, a reason
+                        out.back_to(mark)
+                        out.row(i, 0, "doc", None, None, None, f"{type(e).__name__}: {e}", None, ())
+                # rows and paths held at once are bounded, whatever the batch holds (one page may exceed it)
+                if len(out.page) >= max_rows or len(out.path_idx) >= 8 * max_rows:
+                    yield finish(batch, out)
+                    out = Out()
+            if out.page:
+                yield finish(batch, out)
 
     return shred_batches
 
@@ -192,24 +235,30 @@ def shred(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", kee
     """Shred every page into element/text rows. ``keep`` columns ride along unchanged.
 
     Catalyst does not push filters or pruning through ``mapInArrow``, so the input is projected
-    here to the columns the parser needs. Parsing costs far more than moving the markup, so the
-    pages are hash-partitioned by id into ``partitions`` tasks (default: the session's shuffle
-    partitions, at least the core count) — a fixed count AQE does not coalesce away, which also
-    spreads one host's many pages or a few huge pages over all tasks. The key is a hash of the id,
-    not the id: an input already hash-partitioned by id (pages assembled by a ``groupBy``) would
-    let the planner drop a repartition on the id itself, and AQE would then coalesce that
-    upstream exchange by bytes into a handful of parse tasks. ``partitions=0`` keeps the input's
-    own splits (a Parquet scan is already cut into byte-bounded splits).
+    here to the columns the parser needs. By default the input keeps its own splits (a Parquet
+    scan is cut into byte-bounded splits, and raw markup is not shuffled). Pages assembled
+    upstream may sit in a handful of coalesced partitions: ``partitions`` then deals them out by
+    a hash of the id (not the id itself: an input already partitioned by id would let the planner
+    drop the exchange), a fixed count that AQE does not coalesce.
     """
     keep = keep or []
-    spark = pages.sparkSession
-    if partitions is None:
-        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     src = pages.select(id_col, html_col, *keep)
-    if partitions > 0:
+    if partitions:
         src = src.repartition(partitions, F.xxhash64(id_col))
     id_type = src.schema[id_col].dataType
     keep_types = [(k, src.schema[k].dataType) for k in keep]
     schema = rows_schema(id_col, id_type, keep_types)
     fn = _make_shredder(id_col, html_col, keep, schema.json())
     return src.mapInArrow(fn, schema)
+
+
+def spread(pages: DataFrame) -> int | None:
+    """``partitions`` for :func:`shred` of a scan: a file of fewer splits than cores is dealt out
+    over the cores, anything larger keeps its splits (no exchange)."""
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    return cores if pages.rdd.getNumPartitions() < cores else None
+
+
+def parse_errors(rows: DataFrame, id_col: str = "page_id") -> DataFrame:
+    """Pages the parser gave up on, with the reason: rows for the quarantine table."""
+    return rows.where((F.col("kind") == "doc") & F.col("text").isNotNull()).select(id_col, F.col("text").alias("error"))

@@ -29,6 +29,7 @@ ALERT_SCHEMA = T.StructType([
     T.StructField("source_rank", T.IntegerType()),
     T.StructField("categoria", T.StringType()),
     T.StructField("categoria_rank", T.IntegerType()),
+    T.StructField("page_id", T.LongType()),
     T.StructField("item_pos", T.LongType()),
     T.StructField("error", T.StringType()),
 ])
@@ -53,8 +54,8 @@ def read_history_csv(spark: SparkSession, path: str) -> DataFrame:
     try:
         header = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
         cols = header.columns
-    except Exception as e:  # PATH_NOT_FOUND
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+    except AnalysisException as e:
+        if _missing(e):
             return empty_history(spark)
         raise
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
@@ -92,7 +93,7 @@ def _versions(root: str) -> str:
 
 
 def _missing(e: AnalysisException) -> bool:
-    return "PATH_NOT_FOUND" in str(e)
+    return e.getCondition() == "PATH_NOT_FOUND"
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:

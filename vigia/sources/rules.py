@@ -1,19 +1,22 @@
 """Extraction rules per key (country or page language) as a small table.
 
 Rules are read from JSON ``{key: {content_type, container?, selectors?[], remove_selectors?[],
-note?}}`` with ``from_json`` to a map and exploded; selectors are tokenised into chains by Column
-expressions (no driver-side parsing). An unreadable file gives an empty table: defaults apply.
-The table is bounded by the number of keys in the file, so joins to it broadcast.
+note?}}`` with ``from_json`` to a map and exploded; selectors are tokenised once, in the rules table, by the
+parser that literal selectors use (comma groups and attribute tests included). A selector that
+parser does not support is an error of its rule, never another match. A missing file gives an
+empty table: defaults apply. Joins leave the choice of strategy to the measured sizes.
 """
 
 from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.select import CHAIN
+from ..operators.select import CHAIN, chain_literal, parse_selector
 
 RULE_VALUE = ("map<string, struct<content_type: string, container: string, selectors: array<string>, "
               "remove_selectors: array<string>, note: string>>")
@@ -44,21 +47,44 @@ COUNTRY_RULES = {
     "Perú": {"content_type": "pdf", "note": "Use PDF link from scraper, not HTML"},
 }
 
-MAX_RULE_KEYS = 10_000   # a rules file is configuration; refuse to broadcast anything larger
 
+_PARSED = T.StructType([T.StructField("chains", T.ArrayType(CHAIN)), T.StructField("error", T.StringType())])
 
-def selector_chain(sel: Column) -> Column:
-    """'div.a.b p' → array<struct<tag, classes, cls>> (descendant steps of tag and classes)."""
-    steps = F.filter(F.split(F.trim(sel), r"\s+"), lambda s: s != "")
-    return F.transform(steps, lambda s: F.struct(
-        F.nullif(F.regexp_extract(s, r"^([A-Za-z][A-Za-z0-9\-]*)", 1), F.lit("")).alias("tag"),
-        F.filter(F.split(F.regexp_extract(s, r"^[A-Za-z0-9\-*]*((?:\.[\w\-]+)*)$", 1), r"\."), lambda c: c != "").alias("classes"),
-        F.lit(None).cast("string").alias("cls"),
-    )).cast(CHAIN)
 
+def _parse(selectors: list[str] | None) -> tuple | None:
+    if selectors is None:
+        return None
+    chains, errors = [], []
+    for sel in selectors:
+        try:
+            found = parse_selector(sel or "")
+            if not found or any(c.attrs for c in found):
+                raise ValueError(f"unsupported selector {sel!r} in a rule")
+            chains += [[(tag, list(classes), cls) for tag, classes, cls in c.steps] for c in found]
+        except ValueError as e:
+            errors.append(str(e))
+    return chains, "; ".join(errors) or None
 
-def _chains(arr: Column) -> Column:
-    return F.transform(arr, lambda s: selector_chain(s))
+
+def tokenised(rules: DataFrame) -> DataFrame:
+    """Rules with their selectors as chains (``container``, ``selectors``, ``remove``) and
+    ``rule_error``: what the parser does not support, which then matches nothing. A small Python
+    helper over the rules table (one row a key), never over pages."""
+    parse = F.udf(_parse, _PARSED)
+    r = rules.select("*", parse("selectors_sel").alias("_s"), parse("remove_sel").alias("_m"),
+                     parse(F.when(F.col("container_sel").isNotNull(), F.array("container_sel"))).alias("_c"))
+    many = F.when(F.size("_c.chains") > 1, F.concat(F.lit("a container is one chain: "), F.col("container_sel")))
+    # a container that cannot be read matches no element: the page has no content, not all of it
+    none = F.array(F.struct(F.lit("").alias("tag"), F.array().cast("array<string>").alias("classes"), F.lit("").alias("cls"))).cast(CHAIN)
+    chain = F.when(F.col("_c.error").isNotNull() | many.isNotNull(), none).otherwise(F.try_element_at("_c.chains", F.lit(1)))
+    error = F.nullif(F.concat_ws("; ", "_s.error", "_m.error", "_c.error", many), F.lit(""))
+    return r.select(*rules.columns, F.when(F.col("container_sel").isNotNull(), chain).alias("container"),
+                    F.col("_s.chains").alias("selectors"), F.col("_m.chains").alias("remove"), error.alias("rule_error"))
+
+
+def rule_errors(rules: DataFrame) -> DataFrame:
+    """``key, error`` of the rules that hold a selector the parser does not support."""
+    return tokenised(rules).where(F.col("rule_error").isNotNull()).select("key", F.col("rule_error").alias("error"))
 
 
 def rules_from_json_text(text_df: DataFrame, col: str = "value") -> DataFrame:
@@ -79,7 +105,9 @@ def rules_scan(spark: SparkSession, path: str) -> DataFrame:
         df = rules_from_json_text(spark.read.text(path, wholetext=True))
         df.schema  # resolve now
         return df
-    except Exception:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return rules_from_json_text(spark.createDataFrame([], "value string"))
 
 
@@ -93,19 +121,20 @@ def rules_bundled(spark: SparkSession, path: str) -> DataFrame:
 
 def rules_from_dict(spark: SparkSession, rules: dict) -> DataFrame:
     """Rules given in code (the country rules above) → the same table as a scan."""
-    if len(rules) > MAX_RULE_KEYS:
-        raise ValueError("rules table too large to broadcast")
     return rules_from_json_text(spark.createDataFrame([(json.dumps(rules, ensure_ascii=False),)], "value string"))
 
 
+def _default_chains(selectors: list[str]) -> Column:
+    return F.array(*[chain_literal(c) for s in selectors for c in parse_selector(s)])
+
+
 def with_rules(df: DataFrame, rules: DataFrame, key: str) -> DataFrame:
-    """Attach rules by key with defaults (broadcast: the table is bounded by its file)."""
-    r = F.broadcast(rules.withColumnRenamed("key", key))
-    out = df.join(r, on=key, how="left")
+    """Attach rules, tokenised beforehand, by key with defaults. No strategy is forced: a small
+    rules table is broadcast on its measured size, a large one joins by shuffle."""
+    out = df.join(tokenised(rules).withColumnRenamed("key", key), on=key, how="left")
     return (out
             .withColumn("content_type", F.coalesce(F.col("content_type"), F.lit(DEFAULT_CONTENT_TYPE)))
             .withColumn("selectors_sel", F.coalesce(F.col("selectors_sel"), F.array(*[F.lit(s) for s in DEFAULT_SELECTORS])))
             .withColumn("remove_sel", F.coalesce(F.col("remove_sel"), F.array(*[F.lit(s) for s in DEFAULT_REMOVE])))
-            .withColumn("container", F.when(F.col("container_sel").isNotNull(), selector_chain(F.col("container_sel"))))
-            .withColumn("selectors", _chains(F.col("selectors_sel")))
-            .withColumn("remove", _chains(F.col("remove_sel"))))
+            .withColumn("selectors", F.coalesce(F.col("selectors"), _default_chains(DEFAULT_SELECTORS)))
+            .withColumn("remove", F.coalesce(F.col("remove"), _default_chains(DEFAULT_REMOVE))))

@@ -33,7 +33,7 @@ def _history_urls(spark: SparkSession, root: str, before: int) -> DataFrame:
     try:
         h = spark.read.schema("url string, batch bigint").parquet(root)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
+        if e.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], "url string")
         raise
     return h.where(F.col("batch") < before).select("url")
@@ -43,16 +43,15 @@ def process_batch(batch: DataFrame, batch_id: int, history_root: str, outbox_roo
                   summariser: C.Summariser | None = None) -> None:
     """One micro-batch: novelty against earlier batches, outbox, history partition."""
     spark = batch.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     cols = batch.columns
     news = H.novelty(batch, _history_urls(spark, history_root, batch_id))
     if summariser is not None and "content" in cols:
         news = news.withColumn("resumen", C.summary_fallback(summariser(F.col("content"), F.col("titulo")), F.col("titulo")))
-    order = [c for c in ("source_rank", "item_pos") if c in news.columns]
+    order = [c for c in H.ORDER if c in news.columns]
     first_seen = H.keep_first(news, "url", order or ["titulo"]).withColumn("batch", F.lit(batch_id).cast("bigint"))
-    first_seen.write.mode("overwrite").partitionBy("batch").parquet(history_root)
+    first_seen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(history_root)
     N.outbox(news, batch_id=batch_id).withColumn("batch", F.lit(batch_id).cast("bigint")) \
-        .write.mode("overwrite").partitionBy("batch").parquet(outbox_root)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(outbox_root)
 
 
 def start(spark: SparkSession, source_dir: str, schema: T.StructType, history_root: str, outbox_root: str,
