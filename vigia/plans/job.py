@@ -1,13 +1,13 @@
 """The alert job end to end (collect → novelty → enrich → outbox → merge) and the flagship query.
 
 Stage order follows the reference: novelty is decided before the costly steps, so only new
-pages are shredded, extracted and summarised. Everything is one lazy plan per output; the
-history write is the only side effect and goes to a new version folder.
+pages are shredded for their content, extracted and summarised. The enriched new alerts are
+written once to shared storage; outbox, merge and counters all read that one table.
 """
 
 from __future__ import annotations
 
-import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,40 +20,87 @@ from ..operators import history as H
 from ..operators import notify as N
 from ..operators import profiles as PR
 from ..operators.select import html_content
-from ..operators.shred import shred
+from ..operators.shred import shred, spread
+from ..session import checkpoint_dir
+from ..sources import feeds as FD
 from ..sources import history as HS
 from ..sources import rules as RU
 from .standins import PAGE_RULES, T
 
 KEEP = ["categoria", "categoria_rank"]
+# Sources that lose one category when a page fails; the others lose everything.
+CATEGORY_SCOPED = ["argentina", "bolivia", "costarica"]
 
 
-def collect(listing_pages: DataFrame, run_year: int, parity: bool = False) -> tuple[DataFrame, DataFrame]:
-    """U-1 + E8: fetched listing pages (source_id, page_id, categoria, categoria_rank, status, html) →
-    (alerts of all card/table sources in one schema, quarantined rows).
+def with_scope(df: DataFrame) -> DataFrame:
+    """What a failure takes down with it, in parity mode: the source, or one of its categories."""
+    return df.withColumn("scope", F.when(F.col("source_id").isin(CATEGORY_SCOPED), F.concat_ws("/", "source_id", "categoria"))
+                         .otherwise(F.col("source_id")))
 
-    Pages are gated on status, shredded once, and each profile reads its own pages (the source
-    is a column). Feeds (Peru, Chile) come through :func:`feeds` instead.
-    """
-    pages = E.status_gate(listing_pages)
-    rows = shred(pages.select("page_id", "html", "source_id", *KEEP), keep=["source_id", *KEEP])
+
+def feeds(feed_docs: DataFrame, detail_pages: DataFrame, partitions: int | None = None) -> DataFrame:
+    """S1 + D1 + S6 + J2 + P1: fetched feeds of Peru and Chile (source_id, page_id, categoria,
+    categoria_rank, xml) as alerts; Peru's items get their detail page (url, page_id, html). A
+    detail page fetched twice counts once."""
+    keep = ["page_id", *KEEP]
+    rows = shred(detail_pages.select("page_id", "html", "url"), keep=["url"], partitions=partitions)
+    details = C.one_per_key(PR.detail_fields(rows).select("url", "page_id", "motivo", "producto", "pdf"), "url")
+
+    def items(source: str) -> DataFrame:
+        return FD.with_feed_date(FD.feed_items(feed_docs.where(F.col("source_id") == source), keep=keep), source)
+
+    peru = PR.feed_with_detail(items("peru"), details)
+    return PR.feed_alerts(peru, "peru").unionByName(PR.feed_alerts(items("chile"), "chile"))
+
+
+def collect(listing_pages: DataFrame, feed_docs: DataFrame, detail_pages: DataFrame, run_year: int, *, parity: bool = False,
+            mexico_top_n: int | None = None, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """U-1 + E8: fetched pages and feeds (source_id, page_id, categoria, categoria_rank, status, html
+    or xml) → (alerts of all eight sources in one schema, quarantined rows).
+
+    Each profile shreds its own pages only, so every page is parsed once. A failed fetch or an
+    unreadable page is a fatal row of its scope: quarantined, and in parity mode the scope's
+    alerts go too."""
+    key = ["source_id", "page_id", *KEEP]
+    pages, docs = E.http_failure(listing_pages), E.http_failure(feed_docs)
+    good_pages, good_details = pages.where(F.col("fatal").isNull()), E.status_gate(detail_pages)
     by = {
-        "brasil": lambda r: PR.cards_brasil(r),
-        "colombia": lambda r: PR.cards_colombia(r),
-        "mexico": lambda r: PR.cards_mexico(r),
-        "argentina": lambda r: PR.cards_argentina(r),
+        "brasil": PR.cards_brasil,
+        "colombia": PR.cards_colombia,
+        "mexico": lambda r: PR.cards_mexico(r, top_n=mexico_top_n),
+        "argentina": PR.cards_argentina,
         "bolivia": lambda r: PR.rows_bolivia(r, run_year),
         "costarica": lambda r: PR.rows_costarica(r, run_year),
     }
-    outs = [fn(rows.where(F.col("source_id") == sid).drop("source_id")) for sid, fn in by.items()]
-    alerts = outs[0]
-    for o in outs[1:]:
-        alerts = alerts.unionByName(o, allowMissingColumns=True)
-    good = E.apply_error_policy(alerts, ["source_id"], parity=parity)
-    bad = alerts.where(F.col("fatal").isNotNull())
+    alerts = feeds(docs.where(F.col("fatal").isNull()), good_details, partitions)
+    failures = pages.where(F.col("fatal").isNotNull()).select(*key, "fatal").unionByName(docs.where(F.col("fatal").isNotNull()).select(*key, "fatal"))
+    for sid, profile in by.items():
+        mine = good_pages.where(F.col("source_id") == sid).select("page_id", "html", *KEEP)
+        rows = shred(mine, keep=KEEP, partitions=partitions)
+        alerts = alerts.unionByName(profile(rows), allowMissingColumns=True)
+        broken = rows.where((F.col("kind") == "doc") & F.col("text").isNotNull())
+        failures = failures.unionByName(broken.select(F.lit(sid).alias("source_id"), "page_id", *KEEP, F.col("text").alias("fatal")))
+    alerts, failures = with_scope(alerts), with_scope(failures)
+    good = E.apply_error_policy(alerts, ["scope"], parity=parity, failures=failures).drop("scope")
+    bad = alerts.where(F.col("fatal").isNotNull()).unionByName(failures, allowMissingColumns=True).drop("scope")
     return good, bad
 
 
+def content_table(routed: DataFrame, web_pages: DataFrame, doc_pages: DataFrame, rules: DataFrame,
+                  max_pages: int | None = None, partitions: int | None = None) -> DataFrame:
+    """``content_key, content`` for routed alerts (P6): web pages (url, html) under their
+    country's rules, documents (url, page_no, text) by their pages. One row a key, however often
+    a page was fetched."""
+    want = routed.where(F.col("content_type") == "html").select(F.col("content_key").alias("url"), "pais").distinct()
+    fetched = C.one_per_key(web_pages.select("url", "html"), "url").join(want, "url")
+    # an address may serve two countries: its rows are told apart by both
+    fetched = fetched.select(F.to_json(F.array("url", "pais")).alias("page_id"), "url", "html", "pais")
+    rows = RU.with_rules(shred(fetched, keep=["url", "pais"], partitions=partitions), rules, "pais")
+    web = html_content(rows, "page_id", keep=["url", "pais"]).select(F.col("url").alias("content_key"), "content")
+    docs = C.doc_first_pages(doc_pages.select("url", "page_no", "text").distinct(), "url", "page_no", "text", max_pages)
+    return C.one_per_key(web.unionByName(docs.withColumnRenamed("url", "content_key")).where("content is not null"), "content_key")
+
+
 @dataclass
 class RunResult:
     news: DataFrame
@@ -62,27 +109,35 @@ class RunResult:
     counters: DataFrame
 
 
-def run(candidates: DataFrame, history: DataFrame, content: DataFrame, rules: DataFrame,
-        batch_id: str = "0", silent: bool = False, summariser: C.Summariser = C.default_summariser) -> RunResult:
-    """J1 → P6/J3 → J4/P9 → K2 → A8, all lazy."""
+def run(candidates: DataFrame, history: DataFrame, web_pages: DataFrame, doc_pages: DataFrame, rules: DataFrame, *,
+        batch_id: str = "0", silent: bool = False, summariser: C.Summariser = C.default_summariser,
+        max_pages: int | None = None, partitions: int | None = None) -> RunResult:
+    """J1 → P6/J3 → U3/J4/P9 → K2 → A8. The enriched new alerts are computed once, into the shared
+    folder: the summary a message carries is the one that history stores, also for a model."""
+    spark = candidates.sparkSession
     news = H.novelty(candidates, history)
     routed = C.content_route(RU.with_rules(news, rules, "pais")).drop(
-        "container_sel", "selectors_sel", "remove_sel", "note", "container", "selectors", "remove")
-    enriched = C.enrich(routed, content, summariser)
+        "container_sel", "selectors_sel", "remove_sel", "note", "container", "selectors", "remove", "rule_error")
+    content = content_table(routed, web_pages, doc_pages, rules, max_pages, partitions)
+    path = f"{checkpoint_dir(spark)}/vigia-job/news-{uuid.uuid4().hex}"
+    C.enrich(routed, content, summariser).write.parquet(path)
+    enriched = spark.read.parquet(path)
     out = N.outbox(enriched, batch_id=batch_id, silent=silent)
     merged = H.merge_history(HS.backfill(history), enriched.drop("content", "content_key", "content_type"))
-    counters = H.run_counters(history, candidates, news, merged, enriched)
+    counters = H.run_counters(history, candidates, enriched, merged, enriched)
     return RunResult(enriched, out, merged, counters)
 
 
-def persist_history(merged: DataFrame, root: str) -> str:
-    """K1: write the merged history as a new version (never overwrite what is being read)."""
-    return HS.write_history_version(merged, root)
+def persist_history(result: RunResult, root: str) -> str | None:
+    """K1: write the merged history as a new version, only when the run found something new."""
+    if not result.news.limit(1).count():
+        return None
+    return HS.write_history_version(HS.conform(result.merged), root)
 
 
 # ------------------------------------------------------------------------------ flagship
 
-def flagship(spark: SparkSession, sf: str) -> DataFrame:
+def flagship(spark: SparkSession, sf: str, summariser: C.Summariser = C.default_summariser) -> DataFrame:
     """Minimum slice (web pages as alerts): pages already in history (every third page id) are
     left out first, so only new pages are shredded; their content follows the per-language rules,
     the summary is the lead words of the content with the page title as fallback, and each new
@@ -91,11 +146,11 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     history = pages.where(F.col("page_id") % 3 == 0).select("url")
     news = H.novelty(pages, history).drop("resumen")
     news = news.withColumn("lang", F.regexp_extract("url", r"/([a-z]{2})/", 1))
-    rows = RU.with_rules(shred(news, keep=["url", "lang"]), RU.rules_bundled(spark, PAGE_RULES), "lang")
+    rows = RU.with_rules(shred(news, keep=["url", "lang"], partitions=spread(pages)), RU.rules_bundled(spark, PAGE_RULES), "lang")
     text = html_content(rows, "page_id", keep=["url", "lang"], title_selector="title")
     alerts = text.select(
         "url", F.lit(None).cast("string").alias("pdf"), "titulo", F.col("lang").alias("fecha"),
         F.lit("Web").alias("pais"), host_of("url").alias("institucion"),
-        C.summary_fallback(F.when(F.col("content").isNotNull(), C.default_summariser(F.col("content"), F.col("titulo"))),
+        C.summary_fallback(F.when(F.col("content").isNotNull(), summariser(F.col("content"), F.col("titulo"))),
                            F.col("titulo")).alias("resumen"))
     return N.outbox(alerts, batch_id=0)

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from ..functions.text import WS_CLASS
 from ..operators.notify import DEFAULT_FLAG, FLAGS
-from ..sources.catalogue import TEMPLATES
 from .standins import (CATALOGUE_YEAR, COUNTRIES, DAY_CUTOFF, DETAIL_BASE, FEED_ITEMS, MIN_DATE, MONTHS_ES,
                        PAGE_CARDS, RUN_YEAR, SELECTION, TABLE_ROWS)
 
@@ -112,10 +111,38 @@ def _url_forms() -> str:
 
 
 def _catalogue() -> str:
-    vals = ", ".join(f"('{s}', {r}, '{t}')" for s, r, t, _ in TEMPLATES)
-    return f"""SELECT s.source_id, CAST(s.source_rank AS INTEGER) AS source_rank, n.n_name AS categoria, n.n_nationkey AS categoria_rank,
-        1 AS page, replace(replace(replace(s.template, '{{slug}}', replace(lower(n.n_name), '_', '-')), '{{page}}', '1'), '{{year}}', '{CATALOGUE_YEAR}') AS url
-        FROM nation n CROSS JOIN (VALUES {vals}) s(source_id, source_rank, template)"""
+    y, mx, ar = CATALOGUE_YEAR, "https://www.gob.mx/cofepris/documentos/alertas-sanitarias-de-", "https://www.argentina.gob.ar/anmat/alertas/"
+    cr = "https://www.ministeriodesalud.go.cr/index.php/biblioteca-de-archivos-left/documentos-ministerio-de-salud/alertas-sanitarias/"
+    cl = "https://www.ispch.gob.cl/categorias-alertas/"
+    bo = "https://apiwww.agemed.gob.bo/api/web/"
+    # The 21 listing addresses, written out apart from the operator's table.
+    rows = [
+        ("peru", 1, "NULL", 1, "https://www.digemid.minsa.gob.pe/webDigemid/publicaciones/alertas-modificaciones/feed/?paged=1"),
+        ("chile", 2, "'Alerta Medicamentos'", 1, f"{cl}anamed/feed/"),
+        ("chile", 2, "'Alerta Dispositivos Medicos'", 2, f"{cl}dispositivos-medicos/feed/"),
+        ("chile", 2, "'Alerta Desinfectantes'", 3, f"{cl}desinfectantes-y-sanitizantes/feed/"),
+        ("brasil", 3, "NULL", 1, "https://antigo.anvisa.gov.br/alertas"),
+        ("colombia", 4, "NULL", 1, "https://app.invima.gov.co/alertas/alertas-sanitarias-general?field_tipo_de_documento_value=2&field_a_o_value=1"),
+        ("mexico", 5, "'Dispositivos Médicos'", 1, f"{mx}dispositivos-medicos"),
+        ("mexico", 5, "'Medicamentos'", 2, f"{mx}medicamentos"),
+        ("mexico", 5, "'Alimentos'", 3, f"{mx}alimentos"),
+        ("mexico", 5, "'Bebidas Alcoholicas'", 4, f"{mx}bebidas-alcoholicas"),
+        ("mexico", 5, "'Suplementos Alimenticios'", 5, f"{mx}suplementos-alimenticios"),
+        ("argentina", 6, "'Medicamentos'", 1, f"{ar}medicamentos/noticias"),
+        ("argentina", 6, "'Alimentos'", 2, f"{ar}alimentos/noticias"),
+        ("argentina", 6, "'Productos Médicos'", 3, f"{ar}productosmedicos/noticias"),
+        ("argentina", 6, "'Cosmeticos'", 4, f"{ar}cosmeticos/noticias"),
+        ("argentina", 6, "'Domisanitarios'", 5, f"{ar}domisanitarios/noticias"),
+        ("bolivia", 7, "'Vigilancia y Control'", 1, f"{bo}vigilanciacontrol%7Ccontenido"),
+        ("bolivia", 7, "'Seguridad (DTU)'", 2, f"{bo}dtu%7Ccontenido"),
+        ("costarica", 8, "'Radiológica'", 1, f"{cr}alertas-radiologicas"),
+        ("costarica", 8, "'Productos Mercado'", 2, f"{cr}alertas-por-productos-en-el-mercado/{y}-advertencias-por-productos-en-el-mercado"),
+        ("costarica", 8, "'Farmacovigilancia'", 3, f"{cr}alertas-farmacovigilancia/advertencias-farmacovigilancia-{y}"),
+    ]
+    vals = ", ".join(f"('{s}', {r}, {c}, {k}, '{u}')" for s, r, c, k, u in rows)
+    return f"""SELECT s.source_id, CAST(s.source_rank AS INTEGER) AS source_rank, s.categoria, CAST(s.categoria_rank AS INTEGER) AS categoria_rank,
+        1 AS page, s.url, d.n_known FROM (VALUES {vals}) s(source_id, source_rank, categoria, categoria_rank, url)
+        LEFT JOIN (SELECT doc_id % 8 + 1 AS source_rank, count(*) AS n_known FROM documents GROUP BY 1) d ON d.source_rank = s.source_rank"""
 
 
 def _union_sources() -> str:
@@ -144,6 +171,7 @@ CR_PREFIX_DOC = f"""CASE doc_id % 5 WHEN 0 THEN (doc_id % 28 + 1) || ' de ' || {
     WHEN 1 THEN (doc_id % 28 + 1) || ' DE ' || upper({lst(MONTHS_ES)}[doc_id % 12 + 1]) || ' de 2024- '
     WHEN 2 THEN (doc_id % 28 + 1) || ' de ' || {lst(MONTHS_ES)}[doc_id % 12 + 1] || ' '
     WHEN 3 THEN (doc_id % 28 + 1) || ' de ' || {lst(MONTHS_ES)}[doc_id % 12 + 1] || '. ' ELSE '' END"""
+# Fixed value: the leading Spanish date of Costa Rica titles.
 CR_PATTERN = r"^\d{1,2}\s+de\s+[a-zA-Záéíóú]+\s+(?:de\s+\d{4})?[.\-]?\s*"
 
 
@@ -200,10 +228,9 @@ ORACLES: dict[str, str] = {
         FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0""",
     "cards_mexico": f"""SELECT o_orderpriority AS categoria, 'https://www.gob.mx/cofepris/documentos/' || o_orderkey || '.pdf' AS url,
         'Alerta ' || o_orderkey AS titulo, {MEXICO_FECHA} AS fecha, 'México' AS pais, 'COFEPRIS' AS institucion
-        FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority, o_orderkey // {PAGE_CARDS} ORDER BY o_orderkey) AS rn FROM orders)
-        WHERE rn <= 10 AND o_orderkey % 11 <> 0""",
+        FROM orders WHERE o_orderkey % 11 <> 0""",
     "topn_per_category": f"""SELECT o_orderpriority AS categoria, count(*) AS n_alertas
-        FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority, o_orderkey // {PAGE_CARDS} ORDER BY o_orderkey) AS rn FROM orders)
+        FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS rn FROM orders)
         WHERE rn <= 10 AND o_orderkey % 11 <> 0 GROUP BY 1""",
     "cards_argentina": f"""SELECT o_orderpriority AS categoria, 'https://www.argentina.gob.ar/anmat/alertas/' || o_orderkey AS url,
         CASE WHEN o_orderkey % 11 = 0 THEN 'Sin título' ELSE 'Alerta ' || o_orderkey || '&retiro' END AS titulo,
@@ -274,8 +301,8 @@ ORACLES: dict[str, str] = {
     "union_sources": _union_sources(),
     # content, summary, notify
     "content_route": f"SELECT doc_id, pais, content_type, content_key FROM {ROUTED}",
-    "enrich": f"""SELECT r.doc_id, CASE WHEN l.doc_id IS NOT NULL THEN coalesce(nullif({strip(lead30('r.text'))}, ''), r.titulo)
-        ELSE r.titulo END AS resumen FROM {ROUTED} r LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON l.doc_id = r.doc_id""",
+    "enrich": f"""SELECT r.doc_id, CASE WHEN r.doc_id % 3 <> 2 THEN coalesce(nullif({strip(lead30('r.text'))}, ''), r.titulo)
+        ELSE r.titulo END AS resumen FROM {ROUTED} r""",
     "summary_fallback": f"""SELECT d.doc_id, CASE WHEN l.toxic = 1 THEN d.source || ' #' || d.doc_id
         WHEN l.quality IS NOT NULL THEN coalesce(nullif({strip(lead30('d.text'))}, ''), d.source || ' #' || d.doc_id)
         ELSE d.source || ' #' || d.doc_id END AS resumen FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
