@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_CHECK
 from vigia.operators import history as H
-from vigia.streaming.incremental import process_batch, start
+from vigia.streaming.incremental import compact, process_batch, start
 
 
 def alerts(spark, lo, hi):
@@ -36,6 +36,14 @@ def test_two_batches_equal_one(spark, scratch):
     n_box = spark.read.parquet(box).count()
     assert n_box == 600 + alerts(spark, 600, 700).count()
 
+    # compacted, the history holds the same rows, and a replay of the last batch changes nothing
+    small = compact(spark, hist, os.path.join(scratch, "hist2"), files=1)
+    assert len([d for d in os.listdir(small) if d.startswith("batch=")]) == 2
+    process_batch(b2, 1, small, os.path.join(scratch, "box2"))
+    assert {(r.url, r.titulo) for r in spark.read.parquet(small).select("url", "titulo").collect()} == batch
+    process_batch(b2.limit(0), 2, small, os.path.join(scratch, "box3"))
+    assert spark.read.parquet(small).count() == 700
+
     # replay of the first batch: same partition rewritten, nothing appended
     process_batch(b1, 0, hist, box)
     assert {(r.url, r.titulo) for r in spark.read.parquet(hist).select("url", "titulo").collect()} == batch

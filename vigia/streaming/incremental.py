@@ -47,11 +47,34 @@ def process_batch(batch: DataFrame, batch_id: int, history_root: str, outbox_roo
     news = H.novelty(batch, _history_urls(spark, history_root, batch_id))
     if summariser is not None and "content" in cols:
         news = news.withColumn("resumen", C.summary_fallback(summariser(F.col("content"), F.col("titulo")), F.col("titulo")))
+    # computed once, with its summaries, then read back for both outputs: a model behind the
+    # summariser answers once, and the message carries what history stores
+    staged = outbox_root.rstrip("/") + "_news"
+    _put(news, staged, batch_id)
+    schema = T.StructType([*news.schema.fields, T.StructField("batch", T.LongType())])
+    news = spark.read.schema(schema).parquet(staged).where(F.col("batch") == batch_id).drop("batch")
     order = [c for c in H.ORDER if c in news.columns]
-    first_seen = H.keep_first(news, "url", order or ["titulo"]).withColumn("batch", F.lit(batch_id).cast("bigint"))
-    first_seen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(history_root)
-    N.outbox(news, batch_id=batch_id).withColumn("batch", F.lit(batch_id).cast("bigint")) \
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(outbox_root)
+    _put(H.keep_first(news, "url", order or ["titulo"]), history_root, batch_id)
+    _put(N.outbox(news, batch_id=batch_id), outbox_root, batch_id)
+
+
+def _put(df: DataFrame, root: str, batch_id: int) -> None:
+    """Write ``df`` as partition ``batch=batch_id`` of ``root``, replacing that partition only."""
+    (df.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(root))
+
+
+def compact(spark: SparkSession, history_root: str, new_root: str, files: int) -> str:
+    """The whole history in two partitions of ``files`` files each (a folder per micro-batch makes
+    planning grow with run time): the last batch, which may be replayed, and all before it. The
+    old root is only read; run it while the stream is stopped, then start on ``new_root``."""
+    h = spark.read.parquet(history_root)
+    last = h.agg(F.max("batch")).first()[0]
+    done, rest = h.where(F.col("batch") < last), h.where(F.col("batch") == last)
+    if done.limit(1).count():
+        _put(done.drop("batch").repartition(files), new_root, last - 1)
+    _put(rest.drop("batch").repartition(files), new_root, last)
+    return new_root
 
 
 def start(spark: SparkSession, source_dir: str, schema: T.StructType, history_root: str, outbox_root: str,
