@@ -184,6 +184,36 @@ def _top(q: np.ndarray, x: np.ndarray, have: np.ndarray, v: np.ndarray, k: int)
     return pa.RecordBatch.from_arrays([pa.array(q[row[ok]]), pa.array(have[col[ok]]), pa.array(score[ok])], ["query_id", "vec_id", "score"])
 
 
+def _merged(found: list[pa.RecordBatch], k: int) -> pa.RecordBatch:
+    """The ``k`` best rows of each query over several finds; a vector found in two lists counts once."""
+    rows = pa.concat_batches(found)
+    q, i, score = (rows.column(c).to_numpy() for c in ("query_id", "vec_id", "score"))
+    by = np.lexsort((i, -score, q))
+    q, i, score = q[by], i[by], score[by]
+    fresh = np.ones(len(q), bool)
+    fresh[1:] = (q[1:] != q[:-1]) | (i[1:] != i[:-1]) | (score[1:] != score[:-1])
+    q, i, score = q[fresh], i[fresh], score[fresh]
+    ok = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return pa.RecordBatch.from_arrays([pa.array(q[ok]), pa.array(i[ok]), pa.array(score[ok])], ["query_id", "vec_id", "score"])
+
+
+def _best_of_task(tiles: Callable, k: int, most: int = 1 << 17) -> Callable:
+    """A task's finds combined before the exchange: each query's ``k`` best over all of the task's
+    tiles. About ``most`` rows are held; beyond that what is there goes out as it is."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for found in tiles(batches):
+            held.append(found)
+            if sum(b.num_rows for b in held) >= most:
+                held = [_merged(held, k)]
+                if held[0].num_rows >= most // 2:
+                    yield held.pop()
+        if held:
+            yield _merged(held, k)
+
+    return run
+
+
 def _score_task(k: int) -> Callable:
     """Rows sorted by (list, block, chunk, kind): a block's vectors, then the queries asked of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +255,7 @@ def _best(postings: DataFrame, asked: DataFrame, k: int, block: int) -> DataFram
     queries = asked.join(sizes, "list").select("list", each("blocks").alias("block"), share("chunks").alias("chunk"), F.lit(1).alias("kind"), "id", "v")
     tile = ["list", "block", "chunk"]
     found = (vectors.unionByName(queries).repartition(*tile).sortWithinPartitions(*tile, "kind")
-             .mapInArrow(_score_task(k), "query_id long, vec_id long, score double").distinct())
+             .mapInArrow(_best_of_task(_score_task(k), k), "query_id long, vec_id long, score double").distinct())
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k)
 
