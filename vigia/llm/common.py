@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from vigia.session import checkpoint_dir
 
-SLICE_BYTES = 1 << 20  # bytes of text worked on at once inside a task
+SLICE_BYTES = 1 << 19  # bytes of text worked on at once inside a task
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

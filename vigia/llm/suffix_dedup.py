@@ -103,37 +103,44 @@ def _flat(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False)
 
 
-def _context_task(length: int, group: int, hot: bool) -> Callable:
+CONTEXT_SCHEMA = ("anchor long, k long, h long, lo int, hi int, p int, single boolean, data binary, w1 long, w2 long")
+
+
+def _context_task(length: int) -> Callable:
     """The bytes of each wanted context, or, of hot anchors, two hashes of each of its windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             body, offs = raw_bytes(batch.column("text"))
             counts = np.diff(batch.column("anchor").offsets.to_numpy())
             text = np.repeat(np.arange(batch.num_rows), counts)
-            anchor, lo, hi, p = (_flat(batch.column(c)) for c in ("anchor", "lo", "hi", "p"))
-            single = _flat(batch.column("single"))
-            pick = pa.array(text)
-            keys = [batch.column("k").take(pick), batch.column("h").take(pick)]
-            if not hot:
-                start, end = offs[text] + lo, offs[text] + hi + length
+            cols = {c: _flat(batch.column(c)) for c in ("anchor", "lo", "hi", "p", "single", "hot")}
+            names = batch.column("k"), batch.column("h")
+
+            def rows(pick: np.ndarray, lo: np.ndarray, hi: np.ndarray, data: pa.Array, w1: pa.Array, w2: pa.Array) -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(cols["anchor"][pick]), *(c.take(pa.array(text[pick])) for c in names), pa.array(lo.astype(np.int32)),
+                     pa.array(hi.astype(np.int32)), pa.array(cols["p"][pick]), pa.array(cols["single"][pick]), data, w1, w2],
+                    ["anchor", "k", "h", "lo", "hi", "p", "single", "data", "w1", "w2"])
+
+            pick = np.flatnonzero(~cols["hot"].astype(bool))
+            if len(pick):
+                start, end = offs[text[pick]] + cols["lo"][pick], offs[text[pick]] + cols["hi"][pick] + length
                 size = end - start
                 at = np.concatenate([[0], np.cumsum(size)])
                 if at[-1] >= 1 << 31:
                     raise ValueError("contexts of one slice exceed 2 GB")
                 src = np.repeat(start - at[:-1], size) + np.arange(at[-1])
-                data = pa.Array.from_buffers(pa.binary(), len(text), [None, pa.py_buffer(at.astype(np.int32).tobytes()), pa.py_buffer(body[src].tobytes())])
-                yield pa.RecordBatch.from_arrays([pa.array(anchor), *keys, pa.array(lo), pa.array(hi), pa.array(p), pa.array(single), data],
-                                                 ["anchor", "k", "h", "lo", "hi", "p", "single", "data"])
-                continue
-            many = hi - lo + 1
-            row = np.repeat(np.arange(len(lo)), many)
-            win = lo[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-            start = offs[text[row]] + win
-            one, two = PolyHash(body), PolyHash(body, BASE2)
-            yield pa.RecordBatch.from_arrays([
-                *(c.take(pa.array(row)) for c in keys), pa.array(win.astype(np.int32)), pa.array(single[row]),
-                pa.array(mix(one.of(start, start + length)).view(np.int64)), pa.array(mix(two.of(start, start + length)).view(np.int64)),
-            ], ["k", "h", "lo", "single", "w1", "w2"])
+                data = pa.Array.from_buffers(pa.binary(), len(pick), [None, pa.py_buffer(at.astype(np.int32).tobytes()), pa.py_buffer(body[src].tobytes())])
+                none = pa.nulls(len(pick), pa.int64())
+                yield rows(pick, cols["lo"][pick], cols["hi"][pick], data, none, none)
+            pick = np.flatnonzero(cols["hot"].astype(bool))
+            if len(pick):
+                many = cols["hi"][pick] - cols["lo"][pick] + 1
+                row = np.repeat(pick, many)
+                win = cols["lo"][row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+                start = offs[text[row]] + win
+                w1, w2 = (pa.array(mix(PolyHash(body, base).of(start, start + length)).view(np.int64)) for base in (0x9E3779B97F4A7C15, BASE2))
+                yield rows(row, win, win, pa.nulls(len(row), pa.binary()), w1, w2)
 
     return run
 
@@ -244,7 +251,7 @@ def _repeated_windows(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
     ], ["k", "h", "lo", "hi"])
 
 
-def _sort_task(length: int, flush: int = 1 << 13) -> Callable:
+def _sort_task(length: int, flush: int = 1 << 11) -> Callable:
     """Rows come sorted by anchor; whole anchors are sorted, about ``flush`` contexts at once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -278,6 +285,7 @@ def _clean_task(length: int) -> Callable:
             body, offs = raw_bytes(batch.column("text"))
             spans = batch.column("spans")
             at, flat = spans.offsets.to_numpy(), _flat(spans).astype(np.int64)
+            at = at - at[0]  # a slice keeps the offsets of its batch
             null = spans.is_null().to_numpy(zero_copy_only=False)
             size, removed, runs, digest = [], [], [], []
             for i in range(batch.num_rows):
@@ -308,7 +316,7 @@ def _spanned(lo: str | F.Column = "lo", hi: str | F.Column = "hi") -> list:
     return ["k", "h", (F.shiftleft(F.col(lo).cast("long"), 32).bitwiseOR(F.col(hi).cast("long"))).alias("span")]
 
 
-def suffix_dedup(docs: DataFrame, *, length: int = 200, gram: int = 48, group: int = 1024) -> DataFrame:
+def suffix_dedup(docs: DataFrame, *, length: int = 200, gram: int = 48, group: int = 8192) -> DataFrame:
     """Per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``.
 
     Every byte covered by a ``length``-byte string that also starts anywhere else (same document
@@ -337,22 +345,16 @@ def suffix_dedup(docs: DataFrame, *, length: int = 200, gram: int = 48, group: i
     repeated = [met.filter("not multi").select(*_spanned()),
                 multi.join(contexts.filter("not single").select("anchor", "ctx"), ["anchor", "ctx"]).select(*_spanned())]
     texts = rows.select("k", "h", "doc_id", "text")
-    keys = "k long, h long, "
-
-    def with_text(which: DataFrame) -> DataFrame:
-        lists = which.groupBy("k", "h").agg(F.collect_list(F.struct("anchor", "lo", "hi", "p", "single")).alias("c"))
-        return texts.join(lists, ["k", "h"]).select("k", "h", "text", *(F.col(f"c.{x}").alias(x) for x in ("anchor", "lo", "hi", "p", "single")))
-
-    bytes_of = with_text(wanted.filter("not hot")).mapInArrow(
-        _context_task(length, group, False), f"anchor long, {keys}lo int, hi int, p int, single boolean, data binary")
-    repeated.append(bytes_of.repartition("anchor").sortWithinPartitions("anchor")
-                    .mapInArrow(_sort_task(length), f"{keys}lo int, hi int").select(*_spanned()))
-    if size.filter(F.col("c") > group).limit(1).count():
-        windows = with_text(wanted.filter("hot")).mapInArrow(
-            _context_task(length, group, True), f"{keys}lo int, single boolean, w1 long, w2 long")
-        windows = written(windows, "suffix-windows")
-        twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").select("w1", "w2")
-        repeated.append(windows.filter("single").join(twice, ["w1", "w2"]).select(*_spanned("lo", "lo")))
+    fields = ["anchor", "lo", "hi", "p", "single", "hot"]
+    lists = wanted.groupBy("k", "h").agg(F.collect_list(F.struct(*fields)).alias("c"))
+    held = written(texts.join(lists, ["k", "h"]).select("k", "h", "text", *(F.col(f"c.{x}").alias(x) for x in fields))
+                   .mapInArrow(_context_task(length), CONTEXT_SCHEMA), "suffix-bytes")
+
+    cold = held.filter("w1 is null").drop("w1", "w2").repartition("anchor").sortWithinPartitions("anchor")
+    repeated.append(cold.mapInArrow(_sort_task(length), "k long, h long, lo int, hi int").select(*_spanned()))
+    windows = held.filter("w1 is not null").select("k", "h", "lo", "single", "w1", "w2")
+    twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").select("w1", "w2")
+    repeated.append(windows.filter("single").join(twice, ["w1", "w2"]).select(*_spanned("lo", "lo")))
 
     spans = repeated[0]
     for more in repeated[1:]:
