@@ -107,3 +107,12 @@ def test_connected_long_path_and_star(spark):
     df = spark.createDataFrame([((a, 0), (b, 0)) for a, b in edges], "x struct<a:long,b:long>, y struct<a:long,b:long>")
     got = {r.x.a: r.label.a for r in connected(df, "test").collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 90 for i in list(range(90, 95)) + list(range(100, 131))}}
+
+
+def test_connected_long_path_of_shuffled_ids(spark):
+    ids = list(range(2000))
+    random.Random(2).shuffle(ids)
+    edges = [((a, 0), (b, 0)) for a, b in zip(ids, ids[1:])] + [((5000, 0), (5000, 0)), ((5001, 0), (5002, 0))]
+    df = spark.createDataFrame(edges, "x struct<a:long,b:long>, y struct<a:long,b:long>")
+    got = {r.x.a: r.label.a for r in connected(df, "test").collect()}
+    assert got == {**{i: 0 for i in ids}, 5000: 5000, 5001: 5001, 5002: 5001}

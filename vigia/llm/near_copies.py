@@ -10,7 +10,7 @@ Each candidate pair belongs to one tile: that of the first band it shares. A fir
 signatures only, finds the nodes with pairs in a tile; their texts then meet there and every pair
 is verified. A band of many nodes is split into blocks, two a tile, so a task holds a bounded
 number of texts. Pairs are never written out: a tile returns each node's links counted and the
-root of its local component. Components join by label propagation with pointer jumping.
+root of its local component. Components join by contraction in a random order of the nodes.
 """
 
 from __future__ import annotations
@@ -233,24 +233,34 @@ def _verify_task(n: int, similarity: float) -> Callable:
 
 # ---- classes -------------------------------------------------------------------------------
 
-def connected(edges: DataFrame, name: str, rounds: int = 60) -> DataFrame:
+def connected(edges: DataFrame, name: str) -> DataFrame:
     """Component label (least node) of each node of ``edges`` (x, y): ``x, label``.
 
-    Each round every node takes the least label around it, then the label of that label; the
-    rounds needed grow with the logarithm of the longest path, and each ends in shared storage.
+    By contraction: each round orders the nodes anew by a hash, every node goes to the least of
+    itself and its neighbours, and the edges between the nodes gone to are the next round's. No
+    node goes to the last one of a component, so rounds end, when no edge is left; an expected
+    constant share of the nodes goes each round, however ids lie along a path, so rounds grow with
+    the logarithm of the nodes and all of them write a few times the edges. Then the places nodes
+    went to are followed back, from the last round to the first.
     """
     both = written(edges.select("x", "y").union(edges.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), f"{name}-edges")
-    label = written(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("label")), f"{name}-labels")
-    for _ in range(rounds):
-        near = both.join(label.select(F.col("x").alias("y"), "label"), "y").groupBy("x").agg(F.min("label").alias("near"))
-        step = label.join(near, "x").select("x", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = label.select(F.col("x").alias("label"), F.col("label").alias("top"))
-        step = step.join(jump, "label", "left").select("x", "old", F.least("label", F.coalesce("top", "label")).alias("label"))
-        step = written(step, f"{name}-labels")
-        label = step.select("x", "label")
-        if not step.filter(F.col("old") != F.col("label")).limit(1).count():
-            break
-    return label
+    every, went = both.select("x").distinct(), []
+    both = both.filter("x <> y")
+    while both.limit(1).count():
+        x, y = (F.struct(F.xxhash64(c, F.lit(len(went))).alias("order"), F.col(c).alias("node")) for c in ("x", "y"))
+        to = written(both.groupBy("x").agg(F.min(y).alias("near")).select("x", F.least("near", x)["node"].alias("to")), f"{name}-went")
+        went.append(to)
+        both = both.join(to, "x").select("y", F.col("to").alias("x"))
+        both = both.join(to.select(F.col("x").alias("y"), F.col("to").alias("z")), "y").filter("x <> z").select("x", F.col("z").alias("y"))
+        both = written(both.distinct(), f"{name}-edges")
+    end = every.select("x", F.col("x").alias("end"))
+    if went:
+        end = went.pop().withColumnRenamed("to", "end")
+        for to in reversed(went):
+            end = to.join(end.withColumnRenamed("x", "to"), "to", "left").select("x", F.coalesce("end", "to").alias("end"))
+            end = written(end, f"{name}-ends")
+        end = written(every.join(end, "x", "left").select("x", F.coalesce("end", "x").alias("end")), f"{name}-ends")
+    return end.join(end.groupBy("end").agg(F.min("x").alias("label")), "end").select("x", "label")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
