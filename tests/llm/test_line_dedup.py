@@ -55,3 +55,40 @@ def test_sql_on_the_whole_table(spark):
 
 def test_empty_table(spark):
     assert line_dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def brute_by_words(rows, n, line_words, whole):
+    """``rows`` in corpus order: lines that go of each by the rule of runs, of long lines and of whole documents."""
+    filled = [[line for line in (t or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", line)] for _, t in rows]
+    runs, lines, texts, out = set(), set(), set(), []
+    for (d, _), own in zip(rows, filled):
+        gone = set()
+        for j, line in enumerate(own):
+            run = tuple(own[j:j + n])
+            if len(run) == n and run in runs:
+                gone |= set(range(j, j + n))
+            if line in lines and len(re.findall(r"[^\x20\x09-\x0D]+", line)) >= line_words:
+                gone.add(j)
+            runs.add(run)
+            lines.add(line)
+        if whole and tuple(own) in texts:
+            gone = set(range(len(own)))
+        texts.add(tuple(own))
+        out.append((d, len(gone), sum(j - 1 not in gone for j in gone), "\n".join(x for j, x in enumerate(own) if j not in gone)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("n,whole", [(2, True), (3, True), (3, False)])
+def test_long_lines_and_whole_documents(spark, n, whole):
+    r = random.Random(n)
+    paragraph = " ".join(f"w{i}" for i in range(50))
+    pool = [f"line {i}" for i in range(200)] + [paragraph, "  " + paragraph[4:] + "\t", paragraph.replace(" ", "\t\t"), "é"]
+    rows = [(i, "\n".join(r.choice(pool) for _ in range(r.randint(0, 12)))) for i in range(60)]
+    rows += [(100, f"before\n{paragraph}\nafter"), (101, f"other\n{paragraph}\nneighbours"), (102, "one line"), (103, "one line"), (104, "one line\n\n "),
+             (105, "two\nlines"), (106, "two\nlines"), (107, "one line\nand more"), (108, paragraph), (108, paragraph), (109, "short"), (109, "short"), (110, None), (111, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = line_dedup(df, min_lines=n, line_words=50, whole_documents=whole).collect()
+    kept = lambda t: "\n".join(x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x))
+    assert sorted(((g.doc_id, g.n_removed, g.n_runs, kept(g.kept)) for g in got), key=repr) == brute_by_words(rows, n, 50, whole)
+    removed = {g.doc_id: g.n_removed for g in got}
+    assert removed[101] == 1 and removed[103] == removed[104] == whole and removed[107] == 0

@@ -39,23 +39,38 @@ def _filled(body: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return solid[end] > solid[start]
 
 
-def _lines_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        body, offs = raw_bytes(batch.column("text"))
-        if not batch.num_rows:
-            continue
-        spans = [_lines(body, a, b) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())]
-        text = np.repeat(np.arange(len(spans)), [len(s) for s, _ in spans])
-        start, end = (np.concatenate(x) for x in zip(*spans))
-        keep = _filled(body, start, end)
-        text, start, end = text[keep], start[keep], end[keep]
-        first = np.searchsorted(text, np.arange(len(spans)))
-        one, two = PolyHash(body), PolyHash(body, 0xD6E8FEB86659FD93)
-        size = (end - start).astype(np.uint64)
-        pick = pa.array(text)
-        yield pa.RecordBatch.from_arrays([
-            batch.column("k").take(pick), batch.column("h").take(pick), pa.array((np.arange(len(text)) - first[text]).astype(np.int32)),
-            pa.array(mix(one.of(start, end)).view(np.int64)), pa.array(mix(two.of(start, end) ^ size).view(np.int64))], ["k", "h", "i", "l1", "l2"])
+def _long(body: np.ndarray, start: np.ndarray, end: np.ndarray, line_words: int | None) -> np.ndarray:
+    """Which of the given lines, none empty, have at least ``line_words`` words."""
+    if line_words is None or not len(start):
+        return np.zeros(len(start), bool)
+    begins = ~_BLANK[body]
+    begins[1:] &= _BLANK[body[:-1]]
+    begins[start] = ~_BLANK[body[start]]
+    upto = np.concatenate([[0], np.cumsum(begins)])
+    return upto[end] - upto[start] >= line_words
+
+
+def _lines_task(line_words: int | None) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            body, offs = raw_bytes(batch.column("text"))
+            if not batch.num_rows:
+                continue
+            spans = [_lines(body, a, b) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())]
+            text = np.repeat(np.arange(len(spans)), [len(s) for s, _ in spans])
+            start, end = (np.concatenate(x) for x in zip(*spans))
+            keep = _filled(body, start, end)
+            text, start, end = text[keep], start[keep], end[keep]
+            first = np.searchsorted(text, np.arange(len(spans)))
+            one, two = PolyHash(body), PolyHash(body, 0xD6E8FEB86659FD93)
+            size = (end - start).astype(np.uint64)
+            pick = pa.array(text)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("k").take(pick), batch.column("h").take(pick), pa.array((np.arange(len(text)) - first[text]).astype(np.int32)),
+                pa.array(mix(one.of(start, end)).view(np.int64)), pa.array(mix(two.of(start, end) ^ size).view(np.int64)),
+                pa.array(_long(body, start, end, line_words))], ["k", "h", "i", "l1", "l2", "long"])
+
+    return run
 
 
 def _named(rows: DataFrame, key: list[str], name: str) -> DataFrame:
@@ -65,20 +80,32 @@ def _named(rows: DataFrame, key: list[str], name: str) -> DataFrame:
     return written(rows.join(groups, key).select("p", F.col("least").alias("name")), name)
 
 
-def repeated_lines(texts: DataFrame, min_lines: int) -> DataFrame:
+def repeated_lines(texts: DataFrame, min_lines: int, line_words: int | None = None, whole_documents: bool = False) -> DataFrame:
     """``k, h, i``: the lines (i-th non-blank of text k, h) that some later copy covers."""
-    lines = texts.select("k", "h", "text").mapInArrow(_lines_task, "k long, h long, i int, l1 long, l2 long").distinct()
-    lines = written(lines.select(F.struct("k", "h", "i").alias("p"), "l1", "l2"), "line-ids")
+    lines = texts.select("k", "h", "text").mapInArrow(_lines_task(line_words), "k long, h long, i int, l1 long, l2 long, long boolean").distinct()
+    lines = written(lines.select(F.struct("k", "h", "i").alias("p"), "l1", "l2", *["long"] * (line_words is not None)), "line-ids")
     names, w = _named(lines, ["l1", "l2"], "line-names"), 1
+    more = []
+    if line_words is not None:
+        more.append(names.filter("name < p").join(lines.filter("long").select("p"), "p", "left_semi").select("p.*"))
+    if whole_documents:  # a text of min_lines lines or more is a run; of a shorter one all lines count as one
+        few = lines.groupBy("p.k", "p.h").agg(F.max("p.i").alias("last")).filter(F.col("last") < min_lines - 1)
+        short = lines.select("p.*", "l1", "l2").join(few, ["k", "h"]).groupBy("k", "h", "last").agg(
+            F.sort_array(F.collect_list(F.struct("i", "l1", "l2"))).alias("lines"))
+        short = written(short.select(F.struct("k", "h", F.col("last").alias("i")).alias("p"), "lines"), "line-documents")
+        copies = _named(short, ["lines"], "line-document-names").filter("name < p")
+        more.append(copies.select("p.k", "p.h", F.explode(F.sequence(F.lit(0), F.col("p.i"))).alias("i")))
     while w < min_lines:
         step = min(w, min_lines - w)
         ahead = names.select(F.struct(F.col("p.k"), F.col("p.h"), (F.col("p.i") - step).alias("i")).alias("p"), F.col("name").alias("next"))
         names, w = _named(names.join(ahead, "p"), ["name", "next"], "line-names"), w + step
     later = names.filter("name < p").select("p.k", "p.h", F.explode(F.sequence(F.col("p.i"), F.col("p.i") + (min_lines - 1))).alias("i"))
+    for rows in more:
+        later = later.union(rows)
     return later.distinct()
 
 
-def _clean_task(min_lines: int) -> Callable:
+def _clean_task(min_lines: int, line_words: int | None, whole_documents: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             body, offs = raw_bytes(batch.column("text"))
@@ -89,7 +116,7 @@ def _clean_task(min_lines: int) -> Callable:
                 filled = np.flatnonzero(_filled(body[offs[i]:offs[i + 1]], start - offs[i], end - offs[i]))
                 out = np.zeros(len(filled), bool)
                 if again[i]:  # a row equal in id and text to one before it: all its runs are later copies
-                    out[:] = len(filled) >= min_lines
+                    out[:] = whole_documents or len(filled) >= min_lines or _long(body, start[filled], end[filled], line_words)
                 elif gone[i]:
                     out[gone[i]] = True
                 keep = np.ones(len(start), bool)
@@ -106,23 +133,28 @@ def _clean_task(min_lines: int) -> Callable:
     return run
 
 
-def line_dedup(docs: DataFrame, *, min_lines: int = 2) -> DataFrame:
+def line_dedup(docs: DataFrame, *, min_lines: int = 2, line_words: int | None = None, whole_documents: bool = False) -> DataFrame:
     """Per document: ``doc_id, n_lines, n_removed, n_runs, kept, kept_md5`` (``kept`` is the text left).
 
     Lines end at line feeds; blank lines count for nothing and always stay. A non-blank line goes
     if it lies in ``min_lines`` consecutive non-blank lines that also occur, the same, at an
     earlier position (by doc_id, null first, then text hash, then line), within the document or
-    before it; earlier and later copy may overlap. Null and empty texts keep their (no) lines; of
+    before it; earlier and later copy may overlap. With ``line_words`` a single line of at least so
+    many words goes too where the same line occurs earlier, and with ``whole_documents`` all lines
+    of a document whose non-blank lines are, all together, those of an earlier one, however few
+    and short; without them (as in the registered query, whose SQL fixes the rule) such a line
+    stays between lines that do not repeat, and a copy of fewer than ``min_lines`` lines stays
+    whole. Null and empty texts keep their (no) lines; of
     rows equal in ``doc_id`` and text the first is the earlier copy. An empty table gives no
     rows. Only ``doc_id`` and ``text`` are read.
     """
     doc_id = F.col("doc_id").cast("long")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     texts = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(-(1 << 63))).alias("k"), F.xxhash64(text, doc_id.isNull()).alias("h"), text.alias("text"))
-    gone = repeated_lines(texts, min_lines).groupBy("k", "h").agg(F.collect_list("i").alias("gone"))
+    gone = repeated_lines(texts, min_lines, line_words, whole_documents).groupBy("k", "h").agg(F.collect_list("i").alias("gone"))
     again = F.row_number().over(Window.partitionBy("k", "h").orderBy("k")) > 1
     return texts.join(gone, ["k", "h"], "left").withColumn("again", again).select("doc_id", "text", "gone", "again").mapInArrow(
-        _clean_task(min_lines), "doc_id long, n_lines long, n_removed long, n_runs long, kept string, kept_md5 string")
+        _clean_task(min_lines, line_words, whole_documents), "doc_id long, n_lines long, n_removed long, n_runs long, kept string, kept_md5 string")
 
 
 #: The query in DuckDB SQL (min_lines = 2; ids are unique and not null in the given tables).
