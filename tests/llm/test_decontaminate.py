@@ -111,3 +111,19 @@ def test_edit_distances():
     item = np.asarray([1, 2, 3, 4], np.uint64)
     there = np.asarray([[9, 1, 2, 3, 4, 9], [1, 3, 4, 9, 9, 9], [1, 2, 7, 3, 4, 9], [9, 9, 9, 9, 9, 9]], np.uint64)
     assert _edit_distances(item, there, np.ones((4, 6), bool)).tolist() == [0, 1, 1, 4]
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 5, 8, 10, 12])
+def test_recall_of_short_items_at_their_limit(spark, n):
+    r = random.Random(n)
+    items = [(k, " ".join(f"i{k}x{j}" for j in range(n))) for k in range(300)]
+    docs = []
+    for k, u in items:
+        w = u.split()
+        for e in range(n // 5):
+            at, kind = r.randrange(len(w)), r.randrange(3)
+            w[at:at + (kind > 0)] = [f"e{k}x{e}"] * (kind < 2)
+        docs.append((k, _text(r, 20, 5000) + " " + " ".join(w) + " " + _text(r, 20, 5000)))
+    got = {tuple(x)[:2] for x in find_benchmark_passages(*frames(spark, docs, items)).collect()}
+    assert got <= {(k, k) for k, _ in items}
+    assert len(got) >= (0.98 if n >= 5 else 1) * len(items)

@@ -6,7 +6,9 @@ A CGK walk embeds a window: at each step it emits the symbol it stands on and mo
 random bit that depends on step and symbol, so that windows a few edits apart emit strings a few
 places apart. A repetition draws its own bits and samples a few steps as a bucket key; a document
 window that shares a key with an item window is a candidate, and the item's whole alignment there
-is verified by exact edit distance.
+is verified by exact edit distance. An item gets as many repetitions as its length needs for the
+target recall, found by trying the walks on random items with edits at the limit. Items too short
+for an edit sample only steps that cannot leave the window, so that one repetition finds them all.
 
 All walks of a text run at once. Walks that meet at the same word in the same step stay
 together, so they are merged as they meet: what is left to walk falls off quickly.
@@ -15,6 +17,7 @@ together, so they are merged as they meet: what is left to walk falls off quickl
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -57,10 +60,54 @@ def size_class(n: int, most: int = 8) -> int:
     return min(most, 1 << (max(n, 1).bit_length() - 1))
 
 
+def _draws(size: int, samples: int, exact: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Seed, sampled steps and their factors of each repetition of a size class."""
+    rng = np.random.default_rng([20_240_607, size, exact])
+    while True:
+        seed = int(rng.integers(1, 2**63))
+        steps = np.arange(size) if exact else np.sort(rng.choice(2 * size, min(samples, 2 * size), replace=False))
+        yield seed, steps, rng.integers(1, 2**63, len(steps)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _trials(n: int, edits: int, size: int, many: int) -> tuple[np.ndarray, np.ndarray]:
+    """Random items of ``n`` words, and each with ``edits`` edits and other words after it (one a row)."""
+    rng = np.random.default_rng([7, n, edits])
+    item = rng.integers(1, 2**63, (many, n)).astype(np.uint64)
+    there = np.zeros((many, n + edits + 2 * size + 1), np.uint64)
+    for k in range(many):
+        w = item[k].tolist()
+        for _ in range(edits):
+            at, kind = int(rng.integers(len(w))), int(rng.integers(3))
+            w[at:at + (kind > 0)] = [int(rng.integers(1, 2**63))] * (kind < 2)
+        there[k, :len(w)] = w
+        there[k, len(w):] = rng.integers(1, 2**63, there.shape[1] - len(w))
+    return np.concatenate([item, np.zeros((many, 2 * size + 1), np.uint64)], axis=1), there
+
+
+@cache
+def repetitions_for(n: int, edits: float, samples: int, recall: float, many: int = 1000) -> int:
+    """Repetitions that find ``recall`` of random items of ``n`` words with as many edits as are allowed."""
+    limit, size = int(edits * n), size_class(n)
+    if not limit:
+        return 1
+    item, there = _trials(n, limit, size, many)
+    for done, (seed, steps, factors) in enumerate(_draws(size, samples, False)):
+        if len(item) <= (1 - recall) * many:
+            return done
+        if done == 2000:
+            raise ValueError(f"no recall of {recall} for items of {n} words with {limit} edits")
+        keys = []
+        for rows, windows in ((item, n - size + 1), (there, there.shape[1] - 2 * size)):
+            pad = np.zeros(2 * size + 1, np.uint64)
+            keys.append(_walk(np.concatenate([rows.ravel(), pad]), rows.size, seed, steps, factors).reshape(rows.shape)[:, :windows])
+        missed = ~(keys[0][:, :, None] == keys[1][:, None, :]).any(axis=(1, 2))
+        item, there = item[missed], there[missed]
+
+
 class ItemIndex:
     """Bucket keys of all windows of a block of items, for each repetition and size class."""
 
-    def __init__(self, items: list[tuple[int | None, str]], repetitions: int, samples: int, edits: float):
+    def __init__(self, items: list[tuple[int | None, str]], repetitions: dict[int, int], samples: int, edits: float):
         texts = pc.utf8_lower(pa.array([t or "" for _, t in items], pa.string()))
         h, first, _, _ = words(texts, alnum=True)
         self.edits = edits
@@ -71,16 +118,16 @@ class ItemIndex:
         for k, x in enumerate(self.symbols):
             self.sieves[k, (x >> np.uint64(52)).astype(np.int64)] = True
         self.tables = []
-        rng = np.random.default_rng(20_240_607)
-        for size in sorted({size_class(len(s)) for s in self.symbols if len(s)}):
-            mine = [k for k, s in enumerate(self.symbols) if len(s) and size_class(len(s)) == size]
+        exact = [int(edits * len(s)) == 0 for s in self.symbols]
+        for size, one in sorted({(size_class(len(s)), e) for s, e in zip(self.symbols, exact) if len(s)}):
+            every = [k for k, s in enumerate(self.symbols) if len(s) and (size_class(len(s)), exact[k]) == (size, one)]
             pad = np.zeros(2 * size + 1, np.uint64)
-            joined = np.concatenate([x for k in mine for x in (self.symbols[k], pad)])
-            starts = np.cumsum([0] + [len(self.symbols[k]) + len(pad) for k in mine])
-            for _ in range(repetitions):
-                seed = int(rng.integers(1, 2**63))
-                steps = np.sort(rng.choice(2 * size, min(samples, 2 * size), replace=False))
-                factors = rng.integers(1, 2**63, len(steps)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+            for done, (seed, steps, factors) in enumerate(_draws(size, samples, one)):
+                mine = [k for k in every if repetitions[len(self.symbols[k])] > done]
+                if not mine:
+                    break
+                joined = np.concatenate([x for k in mine for x in (self.symbols[k], pad)])
+                starts = np.cumsum([0] + [len(self.symbols[k]) + len(pad) for k in mine])
                 keys = _walk(np.concatenate([joined, pad]), len(joined), seed, steps, factors)
                 own = [(keys[starts[j] + o], k, o) for j, k in enumerate(mine) for o in range(len(self.symbols[k]) - size + 1)]
                 own.sort()
@@ -146,7 +193,15 @@ def _edit_distances(item: np.ndarray, there: np.ndarray, inside: np.ndarray) ->
 
 # ---- Spark jobs ----------------------------------------------------------------------------
 
-def _task(items: list, repetitions: int, samples: int, edits: float, keep_clean: bool) -> Callable:
+def _repetitions(items: list, least: int, samples: int, edits: float, recall: float, most: int = 40) -> dict[int, int]:
+    """Repetitions for each length of the items; those of more than ``most`` words, with more
+    windows for the same share of edits, take what ``most`` words take."""
+    first = words(pc.utf8_lower(pa.array([t or "" for _, t in items], pa.string())), alnum=True)[1]
+    sizes = {int(n) for n in np.unique(np.diff(first)) if n}
+    return {n: max(least if int(edits * n) else 1, repetitions_for(min(n, most), edits, samples, recall)) for n in sizes}
+
+
+def _task(items: list, repetitions: dict[int, int], samples: int, edits: float, keep_clean: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = ItemIndex(items, repetitions, samples, edits)
         for batch in slices(batches):
@@ -186,12 +241,13 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list]:
 
 
 def find_benchmark_passages(docs: DataFrame, benchmark: DataFrame, *, edits: float = 0.2, repetitions: int = 8,
-                            samples: int = 5, block_bytes: int = 8 << 20) -> DataFrame:
+                            samples: int = 5, recall: float = 0.995, block_bytes: int = 8 << 20) -> DataFrame:
     """One row per document and benchmark item found in it: ``doc_id, item_id, distance,
     item_words, at_word`` (its best alignment: least distance, then the earliest).
 
     An item is found where some stretch of the text is within ``edits`` times its words of word
-    edit distance. Null and empty texts and items match nothing; a repeated or null ``doc_id``
+    edit distance, with a probability of at least ``recall`` for edits at that limit (items get
+    ``repetitions`` walks, or more as their length needs). Null and empty texts and items match nothing; a repeated or null ``doc_id``
     is reported for each of its rows; a repeated item counts once; an item of fewer than five
     words must occur exactly. An empty table on either side gives no rows. Only ``doc_id``,
     ``item_id`` and the two ``text`` columns are read.
@@ -199,14 +255,14 @@ def find_benchmark_passages(docs: DataFrame, benchmark: DataFrame, *, edits: flo
     spark, out = docs.sparkSession, None
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     for items in _blocks(benchmark, block_bytes):
-        found = rows.mapInArrow(_task(items, repetitions, samples, edits, False), MATCH_SCHEMA)
+        found = rows.mapInArrow(_task(items, _repetitions(items, repetitions, samples, edits, recall), samples, edits, False), MATCH_SCHEMA)
         out = found if out is None else out.unionByName(found)
     return spark.createDataFrame([], MATCH_SCHEMA) if out is None else out
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, edits: float = 0.2, repetitions: int = 8,
-                      samples: int = 5, block_bytes: int = 8 << 20) -> DataFrame:
+                      samples: int = 5, recall: float = 0.995, block_bytes: int = 8 << 20) -> DataFrame:
     """The rows of ``docs``, all columns, in which no benchmark item is found."""
     for items in _blocks(benchmark, block_bytes):
-        docs = docs.mapInArrow(_task(items, repetitions, samples, edits, True), docs.schema)
+        docs = docs.mapInArrow(_task(items, _repetitions(items, repetitions, samples, edits, recall), samples, edits, True), docs.schema)
     return docs
