@@ -63,6 +63,11 @@ def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
 
 
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigia.llm.merkle import merkle_manifest as run
+    return run(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": edited_token_counts,
     "op3_toxicity": toxicity,
@@ -74,11 +79,12 @@ QUERIES = {
     "op2_suffix_dedup": suffix_dedup,
     "op5_decontamination": decontamination,
     "op7_token_ids": token_id_files,
+    "op12_merkle_manifest": merkle_manifest,
 }
 
 def _oracles() -> dict[str, str]:
-    from vigia.llm.line_dedup import ORACLE_SQL
-    return {"op6_line_dedup": ORACLE_SQL}
+    from vigia.llm import line_dedup, merkle
+    return {"op6_line_dedup": line_dedup.ORACLE_SQL, "op12_merkle_manifest": merkle.ORACLE_SQL}
 
 
 ORACLES = _oracles()
