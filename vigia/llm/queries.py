@@ -68,6 +68,11 @@ def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(table(spark, sf_dir, "documents"))
 
 
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vigia.llm.prefix_trie import shared_head_trie
+    return shared_head_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_token_counts": edited_token_counts,
     "op3_toxicity": toxicity,
@@ -80,11 +85,12 @@ QUERIES = {
     "op5_decontamination": decontamination,
     "op7_token_ids": token_id_files,
     "op12_merkle_manifest": merkle_manifest,
+    "op13_prefix_trie": prefix_trie,
 }
 
 def _oracles() -> dict[str, str]:
-    from vigia.llm import line_dedup, merkle
-    return {"op6_line_dedup": line_dedup.ORACLE_SQL, "op12_merkle_manifest": merkle.ORACLE_SQL}
+    from vigia.llm import line_dedup, merkle, prefix_trie
+    return {"op6_line_dedup": line_dedup.ORACLE_SQL, "op12_merkle_manifest": merkle.ORACLE_SQL, "op13_prefix_trie": prefix_trie.ORACLE_SQL}
 
 
 ORACLES = _oracles()
