@@ -73,6 +73,14 @@ def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared_head_trie(table(spark, sf_dir, "conversations"))
 
 
+def hmm_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from documents whose crc32(doc_id) mod 7 is not 2, scores all."""
+    from pyspark.sql import functions as F
+
+    from vigia.llm.hmm import hmm_scores
+    return hmm_scores(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
 QUERIES = {
     "op1_token_counts": edited_token_counts,
     "op3_toxicity": toxicity,
@@ -84,6 +92,7 @@ QUERIES = {
     "op2_suffix_dedup": suffix_dedup,
     "op5_decontamination": decontamination,
     "op7_token_ids": token_id_files,
+    "op11_hmm_scores": hmm_language_model,
     "op12_merkle_manifest": merkle_manifest,
     "op13_prefix_trie": prefix_trie,
 }
