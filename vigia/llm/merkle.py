@@ -53,29 +53,30 @@ def hop_steps(digests: list[bytes], levels: int | None) -> tuple[list[list[bytes
 def _hop_task(span: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {"tree": [], "idx": [], "steps": [], "up": [], "last": []}
+            out: dict[str, list] = {"tree": [], "idx": [], "steps": [], "siblings": [], "up": [], "last": []}
             for tree, nodes, more in zip(*(batch.column(c).to_pylist() for c in ("tree", "nodes", "more"))):
                 nodes = sorted((n["idx"], n["digest"]) for n in nodes)
                 steps, top = hop_steps([d for _, d in nodes], span if more else None)
                 out["tree"] += [tree] * len(nodes)
                 out["idx"] += [i for i, _ in nodes]
                 out["steps"] += steps
+                out["siblings"] += [b"".join(x[1:] for x in s) for s in steps]
                 out["up"] += [top] * len(nodes)
                 out["last"] += [not more] * len(nodes)
             yield pa.RecordBatch.from_arrays([
                 pa.array(out["tree"], pa.string()), pa.array(out["idx"], pa.int64()), pa.array(out["steps"], pa.list_(pa.binary())),
-                pa.array(out["up"], pa.binary()), pa.array(out["last"], pa.bool_())], list(out))
+                pa.array(out["siblings"], pa.binary()), pa.array(out["up"], pa.binary()), pa.array(out["last"], pa.bool_())], list(out))
 
     return run
 
 
 def _hop(nodes: DataFrame, span: int, name: str) -> DataFrame:
-    """``tree, idx, steps, up, last`` of every node (``tree, idx, size, digest``): its steps, the
-    digest they lead to, and whether that is the root of its tree."""
+    """``tree, idx, steps, siblings, up, last`` of every node (``tree, idx, size, digest``): its steps
+    and their digests alone, the digest they lead to, and whether that is the root of its tree."""
     tiles = nodes.groupBy("tree", F.shiftright("idx", span).alias("tile")).agg(
         F.collect_list(F.struct("idx", "digest")).alias("nodes"), (F.first("size") > (1 << span)).alias("more"))
     return written(tiles.select("tree", "nodes", "more").mapInArrow(
-        _hop_task(span), "tree string, idx long, steps array<binary>, up binary, last boolean"), name)
+        _hop_task(span), "tree string, idx long, steps array<binary>, siblings binary, up binary, last boolean"), name)
 
 
 def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
@@ -136,30 +137,30 @@ def build(rows: DataFrame, order: list[Column], span: int = HOP) -> Manifest:
     tiles = written(tiles.join(tops.select(F.col("of").alias("tree"), F.col("idx").alias("top_idx"), F.col("digest").alias("subroot")), "tree"), "merkle-tiles")
     links = None
     for hop, h in enumerate(hops[1:], 1):  # node rows of a tree, once a tile of leaves below
-        own = tiles.withColumn("idx", F.shiftright("tile", span * (hop - 1))).join(h.select("tree", "idx", "steps"), ["tree", "idx"])
-        own = own.select("tree", F.lit(hop).alias("hop"), "tile", "steps", F.lit(False).alias("final"), "subroot")
+        own = tiles.withColumn("idx", F.shiftright("tile", span * (hop - 1))).join(h.select("tree", "idx", "steps", "siblings"), ["tree", "idx"])
+        own = own.select("tree", F.lit(hop).alias("hop"), "tile", "steps", "siblings", F.lit(False).alias("final"), "subroot")
         links = own if links is None else links.union(own)
     used = hops[0].filter("last").select("tree", F.lit(1).alias("hop")).distinct()  # the hop that leaves the tree
     for hop, h in enumerate(hops[1:], 1):
         used = used.union(h.filter("last").select("tree", F.lit(hop + 1).alias("hop")).distinct())
     used = tiles.join(used, "tree")
     for k, h in enumerate(above):
-        own = used.withColumn("idx", F.shiftright("top_idx", span * k)).join(h.select("idx", "steps"), "idx")
-        own = own.select("tree", (F.col("hop") + k).alias("hop"), "tile", "steps", F.lit(k == len(above) - 1).alias("final"), "subroot")
+        own = used.withColumn("idx", F.shiftright("top_idx", span * k)).join(h.select("idx", "steps", "siblings"), "idx")
+        own = own.select("tree", (F.col("hop") + k).alias("hop"), "tile", "steps", "siblings", F.lit(k == len(above) - 1).alias("final"), "subroot")
         links = own if links is None else links.union(own)
-    leaves = leaves.join(hops[0].select("tree", "idx", "steps"), ["tree", "idx"]).withColumn("tile", F.shiftright("idx", span))
+    leaves = leaves.join(hops[0].select("tree", "idx", "steps", "siblings"), ["tree", "idx"]).withColumn("tile", F.shiftright("idx", span))
     return Manifest(leaves, written(links, "merkle-links"), root)
 
 
 #: The climb. A row is a leaf on its way: the digest folded so far and the siblings met.
 CLIMB = """
-WITH RECURSIVE climb(tree, tile, hop, id, claimed, digest, proof, final, subroot) AS (
-    SELECT tree, tile, 1, id, claimed, {fold_first}, filter(steps, s -> length(s) > 1), false, CAST(NULL AS BINARY)
+WITH RECURSIVE climb(tree, tile, hop, id, digest, proof, final, subroot) AS (
+    SELECT tree, tile, 1, id, {fold_first}, siblings, false, CAST(NULL AS BINARY)
     FROM {leaves}
     UNION ALL
-    SELECT c.tree, c.tile, c.hop + 1, c.id, c.claimed, {fold_next}, concat(c.proof, filter(n.steps, s -> length(s) > 1)), n.final, n.subroot
+    SELECT c.tree, c.tile, c.hop + 1, c.id, {fold_next}, concat(c.proof, n.siblings), n.final, n.subroot
     FROM climb c JOIN {links} n ON c.tree = n.tree AND c.hop = n.hop AND c.tile = n.tile)
-SELECT id, claimed, digest, proof, subroot FROM climb WHERE final
+SELECT {outputs} FROM climb WHERE final
 """
 
 
@@ -182,16 +183,17 @@ def _no_row_limit(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(key) if old is None else spark.conf.set(key, old)
 
 
-def climb(claims: DataFrame, links: DataFrame) -> DataFrame:
-    """``id, claimed, digest, proof, subroot``: each claim (``tree, tile, id, claimed, steps``)
-    folded to the root. ``proof`` lists the siblings (side byte and digest) from the leaf up;
-    ``digest`` equals the root only if the claimed leaf is the one the manifest was built from."""
+def climb(claims: DataFrame, links: DataFrame, outputs: tuple[str, ...] = ("id", "digest", "proof", "subroot")) -> DataFrame:
+    """Each claim (``tree, tile, id, claimed, steps, siblings``; ``id`` is what the caller knows it
+    by) folded to the root: ``outputs`` are expressions of ``id``, the folded ``digest``, the
+    ``subroot`` and ``proof``, the siblings' digests (32 bytes each) from the leaf up. ``digest`` is
+    the root only if the claimed leaf is the one the manifest was built from."""
     spark = claims.sparkSession
     with _no_row_limit(spark):
         claims.createOrReplaceTempView("vigia_merkle_claims")
         links.createOrReplaceTempView("vigia_merkle_links")
         try:
-            query = CLIMB.format(leaves="vigia_merkle_claims", links="vigia_merkle_links",
+            query = CLIMB.format(leaves="vigia_merkle_claims", links="vigia_merkle_links", outputs=", ".join(outputs),
                                  fold_first=_fold("claimed", "steps"), fold_next=_fold("c.digest", "n.steps"))
             return written(spark.sql(query), "merkle-climb")
         finally:
@@ -226,14 +228,12 @@ def merkle_manifest(docs: DataFrame, span: int = HOP) -> DataFrame:
     rows = docs.select(F.coalesce(F.concat(F.lit("="), lang), F.lit("")).alias("tree"), doc_id.alias("doc_id"), leaf.alias("digest"),
                        F.when(hit, leaf_digest(doc_id, source, lang, n_chars + 1, text)).alias("altered"))
     made = build(rows, [F.col("doc_id").asc_nulls_first()], span)
-    claims = made.leaves.select("tree", "tile", F.struct("doc_id", "digest").alias("id"),
-                                F.coalesce("altered", "digest").alias("claimed"), "steps")
-    found = climb(claims, made.links)
-    siblings = F.array_join(F.transform("proof", lambda s: F.lower(F.hex(F.substring(s, 2, 32)))), "")
-    folded = F.lower(F.hex("digest"))
+    claims = made.leaves.select("tree", "tile", F.struct("doc_id", "digest").alias("id"), F.coalesce("altered", "digest").alias("claimed"), "steps", "siblings")
+    found = climb(claims, made.links, (
+        "id.doc_id", "lower(hex(id.digest)) AS leaf", "lower(hex(subroot)) AS subroot", "sha2(lower(hex(proof)), 256) AS proof_sha256",
+        "lower(hex(digest)) AS folded_root"))
     root = F.lit(made.root).cast("string")
-    return found.select("id.doc_id", F.lower(F.hex("id.digest")).alias("leaf"), F.lower(F.hex("subroot")).alias("subroot"), root.alias("root"),
-                        F.sha2(siblings, 256).alias("proof_sha256"), folded.alias("folded_root"), (folded == root).alias("verified"))
+    return found.select("doc_id", "leaf", "subroot", root.alias("root"), "proof_sha256", "folded_root", (F.col("folded_root") == root).alias("verified"))
 
 
 #: Unsigned crc32 of an ASCII text in DuckDB SQL, bit by bit.
