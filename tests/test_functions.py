@@ -1,11 +1,12 @@
 """Golden values for the column functions (text, dates, urls, escape)."""
+import random
 from urllib.parse import urljoin
 
 from pyspark.sql import functions as F
 
 from vigia.functions import dates as D
 from vigia.functions import text as TX
-from vigia.functions.urls import absolute_url
+from vigia.functions.urls import _resolved, absolute_url
 
 
 def one(spark, expr, value, dtype="string"):
@@ -92,3 +93,12 @@ def test_report_date(spark):
 def test_lead_words(spark):
     text = " ".join(f"w{i}" for i in range(40))
     assert one(spark, lambda c: TX.lead_words(c, 30), "  " + text) == " ".join(f"w{i}" for i in range(30))
+
+
+def test_random_links_match_stdlib(spark):
+    rng, bits = random.Random(5), ["a", "b.pdf", "/", "//", ".", "..", "./", "../", "?", "?q=1", "#", "#f", ":", "http:", "https://h", "http://o/", " ", "%20", "ñ", "\t", "-"]
+    bases = ["https://a.org", "https://a.org/", "https://a.org/d/p.html", "http://a.org/d/e/", "https://a.org/d//e/f", "https://a.org/d/./e", "https://a.org/d?x=1", "https://a.org/d/e#z", "HTTPS://a.org/x"]
+    rows = [(rng.choice(bases), "".join(rng.choice(bits) for _ in range(rng.randrange(1, 6)))) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "b string, l string")
+    for r in df.select("b", "l", absolute_url("b", "l").alias("u"), _resolved(F.col("b"), F.col("l")).alias("slow")).collect():
+        assert r.u == r.slow, r

@@ -1,4 +1,6 @@
 """Rows the rendered fixtures do not reach: malformed markup, order across categories, failures, duplicates."""
+from contextlib import contextmanager
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from vigia.operators import report as R
 from vigia.operators.select import Field, RecordSpec, extract_records, html_content, parse_selector
 from vigia.operators.shred import parse_errors, shred, spread
 from vigia.plans import job
+from vigia.sources.alert_store import AlertStore
 from vigia.sources import catalogue as CA
 from vigia.sources import history as HS
 from vigia.sources import rules as RU
@@ -122,12 +125,22 @@ def test_error_policy_scopes_nulls_and_failed_pages(spark):
     assert {r.titulo for r in good.collect()} == {"ax", "ay", "m"} and {r.fatal for r in bad.collect()} == {"HTTP 500"}
 
 
-def test_pages_are_parsed_once_a_source(spark):
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pages_are_parsed_once_in_a_whole_run(spark, monkeypatch, scratch):
     pages = spark.createDataFrame([], "source_id string, page_id long, categoria string, categoria_rank int, status int, html string")
     feeds = spark.createDataFrame([], "source_id string, page_id long, categoria string, categoria_rank int, status int, xml string")
-    good, _ = job.collect(pages, feeds, spark.createDataFrame([], "url string, page_id long, status int, html string"), 2024)
-    plan = good._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("MapInArrow") == 7  # six listing sources and Peru's detail pages
+    plans, real = [], job.stored
+    monkeypatch.setattr(job, "stored", lambda df, name: (plans.append(_plan(df)), real(df, name))[1])
+    good, bad = job.collect(pages, feeds, spark.createDataFrame([], "url string, page_id long, status int, html string"), 2024)
+    assert sum(p.count("MapInArrow") for p in plans) == 7  # six listing sources and Peru's detail pages
+    store = AlertStore(spark, scratch)
+    web, docs = spark.createDataFrame([], "url string, html string"), spark.createDataFrame([], "url string, page_no int, text string")
+    job.run_on(store, good, web, docs, RU.rules_from_dict(spark, RU.COUNTRY_RULES))
+    plans += [_plan(good), _plan(bad), _plan(store.outbox()), _plan(store.history())]
+    assert sum(p.count("MapInArrow") for p in plans) == 8  # and the news' web pages
 
 
 def test_fetched_twice_alerts_once(spark):
@@ -151,25 +164,54 @@ def test_history_is_written_only_with_news(spark, scratch):
     assert [r.url for r in HS.read_history(spark, scratch).collect()] == ["u"]
 
 
-def test_a_hot_link_is_split(spark):
-    n = 60_000
-    cand = spark.range(n).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("url"), F.concat(F.sha2(F.col("id").cast("string"), 512), F.sha2((-F.col("id")).cast("string"), 512)).alias("titulo"))
-    hist = spark.range(0, n, 3).select(F.col("id").cast("string").alias("url"))
+@contextmanager
+def small_skew(spark):
+    """Settings under which the adaptive planner sees skew in a small table."""
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        out = H.novelty(cand.repartition(8), hist)
-        out.write.format("noop").mode("overwrite").save()
-        out.collect()
-        assert "skewed" in out._jdf.queryExecution().executedPlan().toString() or "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+        yield
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def _is_split(out):
+    out.write.format("noop").mode("overwrite").save()
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    return "skewed" in plan or "skew=true" in plan
+
+
+def _hot(spark, n=60_000):
+    wide = F.concat(F.sha2(F.col("id").cast("string"), 512), F.sha2((-F.col("id")).cast("string"), 512))
+    return spark.range(n).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("url"), wide.alias("titulo"))
+
+
+def test_a_hot_link_is_split(spark):
+    hist = spark.range(0, 60_000, 3).select(F.col("id").cast("string").alias("url"))
+    with small_skew(spark):
+        assert _is_split(H.novelty(_hot(spark).repartition(8), hist))
+
+
+def test_a_hot_detail_link_is_split(spark):
+    pages = spark.range(1, 60_000, 2).select(F.col("id").cast("string").alias("url"), F.col("id").alias("page_id"), F.lit("m").alias("motivo"), F.lit("p").alias("producto"), F.lit("f.pdf").alias("pdf"))
+    pages = pages.union(spark.createDataFrame([("hot", 0, "m", "p", "h.pdf"), ("hot", -1, "m", "p", "h.pdf")], pages.schema))
+    with small_skew(spark):
+        details = job.stored(C.one_per_key(pages, "url"), "details")  # as feeds() joins them: written, one row a link
+        assert _is_split(PR.feed_with_detail(_hot(spark).repartition(8), details))
+
+
+def test_a_hot_link_of_the_store_is_split(spark, scratch):
+    store = AlertStore(spark, scratch, buckets=4)
+    store.add(spark.range(0, 60_000, 3).select(F.col("id").cast("string").alias("url"), F.lit("t").alias("titulo")))
+    with small_skew(spark):
+        assert _is_split(store.novelty(_hot(spark).repartition(8)))
+
+
 def test_defaults_keep_everything(spark):
     h = spark.createDataFrame([("01-01-2001 10:00", "a"), ("Sin Fecha", "b")], "fecha string, pais string")
     assert R.prepare(h).count() == 2 and R.by_day(R.prepare(h)).count() == 2

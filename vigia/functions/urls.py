@@ -33,14 +33,35 @@ def _remove_dots(segs: Column) -> Column:
     return F.when(last.isin(".", ".."), F.array_append(resolved, F.lit(""))).otherwise(resolved)
 
 
+# Plain links need no resolution: with a host; from the root; below the base's directory. None holds
+# white space, control characters, a dot segment, or an empty query or fragment.
+_WITH_HOST = r"^https?://[^/?#\x00-\x20]+(?:/[^?#\x00-\x20]*)?(?:\?[^#\x00-\x20]+)?$"
+_FROM_ROOT = r"^/(?![/.])(?:(?!/\.)[^?#\x00-\x20])*$"
+_BELOW = r"^(?![/.])(?:(?!/[/.])[^?#:\x00-\x20])+$"
+_PLAIN_BASE = r"^https?://[^/?#\x00-\x20]+(?!.*/[/.])(?:/[^?#\x00-\x20]*)?$"
+
+
 def absolute_url(base, link) -> Column:
     """Resolve ``link`` against ``base``; null or empty link gives the base.
 
+    Plain links are put together by two pattern tests; the rest is taken apart."""
+    base = F.col(base) if isinstance(base, str) else base
+    raw = F.col(link) if isinstance(link, str) else link
+    origin = F.regexp_extract(base, r"^(https?://[^/]+)", 1)
+    below = F.when(base.rlike(r"^https?://[^/]+/"), F.regexp_extract(base, r"^(.*/)[^/]*$", 1)).otherwise(F.concat(base, F.lit("/")))
+    plain = base.rlike(_PLAIN_BASE)
+    return (F.when(plain & raw.rlike(_WITH_HOST), raw)
+            .when(plain & raw.rlike(_FROM_ROOT), F.concat(origin, raw))
+            .when(plain & raw.rlike(_BELOW), F.concat(below, raw))
+            .otherwise(_resolved(base, raw)))
+
+
+def _resolved(base: Column, raw: Column) -> Column:
+    """Any link against any base.
+
     The URL parts are extracted once and bound in a one-element ``transform`` so the
     resolution logic reads fields instead of repeating each regex (a small plan, no repeated
     evaluation)."""
-    base = F.col(base) if isinstance(base, str) else base
-    raw = F.col(link) if isinstance(link, str) else link
     # the standard split drops leading control characters and spaces, and tabs and line breaks
     link = F.regexp_replace(F.regexp_replace(raw, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
     parts = F.struct(

@@ -54,6 +54,18 @@ def one_per_key(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.min(F.struct(*rest)).alias("_r")).select(key, "_r.*")
 
 
+def newest_fetch(fetches: DataFrame, by: list[str], at: str = "fetched_at") -> DataFrame:
+    """One row per ``by``: the newest fetch (no time: older than any; ties, or no column ``at``: the
+    least row). Cut ``fetches`` down to the wanted keys first."""
+    rest = [c for c in fetches.columns if c not in by]
+    order = []
+    if at in rest:
+        time = F.unix_micros(at) if fetches.schema[at].dataType.typeName() == "timestamp" else F.col(at).cast("long")
+        order = [F.coalesce(-time, F.lit((1 << 63) - 1)).alias("_age")]
+    out = fetches.groupBy(*by).agg(F.min(F.struct(*order, *rest)).alias("_r"))
+    return out.select(*by, *[F.col("_r")[c].alias(c) for c in rest])
+
+
 def enrich(news: DataFrame, content: DataFrame, summariser: Summariser = default_summariser,
            key: str = "content_key") -> DataFrame:
     """J4 + P9: left join to the content table on the chosen link; summary or title.

@@ -20,6 +20,7 @@ from ..functions.dates import POLICIES, apply_policy, current_year_filter
 from ..functions.text import clean_title_costarica, clean_title_mexico, composite_title, first_8_digits, strip_ws
 from ..functions.urls import absolute_url
 from .history import dedupe_last
+from .masks import page_records
 from .select import Field, RecordSpec, extract_records
 
 
@@ -96,27 +97,43 @@ def _pos(df: DataFrame) -> DataFrame:
     return df.withColumn("item_pos", F.col("card_id").cast("bigint"))
 
 
-def _records(rows: DataFrame, p: Profile) -> DataFrame:
-    return extract_records(rows, "page_id", p.spec, keep=["categoria", "categoria_rank"])
+def _records(rows: DataFrame, p: Profile, keep: tuple[str, ...] = ("categoria", "categoria_rank")) -> DataFrame:
+    """Records of shredded rows, or of pages (``html``), which are then parsed once, by step masks.
+    Either way with ``page_error``: the reason why a page could not be read."""
+    if "html" in rows.columns:
+        return page_records(rows, "page_id", p.spec, keep=list(keep))
+    return extract_records(rows, "page_id", p.spec, keep=list(keep)).withColumn("page_error", F.lit(None).cast("string"))
+
+
+def _or_unread(cond: F.Column) -> F.Column:
+    """``cond``, or the record of a page that could not be read (it goes to the quarantine)."""
+    return cond | F.col("page_error").isNotNull()
+
+
+def _deduped(alerts: DataFrame) -> DataFrame:
+    """A9 + F6 by ``url``; pages that could not be read have none, and each stays."""
+    unread = F.concat(F.lit("\0"), F.col("page_id").cast("string"))
+    out = dedupe_last(alerts.withColumn("_key", F.when(F.col("fatal").isNotNull(), unread).otherwise(F.col("url"))), key="_key")
+    return out.drop("_key").select(*alerts.columns)
 
 
 def cards_brasil(rows: DataFrame) -> DataFrame:
     p = PROFILES["brasil"]
-    r = _records(rows, p).where(F.col("href__found") & F.col("fecha_raw__found") & _truthy(F.col("href")))   # F1
+    r = _records(rows, p).where(_or_unread(F.col("href__found") & F.col("fecha_raw__found") & _truthy(F.col("href"))))   # F1
     raw = F.concat(F.col("fecha_raw"), F.lit(" "), F.col("hora_raw"))
     ts, fecha, _ = apply_policy(raw, POLICIES["brasil"], raw_fallback=F.col("fecha_raw"))
     r = r.withColumn("fecha_ts", ts).withColumn("fecha", fecha)
-    r = r.withColumn("fatal", F.when(~F.col("hora_raw__found"), F.lit("time node missing")))
+    r = r.withColumn("fatal", F.coalesce("page_error", F.when(~F.col("hora_raw__found"), F.lit("time node missing"))))
     return _const(_pos(r), p).select(F.col("href").alias("url"), "titulo", "fecha", "fecha_ts",
                                      "pais", "institucion", "source_id", "source_rank", *PAGE_KEYS[1:], "page_id", "item_pos", "fatal")
 
 
 def cards_colombia(rows: DataFrame) -> DataFrame:
     p = PROFILES["colombia"]
-    r = _records(rows, p).where(F.col("titulo__found") & F.col("fecha_raw__found") & F.col("href__found") & _truthy(F.col("href")))
+    r = _records(rows, p).where(_or_unread(F.col("titulo__found") & F.col("fecha_raw__found") & F.col("href__found") & _truthy(F.col("href"))))
     ts, fecha, status = apply_policy(F.col("fecha_raw"), POLICIES["colombia"])
     r = r.withColumn("fecha_ts", ts).withColumn("fecha", fecha).withColumn(
-        "fatal", F.when(status != "ok", F.concat(F.lit("bad date: "), F.col("fecha_raw"))))
+        "fatal", F.coalesce("page_error", F.when(status != "ok", F.concat(F.lit("bad date: "), F.col("fecha_raw")))))
     return _const(_pos(r), p).select(F.col("href").alias("url"), "titulo", "fecha", "fecha_ts", "pais", "institucion",
                                      "source_id", "source_rank", *PAGE_KEYS[1:], "page_id", "item_pos", "fatal")
 
@@ -128,16 +145,16 @@ def cards_mexico(rows: DataFrame, top_n: int | None = None) -> DataFrame:
     p = PROFILES["mexico"]
     r = _records(rows, p)
     if top_n is not None:
-        w = Window.partitionBy("categoria").orderBy("page_id", "card_id")
-        r = r.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= top_n).drop("_rn")
-    r = r.where(F.col("titulo__found") & F.col("href__found") & _truthy(F.col("href")))
+        w = Window.partitionBy("categoria", F.col("page_error").isNull()).orderBy("page_id", "card_id")
+        r = r.withColumn("_rn", F.row_number().over(w)).where(_or_unread(F.col("_rn") <= top_n)).drop("_rn")
+    r = r.where(_or_unread(F.col("titulo__found") & F.col("href__found") & _truthy(F.col("href"))))
     digits = first_8_digits(F.col("titulo"))
     ts, fecha, _ = apply_policy(digits, POLICIES["mexico"])
     r = (r.withColumn("fecha_ts", ts).withColumn("fecha", fecha)
-         .withColumn("url", F.concat(F.lit(p.base_url), F.col("href")))
+         .withColumn("url", F.when(F.col("page_error").isNull(), F.concat(F.lit(p.base_url), F.col("href"))))
          .withColumn("titulo", clean_title_mexico(F.col("titulo"))))
     return _const(_pos(r), p).select("url", "titulo", "fecha", "fecha_ts", "pais", "institucion", "source_id",
-                                     "source_rank", *PAGE_KEYS[1:], "page_id", "item_pos", F.lit(None).cast("string").alias("fatal"))
+                                     "source_rank", *PAGE_KEYS[1:], "page_id", "item_pos", F.col("page_error").alias("fatal"))
 
 
 def cards_argentina(rows: DataFrame) -> DataFrame:
@@ -145,38 +162,38 @@ def cards_argentina(rows: DataFrame) -> DataFrame:
     r = _records(rows, p)
     href = F.try_element_at(F.col("card_attrs"), F.lit("href"))
     ts, fecha, _ = apply_policy(F.nullif(F.col("fecha_raw"), F.lit("")), POLICIES["argentina"])
-    r = (r.withColumn("url", absolute_url(F.lit(p.base_url), href))
+    r = (r.withColumn("url", F.when(F.col("page_error").isNull(), absolute_url(F.lit(p.base_url), href)))
          .withColumn("titulo", F.when(F.col("titulo__found"), F.col("titulo")).otherwise(F.lit(NO_TITLE)))
          .withColumn("fecha_ts", ts).withColumn("fecha", fecha))
     return _const(_pos(r), p).select("url", "titulo", "fecha", "fecha_ts", "pais", "institucion", "source_id",
-                                     "source_rank", *PAGE_KEYS[1:], "page_id", "item_pos", F.lit(None).cast("string").alias("fatal"))
+                                     "source_rank", *PAGE_KEYS[1:], "page_id", "item_pos", F.col("page_error").alias("fatal"))
 
 
 def rows_bolivia(rows: DataFrame, run_year: int, dedupe: bool = True) -> DataFrame:
     p = PROFILES["bolivia"]
-    r = _records(rows, p).where(F.size("cells") >= 4)                              # F2
+    r = _records(rows, p).where(_or_unread(F.size("cells") >= 4))                  # F2
     cell = lambda i: F.try_element_at(F.col("cells"), F.lit(i))                      # W4 (1-based here)
     ts, fecha, status = apply_policy(cell(3)["text_a"], POLICIES["bolivia"])
     r = (r.withColumn("fecha_ts", ts).withColumn("fecha", fecha)
-         .where((status == "ok") & current_year_filter(F.col("fecha_ts"), run_year, strict=True))   # D6 + F4
+         .where(_or_unread((status == "ok") & current_year_filter(F.col("fecha_ts"), run_year, strict=True)))   # D6 + F4
          .withColumn("titulo", F.concat_ws(" - ", cell(1)["text_a"], cell(2)["text_a"]))           # T2
          .withColumn("url", F.when(_truthy(cell(4)["link"]), absolute_url(F.lit(p.base_url), cell(4)["link"]))))
     out = _const(_pos(r), p).select("url", "titulo", "fecha", "fecha_ts", "pais", "institucion", "source_id",
-                                    "source_rank", *PAGE_KEYS[1:], "page_id", "item_pos", F.lit(None).cast("string").alias("fatal"))
-    return dedupe_last(out) if dedupe else out
+                                    "source_rank", *PAGE_KEYS[1:], "page_id", "item_pos", F.col("page_error").alias("fatal"))
+    return _deduped(out) if dedupe else out
 
 
 def rows_costarica(rows: DataFrame, run_year: int, dedupe: bool = True) -> DataFrame:
     p = PROFILES["costarica"]
-    r = _records(rows, p).where(F.col("data_title__found"))                         # F3
+    r = _records(rows, p).where(_or_unread(F.col("data_title__found")))             # F3
     titulo = clean_title_costarica(strip_ws(F.coalesce(F.col("data_title"), F.lit(NO_TITLE))))
     ts, fecha, _ = apply_policy(F.nullif(F.col("fecha_raw"), F.lit("")), POLICIES["costarica"])
     r = (r.withColumn("titulo", titulo).withColumn("fecha_ts", ts).withColumn("fecha", fecha)
-         .where(current_year_filter(F.col("fecha_ts"), run_year, strict=False))     # F5
+         .where(_or_unread(current_year_filter(F.col("fecha_ts"), run_year, strict=False)))     # F5
          .withColumn("url", F.when(_truthy(F.col("href")), absolute_url(F.lit(p.base_url), F.col("href")))))
     out = _const(_pos(r), p).select("url", "titulo", "fecha", "fecha_ts", "pais", "institucion", "source_id",
-                                    "source_rank", *PAGE_KEYS[1:], "page_id", "item_pos", F.lit(None).cast("string").alias("fatal"))
-    return dedupe_last(out) if dedupe else out
+                                    "source_rank", *PAGE_KEYS[1:], "page_id", "item_pos", F.col("page_error").alias("fatal"))
+    return _deduped(out) if dedupe else out
 
 
 def feed_alerts(items: DataFrame, source_id: str) -> DataFrame:
@@ -193,7 +210,7 @@ def detail_fields(rows: DataFrame, url_col: str = "url") -> DataFrame:
     """Fields of a detail page: first h3 / ul under the entry, first .pdf link (absolute).
     The element matched on either attribute gives its href when it has one (else its src)."""
     p = PROFILES["peru"]
-    r = extract_records(rows, "page_id", p.spec, keep=[url_col])
+    r = _records(rows, p, keep=(url_col,)).where(F.col("page_error").isNull())
     link = F.when(F.col("pdf_href").isNotNull(), F.col("pdf_href")).otherwise(F.col("pdf_src"))
     return r.select(
         "page_id", url_col,

@@ -243,6 +243,45 @@ class RecordSpec:
     first_desc_attr: tuple[str, str] = ("a", "href")
 
 
+def record_texts(spec: RecordSpec) -> list[Column]:
+    """Aggregates of an element's runs (``_raw`` as read, ``_str`` stripped, null where empty), in the
+    text modes something reads (each ordered concat sorts its group)."""
+    modes = {f.value for f in spec.fields.values() if f.value.startswith("text_")} | ({"text_a"} if spec.cells_tag else set())
+    mode_expr = {
+        "text_a": F.coalesce(F.expr("listagg(_str, '') within group (order by seq)"), F.lit("")),
+        "text_b": strip_ws(F.coalesce(F.expr("listagg(_raw, '') within group (order by seq)"), F.lit(""))),
+        "text_c": F.coalesce(F.expr("listagg(_str, ' ') within group (order by seq)"), F.lit("")),
+    }
+    return [(mode_expr[m] if m in modes else F.lit("")).alias(m) for m in ("text_a", "text_b", "text_c")]
+
+
+def grouped_records(per_elem: DataFrame, id_col: str, spec: RecordSpec, keep: list[str], *more: Column) -> DataFrame:
+    """One row per container from one row per (container, element): each field's first match, the
+    container's attributes, its cells, and ``more`` aggregates."""
+    fields = spec.fields
+
+    def value_of(f: Field) -> Column:
+        if f.value.startswith("attr:"):
+            return F.try_element_at(F.col("attrs"), F.lit(f.value[5:]))
+        return F.col(f.value)
+
+    aggs = [F.min_by(F.when(F.col("elem_id") == F.col("card_id"), F.col("attrs")),
+                     F.when(F.col("elem_id") == F.col("card_id"), F.col("elem_id"))).alias("card_attrs")]
+    for k in [k for k, f in fields.items() if not f.parent]:
+        hit = F.coalesce(F.array_contains(F.col("self_f"), F.lit(k)), F.lit(False)) & (F.col("elem_id") != F.col("card_id"))
+        aggs.append(F.min_by(F.when(hit, value_of(fields[k])), F.when(hit, F.col("elem_id"))).alias(k))
+        aggs.append(F.max(hit).alias(f"{k}__found"))
+    for k in [k for k, f in fields.items() if f.parent]:
+        order = F.array_min(F.transform(F.filter("par_marks", lambda m: m["f"] == k), lambda m: m["o"]))
+        aggs.append(F.min_by(F.when(order.isNotNull(), value_of(fields[k])), order).alias(k))
+        aggs.append(F.max(order.isNotNull()).alias(f"{k}__found"))
+    if spec.cells_tag:
+        cell = F.when((F.col("elem_tag") == spec.cells_tag) & (F.col("elem_id") != F.col("card_id")),
+                      F.struct(F.col("elem_id").alias("id"), F.col("text_a"), F.col("first_desc_attr").alias("link")))
+        aggs.append(F.array_sort(F.collect_list(cell)).alias("cells"))
+    return per_elem.groupBy(id_col, *keep, "card_id").agg(*aggs, *more)
+
+
 def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[str] | None = None) -> DataFrame:
     """Shredded rows → one row per container with its fields.
 
@@ -341,19 +380,11 @@ def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[s
     visible = (F.col("kind") == "text") & (F.col("cdata_id").isNull() | (F.col("cdata_id") == F.col("elem_id")))
     stripped = F.nullif(strip_ws(F.col("text")), F.lit(""))
     c = c.withColumn("_raw", F.when(visible, F.col("text"))).withColumn("_str", F.when(visible, stripped))
-    # only the text modes something reads (each ordered concat sorts its group)
-    modes = {f.value for f in fields.values() if f.value.startswith("text_")} | ({"text_a"} if spec.cells_tag else set())
-    mode_expr = {
-        "text_a": F.coalesce(F.expr("listagg(_str, '') within group (order by seq)"), F.lit("")),
-        "text_b": strip_ws(F.coalesce(F.expr("listagg(_raw, '') within group (order by seq)"), F.lit(""))),
-        "text_c": F.coalesce(F.expr("listagg(_str, ' ') within group (order by seq)"), F.lit("")),
-    }
-    text_aggs = [(mode_expr[m] if m in modes else F.lit("")).alias(m) for m in ("text_a", "text_b", "text_c")]
     # per element: only what a field, the container or the cells read
     keep_attrs = F.col("is_self") & ((F.size(F.coalesce("_self_f", F.array())) > 0) | (F.col("elem_id") == F.col("card_id")))
     elem_aggs = [
         F.first("elem_tag").alias("elem_tag"),
-        *text_aggs,
+        *record_texts(spec),
         F.min_by(F.when(keep_attrs, F.col("attrs")), F.when(keep_attrs, F.col("seq"))).alias("attrs"),
     ]
     if self_f:
@@ -368,26 +399,7 @@ def extract_records(rows: DataFrame, id_col: str, spec: RecordSpec, keep: list[s
     # one exchange on (page, container) serves both groupings (element, then container)
     per_elem = c.repartition(id_col, "card_id").groupBy(id_col, *keep, "card_id", "elem_id").agg(*elem_aggs)
 
-    def value_of(f: Field) -> Column:
-        if f.value.startswith("attr:"):
-            return F.try_element_at(F.col("attrs"), F.lit(f.value[5:]))
-        return F.col(f.value)
-
-    aggs = [F.min_by(F.when(F.col("elem_id") == F.col("card_id"), F.col("attrs")),
-                     F.when(F.col("elem_id") == F.col("card_id"), F.col("elem_id"))).alias("card_attrs")]
-    for k in self_f:
-        hit = F.coalesce(F.array_contains(F.col("self_f"), F.lit(k)), F.lit(False)) & (F.col("elem_id") != F.col("card_id"))
-        aggs.append(F.min_by(F.when(hit, value_of(fields[k])), F.when(hit, F.col("elem_id"))).alias(k))
-        aggs.append(F.max(hit).alias(f"{k}__found"))
-    for k in parent_f:
-        order = F.array_min(F.transform(F.filter("par_marks", lambda m: m["f"] == k), lambda m: m["o"]))
-        aggs.append(F.min_by(F.when(order.isNotNull(), value_of(fields[k])), order).alias(k))
-        aggs.append(F.max(order.isNotNull()).alias(f"{k}__found"))
-    if spec.cells_tag:
-        cell = F.when((F.col("elem_tag") == spec.cells_tag) & (F.col("elem_id") != F.col("card_id")),
-                      F.struct(F.col("elem_id").alias("id"), F.col("text_a"), F.col("first_desc_attr").alias("link")))
-        aggs.append(F.array_sort(F.collect_list(cell)).alias("cells"))
-    return per_elem.groupBy(id_col, *keep, "card_id").agg(*aggs)
+    return grouped_records(per_elem, id_col, spec, keep)
 
 
 # --------------------------------------------------------------------------------------------

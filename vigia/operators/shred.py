@@ -55,27 +55,19 @@ def rows_schema(id_col: str, id_type: T.DataType, keep: list[tuple[str, T.DataTy
 
 
 def _make_shredder(id_col: str, html_col: str, keep_names: list[str], out_schema_json: str, max_rows: int = 20_000):
-    """Build the per-partition function; everything it needs is local so it ships by value."""
-
+    """Build the per-partition function."""
     def shred_batches(batches):
         import json
-        from html.parser import HTMLParser
 
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
         from pyspark.sql.types import StructType
 
+        from vigia.operators.tree import TreeParser
+
         schema = to_arrow_schema(StructType.fromJson(json.loads(out_schema_json)))
         path_type = schema.field("path").type
         entry_type = path_type.value_type
-        # Elements of the public tree builder that close at once, and those whose text
-        # is not part of an enclosing element's.
-        void = {"area", "base", "br", "col", "embed", "hr", "img", "input", "keygen", "link",
-                "menuitem", "meta", "param", "source", "track", "wbr", "basefont", "bgsound",
-                "command", "frame", "image", "isindex", "nextid", "spacer"}
-        special = {"script", "style", "template"}
-        keep_ws = {"pre", "textarea"}
-        ascii_ws = " \n\t\x0c\r"
 
         class Out:
             """Column buffers of one Arrow batch. Path entries are stored once per element
@@ -126,69 +118,24 @@ def _make_shredder(id_col: str, html_col: str, keep_names: list[str], out_schema
                 values = elements.take(pa.array(self.path_idx, pa.int64()))
                 return pa.ListArray.from_arrays(pa.array(self.path_off, pa.int32()), values, type=path_type)
 
-        class Shredder(HTMLParser):
+        class Shredder(TreeParser):
             def __init__(self, out, page):
-                super().__init__(convert_charrefs=True)
+                super().__init__()
                 self.out = out
                 self.page = page
-                self.stack = []          # open elements: (id, tag)
-                self.gstack = []         # their entry indexes in ``out``
-                self.next_id = 0
-                self.seq = 1
-                self.pending = []        # pieces of the text run being read
-
-            def _element(self, tag, attrs, push):
-                d = {}
-                for k, v in attrs:
-                    d[k] = "" if v is None else v
-                nid = self.next_id
-                self.next_id += 1
-                g = self.out.element(nid, tag, d.get("class", "").split())
-                self.out.row(self.page, self.seq, "el", nid, tag, list(d.items()), None, None, self.gstack + [g])
-                self.seq += 1
-                if push:
-                    self.stack.append((nid, tag))
+                self.gstack = []         # entry indexes of the open elements in ``out``
+
+            def element(self, nid, tag, attrs, stays_open):
+                g = self.out.element(nid, tag, attrs.get("class", "").split())
+                self.out.row(self.page, self.seq, "el", nid, tag, list(attrs.items()), None, None, self.gstack + [g])
+                if stays_open:
                     self.gstack.append(g)
 
-            def handle_starttag(self, tag, attrs):
-                self.end_text()
-                self._element(tag, attrs, tag not in void)
-
-            def handle_startendtag(self, tag, attrs):
-                self.end_text()
-                self._element(tag, attrs, False)
-
-            def handle_comment(self, data):
-                self.end_text()
-
-            handle_decl = handle_pi = unknown_decl = handle_comment
-
-            def handle_endtag(self, tag):
-                self.end_text()
-                for i in range(len(self.stack) - 1, -1, -1):
-                    if self.stack[i][1] == tag:
-                        del self.stack[i:]
-                        del self.gstack[i:]
-                        return
-
-            def handle_data(self, data):
-                self.pending.append(data)
-
-            def end_text(self):
-                data = "".join(self.pending)
-                self.pending.clear()
-                if not data:
-                    return
-                if data.strip(ascii_ws) == "" and not any(t in keep_ws for _, t in self.stack):
-                    data = "\n" if "\n" in data else " "
-                cdata_id = None
-                for nid, t in reversed(self.stack):
-                    if t in special:
-                        cdata_id = nid
-                        break
-                parent = self.stack[-1][0] if self.stack else None
+            def cut(self, depth):
+                del self.gstack[depth:]
+
+            def text(self, parent, data, cdata_id):
                 self.out.row(self.page, self.seq, "text", parent, None, None, data, cdata_id, self.gstack)
-                self.seq += 1
 
         def finish(batch, out):
             take = pa.array(out.page, pa.int64())
@@ -214,9 +161,7 @@ def _make_shredder(id_col: str, html_col: str, keep_names: list[str], out_schema
                 if html:
                     p = Shredder(out, i)
                     try:
-                        p.feed(html)
-                        p.close()
-                        p.end_text()
+                        p.read(html)
                     except Exception as e:  # malformed beyond the parser: nothing of the page, a reason
                         out.back_to(mark)
                         out.row(i, 0, "doc", None, None, None, f"{type(e).__name__}: {e}", None, ())
@@ -242,9 +187,7 @@ def shred(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", kee
     drop the exchange), a fixed count that AQE does not coalesce.
     """
     keep = keep or []
-    src = pages.select(id_col, html_col, *keep)
-    if partitions:
-        src = src.repartition(partitions, F.xxhash64(id_col))
+    src = dealt(pages.select(id_col, html_col, *keep), id_col, partitions)
     id_type = src.schema[id_col].dataType
     keep_types = [(k, src.schema[k].dataType) for k in keep]
     schema = rows_schema(id_col, id_type, keep_types)
@@ -252,6 +195,11 @@ def shred(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", kee
     return src.mapInArrow(fn, schema)
 
 
+def dealt(pages: DataFrame, id_col: str, partitions: int | None) -> DataFrame:
+    """``pages`` over ``partitions`` parse tasks by a hash of the id; as they are, without it."""
+    return pages.repartition(partitions, F.xxhash64(id_col)) if partitions else pages
+
+
 def spread(pages: DataFrame) -> int | None:
     """``partitions`` for :func:`shred` of a scan: a file of fewer splits than cores is dealt out
     over the cores, anything larger keeps its splits (no exchange)."""

@@ -1,8 +1,8 @@
 """The alert job end to end (collect → novelty → enrich → outbox → merge) and the flagship query.
 
 Stage order follows the reference: novelty is decided before the costly steps, so only new
-pages are shredded for their content, extracted and summarised. The enriched new alerts are
-written once to shared storage; outbox, merge and counters all read that one table.
+pages are parsed for their content, extracted and summarised. What several steps read (flagged
+alerts, details, fresh links, content, enriched news) is written once to shared storage.
 """
 
 from __future__ import annotations
@@ -19,9 +19,10 @@ from ..operators import errors as E
 from ..operators import history as H
 from ..operators import notify as N
 from ..operators import profiles as PR
-from ..operators.select import html_content
-from ..operators.shred import shred, spread
+from ..operators.masks import page_content
+from ..operators.shred import dealt, spread
 from ..session import checkpoint_dir
+from ..sources.alert_store import AlertStore
 from ..sources import feeds as FD
 from ..sources import history as HS
 from ..sources import rules as RU
@@ -38,13 +39,24 @@ def with_scope(df: DataFrame) -> DataFrame:
                          .otherwise(F.col("source_id")))
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, whatever reads it, and a
+    join on it can be split (nothing is aggregated between its exchange and the join)."""
+    path = f"{checkpoint_dir(df.sparkSession)}/vigia-job/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def feeds(feed_docs: DataFrame, detail_pages: DataFrame, partitions: int | None = None) -> DataFrame:
     """S1 + D1 + S6 + J2 + P1: fetched feeds of Peru and Chile (source_id, page_id, categoria,
-    categoria_rank, xml) as alerts; Peru's items get their detail page (url, page_id, html). A
-    detail page fetched twice counts once."""
+    categoria_rank, xml) as alerts; Peru's items get their detail page (url, page_id, html, and
+    fetched_at if it is known). Of a detail page fetched twice the newest counts. Details are
+    written, one row a link, before they are joined: a link that many items share is then split."""
     keep = ["page_id", *KEEP]
-    rows = shred(detail_pages.select("page_id", "html", "url"), keep=["url"], partitions=partitions)
-    details = C.one_per_key(PR.detail_fields(rows).select("url", "page_id", "motivo", "producto", "pdf"), "url")
+    at = [c for c in ("fetched_at",) if c in detail_pages.columns]
+    newest = C.newest_fetch(detail_pages.select("url", "page_id", "html", *at), ["url"]).select("url", "page_id", "html")
+    details = PR.detail_fields(dealt(newest, "page_id", partitions)).select("url", "page_id", "motivo", "producto", "pdf")
+    details = stored(details, "details")
 
     def items(source: str) -> DataFrame:
         return FD.with_feed_date(FD.feed_items(feed_docs.where(F.col("source_id") == source), keep=keep), source)
@@ -53,14 +65,13 @@ def feeds(feed_docs: DataFrame, detail_pages: DataFrame, partitions: int | None
     return PR.feed_alerts(peru, "peru").unionByName(PR.feed_alerts(items("chile"), "chile"))
 
 
-def collect(listing_pages: DataFrame, feed_docs: DataFrame, detail_pages: DataFrame, run_year: int, *, parity: bool = False,
-            mexico_top_n: int | None = None, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+def flagged(listing_pages: DataFrame, feed_docs: DataFrame, detail_pages: DataFrame, run_year: int, *,
+            mexico_top_n: int | None = None, partitions: int | None = None) -> DataFrame:
     """U-1 + E8: fetched pages and feeds (source_id, page_id, categoria, categoria_rank, status, html
-    or xml) → (alerts of all eight sources in one schema, quarantined rows).
-
-    Each profile shreds its own pages only, so every page is parsed once. A failed fetch or an
-    unreadable page is a fatal row of its scope: quarantined, and in parity mode the scope's
-    alerts go too."""
+    or xml) → alerts of all eight sources in one schema and whatever could not be read, in one
+    written table. ``fatal`` is the reason of rows that cannot be used (a failed fetch, an
+    unreadable page, a failed row, an alert without a link); ``scope`` what such a row takes
+    down in parity mode. Every page is parsed once, by the one job that writes the table."""
     key = ["source_id", "page_id", *KEEP]
     pages, docs = E.http_failure(listing_pages), E.http_failure(feed_docs)
     good_pages, good_details = pages.where(F.col("fatal").isNull()), E.status_gate(detail_pages)
@@ -73,32 +84,44 @@ def collect(listing_pages: DataFrame, feed_docs: DataFrame, detail_pages: DataFr
         "costarica": lambda r: PR.rows_costarica(r, run_year),
     }
     alerts = feeds(docs.where(F.col("fatal").isNull()), good_details, partitions)
-    failures = pages.where(F.col("fatal").isNotNull()).select(*key, "fatal").unionByName(docs.where(F.col("fatal").isNotNull()).select(*key, "fatal"))
     for sid, profile in by.items():
         mine = good_pages.where(F.col("source_id") == sid).select("page_id", "html", *KEEP)
-        rows = shred(mine, keep=KEEP, partitions=partitions)
-        alerts = alerts.unionByName(profile(rows), allowMissingColumns=True)
-        broken = rows.where((F.col("kind") == "doc") & F.col("text").isNotNull())
-        failures = failures.unionByName(broken.select(F.lit(sid).alias("source_id"), "page_id", *KEEP, F.col("text").alias("fatal")))
-    alerts, failures = with_scope(alerts), with_scope(failures)
-    good = E.apply_error_policy(alerts, ["scope"], parity=parity, failures=failures).drop("scope")
-    bad = alerts.where(F.col("fatal").isNotNull()).unionByName(failures, allowMissingColumns=True).drop("scope")
-    return good, bad
+        alerts = alerts.unionByName(profile(dealt(mine, "page_id", partitions)), allowMissingColumns=True)
+    failures = pages.where(F.col("fatal").isNotNull()).select(*key, "fatal").unionByName(docs.where(F.col("fatal").isNotNull()).select(*key, "fatal"))
+    no_link = F.when(F.coalesce(F.col("url"), F.lit("")) == "", F.lit("no link"))
+    alerts = alerts.withColumn("fatal", F.coalesce("fatal", no_link)).withColumn("url", F.nullif(F.col("url"), F.lit("")))
+    return stored(with_scope(alerts.unionByName(failures, allowMissingColumns=True)), "flagged")
+
+
+def collect(listing_pages: DataFrame, feed_docs: DataFrame, detail_pages: DataFrame, run_year: int, *, parity: bool = False,
+            mexico_top_n: int | None = None, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(usable alerts, quarantined rows) of :func:`flagged`; both read the written table. In parity
+    mode every scope that holds a fatal row contributes nothing."""
+    rows = flagged(listing_pages, feed_docs, detail_pages, run_year, mexico_top_n=mexico_top_n, partitions=partitions)
+    good = E.apply_error_policy(rows, ["scope"], parity=parity).drop("scope")
+    return good, rows.where(F.col("fatal").isNotNull()).drop("scope")
 
 
 def content_table(routed: DataFrame, web_pages: DataFrame, doc_pages: DataFrame, rules: DataFrame,
                   max_pages: int | None = None, partitions: int | None = None) -> DataFrame:
-    """``content_key, content`` for routed alerts (P6): web pages (url, html) under their
-    country's rules, documents (url, page_no, text) by their pages. One row a key, however often
-    a page was fetched."""
-    want = routed.where(F.col("content_type") == "html").select(F.col("content_key").alias("url"), "pais").distinct()
-    fetched = C.one_per_key(web_pages.select("url", "html"), "url").join(want, "url")
+    """U3 + J4: ``content_key, content`` for routed alerts (P6): web pages (url, html) under their
+    country's rules, documents (url, page_no, text) by their pages; both may hold any number of
+    fetches (``fetched_at``), the newest of a page counts. The stores are cut down to the links
+    the alerts want before anything is grouped or exchanged, and written as one row a key."""
+    want = stored(routed.select(F.col("content_key").alias("url"), "pais", "content_type").where("url IS NOT NULL").distinct(), "wanted")
+    of_web, of_docs = want.where("content_type = 'html'"), want.where("content_type = 'pdf'")
+    at = lambda df: [c for c in ("fetched_at",) if c in df.columns]
+    fetched = web_pages.select("url", "html", *at(web_pages)).join(of_web.select("url").distinct(), "url", "left_semi")
+    fetched = C.newest_fetch(fetched, ["url"]).select("url", "html").join(of_web.select("url", "pais"), "url")
     # an address may serve two countries: its rows are told apart by both
     fetched = fetched.select(F.to_json(F.array("url", "pais")).alias("page_id"), "url", "html", "pais")
-    rows = RU.with_rules(shred(fetched, keep=["url", "pais"], partitions=partitions), rules, "pais")
-    web = html_content(rows, "page_id", keep=["url", "pais"]).select(F.col("url").alias("content_key"), "content")
-    docs = C.doc_first_pages(doc_pages.select("url", "page_no", "text").distinct(), "url", "page_no", "text", max_pages)
-    return C.one_per_key(web.unionByName(docs.withColumnRenamed("url", "content_key")).where("content is not null"), "content_key")
+    ruled = RU.with_rules(dealt(fetched, "page_id", partitions), rules, "pais")
+    web = page_content(ruled, "page_id", keep=["url", "pais"]).select(F.col("url").alias("content_key"), "content")
+    pages = doc_pages.select("url", "page_no", "text", *at(doc_pages))
+    pages = pages if max_pages is None else pages.where(F.col("page_no") < max_pages)
+    pages = C.newest_fetch(pages.join(of_docs.select("url").distinct(), "url", "left_semi"), ["url", "page_no"])
+    docs = C.doc_first_pages(pages, "url", "page_no", "text", max_pages)
+    return stored(C.one_per_key(web.unionByName(docs.withColumnRenamed("url", "content_key")).where("content is not null"), "content_key"), "content")
 
 
 @dataclass
@@ -109,25 +132,45 @@ class RunResult:
     counters: DataFrame
 
 
-def run(candidates: DataFrame, history: DataFrame, web_pages: DataFrame, doc_pages: DataFrame, rules: DataFrame, *,
-        batch_id: str = "0", silent: bool = False, summariser: C.Summariser = C.default_summariser,
-        max_pages: int | None = None, partitions: int | None = None) -> RunResult:
-    """J1 → P6/J3 → U3/J4/P9 → K2 → A8. The enriched new alerts are computed once, into the shared
-    folder: the summary a message carries is the one that history stores, also for a model."""
-    spark = candidates.sparkSession
-    news = H.novelty(candidates, history)
+def enriched_news(news: DataFrame, web_pages: DataFrame, doc_pages: DataFrame, rules: DataFrame, *,
+                  summariser: C.Summariser = C.default_summariser, max_pages: int | None = None, partitions: int | None = None) -> DataFrame:
+    """P6/J3 → U3/J4/P9, computed once into the shared folder: the summary a message carries is the
+    one that history stores, also for a model."""
     routed = C.content_route(RU.with_rules(news, rules, "pais")).drop(
         "container_sel", "selectors_sel", "remove_sel", "note", "container", "selectors", "remove", "rule_error")
     content = content_table(routed, web_pages, doc_pages, rules, max_pages, partitions)
-    path = f"{checkpoint_dir(spark)}/vigia-job/news-{uuid.uuid4().hex}"
-    C.enrich(routed, content, summariser).write.parquet(path)
-    enriched = spark.read.parquet(path)
+    return stored(C.enrich(routed, content, summariser), "news")
+
+
+def run(candidates: DataFrame, history: DataFrame, web_pages: DataFrame, doc_pages: DataFrame, rules: DataFrame, *,
+        batch_id: str = "0", silent: bool = False, summariser: C.Summariser = C.default_summariser,
+        max_pages: int | None = None, partitions: int | None = None) -> RunResult:
+    """J1 → P6/J3 → U3/J4/P9 → K2 → A8 against a history table; nothing is stored (for that, see
+    :func:`run_on`)."""
+    news = stored(H.novelty(candidates, history), "novelty")
+    enriched = enriched_news(news, web_pages, doc_pages, rules, summariser=summariser, max_pages=max_pages, partitions=partitions)
     out = N.outbox(enriched, batch_id=batch_id, silent=silent)
     merged = H.merge_history(HS.backfill(history), enriched.drop("content", "content_key", "content_type"))
     counters = H.run_counters(history, candidates, enriched, merged, enriched)
     return RunResult(enriched, out, merged, counters)
 
 
+def run_on(store: AlertStore, candidates: DataFrame, web_pages: DataFrame, doc_pages: DataFrame, rules: DataFrame, *,
+           batch_id: str = "0", silent: bool = False, summariser: C.Summariser = C.default_summariser,
+           max_pages: int | None = None, partitions: int | None = None) -> int | None:
+    """The whole run on a store: novelty against its links, content, summary, then the new links, the
+    messages (none in silent mode) and the counters (A10) under one commit. Returns the batch, none
+    if there was nothing new (K1). A run that dies anywhere before the commit can be repeated.
+
+    Counters come from written tables, not from accumulators, which count a retried task twice."""
+    news = stored(store.novelty(candidates), "novelty")
+    enriched = enriched_news(news, web_pages, doc_pages, rules, summariser=summariser, max_pages=max_pages, partitions=partitions)
+    seen = enriched.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("content")), F.lit(0)).alias("chars")).first()
+    counters = {"history_rows": store.state().rows, "candidate_rows": candidates.count(), "novelty_rows": seen["n"], "content_chars": seen["chars"]}
+    messages = None if silent else N.outbox(enriched, batch_id=batch_id)
+    return store.add(enriched, messages, counters)
+
+
 def persist_history(result: RunResult, root: str) -> str | None:
     """K1: write the merged history as a new version, only when the run found something new."""
     if not result.news.limit(1).count():
@@ -146,8 +189,8 @@ def flagship(spark: SparkSession, sf: str, summariser: C.Summariser = C.default_
     history = pages.where(F.col("page_id") % 3 == 0).select("url")
     news = H.novelty(pages, history).drop("resumen")
     news = news.withColumn("lang", F.regexp_extract("url", r"/([a-z]{2})/", 1))
-    rows = RU.with_rules(shred(news, keep=["url", "lang"], partitions=spread(pages)), RU.rules_bundled(spark, PAGE_RULES), "lang")
-    text = html_content(rows, "page_id", keep=["url", "lang"], title_selector="title")
+    ruled = RU.with_rules(dealt(news, "page_id", spread(pages)), RU.rules_bundled(spark, PAGE_RULES), "lang")
+    text = page_content(ruled, "page_id", keep=["url", "lang"], title_selector="title")
     alerts = text.select(
         "url", F.lit(None).cast("string").alias("pdf"), "titulo", F.col("lang").alias("fecha"),
         F.lit("Web").alias("pais"), host_of("url").alias("institucion"),

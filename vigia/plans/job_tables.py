@@ -2,8 +2,9 @@
 
 Every order of the given table is one alert of one source (order key mod 8); its listing entry,
 feed item, detail page, web page or document pages are rendered from the order's columns, grouped
-into bounded pages. Some fetches fail, some pages come twice, a third of the alerts is already in
-history: this is the fixture of novelty and the error policy, not a way to read less.
+into bounded pages. Some fetches fail, some feed items have no link, some pages were fetched before
+and have changed since, a third of the alerts is already in history: this is the fixture of
+novelty, the error policy and the stores, not a way to read less.
 """
 
 from __future__ import annotations
@@ -13,10 +14,12 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import content as C
 from ..operators.notify import DEFAULT_FLAG, FLAGS
 from ..session import checkpoint_dir
-from ..sources import history as HS
 from ..sources import rules as RU
+from ..sources.alert_store import AlertStore
+from ..sources.content_store import ContentStore
 from . import job
 from . import standins as S
 from .oracles import CR_TITLE, ISO_FECHA, ISO_PARSED, MEXICO_FECHA, ORDER_TS, esc
@@ -60,7 +63,9 @@ def feed_docs(spark, sf) -> DataFrame:
     o, k = _orders(spark, sf).where(F.col("source_id").isin("peru", "chile")), F.col("k")
     link = F.concat(F.when(F.col("source_id") == "peru", F.lit(S.DETAIL_BASE)).otherwise(F.lit(CHILE)), k.cast("string"), F.lit("/"))
     date = F.when(k % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("<pubDate>"), F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000</pubDate>")))
-    entry = F.concat(F.lit("<item><title>Alerta "), k.cast("string"), F.lit("</title><link>"), link, F.lit("</link>"), date, F.lit("</item>"))
+    no_link = (F.col("source_id") == "chile") & (k % 19 == 0)
+    link = F.when(no_link, F.lit("")).otherwise(F.concat(F.lit("<link>"), link, F.lit("</link>")))
+    entry = F.concat(F.lit("<item><title>Alerta "), k.cast("string"), F.lit("</title>"), link, date, F.lit("</item>"))
     return _paged(o.select("*", entry.alias("entry")), "", F.lit("<rss version=\"2.0\"><channel>"), F.lit("</channel></rss>"), "xml")
 
 
@@ -93,22 +98,32 @@ def _urls() -> F.Column:
     return out
 
 
-def web_pages(spark, sf) -> DataFrame:
-    """Web pages of the alerts whose content is on the page; every fifth has none of its markup."""
+def _fetched(day: int) -> F.Column:
+    return (F.lit(f"2024-06-{day:02d} 00:00:00").cast("timestamp") + F.make_interval(secs=F.col("k") % 3600)).alias("fetched_at")
+
+
+def web_pages(spark, sf, day: int = 2) -> DataFrame:
+    """Web pages of the alerts whose content is on the page; every fifth has none of its markup. Those
+    fetched on an earlier day (a quarter) said something else."""
     o, ks = _orders(spark, sf).where(F.col("source_id").isin("brasil", "argentina")), F.col("k").cast("string")
-    brasil = F.concat(F.lit('<div class="bodyModel"><div><h4>Aviso '), ks, F.lit("</h4><p>Texto <a>aqui</a> de "), F.col("o_custkey").cast("string"), F.lit("</p></div></div>"))
-    argentina = F.concat(F.lit('<div class="title-description"><h1>Aviso '), ks, F.lit('</h1></div><div class="news__lead"><p>Texto de '),
+    said = F.lit("Texto") if day > 1 else F.lit("Antes")
+    brasil = F.concat(F.lit('<div class="bodyModel"><div><h4>Aviso '), ks, F.lit("</h4><p>"), said, F.lit(" <a>aqui</a> de "), F.col("o_custkey").cast("string"), F.lit("</p></div></div>"))
+    argentina = F.concat(F.lit('<div class="title-description"><h1>Aviso '), ks, F.lit('</h1></div><div class="news__lead"><p>'), said, F.lit(" de "),
                          F.col("o_custkey").cast("string"), F.lit("</p></div>"))
-    html = F.when(F.col("k") % 5 == 0, F.lit("<p>nada</p>")).when(F.col("source_id") == "brasil", brasil).otherwise(argentina)
-    return o.select(_urls().alias("url"), F.concat(F.lit("<html><body>"), html, F.lit("<footer>f</footer></body></html>")).alias("html"))
+    html = F.when((F.col("k") % 5 == 0) & F.lit(day > 1), F.lit("<p>nada</p>")).when(F.col("source_id") == "brasil", brasil).otherwise(argentina)
+    o = o if day > 1 else o.where("floor(k / 8) % 4 = 0")
+    return o.select(_urls().alias("url"), F.concat(F.lit("<html><body>"), html, F.lit("<footer>f</footer></body></html>")).alias("html"), _fetched(day))
 
 
-def doc_pages(spark, sf) -> DataFrame:
-    """Page texts of the documents (Peru: of the detail page's file); every fifth has none."""
+def doc_pages(spark, sf, day: int = 2) -> DataFrame:
+    """Page texts of the documents (Peru: of the detail page's file); every fifth has none. A quarter
+    was fetched on an earlier day too, with other texts."""
     o, k = _orders(spark, sf).where(~F.col("source_id").isin("brasil", "argentina") & (F.col("k") % 5 != 0)), F.col("k")
     url = F.when(F.col("source_id") == "peru", F.concat(F.lit(S.DETAIL_BASE.split("/alertas/")[0] + "/docs/"), k.cast("string"), F.lit(".pdf"))).otherwise(_urls())
     texts = F.array(F.concat(F.lit("Documento "), k.cast("string")), F.lit(""), F.concat(F.lit(" cliente  "), F.col("o_custkey").cast("string")), F.lit("fuera"))
-    return o.select(url.alias("url"), F.posexplode(texts).alias("page_no", "text"))
+    if day < 2:
+        o, texts = o.where("floor(k / 8) % 4 = 0"), F.array(*map(F.lit, ("Borrador", "viejo", "texto", "fuera")))
+    return o.select(url.alias("url"), _fetched(day), F.posexplode(texts).alias("page_no", "text"))
 
 
 def history(spark, sf) -> DataFrame:
@@ -116,31 +131,56 @@ def history(spark, sf) -> DataFrame:
     return o.select(_urls().alias("url"), F.lit("previa").alias("titulo"), F.lit("").alias("resumen"), F.lit("Previo").alias("pais"))
 
 
-def _run(spark, sf) -> tuple[job.RunResult, DataFrame]:
-    n = S._dealt(spark)
-    good, bad = job.collect(listing_pages(spark, sf), feed_docs(spark, sf), detail_pages(spark, sf), S.RUN_YEAR, partitions=n)
-    return job.run(good, history(spark, sf), web_pages(spark, sf), doc_pages(spark, sf), RU.rules_from_dict(spark, RU.COUNTRY_RULES),
-                   max_pages=3, partitions=n), bad
+def _stores(spark, sf) -> tuple[AlertStore, ContentStore]:
+    """A store with the links of earlier runs, and the fetches of two days."""
+    root = f"{checkpoint_dir(spark)}/vigia-job/store-{uuid.uuid4().hex}"
+    store, content = AlertStore(spark, root), ContentStore(spark, root + "/content")
+    store.add(history(spark, sf))
+    for day in (2, 1):  # the newest fetch counts, whichever was stored last
+        content.add(day, web_pages(spark, sf, day), doc_pages(spark, sf, day))
+    return store, content
+
+
+def _collected(spark, sf) -> tuple[DataFrame, DataFrame]:
+    return job.collect(listing_pages(spark, sf), feed_docs(spark, sf), detail_pages(spark, sf), S.RUN_YEAR, partitions=S._dealt(spark))
+
+
+def _rules(spark) -> DataFrame:
+    return RU.rules_from_dict(spark, RU.COUNTRY_RULES)
+
+
+def _run(spark, sf) -> AlertStore:
+    store, content = _stores(spark, sf)
+    job.run_on(store, _collected(spark, sf)[0], content.web_pages(), content.doc_pages(), _rules(spark), max_pages=3, partitions=S._dealt(spark))
+    return store
 
 
 def q_job_outbox(spark, sf):
-    """The messages of a run over all eight sources."""
-    return _run(spark, sf)[0].outbox
+    """The messages that a run over all eight sources committed."""
+    return _run(spark, sf).outbox().select("url", "message", "batch_id")
 
 
 def q_job_history(spark, sf):
-    """The history that the run stored (K1), read back."""
-    result, _ = _run(spark, sf)
-    root = f"{checkpoint_dir(spark)}/vigia-job/history-{uuid.uuid4().hex}"
-    job.persist_history(result, root)
-    return HS.read_history(spark, root).select("url", "titulo", "resumen", "pais")
+    """The history after the run (K1), read back."""
+    return _run(spark, sf).history().select("url", "titulo", "resumen", "pais")
+
+
+def q_job_counters(spark, sf):
+    """A10: what the run's commit says of it."""
+    c = F.col("counters")
+    return _run(spark, sf).commits().where("size(sent) > 0").select(*[c[n].alias(n) for n in ("history_rows", "candidate_rows", "novelty_rows", "stored_rows", "content_chars")])
 
 
 def q_job_quarantine(spark, sf):
     """Everything the run could not use, with the reason."""
-    n = S._dealt(spark)
-    _, bad = job.collect(listing_pages(spark, sf), feed_docs(spark, sf), detail_pages(spark, sf), S.RUN_YEAR, partitions=n)
-    return bad.select("source_id", "categoria", "page_id", "url", F.col("fatal").alias("error"))
+    return _collected(spark, sf)[1].select("source_id", "categoria", "page_id", "url", F.col("fatal").alias("error"))
+
+
+def q_job_content(spark, sf):
+    """J4 + S9: the newest content of the links that the run's news want, from a store of two days."""
+    store, content = _stores(spark, sf)
+    routed = C.content_route(RU.with_rules(store.novelty(_collected(spark, sf)[0]), _rules(spark), "pais"))
+    return job.content_table(routed, content.web_pages(), content.doc_pages(), _rules(spark), max_pages=3, partitions=S._dealt(spark))
 
 
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}
@@ -169,7 +209,7 @@ _ALERTS = f"""(SELECT k, {_URL} AS url, {CR_TITLE} AS cr,
     ['DIGEMID', 'ISPCH', 'ANVISA', 'INVIMA', 'COFEPRIS', 'ANMAT', 'AGEMED', 'MinSalud'][k % 8 + 1] AS institucion,
     CASE WHEN k % 5 = 0 THEN NULL WHEN k % 8 = 2 THEN 'Aviso ' || k || ' Texto de ' || o_custkey
         WHEN k % 8 = 5 THEN 'Aviso ' || k || ' Texto de ' || o_custkey ELSE 'Documento ' || k || ' cliente ' || o_custkey END AS content
-    FROM {_BASE} WHERE NOT failed AND CASE k % 8 WHEN 0 THEN k % 17 <> 0 AND k % 11 <> 0 WHEN 1 THEN true WHEN 2 THEN k % 11 <> 0
+    FROM {_BASE} WHERE NOT failed AND CASE k % 8 WHEN 0 THEN k % 17 <> 0 AND k % 11 <> 0 WHEN 1 THEN k % 19 <> 0 WHEN 2 THEN k % 11 <> 0
         WHEN 3 THEN k % 11 <> 0 AND k % 13 <> 0 WHEN 4 THEN k % 11 <> 0 WHEN 5 THEN true
         WHEN 6 THEN k % 13 <> 0 AND k % 11 <> 0 AND year(o_orderdate) = {S.RUN_YEAR}
         ELSE k % 11 <> 0 AND (NOT {ISO_PARSED} OR year({ORDER_TS}) = {S.RUN_YEAR}) END)"""
@@ -183,7 +223,11 @@ ORACLES = {
         UNION ALL SELECT url, titulo, resumen, pais FROM {_NEWS}""",
     "job_quarantine": f"""WITH b AS (SELECT *, {SOURCES}[k % 8 + 1] AS source_id, ((k // {BLOCK}) * 10 + categoria_rank) * 10 AS page_id FROM {_BASE})
         SELECT DISTINCT source_id, o_orderpriority AS categoria, page_id, NULL AS url, 'HTTP 500' AS error FROM b WHERE failed
-        UNION ALL SELECT source_id, o_orderpriority, page_id, {_URL}, CASE WHEN k % 8 = 3 THEN 'bad date: ' || year(o_orderdate) || '-13-45'
+        UNION ALL SELECT source_id, o_orderpriority, page_id, CASE WHEN k % 8 <> 1 THEN {_URL} END, CASE WHEN k % 8 = 1 THEN 'no link' WHEN k % 8 = 3 THEN 'bad date: ' || year(o_orderdate) || '-13-45'
             WHEN k % 17 = 0 THEN 'detail page missing' ELSE 'no pdf link on detail page' END
-        FROM b WHERE NOT failed AND ((k % 8 = 0 AND (k % 17 = 0 OR k % 11 = 0)) OR (k % 8 = 3 AND k % 13 = 0 AND k % 11 <> 0))""",
+        FROM b WHERE NOT failed AND ((k % 8 = 0 AND (k % 17 = 0 OR k % 11 = 0)) OR (k % 8 = 1 AND k % 19 = 0) OR (k % 8 = 3 AND k % 13 = 0 AND k % 11 <> 0))""",
+    "job_counters": f"""SELECT (SELECT count(*) FROM {_BASE} WHERE k % 3 = 0) AS history_rows, (SELECT count(*) FROM {_ALERTS}) AS candidate_rows,
+        count(*) AS novelty_rows, count(DISTINCT url) AS stored_rows, CAST(coalesce(sum(length(content)), 0) AS BIGINT) AS content_chars FROM {_NEWS}""",
+    "job_content": f"""SELECT CASE WHEN k % 8 = 0 THEN '{_HOST}/docs/' || k || '.pdf' ELSE url END AS content_key, content FROM {_NEWS}
+        WHERE content IS NOT NULL""",
 }

@@ -25,8 +25,9 @@ from ..operators import history as H
 from ..operators import notify as N
 from ..operators import profiles as PR
 from ..operators import report as R
-from ..operators.select import Field, RecordSpec, extract_records, html_content
-from ..operators.shred import shred, spread
+from ..operators.masks import page_content, page_records
+from ..operators.select import Field, RecordSpec
+from ..operators.shred import dealt, shred, spread
 from ..session import checkpoint_dir, pin_session
 from ..sources import feeds as FD
 from ..sources import history as HS
@@ -316,8 +317,8 @@ def _dealt(spark) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
-def _listing_rows(spark, sf, source):
-    return shred(render_listing(spark, sf, source), keep=["categoria", "categoria_rank"], partitions=_dealt(spark))
+def _listing_pages(spark, sf, source):
+    return dealt(render_listing(spark, sf, source), "page_id", _dealt(spark))
 
 
 def _alert_cols(df):
@@ -325,24 +326,24 @@ def _alert_cols(df):
 
 
 def q_cards_brasil(spark, sf):
-    return _alert_cols(E.apply_error_policy(PR.cards_brasil(_listing_rows(spark, sf, "brasil")), ["source_id"], parity=False))
+    return _alert_cols(E.apply_error_policy(PR.cards_brasil(_listing_pages(spark, sf, "brasil")), ["source_id"], parity=False))
 
 
 def q_cards_colombia(spark, sf):
-    return _alert_cols(E.apply_error_policy(PR.cards_colombia(_listing_rows(spark, sf, "colombia")), ["source_id"], parity=False))
+    return _alert_cols(E.apply_error_policy(PR.cards_colombia(_listing_pages(spark, sf, "colombia")), ["source_id"], parity=False))
 
 
 def q_cards_mexico(spark, sf):
-    return _alert_cols(PR.cards_mexico(_listing_rows(spark, sf, "mexico")))
+    return _alert_cols(PR.cards_mexico(_listing_pages(spark, sf, "mexico")))
 
 
 def q_topn_per_category(spark, sf):
-    m = PR.cards_mexico(_listing_rows(spark, sf, "mexico"), top_n=10)
+    m = PR.cards_mexico(_listing_pages(spark, sf, "mexico"), top_n=10)
     return m.groupBy("categoria").agg(F.count(F.lit(1)).alias("n_alertas"))
 
 
 def q_cards_argentina(spark, sf):
-    return _alert_cols(PR.cards_argentina(_listing_rows(spark, sf, "argentina")))
+    return _alert_cols(PR.cards_argentina(_listing_pages(spark, sf, "argentina")))
 
 
 def _row_bolivia(k, status):
@@ -378,24 +379,24 @@ def render_tables(spark, sf, source: str) -> DataFrame:
 
 
 def q_rows_bolivia(spark, sf):
-    r = PR.rows_bolivia(shred(render_tables(spark, sf, "bolivia"), keep=["categoria", "categoria_rank"], partitions=_dealt(spark)), RUN_YEAR)
+    r = PR.rows_bolivia(dealt(render_tables(spark, sf, "bolivia"), "page_id", _dealt(spark)), RUN_YEAR)
     return r.select("url", "titulo", "fecha")
 
 
 def q_rows_costarica(spark, sf):
-    r = PR.rows_costarica(shred(render_tables(spark, sf, "costarica"), keep=["categoria", "categoria_rank"], partitions=_dealt(spark)), RUN_YEAR)
+    r = PR.rows_costarica(dealt(render_tables(spark, sf, "costarica"), "page_id", _dealt(spark)), RUN_YEAR)
     return r.select("url", "titulo", "fecha")
 
 
 # ------------------------------------------------------------------------ generic HTML
 
-def _pages_rows(spark, sf):
+def _pages(spark, sf):
     p = T(spark, sf, "pages").select("page_id", "html")
-    return shred(p, partitions=spread(p))
+    return dealt(p, "page_id", spread(p))
 
 
 def q_html_blocks(spark, sf):
-    rows = _pages_rows(spark, sf).where(F.col("kind") == "el")
+    rows = shred(_pages(spark, sf)).where(F.col("kind") == "el")
     return rows.groupBy("page_id").agg(
         F.count(F.lit(1)).alias("n_elements"),
         F.count_if(F.col("tag") == "p").alias("n_p"),
@@ -415,13 +416,13 @@ HTML_SELECT = RecordSpec(None, {
 
 
 def q_html_select(spark, sf):
-    r = extract_records(_pages_rows(spark, sf), "page_id", HTML_SELECT)
+    r = page_records(_pages(spark, sf), "page_id", HTML_SELECT)
     return r.select("page_id", "title", "h1", "nav_href", "nav_text", "ad", "footer")
 
 
 def q_element_text_modes(spark, sf):
     spec = RecordSpec(None, {"a": Field("nav ul", "text_a"), "b": Field("nav ul", "text_b"), "c": Field("nav ul", "text_c")})
-    r = extract_records(_pages_rows(spark, sf), "page_id", spec)
+    r = page_records(_pages(spark, sf), "page_id", spec)
     return r.select("page_id", F.col("a").alias("text_a"), F.col("b").alias("text_b"), F.col("c").alias("text_c"))
 
 
@@ -446,8 +447,8 @@ def q_rules_join(spark, sf):
 
 def q_html_content(spark, sf):
     p = _page_lang(T(spark, sf, "pages").select("page_id", "url", "html"))
-    rows = RU.with_rules(shred(p, keep=["lang"], partitions=spread(p)), RU.rules_bundled(spark, PAGE_RULES), "lang")
-    return html_content(rows, "page_id", keep=["lang"])
+    ruled = RU.with_rules(dealt(p, "page_id", spread(p)), RU.rules_bundled(spark, PAGE_RULES), "lang")
+    return page_content(ruled, "page_id", keep=["lang"])
 
 
 # ------------------------------------------------------------------------ detail pages
@@ -474,7 +475,7 @@ def render_details(spark, sf) -> DataFrame:
 
 def _details(spark, sf):
     p = render_details(spark, sf)
-    return PR.detail_fields(shred(p, keep=["url"], partitions=spread(p)))
+    return PR.detail_fields(dealt(p, "page_id", spread(p)))
 
 
 def q_detail_fields(spark, sf):
