@@ -16,6 +16,7 @@ from vigia.operators.select import Field, RecordSpec, extract_records, html_cont
 from vigia.operators.shred import parse_errors, shred, spread
 from vigia.plans import job
 from vigia.sources.alert_store import AlertStore
+from vigia.sources.content_store import PlainContent
 from vigia.sources import catalogue as CA
 from vigia.sources import history as HS
 from vigia.sources import rules as RU
@@ -138,7 +139,7 @@ def test_pages_are_parsed_once_in_a_whole_run(spark, monkeypatch, scratch):
     assert sum(p.count("MapInArrow") for p in plans) == 7  # six listing sources and Peru's detail pages
     store = AlertStore(spark, scratch)
     web, docs = spark.createDataFrame([], "url string, html string"), spark.createDataFrame([], "url string, page_no int, text string")
-    job.run_on(store, good, web, docs, RU.rules_from_dict(spark, RU.COUNTRY_RULES))
+    job.run_on(store, good, PlainContent(web, docs), RU.rules_from_dict(spark, RU.COUNTRY_RULES))
     plans += [_plan(good), _plan(bad), _plan(store.outbox()), _plan(store.history())]
     assert sum(p.count("MapInArrow") for p in plans) == 8  # and the news' web pages
 

@@ -23,6 +23,7 @@ from ..operators.masks import page_content
 from ..operators.shred import dealt, spread
 from ..session import checkpoint_dir
 from ..sources.alert_store import AlertStore
+from ..sources.content_store import ContentStore, PlainContent
 from ..sources import feeds as FD
 from ..sources import history as HS
 from ..sources import rules as RU
@@ -102,24 +103,21 @@ def collect(listing_pages: DataFrame, feed_docs: DataFrame, detail_pages: DataFr
     return good, rows.where(F.col("fatal").isNotNull()).drop("scope")
 
 
-def content_table(routed: DataFrame, web_pages: DataFrame, doc_pages: DataFrame, rules: DataFrame,
+def content_table(routed: DataFrame, content: ContentStore | PlainContent, rules: DataFrame,
                   max_pages: int | None = None, partitions: int | None = None) -> DataFrame:
-    """U3 + J4: ``content_key, content`` for routed alerts (P6): web pages (url, html) under their
-    country's rules, documents (url, page_no, text) by their pages; both may hold any number of
-    fetches (``fetched_at``), the newest of a page counts. The stores are cut down to the links
-    the alerts want before anything is grouped or exchanged, and written as one row a key."""
+    """U3 + J4: ``content_key, content`` for routed alerts (P6): web pages under their country's rules,
+    documents by their pages; of any number of fetches of a page the newest counts. What was
+    fetched is cut down to the links the alerts want before anything is grouped, in a store
+    without an exchange, and the result is written as one row a key."""
     want = stored(routed.select(F.col("content_key").alias("url"), "pais", "content_type").where("url IS NOT NULL").distinct(), "wanted")
     of_web, of_docs = want.where("content_type = 'html'"), want.where("content_type = 'pdf'")
-    at = lambda df: [c for c in ("fetched_at",) if c in df.columns]
-    fetched = web_pages.select("url", "html", *at(web_pages)).join(of_web.select("url").distinct(), "url", "left_semi")
-    fetched = C.newest_fetch(fetched, ["url"]).select("url", "html").join(of_web.select("url", "pais"), "url")
+    fetched = C.newest_fetch(content.web_pages(of_web.select("url").distinct()), ["url"]).select("url", "html").join(of_web.select("url", "pais"), "url")
     # an address may serve two countries: its rows are told apart by both
     fetched = fetched.select(F.to_json(F.array("url", "pais")).alias("page_id"), "url", "html", "pais")
     ruled = RU.with_rules(dealt(fetched, "page_id", partitions), rules, "pais")
     web = page_content(ruled, "page_id", keep=["url", "pais"]).select(F.col("url").alias("content_key"), "content")
-    pages = doc_pages.select("url", "page_no", "text", *at(doc_pages))
-    pages = pages if max_pages is None else pages.where(F.col("page_no") < max_pages)
-    pages = C.newest_fetch(pages.join(of_docs.select("url").distinct(), "url", "left_semi"), ["url", "page_no"])
+    pages = content.doc_pages(of_docs.select("url").distinct())
+    pages = C.newest_fetch(pages if max_pages is None else pages.where(F.col("page_no") < max_pages), ["url", "page_no"])
     docs = C.doc_first_pages(pages, "url", "page_no", "text", max_pages)
     return stored(C.one_per_key(web.unionByName(docs.withColumnRenamed("url", "content_key")).where("content is not null"), "content_key"), "content")
 
@@ -132,14 +130,14 @@ class RunResult:
     counters: DataFrame
 
 
-def enriched_news(news: DataFrame, web_pages: DataFrame, doc_pages: DataFrame, rules: DataFrame, *,
-                  summariser: C.Summariser = C.default_summariser, max_pages: int | None = None, partitions: int | None = None) -> DataFrame:
+def enriched_news(news: DataFrame, content: ContentStore | PlainContent, rules: DataFrame, *, summariser: C.Summariser = C.default_summariser,
+                  max_pages: int | None = None, partitions: int | None = None) -> DataFrame:
     """P6/J3 → U3/J4/P9, computed once into the shared folder: the summary a message carries is the
     one that history stores, also for a model."""
     routed = C.content_route(RU.with_rules(news, rules, "pais")).drop(
         "container_sel", "selectors_sel", "remove_sel", "note", "container", "selectors", "remove", "rule_error")
-    content = content_table(routed, web_pages, doc_pages, rules, max_pages, partitions)
-    return stored(C.enrich(routed, content, summariser), "news")
+    texts = content_table(routed, content, rules, max_pages, partitions)
+    return stored(C.enrich(routed, texts, summariser), "news")
 
 
 def run(candidates: DataFrame, history: DataFrame, web_pages: DataFrame, doc_pages: DataFrame, rules: DataFrame, *,
@@ -148,23 +146,22 @@ def run(candidates: DataFrame, history: DataFrame, web_pages: DataFrame, doc_pag
     """J1 → P6/J3 → U3/J4/P9 → K2 → A8 against a history table; nothing is stored (for that, see
     :func:`run_on`)."""
     news = stored(H.novelty(candidates, history), "novelty")
-    enriched = enriched_news(news, web_pages, doc_pages, rules, summariser=summariser, max_pages=max_pages, partitions=partitions)
+    enriched = enriched_news(news, PlainContent(web_pages, doc_pages), rules, summariser=summariser, max_pages=max_pages, partitions=partitions)
     out = N.outbox(enriched, batch_id=batch_id, silent=silent)
     merged = H.merge_history(HS.backfill(history), enriched.drop("content", "content_key", "content_type"))
     counters = H.run_counters(history, candidates, enriched, merged, enriched)
     return RunResult(enriched, out, merged, counters)
 
 
-def run_on(store: AlertStore, candidates: DataFrame, web_pages: DataFrame, doc_pages: DataFrame, rules: DataFrame, *,
-           batch_id: str = "0", silent: bool = False, summariser: C.Summariser = C.default_summariser,
-           max_pages: int | None = None, partitions: int | None = None) -> int | None:
+def run_on(store: AlertStore, candidates: DataFrame, content: ContentStore | PlainContent, rules: DataFrame, *,
+           batch_id: str = "0", silent: bool = False, summariser: C.Summariser = C.default_summariser, max_pages: int | None = None, partitions: int | None = None) -> int | None:
     """The whole run on a store: novelty against its links, content, summary, then the new links, the
     messages (none in silent mode) and the counters (A10) under one commit. Returns the batch, none
     if there was nothing new (K1). A run that dies anywhere before the commit can be repeated.
 
     Counters come from written tables, not from accumulators, which count a retried task twice."""
     news = stored(store.novelty(candidates), "novelty")
-    enriched = enriched_news(news, web_pages, doc_pages, rules, summariser=summariser, max_pages=max_pages, partitions=partitions)
+    enriched = enriched_news(news, content, rules, summariser=summariser, max_pages=max_pages, partitions=partitions)
     seen = enriched.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("content")), F.lit(0)).alias("chars")).first()
     counters = {"history_rows": store.state().rows, "candidate_rows": candidates.count(), "novelty_rows": seen["n"], "content_chars": seen["chars"]}
     messages = None if silent else N.outbox(enriched, batch_id=batch_id)

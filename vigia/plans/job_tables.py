@@ -151,7 +151,7 @@ def _rules(spark) -> DataFrame:
 
 def _run(spark, sf) -> AlertStore:
     store, content = _stores(spark, sf)
-    job.run_on(store, _collected(spark, sf)[0], content.web_pages(), content.doc_pages(), _rules(spark), max_pages=3, partitions=S._dealt(spark))
+    job.run_on(store, _collected(spark, sf)[0], content, _rules(spark), max_pages=3, partitions=S._dealt(spark))
     return store
 
 
@@ -180,7 +180,7 @@ def q_job_content(spark, sf):
     """J4 + S9: the newest content of the links that the run's news want, from a store of two days."""
     store, content = _stores(spark, sf)
     routed = C.content_route(RU.with_rules(store.novelty(_collected(spark, sf)[0]), _rules(spark), "pais"))
-    return job.content_table(routed, content.web_pages(), content.doc_pages(), _rules(spark), max_pages=3, partitions=S._dealt(spark))
+    return job.content_table(routed, content, _rules(spark), max_pages=3, partitions=S._dealt(spark))
 
 
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}

@@ -61,7 +61,8 @@ class AlertStore:
         out = State()
         for c in self.commits().collect():
             out.seq = c["seq"]
-            out.history = [b for b in out.history if b not in c["dropped"]] + list(c["added"])
+            rest = [b for b in out.history if b not in c["dropped"]]
+            out.history = [*c["added"], *rest] if c["dropped"] else [*rest, *c["added"]]  # what was merged is older than the rest
             out.outbox += list(c["sent"])
             out.rows += (c["counters"] or {}).get("stored_rows", 0)
         return out
@@ -91,10 +92,12 @@ class AlertStore:
         return self.spark.read.schema(schema).parquet(self.root + "/outbox").where(F.col("batch").isin(sent))
 
     def fresh_links(self, candidates: DataFrame, key: str = "url") -> DataFrame:
-        """The distinct links of ``candidates`` that no committed batch has. Only they move (into
-        the buckets' partitions); the history is read where it lies, links only."""
+        """The distinct links of ``candidates`` that no committed batch has. They move to the buckets;
+        the history, links only, is read where it lies, and gives the few that it knows. (A direct
+        anti join would be pushed below the move of the links, and then move the history.)"""
         links = candidates.select(F.col(key).alias("url")).where(F.col("url").isNotNull()).distinct()
-        return links.join(self.log.read(self.state().history).select("url"), "url", "left_anti")
+        seen = self.log.read(self.state().history).select("url").join(self.log.dealt(links), "url", "left_semi")
+        return links.join(seen, "url", "left_anti")
 
     def novelty(self, candidates: DataFrame) -> DataFrame:
         """J1 + P3: candidates with a fresh link; duplicates inside the batch stay. The fresh links are

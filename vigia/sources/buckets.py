@@ -27,7 +27,7 @@ def missing(e: AnalysisException) -> bool:
 class BucketedLog:
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str = "url", sort: tuple[str, ...] = (), buckets: int | None = None):
         self.spark, self.root, self.schema, self.key, self.sort = spark, root.rstrip("/"), schema, key, (key, *sort)
-        self.wanted = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.first_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.name = "vigia_log_" + hashlib.md5(self.root.encode()).hexdigest()
 
     @property
@@ -61,12 +61,22 @@ class BucketedLog:
         rows = self.spark.table(self._table(buckets))
         return rows if batches is None else rows.where(F.col("batch").isin(batches))
 
+    def dealt(self, keys: DataFrame) -> DataFrame:
+        """``keys`` (one column, the key) where the buckets are: in as many partitions, by the same
+        hash. Left to itself, the planner moves the table instead where it has few buckets."""
+        buckets = self.buckets
+        return keys if buckets is None else keys.repartition(buckets, self.key)
+
+    def wanted(self, keys: DataFrame) -> DataFrame:
+        """Rows with one of the (distinct) ``keys``; only the keys move."""
+        return self.read().drop("batch").join(self.dealt(keys), self.key, "left_semi")
+
     def append(self, rows: DataFrame, batch: int) -> None:
         """``rows`` (the schema's columns, by name) as batch ``batch``, replacing what it held. Rows
         are dealt by the key, one file a bucket; rows that lie in buckets already stay there."""
         buckets = self.buckets
         if buckets is None:
-            buckets = self.wanted
+            buckets = self.first_buckets
             self.empty().write.mode("append").partitionBy("batch").parquet(self.root + "/data")  # the folder itself
             self.spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(self.root + "/_layout")
         rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
@@ -78,10 +88,10 @@ class BucketedLog:
             self.spark.catalog.dropTempView(view)
 
     def merge(self, batches: list[int], into: int) -> None:
-        """The rows of ``batches`` as one batch, bucket by bucket (nothing is exchanged)."""
+        """The rows of ``batches`` as one new batch, bucket by bucket (nothing is exchanged)."""
         view = f"{self.name}_merge"
         self.read(batches).drop("batch").createOrReplaceTempView(view)
         try:
-            self.spark.sql(f"INSERT OVERWRITE TABLE {self.name} PARTITION (batch = {int(into)}) SELECT * FROM {view}")
+            self.spark.sql(f"INSERT INTO TABLE {self.name} PARTITION (batch = {int(into)}) SELECT * FROM {view}")
         finally:
             self.spark.catalog.dropTempView(view)

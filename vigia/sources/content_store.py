@@ -35,10 +35,25 @@ class ContentStore:
         if docs is not None:
             self.docs.append(newest_fetch(docs.where(F.col("url").isNotNull()), ["url", "page_no"]), batch)
 
-    def web_pages(self) -> DataFrame:
-        """All fetches: ``url, html, fetched_at``."""
-        return self.web.read().drop("batch")
+    def web_pages(self, urls: DataFrame | None = None) -> DataFrame:
+        """Fetches of the given distinct ``urls`` (of all, without): ``url, html, fetched_at``."""
+        return self.web.read().drop("batch") if urls is None else self.web.wanted(urls)
 
-    def doc_pages(self) -> DataFrame:
-        """All fetches: ``url, page_no, text, fetched_at``."""
-        return self.docs.read().drop("batch")
+    def doc_pages(self, urls: DataFrame | None = None) -> DataFrame:
+        """Fetches of the given distinct ``urls`` (of all, without): ``url, page_no, text, fetched_at``."""
+        return self.docs.read().drop("batch") if urls is None else self.docs.wanted(urls)
+
+
+class PlainContent:
+    """The same reads from two plain tables (url, html) and (url, page_no, text), with or without
+    ``fetched_at``: the join with the urls is the planner's."""
+
+    def __init__(self, web: DataFrame, docs: DataFrame):
+        at = lambda df: [c for c in ("fetched_at",) if c in df.columns]
+        self.web, self.docs = web.select("url", "html", *at(web)), docs.select("url", "page_no", "text", *at(docs))
+
+    def web_pages(self, urls: DataFrame) -> DataFrame:
+        return self.web.join(urls, "url", "left_semi")
+
+    def doc_pages(self, urls: DataFrame) -> DataFrame:
+        return self.docs.join(urls, "url", "left_semi")
