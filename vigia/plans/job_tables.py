@@ -20,8 +20,10 @@ from ..session import checkpoint_dir
 from ..sources import rules as RU
 from ..sources.alert_store import AlertStore
 from ..sources.content_store import ContentStore
+from ..streaming import stateful
 from . import job
 from . import standins as S
+from .oracles import ORACLES as STANDIN_ORACLES
 from .oracles import CR_TITLE, ISO_FECHA, ISO_PARSED, MEXICO_FECHA, ORDER_TS, esc
 
 BLOCK = 320  # consecutive order keys a page covers (40 a source, split by category)
@@ -183,6 +185,20 @@ def q_job_content(spark, sf):
     return job.content_table(routed, content, _rules(spark), max_pages=3, partitions=S._dealt(spark))
 
 
+def q_stream_novelty(spark, sf):
+    """The history after three runs of the stream, each restarted from its checkpoint, over thirds
+    of the candidates in order; the links of earlier jobs are the initial state."""
+    root = f"{checkpoint_dir(spark)}/vigia-job/stream-{uuid.uuid4().hex}"
+    store = AlertStore(spark, root + "/store")
+    store.add(S._event_history(spark, sf))
+    rows = S._event_alerts(spark, sf).drop("user_id")
+    last = rows.agg(F.max("item_pos")).first()[0]
+    for third in range(3):
+        rows.where(F.floor(F.col("item_pos") * 3 / F.lit(last + 1)) == third).write.mode("append").parquet(root + "/in")
+        stateful.start(spark, root + "/in", rows.schema, store, root + "/checkpoint").awaitTermination()
+    return store.history().select("url", "titulo", "resumen", "item_pos")
+
+
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}
 
 # ---- SQL -----------------------------------------------------------------------------------
@@ -216,6 +232,7 @@ _ALERTS = f"""(SELECT k, {_URL} AS url, {CR_TITLE} AS cr,
 _FLAG = "CASE pais " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FLAGS.items()) + f" ELSE '{DEFAULT_FLAG}' END"
 _NEWS = f"(SELECT *, coalesce(content, titulo) AS resumen FROM {_ALERTS} WHERE k % 3 <> 0)"
 ORACLES = {
+    "stream_novelty": STANDIN_ORACLES["history_merge"],
     "job_outbox": f"""SELECT url, {_FLAG} || ' <b>NUEVA ALERTA - ' || pais || '</b>' || chr(10) || '🏛 <b>Institución:</b> ' || institucion
         || chr(10) || '📅 <b>Fecha:</b> ' || fecha || chr(10) || chr(10) || '⚠️ <b>' || {esc('resumen')} || '</b>' || chr(10) || chr(10)
         || '🔗 ' || url AS message, '0' AS batch_id FROM {_NEWS}""",

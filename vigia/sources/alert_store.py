@@ -67,8 +67,8 @@ class AlertStore:
             out.rows += (c["counters"] or {}).get("stored_rows", 0)
         return out
 
-    def _commit(self, seq: int, added: list[int], dropped: list[int], sent: list[int], counters: dict[str, int]) -> None:
-        run = uuid.uuid4().hex
+    def _commit(self, seq: int, added: list[int], dropped: list[int], sent: list[int], counters: dict[str, int], run: str | None = None) -> None:
+        run = run or uuid.uuid4().hex
         one = self.spark.createDataFrame([(seq, run, added, dropped, sent, counters)], COMMIT_SCHEMA)
         one.coalesce(1).write.mode("append").parquet(self.root + "/_commits")
         if self.commits().where(F.col("seq") == seq).count() > 1:
@@ -83,6 +83,10 @@ class AlertStore:
     def history(self) -> DataFrame:
         return self.log.read(self.state().history).drop("batch")
 
+    def links(self) -> DataFrame:
+        """The distinct links of the history, ``url``, as a plain scan of one column."""
+        return self.log.files(self.state().history).select("url")
+
     def outbox(self) -> DataFrame:
         """Messages of committed runs: ``url, message, batch_id``, and their ``batch``."""
         schema = "url string, message string, batch_id string, batch long"
@@ -109,9 +113,13 @@ class AlertStore:
 
     # ---- writes
 
-    def add(self, news: DataFrame, messages: DataFrame | None = None, counters: dict[str, int] | None = None) -> int | None:
+    def add(self, news: DataFrame, messages: DataFrame | None = None, counters: dict[str, int] | None = None, run: str | None = None) -> int | None:
         """Store ``news`` (rows with fresh links; the first of each link is kept, A8) and their
-        ``messages``, under one commit. Returns the batch, none if there is no news (K1)."""
+        ``messages``, under one commit. Returns the batch, none if there is no news (K1). A ``run``
+        that has its commit already (a micro-batch replayed) changes nothing."""
+        done = self.commits().where(F.col("run") == run).collect() if run else []
+        if done:
+            return done[0]["added"][0]
         seq = self.state().seq + 1
         batch = self._next_batch(seq)
         order = [c for c in H.ORDER if c in news.columns]
@@ -123,7 +131,7 @@ class AlertStore:
         if messages is not None:
             messages.select("url", "message", F.col("batch_id").cast("string").alias("batch_id"), F.lit(batch).cast("long").alias("batch")).write.mode(
                 "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(self.root + "/outbox")
-        self._commit(seq, [batch], [], [batch] if messages is not None and not messages.isEmpty() else [], (counters or {}) | {"stored_rows": stored})
+        self._commit(seq, [batch], [], [batch] if messages is not None and not messages.isEmpty() else [], (counters or {}) | {"stored_rows": stored}, run)
         return batch
 
     def compact(self, keep: int = 1) -> int | None:

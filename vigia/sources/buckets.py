@@ -61,6 +61,13 @@ class BucketedLog:
         rows = self.spark.table(self._table(buckets))
         return rows if batches is None else rows.where(F.col("batch").isin(batches))
 
+    def files(self, batches: list[int]) -> DataFrame:
+        """The same rows as plain files, for readers that have no use for the buckets."""
+        if self.buckets is None or not batches:
+            return self.empty()
+        schema = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
+        return self.spark.read.schema(schema).parquet(self.root + "/data").where(F.col("batch").isin(batches))
+
     def dealt(self, keys: DataFrame) -> DataFrame:
         """``keys`` (one column, the key) where the buckets are: in as many partitions, by the same
         hash. Left to itself, the planner moves the table instead where it has few buckets."""
