@@ -41,6 +41,29 @@ def test_only_the_touched_stretch_is_encoded(counter):
     assert doc.n_tokens == len(counter.encoding.encode_ordinary(doc.text))
 
 
+def test_edits_beside_white_space_at_every_leaf_border(counter):
+    """Runs of white space laid over each border between leaves, and edits at every place around them."""
+    wrong, n = 0, 0
+    for run in ("\n\n", " \n", "\n ", "  ", "   ", "\n\n\n", " \t ", "\r\n"):
+        for lead in range(LEAF - 3, LEAF + 2):
+            text = " ".join("abcdefgh"[k % 8] for k in range(lead)) + run + "b" + " c" * (LEAF + 5)
+            at = text.index(run)
+            for start in range(at - 2, at + len(run) + 3):
+                for size, new in ((1, ""), (2, ""), (0, "x"), (0, "\n"), (1, " "), (0, " y")):
+                    doc = CountedText(text, counter)
+                    doc.edit(start, start + size, new)
+                    n += 1
+                    wrong += doc.n_tokens != len(counter.encoding.encode_ordinary(text[:start] + new + text[start + size:]))
+    assert wrong == 0 and n > 1000
+
+
+def test_the_edit_that_frees_a_run_of_breaks(counter):
+    text = " ".join("abcdefgh"[k % 8] for k in range(LEAF - 1)) + "\n\nb"
+    doc = CountedText(text, counter)
+    doc.edit(len(text) - 1, len(text), "")
+    assert doc.n_tokens == len(counter.encoding.encode_ordinary(text[:-1]))
+
+
 def test_whole_table_against_encoding(spark, counter):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     got = {r.doc_id: r for r in token_counts(with_redactions(docs), PATH, P.PATTERN).collect()}

@@ -117,7 +117,9 @@ class CountedText:
         tree, n = self.tree, len(self.text)
         start = min(max(start, 0), n)
         stop = min(max(stop, start), n)
-        leaf, begin = tree.find(max(start - 1, 0)) if n else (0, 0)
+        # the cut before a run of white space may depend on what follows the run
+        cut = len(self.text[:start].rstrip()) if start and self.text[start - 1].isspace() else start
+        leaf, begin = tree.find(max(cut - 1, 0)) if n else (0, 0)
         grow = len(text) - (stop - start)
         self.text = self.text[:start] + text + self.text[stop:]
         settled = start + len(text)  # old and new text agree from here on
