@@ -70,8 +70,8 @@ def _solve(hist: DataFrame, sources: DataFrame, cap: float, steps: int = 60, at_
     for _ in range(0, steps, at_once):
         for _ in range(at_once):
             sums = hist.filter("size > 0").join(state.drop("gap"), "sid").groupBy(*keep).agg(
-                F.sum(F.col("n") * F.col("size") * rate).alias("f"),
-                F.sum(F.when(rate < cap, F.col("n") * F.col("size") * x * rate).otherwise(0.0)).alias("df"))
+                _exact_sum(F.col("n") * F.col("size") * rate).alias("f"),
+                _exact_sum(F.when(rate < cap, F.col("n") * F.col("size") * x * rate).otherwise(0.0)).alias("df"))
             gap = F.col("f") - F.col("target")
             sums = (sums.withColumn("gap", gap)
                     .withColumn("lo", F.when(gap < 0, F.greatest("lo", "lam")).otherwise(F.col("lo")))
@@ -84,17 +84,41 @@ def _solve(hist: DataFrame, sources: DataFrame, cap: float, steps: int = 60, at_
         state = written(state, "mixing-multipliers")
         if not state.filter(F.abs("gap") > 1e-9 * F.col("target")).limit(1).count():
             break
+    else:
+        worst = state.agg(F.max(F.abs("gap") / F.col("target")).alias("worst")).first()["worst"]
+        if worst is not None and worst > 1e-6:  # beyond what the bracket can still close in doubles
+            raise RuntimeError(f"entropy balancing left a gap of {worst:.2g} of a source's target after {steps} steps")
     return state.select("sid", "lam")
 
 
+def _exact_sum(value: Column) -> Column:
+    """A sum that does not depend on the order of its rows."""
+    return F.sum(value.cast("decimal(30,8)")).cast("double")
+
+
+def _running(groups: DataFrame) -> DataFrame:
+    """``groups`` with ``before`` and ``upto``: the sums of ``want`` (a whole number) over the groups of
+    the source up to this one, larger sizes first. Sums run inside ranges of the order, each in a
+    task of its own, and over the ranges' few totals."""
+    by = ["sid", F.desc("size"), "bucket"]
+    laid = written(groups.repartitionByRange(*by).withColumn("part", F.spark_partition_id()), "mixing-ranges")
+    totals = laid.groupBy("sid", "part").agg(F.sum("want").alias("total"))
+    ahead = Window.partitionBy("sid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select("sid", "part", F.coalesce(F.sum("total").over(ahead), F.lit(0)).alias("ahead"))
+    inside = F.sum("want").over(Window.partitionBy("sid", "part").orderBy(F.desc("size"), "bucket").rowsBetween(Window.unboundedPreceding, 0))
+    return (laid.withColumn("inside", inside).join(totals, ["sid", "part"]).withColumn("upto", F.col("ahead") + F.col("inside"))
+            .withColumn("before", F.col("upto") - F.col("want")).drop("part", "inside", "ahead"))
+
+
+UNIT = 1 << 20  # parts of a copy, so that running sums are whole numbers
+
+
 def _rounded(groups: DataFrame, cap: float, moves: int = 3) -> DataFrame:
     """Copies of each group's documents: all get ``base``, ``extra`` of them one more."""
     g = (groups.withColumn("rate", _rate(cap)).withColumn("base", F.floor(F.col("rate") + F.lit(1e-9)))
-         .withColumn("want", F.col("n") * F.greatest(F.col("rate") - F.col("base"), F.lit(0.0))))
-    order = Window.partitionBy("sid").orderBy(F.col("size").desc(), "bucket")
-    upto = F.floor(F.sum("want").over(order) + F.lit(0.5))
-    before = F.coalesce(F.floor(F.sum("want").over(order.rowsBetween(Window.unboundedPreceding, -1)) + F.lit(0.5)), F.lit(0))
-    g = g.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("n"), upto - before)).cast("long"))
+         .withColumn("want", F.round(F.col("n") * F.greatest(F.col("rate") - F.col("base"), F.lit(0.0)) * UNIT).cast("long")))
+    nearest = lambda c: F.shiftright(F.col(c) + UNIT // 2, 20)
+    g = _running(g).withColumn("extra", F.greatest(F.lit(0), F.least(F.col("n"), nearest("upto") - nearest("before"))).cast("long")).drop("upto", "before")
     for _ in range(moves):
         gap = g.groupBy("sid").agg((F.max("target") - F.sum(F.col("size") * (F.col("n") * F.col("base") + F.col("extra")))).alias("gap"))
         room = F.when(F.col("gap") > 0, (F.col("extra") < F.col("n")) & (F.col("base") + 1 <= cap)).otherwise(F.col("extra") > 0)
