@@ -67,13 +67,13 @@ def raw_bytes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body, offs - offs[0]
 
 
-class PolyHash:
-    """Prefix polynomial hashes mod 2^64 of a byte array: any substring's hash in O(1).
+class RollHash:
+    """Prefix polynomial hashes mod 2^64 of a byte array: any substring's hash in O(1), fast.
 
     ``prefix[i]`` is the sum of ``(byte + 1) * base**j`` for j < i; dividing a difference by
     ``base**start`` (the base is odd, so it has an inverse) gives a hash that does not depend on
-    the place. Strings hashed here are short (words, windows of a few hundred bytes); equal
-    hashes are verified wherever a result hangs on them.
+    the place. Some unequal strings collide under every odd base, so this only chooses places;
+    nothing is taken for equal by it.
     """
 
     _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -102,6 +102,65 @@ class PolyHash:
         return (self.prefix[end] - self.prefix[start]) * self.inverse[start]
 
 
+PRIME = (1 << 61) - 1
+_P, _LOW29, _LOW32 = np.uint64(PRIME), np.uint64((1 << 29) - 1), np.uint64((1 << 32) - 1)
+_29, _32, _61, _3 = (np.uint64(k) for k in (29, 32, 61, 3))
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """``x`` mod 2^61 - 1."""
+    x = (x & _P) + (x >> _61)
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a * b`` mod 2^61 - 1, for values below it."""
+    a1, a0, b1, b0 = a >> _32, a & _LOW32, b >> _32, b & _LOW32
+    low, middle = a0 * b0, a1 * b0 + a0 * b1
+    return _folded(((a1 * b1) << _3) + (middle >> _29) + ((middle & _LOW29) << _32) + (low & _P) + (low >> _61))
+
+
+class PolyHash:
+    """Prefix polynomial hashes mod the prime 2^61 - 1 of a byte array: any substring's hash in O(1).
+
+    As :class:`RollHash`, but unequal strings of n bytes collide for at most n of the 2^61 bases.
+    Two hashes under independent bases stand for the bytes where a result hangs on equality of
+    strings from anywhere in the corpus.
+    """
+
+    BASE, BASE2 = 0x1A4F3B7D59C82E61, 0x0B7E151628AED2A7
+    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def __init__(self, body: np.ndarray, base: int = BASE):
+        n = len(body)
+        powers, self.inverse = self._table(base, n + 1)
+        self.prefix = np.zeros(n + 1, np.uint64)
+        for at in range(0, n, 1 << 21):  # sums of 2^21 terms fit 64 bits
+            part = body[at:at + (1 << 21)].astype(np.uint64) + np.uint64(1)
+            power = powers[at:at + len(part)]
+            high, low = np.cumsum(part * (power >> _32)), np.cumsum(part * (power & _LOW32))
+            self.prefix[at + 1:at + 1 + len(part)] = _folded((high >> _29) + ((high & _LOW29) << _32) + (low & _P) + (low >> _61) + self.prefix[at])
+
+    @classmethod
+    def _table(cls, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        have = cls._powers.get(base)
+        if have is None or len(have[0]) < n:
+            size, made = max(1 << 16, n + n // 4), []
+            for b in (base, pow(base, -1, PRIME)):
+                p = np.ones(1, np.uint64)
+                while len(p) < size:  # the powers so far, times the next one
+                    p = np.concatenate([p, _times(p, np.full(len(p), pow(b, len(p), PRIME), np.uint64))])
+                made.append(p[:size])
+            have = cls._powers[base] = (made[0], made[1])
+            if size > SLICE_BYTES * 8:  # a very long text: do not keep its tables
+                del cls._powers[base]
+        return have
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        a, b = self.prefix[end], self.prefix[start]
+        return _times(np.where(a >= b, a - b, a + _P - b), self.inverse[start])
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """64-bit finaliser: every output bit depends on every input bit."""
     h = h ^ (h >> np.uint64(33))

@@ -9,7 +9,8 @@ occur once leave at once, so a round handles only what still repeats. Lengths th
 power of two overlap two names. A position whose name is an earlier position begins a later
 copy; the lines it covers go, and neighbouring copies join into maximal runs.
 
-Names are positions, not hashes; two 64-bit hashes stand for a line when equal lines are grouped.
+Names are positions, not hashes; two hashes mod 2^61 - 1 under independent bases stand for a line
+when equal lines are grouped.
 """
 
 from __future__ import annotations
@@ -62,7 +63,7 @@ def _lines_task(line_words: int | None) -> Callable:
             keep = _filled(body, start, end)
             text, start, end = text[keep], start[keep], end[keep]
             first = np.searchsorted(text, np.arange(len(spans)))
-            one, two = PolyHash(body), PolyHash(body, 0xD6E8FEB86659FD93)
+            one, two = PolyHash(body), PolyHash(body, PolyHash.BASE2)
             size = (end - start).astype(np.uint64)
             pick = pa.array(text)
             yield pa.RecordBatch.from_arrays([
@@ -77,6 +78,7 @@ def _named(rows: DataFrame, key: list[str], name: str) -> DataFrame:
     """Positions of ``rows`` that share ``key`` with another position: ``p, name``, where the name
     is the least of them."""
     groups = rows.groupBy(*key).agg(F.min("p").alias("least"), F.max("p").alias("top")).filter("least < top").drop("top")
+    groups = written(groups, f"{name}-groups")  # nothing is aggregated below the join: a very common key is split
     return written(rows.join(groups, key).select("p", F.col("least").alias("name")), name)
 
 

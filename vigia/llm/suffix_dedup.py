@@ -14,10 +14,11 @@ size, so the suffixes are first cut down to buckets that can hold a repeat:
    their common extension over prefix polynomial hashes (logarithmic in ``length``), and
    neighbours whose extension reaches ``length`` are compared byte by byte before they count.
 4. Anchors with more distinct contexts than ``group`` (a passage shared by very many documents
-   has as many edges) are split by window instead: two 64-bit window hashes, counted with
-   map-side combination and joined back.
+   has as many edges) are split by window instead: two window hashes mod 2^61 - 1 under
+   independent bases, counted with map-side combination and joined back.
 
-Single-context repeats rest on the 64-bit anchor hash and an independent 64-bit context hash.
+Single-context repeats rest on the 64-bit anchor hash, which only chooses places, and a context
+hash mod 2^61 - 1. What is joined to the anchors is written first: a join on a hot anchor is split.
 Spans come back to their documents by one join. No group of equal strings meets in one task.
 """
 
@@ -31,9 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigia.llm.common import PolyHash, documents, mix, raw_bytes, slices, written
+from vigia.llm.common import PolyHash, RollHash, documents, mix, raw_bytes, slices, written
 
-BASE2 = 0xD6E8FEB86659FD93
 PIECE = 8 << 20  # window starts handled at once; positions within must fit the packed key
 PLACE = np.uint64((1 << 24) - 1)
 
@@ -60,7 +60,7 @@ def anchors(body: np.ndarray, offs: np.ndarray, length: int, gram: int) -> tuple
     n, found = len(body), []
     for at in range(0, max(n - length + 1, 0), PIECE):
         part = body[at:min(n, at + PIECE + length - 1)]
-        one, two = PolyHash(part), PolyHash(part, BASE2)
+        one, two = RollHash(part), PolyHash(part)
         place = np.arange(len(part) - gram + 1)
         grams = mix(one.of(place, place + gram))
         least = _sliding_min((grams & ~PLACE) | place.astype(np.uint64), length - gram + 1)
@@ -139,7 +139,7 @@ def _context_task(length: int) -> Callable:
                 row = np.repeat(pick, many)
                 win = cols["lo"][row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
                 start = offs[text[row]] + win
-                w1, w2 = (pa.array(mix(PolyHash(body, base).of(start, start + length)).view(np.int64)) for base in (0x9E3779B97F4A7C15, BASE2))
+                w1, w2 = (pa.array(mix(PolyHash(body, base).of(start, start + length)).view(np.int64)) for base in (PolyHash.BASE, PolyHash.BASE2))
                 yield rows(row, win, win, pa.nulls(len(row), pa.binary()), w1, w2)
 
     return run
@@ -331,6 +331,7 @@ def suffix_dedup(docs: DataFrame, *, length: int = 200, gram: int = 48, group: i
     counted = (rows.select("text").mapInArrow(_anchor_task(length, gram, False), "anchor long, ctx long")
                .groupBy("anchor").agg(F.count("*").alias("n"), F.min("ctx").alias("c0"), F.max("ctx").alias("c1"))
                .filter("n > 1").select("anchor", (F.col("c0") != F.col("c1")).alias("multi")))
+    counted = written(counted, "suffix-counted")
     met = (rows.select("k", "h", "text")
            .mapInArrow(_anchor_task(length, gram, True), "k long, h long, anchor long, ctx long, lo int, hi int, p int")
            .join(counted, "anchor"))
