@@ -70,8 +70,8 @@ def _solve(hist: DataFrame, sources: DataFrame, cap: float, steps: int = 60, at_
     for _ in range(0, steps, at_once):
         for _ in range(at_once):
             sums = hist.filter("size > 0").join(state.drop("gap"), "sid").groupBy(*keep).agg(
-                _exact_sum(F.col("n") * F.col("size") * rate).alias("f"),
-                _exact_sum(F.when(rate < cap, F.col("n") * F.col("size") * x * rate).otherwise(0.0)).alias("df"))
+                F.sum(F.col("n") * F.col("size") * rate).alias("f"),
+                F.sum(F.when(rate < cap, F.col("n") * F.col("size") * x * rate).otherwise(0.0)).alias("df"))
             gap = F.col("f") - F.col("target")
             sums = (sums.withColumn("gap", gap)
                     .withColumn("lo", F.when(gap < 0, F.greatest("lo", "lam")).otherwise(F.col("lo")))
@@ -88,12 +88,8 @@ def _solve(hist: DataFrame, sources: DataFrame, cap: float, steps: int = 60, at_
         worst = state.agg(F.max(F.abs("gap") / F.col("target")).alias("worst")).first()["worst"]
         if worst is not None and worst > 1e-6:  # beyond what the bracket can still close in doubles
             raise RuntimeError(f"entropy balancing left a gap of {worst:.2g} of a source's target after {steps} steps")
-    return state.select("sid", "lam")
-
-
-def _exact_sum(value: Column) -> Column:
-    """A sum that does not depend on the order of its rows."""
-    return F.sum(value.cast("decimal(30,8)")).cast("double")
+    # sums of doubles differ in their last bits from run to run; what follows from them does not
+    return state.select("sid", F.round("lam", 12).alias("lam"))
 
 
 def _running(groups: DataFrame) -> DataFrame:
@@ -119,6 +115,7 @@ def _rounded(groups: DataFrame, cap: float, moves: int = 3) -> DataFrame:
          .withColumn("want", F.round(F.col("n") * F.greatest(F.col("rate") - F.col("base"), F.lit(0.0)) * UNIT).cast("long")))
     nearest = lambda c: F.shiftright(F.col(c) + UNIT // 2, 20)
     g = _running(g).withColumn("extra", F.greatest(F.lit(0), F.least(F.col("n"), nearest("upto") - nearest("before"))).cast("long")).drop("upto", "before")
+    g = written(g, "mixing-rounded")  # every move refers to it several times
     for _ in range(moves):
         gap = g.groupBy("sid").agg((F.max("target") - F.sum(F.col("size") * (F.col("n") * F.col("base") + F.col("extra")))).alias("gap"))
         room = F.when(F.col("gap") > 0, (F.col("extra") < F.col("n")) & (F.col("base") + 1 <= cap)).otherwise(F.col("extra") > 0)
