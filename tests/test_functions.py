@@ -96,7 +96,7 @@ def test_lead_words(spark):
 
 
 def test_random_links_match_stdlib(spark):
-    rng, bits = random.Random(5), ["a", "b.pdf", "/", "//", ".", "..", "./", "../", "?", "?q=1", "#", "#f", ":", "http:", "https://h", "http://o/", " ", "%20", "ñ", "\t", "-"]
+    rng, bits = random.Random(5), ["a", "b.pdf", "/", "//", ".", "..", "./", "../", "?", "?q=1", "#", "#f", ":", "http:", "https://h", "http://o/", " ", "%20", "ñ", "\t", "\n", "-"]
     bases = ["https://a.org", "https://a.org/", "https://a.org/d/p.html", "http://a.org/d/e/", "https://a.org/d//e/f", "https://a.org/d/./e", "https://a.org/d?x=1", "https://a.org/d/e#z", "HTTPS://a.org/x"]
     rows = [(rng.choice(bases), "".join(rng.choice(bits) for _ in range(rng.randrange(1, 6)))) for _ in range(4000)]
     df = spark.createDataFrame(rows, "b string, l string")

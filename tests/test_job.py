@@ -136,12 +136,12 @@ def test_pages_are_parsed_once_in_a_whole_run(spark, monkeypatch, scratch):
     plans, real = [], job.stored
     monkeypatch.setattr(job, "stored", lambda df, name: (plans.append(_plan(df)), real(df, name))[1])
     good, bad = job.collect(pages, feeds, spark.createDataFrame([], "url string, page_id long, status int, html string"), 2024)
-    assert sum(p.count("MapInArrow") for p in plans) == 7  # six listing sources and Peru's detail pages
+    assert sum(p.count("MapInArrow") for p in plans) == 2  # all listing pages, and Peru's detail pages
     store = AlertStore(spark, scratch)
     web, docs = spark.createDataFrame([], "url string, html string"), spark.createDataFrame([], "url string, page_no int, text string")
     job.run_on(store, good, PlainContent(web, docs), RU.rules_from_dict(spark, RU.COUNTRY_RULES))
     plans += [_plan(good), _plan(bad), _plan(store.outbox()), _plan(store.history())]
-    assert sum(p.count("MapInArrow") for p in plans) == 8  # and the news' web pages
+    assert sum(p.count("MapInArrow") for p in plans) == 3  # and the news' web pages
 
 
 def test_fetched_twice_alerts_once(spark):

@@ -35,10 +35,10 @@ def _remove_dots(segs: Column) -> Column:
 
 # Plain links need no resolution: with a host; from the root; below the base's directory. None holds
 # white space, control characters, a dot segment, or an empty query or fragment.
-_WITH_HOST = r"^https?://[^/?#\x00-\x20]+(?:/[^?#\x00-\x20]*)?(?:\?[^#\x00-\x20]+)?$"
-_FROM_ROOT = r"^/(?![/.])(?:(?!/\.)[^?#\x00-\x20])*$"
-_BELOW = r"^(?![/.])(?:(?!/[/.])[^?#:\x00-\x20])+$"
-_PLAIN_BASE = r"^https?://[^/?#\x00-\x20]+(?!.*/[/.])(?:/[^?#\x00-\x20]*)?$"
+_WITH_HOST = r"^https?://[^/?#\x00-\x20]+(?:/[^?#\x00-\x20]*)?(?:\?[^#\x00-\x20]+)?\z"
+_FROM_ROOT = r"^/(?![/.])(?:(?!/\.)[^?#\x00-\x20])*\z"
+_BELOW = r"^(?![/.])(?:(?!/[/.])[^?#:\x00-\x20])+\z"
+_PLAIN_BASE = r"^https?://[^/?#\x00-\x20]+(?!.*/[/.])(?:/[^?#\x00-\x20]*)?\z"
 
 
 def absolute_url(base, link) -> Column:

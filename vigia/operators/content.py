@@ -68,12 +68,14 @@ def newest_fetch(fetches: DataFrame, by: list[str], at: str = "fetched_at") -> D
 
 def enrich(news: DataFrame, content: DataFrame, summariser: Summariser = default_summariser,
            key: str = "content_key") -> DataFrame:
-    """J4 + P9: left join to the content table on the chosen link; summary or title.
+    """J4 + P9: left join to the content table on the chosen link; summary or title. A content table
+    with a column ``summary`` brings its own; the summariser is then not asked.
 
     A Python summariser (``pandas_udf``) runs in an Arrow-batched stage over every joined row:
     Spark lifts Python UDFs out of the ``CASE WHEN``, so rows without content reach it with a
     null text and it should answer null for them (the title is then used)."""
-    c = content.select(F.col(key), F.col("content").alias("_content"))
+    own = "summary" in content.columns
+    c = content.select(F.col(key), F.col("content").alias("_content"), *([F.col("summary").alias("_summary")] if own else []))
     out = news.join(c, on=key, how="left")
-    summ = F.when(F.col("_content").isNotNull(), summariser(F.col("_content"), F.col("titulo")))
-    return out.withColumn("resumen", summary_fallback(summ, F.col("titulo"))).withColumnRenamed("_content", "content")
+    summ = F.col("_summary") if own else F.when(F.col("_content").isNotNull(), summariser(F.col("_content"), F.col("titulo")))
+    return out.withColumn("resumen", summary_fallback(summ, F.col("titulo"))).drop("_summary").withColumnRenamed("_content", "content")

@@ -105,7 +105,7 @@ PART_FIELDS = [
 ERROR_CARD = -2  # the record of a page the parser gave up on
 
 
-def _record_reader(program: RecordProgram) -> Callable[[str], list[tuple]]:
+def record_reader(program: RecordProgram) -> Callable[[str], list[tuple]]:
     """html → part rows (the values of ``PART_FIELDS``)."""
     chains: list[list[Step]] = list(program.container or [])
     masks_of: list[tuple[int, str, bool, bool, tuple]] = []
@@ -230,7 +230,7 @@ def _page_task(make_reader: Callable, id_col: str, carried: list[str], schema_js
     return run
 
 
-def _parsed(pages: DataFrame, make_reader: Callable, id_col: str, carried: list[str], fields: list[T.StructField], extra: str | None = None) -> DataFrame:
+def parsed_pages(pages: DataFrame, make_reader: Callable, id_col: str, carried: list[str], fields: list[T.StructField], extra: str | None = None) -> DataFrame:
     src = pages.select(id_col, *carried, "html", *([extra] if extra else []))
     schema = T.StructType([*[src.schema[c] for c in (id_col, *carried)], *fields])
     return src.mapInArrow(_page_task(make_reader, id_col, carried, schema.json(), extra), schema)
@@ -243,7 +243,7 @@ def page_records(pages: DataFrame, id_col: str, spec: RecordSpec, keep: list[str
     with ``page_error`` (null otherwise) and ``card_id`` -2. The input keeps its partitions."""
     keep = keep or []
     program = record_program(spec)
-    parts = _parsed(pages, lambda: _record_reader(program), id_col, keep, PART_FIELDS)
+    parts = parsed_pages(pages, lambda: record_reader(program), id_col, keep, PART_FIELDS)
     one = ("attrs", "self_f", "par_marks", "first_desc_attr", "page_error", "elem_tag")  # one row an element has them
     per_elem = parts.withColumn("_raw", F.col("text")).withColumn("_str", F.nullif(strip_ws(F.col("text")), F.lit(""))) \
         .repartition(id_col, "card_id").groupBy(id_col, *keep, "card_id", "elem_id").agg(
@@ -351,7 +351,7 @@ def page_content(pages: DataFrame, id_col: str, keep: list[str] | None = None, t
     keep = keep or []
     title = [list(c.steps) for c in parse_selector(title_selector)] if title_selector else []
     src = pages.withColumn("_rules", F.to_json(F.struct("container", "selectors", "remove")))
-    rows = _parsed(src, lambda: _content_reader(title), id_col, keep, FRAGMENT_FIELDS, extra="_rules")
+    rows = parsed_pages(src, lambda: _content_reader(title), id_col, keep, FRAGMENT_FIELDS, extra="_rules")
     piece = F.when(F.col("rule_no") > 0, F.nullif(strip_ws(F.col("text")), F.lit("")))
     rows = rows.select(id_col, *keep, "rule_no", "elem_id", "seq", piece.alias("_piece"), F.when(F.col("rule_no") == 0, F.col("text")).alias("_title_run"))
     aggs = [F.expr("listagg(_piece, ' ') within group (order by rule_no, elem_id, seq)").alias("_joined")]

@@ -8,6 +8,7 @@ alerts, details, fresh links, content, enriched news) is written once to shared
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,10 @@ from ..operators import errors as E
 from ..operators import history as H
 from ..operators import notify as N
 from ..operators import profiles as PR
+from ..operators.compiled import ROWS, ProfileRow, compile_profiles
 from ..operators.masks import page_content
 from ..operators.shred import dealt, spread
+from ..operators.summary import with_summaries
 from ..session import checkpoint_dir
 from ..sources.alert_store import AlertStore
 from ..sources.content_store import ContentStore, PlainContent
@@ -30,14 +33,12 @@ from ..sources import rules as RU
 from .standins import PAGE_RULES, T
 
 KEEP = ["categoria", "categoria_rank"]
-# Sources that lose one category when a page fails; the others lose everything.
-CATEGORY_SCOPED = ["argentina", "bolivia", "costarica"]
 
 
-def with_scope(df: DataFrame) -> DataFrame:
+def with_scope(df: DataFrame, profiles: Sequence[ProfileRow] = ROWS) -> DataFrame:
     """What a failure takes down with it, in parity mode: the source, or one of its categories."""
-    return df.withColumn("scope", F.when(F.col("source_id").isin(CATEGORY_SCOPED), F.concat_ws("/", "source_id", "categoria"))
-                         .otherwise(F.col("source_id")))
+    by_category = [p.source_id for p in profiles if p.scope == "category"]
+    return df.withColumn("scope", F.when(F.col("source_id").isin(by_category), F.concat_ws("/", "source_id", "categoria")).otherwise(F.col("source_id")))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -67,38 +68,29 @@ def feeds(feed_docs: DataFrame, detail_pages: DataFrame, partitions: int | None
 
 
 def flagged(listing_pages: DataFrame, feed_docs: DataFrame, detail_pages: DataFrame, run_year: int, *,
-            mexico_top_n: int | None = None, partitions: int | None = None) -> DataFrame:
+            profiles: Sequence[ProfileRow] = ROWS, partitions: int | None = None) -> DataFrame:
     """U-1 + E8: fetched pages and feeds (source_id, page_id, categoria, categoria_rank, status, html
-    or xml) → alerts of all eight sources in one schema and whatever could not be read, in one
-    written table. ``fatal`` is the reason of rows that cannot be used (a failed fetch, an
+    or xml) → alerts of the two feeds and of all sources with a profile row, in one schema, and
+    whatever could not be read, in one written table. ``fatal`` is the reason of rows that cannot be used (a failed fetch, an
     unreadable page, a failed row, an alert without a link); ``scope`` what such a row takes
     down in parity mode. Every page is parsed once, by the one job that writes the table."""
     key = ["source_id", "page_id", *KEEP]
     pages, docs = E.http_failure(listing_pages), E.http_failure(feed_docs)
     good_pages, good_details = pages.where(F.col("fatal").isNull()), E.status_gate(detail_pages)
-    by = {
-        "brasil": PR.cards_brasil,
-        "colombia": PR.cards_colombia,
-        "mexico": lambda r: PR.cards_mexico(r, top_n=mexico_top_n),
-        "argentina": PR.cards_argentina,
-        "bolivia": lambda r: PR.rows_bolivia(r, run_year),
-        "costarica": lambda r: PR.rows_costarica(r, run_year),
-    }
     alerts = feeds(docs.where(F.col("fatal").isNull()), good_details, partitions)
-    for sid, profile in by.items():
-        mine = good_pages.where(F.col("source_id") == sid).select("page_id", "html", *KEEP)
-        alerts = alerts.unionByName(profile(dealt(mine, "page_id", partitions)), allowMissingColumns=True)
+    listed = dealt(good_pages.select("source_id", "page_id", *KEEP, "html"), "page_id", partitions)
+    alerts = alerts.unionByName(compile_profiles(listed, profiles, run_year), allowMissingColumns=True)
     failures = pages.where(F.col("fatal").isNotNull()).select(*key, "fatal").unionByName(docs.where(F.col("fatal").isNotNull()).select(*key, "fatal"))
     no_link = F.when(F.coalesce(F.col("url"), F.lit("")) == "", F.lit("no link"))
     alerts = alerts.withColumn("fatal", F.coalesce("fatal", no_link)).withColumn("url", F.nullif(F.col("url"), F.lit("")))
-    return stored(with_scope(alerts.unionByName(failures, allowMissingColumns=True)), "flagged")
+    return stored(with_scope(alerts.unionByName(failures, allowMissingColumns=True), profiles), "flagged")
 
 
 def collect(listing_pages: DataFrame, feed_docs: DataFrame, detail_pages: DataFrame, run_year: int, *, parity: bool = False,
-            mexico_top_n: int | None = None, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+            profiles: Sequence[ProfileRow] = ROWS, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(usable alerts, quarantined rows) of :func:`flagged`; both read the written table. In parity
     mode every scope that holds a fatal row contributes nothing."""
-    rows = flagged(listing_pages, feed_docs, detail_pages, run_year, mexico_top_n=mexico_top_n, partitions=partitions)
+    rows = flagged(listing_pages, feed_docs, detail_pages, run_year, profiles=profiles, partitions=partitions)
     good = E.apply_error_policy(rows, ["scope"], parity=parity).drop("scope")
     return good, rows.where(F.col("fatal").isNotNull()).drop("scope")
 
@@ -131,13 +123,14 @@ class RunResult:
 
 
 def enriched_news(news: DataFrame, content: ContentStore | PlainContent, rules: DataFrame, *, summariser: C.Summariser = C.default_summariser,
-                  max_pages: int | None = None, partitions: int | None = None) -> DataFrame:
+                  extractive: bool = False, max_pages: int | None = None, partitions: int | None = None) -> DataFrame:
     """P6/J3 → U3/J4/P9, computed once into the shared folder: the summary a message carries is the
-    one that history stores, also for a model."""
+    one that history stores, also for a model. ``extractive``: sentences chosen from the content
+    (over the run's contents) instead of a summariser."""
     routed = C.content_route(RU.with_rules(news, rules, "pais")).drop(
         "container_sel", "selectors_sel", "remove_sel", "note", "container", "selectors", "remove", "rule_error")
     texts = content_table(routed, content, rules, max_pages, partitions)
-    return stored(C.enrich(routed, texts, summariser), "news")
+    return stored(C.enrich(routed, with_summaries(texts) if extractive else texts, summariser), "news")
 
 
 def run(candidates: DataFrame, history: DataFrame, web_pages: DataFrame, doc_pages: DataFrame, rules: DataFrame, *,
@@ -154,14 +147,14 @@ def run(candidates: DataFrame, history: DataFrame, web_pages: DataFrame, doc_pag
 
 
 def run_on(store: AlertStore, candidates: DataFrame, content: ContentStore | PlainContent, rules: DataFrame, *,
-           batch_id: str = "0", silent: bool = False, summariser: C.Summariser = C.default_summariser, max_pages: int | None = None, partitions: int | None = None) -> int | None:
+           batch_id: str = "0", silent: bool = False, summariser: C.Summariser = C.default_summariser, extractive: bool = False, max_pages: int | None = None, partitions: int | None = None) -> int | None:
     """The whole run on a store: novelty against its links, content, summary, then the new links, the
     messages (none in silent mode) and the counters (A10) under one commit. Returns the batch, none
     if there was nothing new (K1). A run that dies anywhere before the commit can be repeated.
 
     Counters come from written tables, not from accumulators, which count a retried task twice."""
     news = stored(store.novelty(candidates), "novelty")
-    enriched = enriched_news(news, content, rules, summariser=summariser, max_pages=max_pages, partitions=partitions)
+    enriched = enriched_news(news, content, rules, summariser=summariser, extractive=extractive, max_pages=max_pages, partitions=partitions)
     seen = enriched.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("content")), F.lit(0)).alias("chars")).first()
     counters = {"history_rows": store.state().rows, "candidate_rows": candidates.count(), "novelty_rows": seen["n"], "content_chars": seen["chars"]}
     messages = None if silent else N.outbox(enriched, batch_id=batch_id)

@@ -306,6 +306,29 @@ ORACLES: dict[str, str] = {
     "summary_fallback": f"""SELECT d.doc_id, CASE WHEN l.toxic = 1 THEN d.source || ' #' || d.doc_id
         WHEN l.quality IS NOT NULL THEN coalesce(nullif({strip(lead30('d.text'))}, ''), d.source || ' #' || d.doc_id)
         ELSE d.source || ' #' || d.doc_id END AS resumen FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
+    "summary_extractive": f"""WITH RECURSIVE d AS (SELECT doc_id AS k, {collapse('text')} AS t FROM documents),
+        s AS (SELECT k, unnest(x) AS sentence, generate_subscripts(x, 1) AS sp
+              FROM (SELECT k, string_split(regexp_replace(t, '([.!?…]) ', '\\1' || chr(10), 'g'), chr(10)) AS x FROM d WHERE t <> '')),
+        p AS (SELECT k, sp, w, unnest(range(0, len(w), 30)) AS c FROM (SELECT k, sp, string_split(sentence, ' ') AS w FROM s)),
+        u AS (SELECT k, row_number() OVER (PARTITION BY k ORDER BY sp, c) - 1 AS pos, len(w[c + 1:c + 30]) AS n, array_to_string(w[c + 1:c + 30], ' ') AS unit FROM p),
+        o AS (SELECT k, pos, unnest(regexp_extract_all(lower(unit), '[\\p{{L}}\\p{{N}}]+')) AS term FROM u),
+        tf AS (SELECT k, term, count(*) AS tf FROM o GROUP BY k, term),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        w AS (SELECT k, term, CAST(floor(1000.0 * (1 + ln(tf)) * ln(((SELECT count(DISTINCT k) FROM u) + 1.0) / df)) AS BIGINT) AS weight FROM tf JOIN df USING (term)),
+        g AS (SELECT k, pos, list(struct_pack(term := term, weight := weight)) AS terms, CAST(sum(weight) AS BIGINT) AS total
+              FROM (SELECT DISTINCT k, pos, term FROM o) JOIN w USING (k, term) GROUP BY k, pos),
+        c AS (SELECT * FROM (SELECT u.*, g.terms, row_number() OVER (PARTITION BY k ORDER BY total // (n + 5) DESC, pos) AS r FROM u JOIN g USING (k, pos)) WHERE r <= 12),
+        pick AS (
+            SELECT DISTINCT k, 0 AS i, CAST(0 AS BIGINT) AS n, CAST([] AS VARCHAR[]) AS seen, CAST([] AS BIGINT[]) AS chosen FROM c
+            UNION ALL
+            SELECT k, i + 1, n + b.n, list_distinct(list_concat(seen, b.terms)), list_append(chosen, -b.before) FROM (
+                SELECT p.k, p.i, p.n, p.seen, p.chosen, max(struct_pack(
+                    gain := coalesce(list_sum(list_transform(list_filter(c.terms, lambda x: NOT list_contains(p.seen, x.term)), lambda x: x.weight)), 0) // (c.n + 5),
+                    before := -c.pos, n := c.n, terms := list_transform(c.terms, lambda x: x.term))) AS b
+                FROM pick p JOIN c ON c.k = p.k AND p.n + c.n <= 30 AND NOT list_contains(p.chosen, c.pos) WHERE p.n < 20
+                GROUP BY p.k, p.i, p.n, p.seen, p.chosen) WHERE b.gain > 0)
+        SELECT k AS doc_id, string_agg(unit, ' ' ORDER BY pos) AS summary
+        FROM (SELECT k, unnest(arg_max(chosen, i)) AS pos FROM pick GROUP BY k) JOIN u USING (k, pos) GROUP BY k""",
     "summary_lead": f"SELECT doc_id, {lead30('text')} AS summary FROM documents",
     "doc_first_pages": f"SELECT conv_id, content FROM {CONTENT}",
     "outbox": _outbox(),

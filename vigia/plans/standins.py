@@ -28,6 +28,7 @@ from ..operators import report as R
 from ..operators.masks import page_content, page_records
 from ..operators.select import Field, RecordSpec
 from ..operators.shred import dealt, shred, spread
+from ..operators.summary import extractive_summaries
 from ..session import checkpoint_dir, pin_session
 from ..sources import feeds as FD
 from ..sources import history as HS
@@ -662,6 +663,10 @@ def q_summary_lead(spark, sf):
     return d.select("doc_id", C.default_summariser(F.col("text"), F.lit(None)).alias("summary"))
 
 
+def q_summary_extractive(spark, sf):
+    return extractive_summaries(T(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text")
+
+
 def q_doc_first_pages(spark, sf):
     return C.doc_first_pages(T(spark, sf, "conversations"), "conv_id", "turn", "text", max_pages=3)
 
