@@ -2,6 +2,7 @@
 import random
 from urllib.parse import urljoin
 
+import pytest
 from pyspark.sql import functions as F
 
 from vigia.functions import dates as D
@@ -102,3 +103,21 @@ def test_random_links_match_stdlib(spark):
     df = spark.createDataFrame(rows, "b string, l string")
     for r in df.select("b", "l", absolute_url("b", "l").alias("u"), _resolved(F.col("b"), F.col("l")).alias("slow")).collect():
         assert r.u == r.slow, r
+
+
+def test_feed_dates_of_short_years_and_iso(spark):
+    rows = [("Tue, 05 Mar 24 10:20:30 +0000", "2024-03-05 10:20:30"), ("5 Mar 99 10:20 GMT", "1999-03-05 10:20:00"), ("05 Mar 68 00:00:00 -0300", "2068-03-05 03:00:00"),
+            ("2024-03-05T10:20:30Z", "2024-03-05 10:20:30"), ("2024-03-05T10:20:30.5-05:00", "2024-03-05 15:20:30.5"), ("2024-03-05", "2024-03-05 00:00:00"),
+            ("2024-03-05 10:20:30", "2024-03-05 10:20:30"), ("Tue, 05 Mar 2024 10:20:30 +0000", "2024-03-05 10:20:30"), ("2024", None), ("05/03/2024", None), ("2024-13-05", None), ("", None), (None, None)]
+    got = spark.createDataFrame(rows, "s string, want string").select("s", "want", D.feed_ts("s").cast("string").alias("got")).collect()
+    assert [(r.s, r.got) for r in got] == rows
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from vigia.session import checkpoint_dir
+    fake = lambda master: SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
+    for master in ("spark://h:7077", "yarn", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            checkpoint_dir(fake(master))

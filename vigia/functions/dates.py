@@ -25,6 +25,7 @@ class DatePolicy:
 
 # Formats, renderings and sentinels of the eight sources.
 FEED_FORMATS = ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss z", "d MMM yyyy HH:mm Z", "d MMM yyyy HH:mm z")
+SHORT_YEAR = r"^(\d{1,2}\s+[A-Za-z]{3}\s+)(\d{2})(\s.*)$"
 POLICIES = {
     "peru": DatePolicy(FEED_FORMATS, "dd-MM-yyyy HH:mm:ss", "sentinel", "Sin Fecha"),
     "chile": DatePolicy(FEED_FORMATS, "dd-MM-yyyy HH:mm:ss", "sentinel", "Sin Fecha"),
@@ -49,9 +50,15 @@ def parse_ts(s, formats) -> Column:
 
 
 def feed_ts(s) -> Column:
-    """RFC 822 date; the day name is dropped first (Spark cannot parse ``EEE``)."""
-    body = F.regexp_replace(_c(s), r"^\s*[A-Za-z]{2,9},\s*", "")
-    return parse_ts(F.trim(body), FEED_FORMATS)
+    """RFC 822 date, of two or four digits a year (00 to 68 are of this century, as the feed
+    dialect has it), or an ISO 8601 date or time; without a zone it is UTC. The day name is dropped
+    first (Spark cannot parse ``EEE``)."""
+    body = F.trim(F.regexp_replace(_c(s), r"^\s*[A-Za-z]{2,9},\s*", ""))
+    # the year of RFC 822 has two digits
+    year = F.regexp_extract(body, SHORT_YEAR, 2)
+    full = F.concat(F.regexp_extract(body, SHORT_YEAR, 1), F.when(year <= "68", F.lit("20")).otherwise(F.lit("19")), year, F.regexp_extract(body, SHORT_YEAR, 3))
+    rfc = parse_ts(F.when(year != "", full).otherwise(body), FEED_FORMATS)
+    return F.coalesce(rfc, F.when(body.rlike(r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}.*)?$"), F.try_to_timestamp(body)))
 
 
 def apply_policy(raw, policy: DatePolicy, raw_fallback=None) -> tuple[Column, Column, Column]:

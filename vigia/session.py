@@ -45,11 +45,14 @@ def pin_session(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when it is unset (local tests) do we pick a scratch folder of our own.
-    """
+    Only a local session (tests) without one gets a scratch folder of our own: on a cluster a folder
+    of the driver's machine is not seen by executors, so a missing setting is an error there."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if d:
         return d
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     d = tempfile.mkdtemp(prefix="vigia-ckpt-")
     spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

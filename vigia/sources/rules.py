@@ -70,7 +70,7 @@ def tokenised(rules: DataFrame) -> DataFrame:
     """Rules with their selectors as chains (``container``, ``selectors``, ``remove``) and
     ``rule_error``: what the parser does not support, which then matches nothing. A small Python
     helper over the rules table (one row a key), never over pages."""
-    parse = F.udf(_parse, _PARSED)
+    parse = F.udf(lambda selectors: _parse(selectors), _PARSED)
     r = rules.select("*", parse("selectors_sel").alias("_s"), parse("remove_sel").alias("_m"),
                      parse(F.when(F.col("container_sel").isNotNull(), F.array("container_sel"))).alias("_c"))
     many = F.when(F.size("_c.chains") > 1, F.concat(F.lit("a container is one chain: "), F.col("container_sel")))
