@@ -4,10 +4,16 @@ Vectors are lifted by one coordinate so that the largest inner product is the le
 Centroids come from balanced k-means on a bounded, documented sample; every vector is indexed. A
 vector near a boundary goes into several lists (those within ``spread`` times its nearest centroid's
 distance). Centroids are searched through an in-memory neighbour
-graph, both to place vectors and to pick a query's lists; the lists whose centroid is within
-``probe`` times the nearest centroid's distance are read. Lists and their queries meet in blocks
-of at most ``block`` rows a side, so no list, however full, is one task's work. Scores are exact
-inner products in double precision; a query that finds too few vectors is asked of every list.
+graph, both to place vectors and to pick a query's lists; the lists whose centroid is within a
+ratio of the nearest centroid's distance are read, however many they are.
+
+The ratio is not a constant: a bounded number of queries is answered by brute force over all
+vectors, and the ratio is the least that reaches the target recall on them. What the lists of the
+rest would find at that ratio is measured, not assumed, whatever the number of vectors.
+
+Lists and their queries meet in blocks of at most ``block`` rows a side, so no list, however full,
+is one task's work. Scores are exact inner products in double precision; a query that finds too
+few vectors is asked of every list.
 """
 
 from __future__ import annotations
@@ -153,19 +159,89 @@ def _place_task(graph: CentroidGraph, reach: float, spread: float, most: int) ->
     return run
 
 
-def _probe_task(graph: CentroidGraph, reach: float, probe: float, most: int) -> Callable:
+def _asked(x: np.ndarray, reach: float) -> np.ndarray:
+    """Queries as points among the lifted vectors; a query's length changes no order."""
+    return np.column_stack([x * (reach / np.sqrt((x ** 2).sum(1)))[:, None], np.zeros(len(x))])
+
+
+def probed_lists(graph: CentroidGraph, x: np.ndarray, ratio: float, width: int = 64) -> list[np.ndarray]:
+    """The lists of each query within ``ratio`` of its nearest: the beam widens for the queries that
+    fill it until none does, or it holds every list."""
+    found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(x)
+    left, lists = np.arange(len(x)), len(graph.centroids)
+    while len(left):
+        ids, dist = graph.search(x[left], width)
+        ok = np.isfinite(dist) & (dist <= ratio ** 2 * dist[:, :1] + 1e-12)
+        settled = ~ok.all(axis=1) | (width >= lists)
+        for r in np.flatnonzero(settled):
+            found[left[r]] = ids[r][ok[r]]
+        left, width = left[~settled], width * 2
+    return found
+
+
+def _probe_task(graph: CentroidGraph, reach: float, ratio: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _parts(batches):
-            x = _matrix(b.column("v"))
-            x = x * (reach / np.sqrt((x ** 2).sum(1)))[:, None]  # a query's length changes no order
-            ids, dist = graph.search(np.column_stack([x, np.zeros(len(x))]), most)
-            ok = np.isfinite(dist) & (dist <= probe ** 2 * dist[:, :1] + 1e-12)
-            pick = pa.array(np.repeat(np.arange(len(x)), ok.sum(1)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[ok].astype(np.int32)), b.column("id").take(pick), b.column("v").take(pick)], ["list", "id", "v"])
+            found = probed_lists(graph, _asked(_matrix(b.column("v")), reach), ratio)
+            pick = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+            ids = np.concatenate(found) if found else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), b.column("id").take(pick), b.column("v").take(pick)], ["list", "id", "v"])
 
     return run
 
 
+def _truth_task(q: np.ndarray, x: np.ndarray, k: int) -> Callable:
+    """The ``k`` best of all vectors of a task for each of a few queries."""
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _parts(batches, 4096):
+            have, v = b.column("id").to_numpy(), _matrix(b.column("v"))
+            if len(have):
+                by = np.argsort(have, kind="stable")
+                yield _top(q, x, have[by], v[by], k)
+
+    return _best_of_task(scored, k)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
+FINDS = "query_id long, vec_id long, score double"
+
+
+def tuned_ratio(rows: DataFrame, postings: DataFrame, queries: DataFrame, graph: CentroidGraph, reach: float, k: int, trial: int,
+                target: float) -> tuple[float, float]:
+    """(the least ratio whose lists hold ``target`` of the true neighbours of ``trial`` queries, the
+    share they hold): at most ``trial`` queries and ``trial * k`` neighbours reach the driver."""
+    some = queries.orderBy(F.xxhash64("id"), "id").limit(trial).select("id", "v").toArrow().combine_chunks()
+    if not some.num_rows:
+        return 1.0, 1.0
+    q, x = some["id"].to_numpy(), _matrix(some["v"].combine_chunks())
+    truth = _ranked(rows.mapInArrow(_truth_task(q, x, k), FINDS).distinct(), k).select("query_id", "vec_id").collect()
+    if not truth:
+        return 1.0, 1.0
+    ids = rows.sparkSession.createDataFrame([(i,) for i in sorted({r.vec_id for r in truth})], "id long")
+    held: dict[int, list[int]] = {}
+    for r in postings.select("id", "list").join(ids, "id", "left_semi").distinct().collect():
+        held.setdefault(r["id"], []).append(r["list"])
+    place = {int(i): n for n, i in enumerate(q)}
+    points = _asked(x, reach)
+    gap = np.sqrt(_distances(points, graph.centroids))
+    needed = np.sort([min(gap[place[r.query_id], held[r.vec_id]]) / max(gap[place[r.query_id]].min(), 1e-12) for r in truth])
+    ratio = float(needed[int(np.ceil(target * len(needed))) - 1]) * (1 + 1e-9)
+
+    def share(at: float) -> float:
+        lists = [set(f.tolist()) for f in probed_lists(graph, points, at)]
+        return float(np.mean([any(h in lists[place[r.query_id]] for h in held[r.vec_id]) for r in truth]))
+
+    reached = share(ratio)
+    while reached < target and ratio < needed[-1] * 2:  # the graph may miss a list that the ratio allows
+        ratio *= 1.02
+        reached = share(ratio)
+    return ratio, reached
+
+
 def _top(q: np.ndarray, x: np.ndarray, have: np.ndarray, v: np.ndarray, k: int) -> pa.RecordBatch:
     """The ``k`` best of the vectors ``v`` (ids ``have``, ascending) for each query.
 
@@ -255,15 +331,14 @@ def _best(postings: DataFrame, asked: DataFrame, k: int, block: int) -> DataFram
     queries = asked.join(sizes, "list").select("list", each("blocks").alias("block"), share("chunks").alias("chunk"), F.lit(1).alias("kind"), "id", "v")
     tile = ["list", "block", "chunk"]
     found = (vectors.unionByName(queries).repartition(*tile).sortWithinPartitions(*tile, "kind")
-             .mapInArrow(_best_of_task(_score_task(k), k), "query_id long, vec_id long, score double").distinct())
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k)
+             .mapInArrow(_best_of_task(_score_task(k), k), FINDS).distinct())
+    return _ranked(found, k)
 
 
 def nearest(embeddings: DataFrame, *, k: int = 20, every: int = 20, sample: int = 20_000, sample_values: int = 8_000_000,
-            lists_per_root: float = 0.4, most_lists: int = 4096, spread: float = 1.02, copies: int = 2, probe: float = 1.15,
-            beam: int = 256, block: int = 2048) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` vectors with the largest inner product found for
+            lists_per_root: float = 0.4, most_lists: int = 4096, spread: float = 1.02, copies: int = 2, trial: int = 64,
+            recall: float = 0.95, probe: float | None = None, block: int = 2048) -> DataFrame:
+    """``query_id, rank, vec_id, score, measured_recall``: the ``k`` vectors with the largest inner product found for
     each query, nearest first, ties to the smaller ``vec_id``.
 
     Queries are the rows whose ``vec_id`` is divisible by ``every``; candidates all rows but the
@@ -273,7 +348,10 @@ def nearest(embeddings: DataFrame, *, k: int = 20, every: int = 20, sample: int
     asks. With fewer than ``k`` candidates all are returned. An empty table gives no rows. Only
     ``vec_id`` and ``embedding`` are read.
 
-    The centroids are fitted on at most ``sample`` rows (and ``sample_values`` numbers).
+    The centroids are fitted on at most ``sample`` rows (and ``sample_values`` numbers). Lists are read
+    within the ratio that holds ``recall`` of the true neighbours of ``trial`` queries, found by
+    brute force over all vectors; ``measured_recall`` is the share it does hold. A ``probe`` is a
+    ratio given instead (nothing is measured then).
     """
     spark = embeddings.sparkSession
     v = F.col("v")
@@ -281,7 +359,7 @@ def nearest(embeddings: DataFrame, *, k: int = 20, every: int = 20, sample: int
         F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0)
         & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)).distinct()
     most = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.col("count").desc(), "d").first()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double, measured_recall double")
     if most is None:
         return empty
     rows = written(rows.filter(F.size("v") == most.d), "ann-vectors")
@@ -296,7 +374,8 @@ def nearest(embeddings: DataFrame, *, k: int = 20, every: int = 20, sample: int
     shape = f"list int, id long, v {VECTOR}"
     postings = written(rows.mapInArrow(_place_task(graph, reach, spread, copies), shape), "ann-postings")
     queries = rows.filter(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
-    best = written(_best(postings, queries.mapInArrow(_probe_task(graph, reach, probe, beam), shape), k, block), "ann-best")
+    ratio, reached = (probe, None) if probe is not None else tuned_ratio(rows, postings, queries, graph, reach, k, trial, recall)
+    best = written(_best(postings, queries.mapInArrow(_probe_task(graph, reach, ratio), shape), k, block), "ann-best")
     enough = best.filter(F.col("rank") == k).select(F.col("query_id").alias("id"))
     short = queries.join(enough, "id", "left_anti")
     if short.limit(1).count():
@@ -304,4 +383,4 @@ def nearest(embeddings: DataFrame, *, k: int = 20, every: int = 20, sample: int
         asked = short.withColumn("lists", F.sequence(F.lit(0), F.lit(lists - 1))).select(F.explode("lists").alias("list"), "id", "v").join(every_list, "list", "left_semi")
         again = _best(postings, asked.select("list", "id", "v"), k, block)
         best = best.join(enough.select(F.col("id").alias("query_id")), "query_id", "left_semi").unionByName(again)
-    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", F.lit(reached).cast("double").alias("measured_recall"))
