@@ -4,9 +4,10 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF_CHECK
-from vigia.llm.line_dedup import ORACLE_SQL, line_dedup
+from vigia.llm.line_dedup import ORACLE_SQL, line_dedup, repeated_runs
 
 
 def brute(rows, n=2):
@@ -92,3 +93,20 @@ def test_long_lines_and_whole_documents(spark, n, whole):
     assert sorted(((g.doc_id, g.n_removed, g.n_runs, kept(g.kept)) for g in got), key=repr) == brute_by_words(rows, n, 50, whole)
     removed = {g.doc_id: g.n_removed for g in got}
     assert removed[101] == 1 and removed[103] == removed[104] == whole and removed[107] == 0
+
+
+def test_runs_are_followed_to_their_full_length(spark):
+    """Copies of long runs, runs that overlap themselves, and a run shared from its middle on."""
+    rng = random.Random(11)
+    block = [f"line {rng.randrange(10 ** 6)}" for _ in range(100)]
+    rows = [(1, "\n".join(block)), (2, "own\n" + "\n".join(block[20:90]) + "\nend"), (3, "\n".join(["same"] * 70)), (4, "\n".join(block[:50] + ["x"] + block[50:]))]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.kept for r in line_dedup(texts).collect()}
+    assert got == {1: rows[0][1], 2: "own\nend", 3: "same", 4: "x"}
+    k, h = F.coalesce("doc_id", F.lit(0)).alias("k"), F.xxhash64("text").alias("h")
+    runs = repeated_runs(texts.select(k, h, "text"), 2).collect()
+    deepest = {}
+    for r in runs:
+        deepest[r.k] = max(deepest.get(r.k, 0), r.w)
+    assert deepest == {2: 64, 3: 64, 4: 32}
+    assert {(r.i, r.w) for r in runs if r.k == 2} == {(1 + i, w) for w in (2, 4, 8, 16, 32, 64) for i in range(70 - w + 1)}

@@ -1,16 +1,17 @@
 """Line dedup: repeated runs of lines, found by prefix doubling over line-ID sequences.
 
-Every document is the sequence of its non-blank lines. The name of a position for length w is
-the first position whose next w lines are the same: names for length 1 come from grouping equal
-lines, names for 2 w from grouping equal pairs (name at i, name at i + w), as in suffix-array
-construction, but the order of suffixes is never needed, only their intervals of common prefix:
-one such interval of depth w is one set of positions with equal names. Positions whose lines
-occur once leave at once, so a round handles only what still repeats. Lengths that are no
-power of two overlap two names. A position whose name is an earlier position begins a later
-copy; the lines it covers go, and neighbouring copies join into maximal runs.
-
-Names are positions, not hashes; two hashes mod 2^61 - 1 under independent bases stand for a line
-when equal lines are grouped.
+Every document is the sequence of its non-blank lines. As in suffix-array construction by prefix
+doubling, the name of a position for length w is the first position whose next w lines are the
+same: names for length 1 come from grouping equal lines, names for 2 w from grouping equal pairs
+(name at i, name at i + w). Positions of one name are an interval of the suffix array with a
+common prefix of at least w lines; a position whose next w lines occur once leaves, so a round
+handles only what still repeats, and doubling goes on until nothing does. Every round gives the
+intervals of its depth: a position whose name is an earlier one begins a later copy of w lines,
+and the copies of all depths, laid over each other, are the maximal repeated runs, which go.
+
+The ranks between intervals are not needed (only which positions share a prefix, not which of
+them sorts first), so names are positions, not places in a sorted order; and they are not
+hashes; two hashes mod 2^61 - 1 under independent bases stand for a line when equal lines are grouped.
 """
 
 from __future__ import annotations
@@ -82,29 +83,40 @@ def _named(rows: DataFrame, key: list[str], name: str) -> DataFrame:
     return written(rows.join(groups, key).select("p", F.col("least").alias("name")), name)
 
 
-def repeated_lines(texts: DataFrame, min_lines: int, line_words: int | None = None, whole_documents: bool = False) -> DataFrame:
-    """``k, h, i``: the lines (i-th non-blank of text k, h) that some later copy covers."""
+def _doubled(names: DataFrame, step: int) -> DataFrame:
+    """Names for w + ``step`` lines from names for w (``step`` at most w)."""
+    ahead = names.select(F.struct(F.col("p.k"), F.col("p.h"), (F.col("p.i") - step).alias("i")).alias("p"), F.col("name").alias("next"))
+    return _named(names.join(ahead, "p"), ["name", "next"], "line-names")
+
+
+def repeated_runs(texts: DataFrame, min_lines: int, line_words: int | None = None, whole_documents: bool = False) -> DataFrame:
+    """``k, h, i, w``: the w lines from the i-th non-blank one of text (k, h) are a later copy, for every
+    depth w of ``min_lines`` times a power of two, as deep as anything repeats."""
     lines = texts.select("k", "h", "text").mapInArrow(_lines_task(line_words), "k long, h long, i int, l1 long, l2 long, long boolean").distinct()
     lines = written(lines.select(F.struct("k", "h", "i").alias("p"), "l1", "l2", *["long"] * (line_words is not None)), "line-ids")
     names, w = _named(lines, ["l1", "l2"], "line-names"), 1
-    more = []
+    found = []
     if line_words is not None:
-        more.append(names.filter("name < p").join(lines.filter("long").select("p"), "p", "left_semi").select("p.*"))
+        found.append(names.filter("name < p").join(lines.filter("long").select("p"), "p", "left_semi").select("p.*", F.lit(1).alias("w")))
     if whole_documents:  # a text of min_lines lines or more is a run; of a shorter one all lines count as one
         few = lines.groupBy("p.k", "p.h").agg(F.max("p.i").alias("last")).filter(F.col("last") < min_lines - 1)
         short = lines.select("p.*", "l1", "l2").join(few, ["k", "h"]).groupBy("k", "h", "last").agg(
             F.sort_array(F.collect_list(F.struct("i", "l1", "l2"))).alias("lines"))
         short = written(short.select(F.struct("k", "h", F.col("last").alias("i")).alias("p"), "lines"), "line-documents")
         copies = _named(short, ["lines"], "line-document-names").filter("name < p")
-        more.append(copies.select("p.k", "p.h", F.explode(F.sequence(F.lit(0), F.col("p.i"))).alias("i")))
+        found.append(copies.select("p.k", "p.h", F.lit(0).alias("i"), (F.col("p.i") + 1).alias("w")))
     while w < min_lines:
         step = min(w, min_lines - w)
-        ahead = names.select(F.struct(F.col("p.k"), F.col("p.h"), (F.col("p.i") - step).alias("i")).alias("p"), F.col("name").alias("next"))
-        names, w = _named(names.join(ahead, "p"), ["name", "next"], "line-names"), w + step
-    later = names.filter("name < p").select("p.k", "p.h", F.explode(F.sequence(F.col("p.i"), F.col("p.i") + (min_lines - 1))).alias("i"))
-    for rows in more:
-        later = later.union(rows)
-    return later.distinct()
+        names, w = _doubled(names, step), w + step
+    while not names.isEmpty():
+        found.append(names.filter("name < p").select("p.*", F.lit(w).alias("w")))
+        names, w = _doubled(names, w), 2 * w
+    if not found:
+        found.append(names.select("p.*", F.lit(w).alias("w")))
+    runs = found[0]
+    for more in found[1:]:
+        runs = runs.union(more)
+    return runs
 
 
 def _clean_task(min_lines: int, line_words: int | None, whole_documents: bool) -> Callable:
@@ -120,7 +132,8 @@ def _clean_task(min_lines: int, line_words: int | None, whole_documents: bool) -
                 if again[i]:  # a row equal in id and text to one before it: all its runs are later copies
                     out[:] = whole_documents or len(filled) >= min_lines or _long(body, start[filled], end[filled], line_words)
                 elif gone[i]:
-                    out[gone[i]] = True
+                    for run in gone[i]:
+                        out[run["i"]:run["i"] + run["w"]] = True
                 keep = np.ones(len(start), bool)
                 keep[filled[out]] = False
                 lines.append(len(filled))
@@ -153,7 +166,8 @@ def line_dedup(docs: DataFrame, *, min_lines: int = 2, line_words: int | None =
     doc_id = F.col("doc_id").cast("long")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     texts = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(-(1 << 63))).alias("k"), F.xxhash64(text, doc_id.isNull()).alias("h"), text.alias("text"))
-    gone = repeated_lines(texts, min_lines, line_words, whole_documents).groupBy("k", "h").agg(F.collect_list("i").alias("gone"))
+    runs = repeated_runs(texts, min_lines, line_words, whole_documents).groupBy("k", "h", "i").agg(F.max("w").alias("w"))
+    gone = runs.groupBy("k", "h").agg(F.collect_list(F.struct("i", "w")).alias("gone"))
     again = F.row_number().over(Window.partitionBy("k", "h").orderBy("k")) > 1
     return texts.join(gone, ["k", "h"], "left").withColumn("again", again).select("doc_id", "text", "gone", "again").mapInArrow(
         _clean_task(min_lines, line_words, whole_documents), "doc_id long, n_lines long, n_removed long, n_runs long, kept string, kept_md5 string")
