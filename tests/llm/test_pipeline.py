@@ -85,6 +85,52 @@ def test_token_files(stages):
 
 def test_registered_queries(spark):
     names = set(E.queries())
-    assert "pipeline" in names and all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+    assert "pipeline" in names and all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))
     out = P.run(spark, "/root/testdata/sf0.001")
     assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.count() > 0
+
+
+def corpus_of(spark, path, docs):
+    """A folder with ``docs`` as its documents and the given labels and benchmark."""
+    docs.write.parquet(f"{path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        table(spark, SF_CHECK, name).write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def edge_documents(spark):
+    given = table(spark, SF_CHECK, "documents")
+    shape = given.schema
+    odd = [(10 ** 9, None, "en", "src0", 0), (10 ** 9 + 1, "", None, None, None), (None, "A text without an id, of some words that nobody else has written here.", "en", None, 70),
+           (None, None, None, None, None), (10 ** 9 + 2, "word " * 30_000, "en", "src1", 150_000), (10 ** 9 + 3, " \t\n ", "xx", "src0", 4)]
+    more = spark.createDataFrame([*odd, *odd[2:3], *odd[3:4]], shape)
+    return given.unionByName(more).unionByName(given.limit(30))
+
+
+def test_the_whole_pipeline_on_nulls_and_repeated_rows(spark, tmp_path):
+    docs = edge_documents(spark)
+    clash = docs.withColumn("score", docs.n_chars.cast("string")).withColumn("size", docs.doc_id).withColumn("k", docs.lang).withColumn("copies", docs.source).withColumn("Row", docs.doc_id)
+    plain, wide = corpus_of(spark, tmp_path / "plain", docs), corpus_of(spark, tmp_path / "wide", clash)
+    got = [tuple(r) for r in P.run(spark, plain).collect()]
+    kept = table(spark, plain, "documents")
+    for name, stage in P.STAGES[:-1]:
+        before = kept.count()
+        kept = written(stage(spark, kept, plain), f"edge-{name}")
+        assert kept.columns == docs.columns and (name == "mixing" or kept.count() <= before)
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    sizes = Counter((r["doc_id"], len(tok.encode(r["text"] or "", add_special_tokens=False).ids) + 1) for r in kept.select("doc_id", "text").collect())
+    assert Counter((r[0], r[2]) for r in got) == sizes and len(got) > 300
+    starts = sorted((r[1], r[2]) for r in got)
+    assert starts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
+    # further columns, whatever their names, ride along and change nothing
+    stage = written(P.STAGES[0][1](spark, table(spark, wide, "documents"), wide), "edge-wide")
+    for name, fn in P.STAGES[1:4]:
+        stage = written(fn(spark, stage, wide), f"edge-wide-{name}")
+    assert stage.columns == clash.columns
+    assert Counter(r["doc_id"] for r in stage.select("doc_id").collect()) == Counter(r["doc_id"] for r in kept.select("doc_id").collect())
+
+
+def test_the_whole_pipeline_on_an_empty_table(spark, tmp_path):
+    path = corpus_of(spark, tmp_path / "empty", table(spark, SF_CHECK, "documents").limit(0))
+    out = P.run(spark, path)
+    assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.collect() == []
