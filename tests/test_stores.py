@@ -108,6 +108,18 @@ def test_two_runs_under_one_number_are_noticed(spark, scratch):
         store._commit(1, [], [], [], {})
 
 
+def test_an_older_history_file_is_imported_once(spark, scratch):
+    rows = spark.createDataFrame([("a", "uno\ndos", "f", "i"), ("b", 'con "comillas"', "f", "i"), (None, "sin url", "f", "i"), ("a", "zz", "f", "i")], "url string, titulo string, fecha string, institucion string")
+    rows.write.option("header", True).option("escape", '"').csv(f"{scratch}/old")
+    store = AlertStore(spark, f"{scratch}/store", buckets=2)
+    assert store.import_csv(f"{scratch}/nope") is None and store.import_csv(f"{scratch}/old")
+    got = {r.url: (r.titulo, r.pais, r.resumen) for r in store.history().collect()}
+    assert got == {"a": ("uno\ndos", "Desconocido", ""), "b": ('con "comillas"', "Desconocido", "")}
+    assert store.import_csv(f"{scratch}/old") is None  # nothing new the second time
+    run(store, alerts(spark, "a", "c"))
+    assert links(store) == ["a", "b", "c"] and sent(store) == ["c"]
+
+
 def test_compaction_keeps_links_and_moves_nothing(spark, scratch):
     store = AlertStore(spark, scratch, buckets=4)
     for k in range(4):

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from ..operators import history as H
 from ..session import checkpoint_dir
 from .buckets import BucketedLog, missing
-from .history import ALERT_SCHEMA, conform
+from .history import ALERT_SCHEMA, backfill, conform, read_history_csv
 
 COMMIT_SCHEMA = "seq long, run string, added array<long>, dropped array<long>, sent array<long>, counters map<string,long>"
 
@@ -134,6 +134,14 @@ class AlertStore:
         self._commit(seq, [batch], [], [batch] if messages is not None and not messages.isEmpty() else [], (counters or {}) | {"stored_rows": stored}, run)
         return batch
 
+    def import_csv(self, path: str) -> int | None:
+        """S7 + P2: history files of the older layout as one batch, missing columns filled. A one-off: a
+        file with line breaks inside fields is read by one task; from then on history is bucketed
+        Parquet. Links that the store has already, and rows without one, are left out; a missing
+        path imports nothing."""
+        rows = backfill(read_history_csv(self.spark, path)).where(F.col("url") != "")
+        return self.add(self.novelty(rows))
+
     def compact(self, keep: int = 1) -> int | None:
         """All live history batches but the last ``keep`` as one; none if there is nothing to merge.
         Their old folders are no longer read."""
