@@ -57,6 +57,7 @@ for _left, _right in ((1, 2), (1, 3), (1, 4), (2, 1), (2, 2), (2, 3), (2, 4), (3
     _CUT[_left, _right] = True
 _CUT[0, :] = True
 _CUT[:, 0] = True
+_CUT_FLAT = _CUT.ravel()
 
 
 # Texts that a tokenizer with other rules cuts or spells otherwise.
@@ -103,7 +104,7 @@ class PieceEncoder:
         kind = _CLASS[body]
         cut = np.ones(len(body) + 1, bool)
         if len(body):
-            cut[1:-1] = _CUT[kind[:-1], kind[1:]]
+            cut[1:-1] = _CUT_FLAT[kind[:-1] * np.uint8(6) + kind[1:]]
         cut[offs] = True
         edge = np.flatnonzero(cut)
         start, end = edge[:-1], edge[1:]
@@ -115,14 +116,14 @@ class PieceEncoder:
         coded_pieces = joined.dictionary_encode()
         which, pieces = coded_pieces.indices.to_numpy(), coded_pieces.dictionary.to_pylist()
         known = self.known
-        new = [p for p in pieces if p not in known]
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            known.update(zip(part, self._ids([p.decode() for p in part])))
-        coded = [known[p] for p in pieces]
-        for p in new:
-            if len(p) > 64:
-                del known[p]
+        coded = list(map(known.get, pieces))
+        missed = [i for i, ids in enumerate(coded) if ids is None]
+        for at in range(0, len(missed), 4096):
+            part = missed[at:at + 4096]
+            for i, ids in zip(part, self._ids([pieces[i].decode() for i in part])):
+                coded[i] = ids
+                if len(pieces[i]) <= 64:
+                    known[pieces[i]] = ids
         if len(known) > self.keep:
             known.clear()
         size = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
@@ -256,7 +257,7 @@ def _encoder_task(tokenizer_path: str, end_id: int, segment_ids: int, percentile
             names.clear()
             return out
 
-        for batch in slices(batches, limit=2 << 20):
+        for batch in slices(batches, limit=6 << 20):
             coded = enc.encode(batch.column("text"))
             for name, ids in zip(batch.column("doc_id").to_pylist(), coded):
                 held.append(ids + end)
