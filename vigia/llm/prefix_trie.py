@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from vigia.llm.common import scratch, written
 
 ROOT = bytes(32)
-SHARD = 4096  # T: conversations through the topmost node of a shard of the first round
+SHARD = 512  # T: conversations through the topmost node of a shard of the first round
 QUEUE = 1 << 16  # messages a queue keeps in memory
 IDS = 4096  # ids of conversations in one piece of a node's list
 
