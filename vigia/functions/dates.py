@@ -57,8 +57,8 @@ def feed_ts(s) -> Column:
     # the year of RFC 822 has two digits
     year = F.regexp_extract(body, SHORT_YEAR, 2)
     full = F.concat(F.regexp_extract(body, SHORT_YEAR, 1), F.when(year <= "68", F.lit("20")).otherwise(F.lit("19")), year, F.regexp_extract(body, SHORT_YEAR, 3))
-    rfc = parse_ts(F.when(year != "", full).otherwise(body), FEED_FORMATS)
-    return F.coalesce(rfc, F.when(body.rlike(r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}.*)?$"), F.try_to_timestamp(body)))
+    short = parse_ts(F.when(year != "", full), FEED_FORMATS)
+    return F.coalesce(parse_ts(body, FEED_FORMATS), short, F.when(body.rlike(r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}.*)?$"), F.try_to_timestamp(body)))
 
 
 def apply_policy(raw, policy: DatePolicy, raw_fallback=None) -> tuple[Column, Column, Column]:
