@@ -61,13 +61,16 @@ def listing_pages(spark, sf) -> DataFrame:
     return _paged(o.select("*", entry.alias("entry")).where("entry is not null"), "", F.lit("<html><body><div><table>"), F.lit("</table></div></body></html>"), "html")
 
 
-def feed_docs(spark, sf) -> DataFrame:
+def feed_docs(spark, sf, every_link: bool = False) -> DataFrame:
+    """Feeds of Peru and Chile. Some items of Chile have no link; with ``every_link`` such an item comes
+    beside the alert's own, so that every alert of the source can be sent."""
     o, k = _orders(spark, sf).where(F.col("source_id").isin("peru", "chile")), F.col("k")
     link = F.concat(F.when(F.col("source_id") == "peru", F.lit(S.DETAIL_BASE)).otherwise(F.lit(CHILE)), k.cast("string"), F.lit("/"))
     date = F.when(k % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("<pubDate>"), F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000</pubDate>")))
     no_link = (F.col("source_id") == "chile") & (k % 19 == 0)
-    link = F.when(no_link, F.lit("")).otherwise(F.concat(F.lit("<link>"), link, F.lit("</link>")))
-    entry = F.concat(F.lit("<item><title>Alerta "), k.cast("string"), F.lit("</title>"), link, date, F.lit("</item>"))
+    item = lambda at: F.concat(F.lit("<item><title>Alerta "), k.cast("string"), F.lit("</title>"), at, date, F.lit("</item>"))
+    linked, bare = item(F.concat(F.lit("<link>"), link, F.lit("</link>"))), item(F.lit(""))
+    entry = F.when(no_link, F.concat(linked, bare) if every_link else bare).otherwise(linked)
     return _paged(o.select("*", entry.alias("entry")), "", F.lit("<rss version=\"2.0\"><channel>"), F.lit("</channel></rss>"), "xml")
 
 
@@ -143,28 +146,28 @@ def _stores(spark, sf) -> tuple[AlertStore, ContentStore]:
     return store, content
 
 
-def _collected(spark, sf) -> tuple[DataFrame, DataFrame]:
-    return job.collect(listing_pages(spark, sf), feed_docs(spark, sf), detail_pages(spark, sf), S.RUN_YEAR, partitions=S._dealt(spark))
+def _collected(spark, sf, every_link: bool = False) -> tuple[DataFrame, DataFrame]:
+    return job.collect(listing_pages(spark, sf), feed_docs(spark, sf, every_link), detail_pages(spark, sf), S.RUN_YEAR, partitions=S._dealt(spark))
 
 
 def _rules(spark) -> DataFrame:
     return RU.rules_from_dict(spark, RU.COUNTRY_RULES)
 
 
-def _run(spark, sf) -> AlertStore:
+def _run(spark, sf, every_link: bool = False) -> AlertStore:
     store, content = _stores(spark, sf)
-    job.run_on(store, _collected(spark, sf)[0], content, _rules(spark), max_pages=3, partitions=S._dealt(spark))
+    job.run_on(store, _collected(spark, sf, every_link)[0], content, _rules(spark), max_pages=3, partitions=S._dealt(spark))
     return store
 
 
 def q_job_outbox(spark, sf):
     """The messages that a run over all eight sources committed."""
-    return _run(spark, sf).outbox().select("url", "message", "batch_id")
+    return _run(spark, sf, every_link=True).outbox().select("url", "message", "batch_id")
 
 
 def q_job_history(spark, sf):
     """The history after the run (K1), read back."""
-    return _run(spark, sf).history().select("url", "titulo", "resumen", "pais")
+    return _run(spark, sf, every_link=True).history().select("url", "titulo", "resumen", "pais")
 
 
 def q_job_counters(spark, sf):
@@ -213,6 +216,7 @@ _PERU = """'Alerta ' || k || ' - ' || CASE WHEN k % 5 = 0 THEN 'Sin detalle en H
 _FEED_FECHA = f"CASE WHEN k % 7 = 0 THEN 'Sin Fecha' ELSE strftime({ORDER_TS}, '%d-%m-%Y %H:%M:%S') END"
 _BASE = f"""(SELECT *, o_orderkey AS k, CAST(o_orderpriority[1] AS INTEGER) AS categoria_rank,
     ((o_orderkey // {BLOCK}) + CAST(o_orderpriority[1] AS INTEGER)) % 23 = 0 AS failed FROM orders)"""
+_CHILE_LINKED = "k % 19 <> 0"  # alerts of Chile whose only feed item has a link
 _ALERTS = f"""(SELECT k, {_URL} AS url, {CR_TITLE} AS cr,
     CASE k % 8 WHEN 0 THEN {_PERU} WHEN 1 THEN 'Alerta ' || k WHEN 2 THEN 'Alerta ' || k || ' & retiro' WHEN 3 THEN 'Alerta ' || k || ' & retiro'
         WHEN 4 THEN 'Alerta ' || k WHEN 5 THEN CASE WHEN k % 11 = 0 THEN 'Sin título' ELSE 'Alerta ' || k || '&retiro' END
@@ -225,19 +229,20 @@ _ALERTS = f"""(SELECT k, {_URL} AS url, {CR_TITLE} AS cr,
     ['DIGEMID', 'ISPCH', 'ANVISA', 'INVIMA', 'COFEPRIS', 'ANMAT', 'AGEMED', 'MinSalud'][k % 8 + 1] AS institucion,
     CASE WHEN k % 5 = 0 THEN NULL WHEN k % 8 = 2 THEN 'Aviso ' || k || ' Texto de ' || o_custkey
         WHEN k % 8 = 5 THEN 'Aviso ' || k || ' Texto de ' || o_custkey ELSE 'Documento ' || k || ' cliente ' || o_custkey END AS content
-    FROM {_BASE} WHERE NOT failed AND CASE k % 8 WHEN 0 THEN k % 17 <> 0 AND k % 11 <> 0 WHEN 1 THEN k % 19 <> 0 WHEN 2 THEN k % 11 <> 0
+    FROM {_BASE} WHERE NOT failed AND CASE k % 8 WHEN 0 THEN k % 17 <> 0 AND k % 11 <> 0 WHEN 1 THEN {_CHILE_LINKED} WHEN 2 THEN k % 11 <> 0
         WHEN 3 THEN k % 11 <> 0 AND k % 13 <> 0 WHEN 4 THEN k % 11 <> 0 WHEN 5 THEN true
         WHEN 6 THEN k % 13 <> 0 AND k % 11 <> 0 AND year(o_orderdate) = {S.RUN_YEAR}
         ELSE k % 11 <> 0 AND (NOT {ISO_PARSED} OR year({ORDER_TS}) = {S.RUN_YEAR}) END)"""
 _FLAG = "CASE pais " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FLAGS.items()) + f" ELSE '{DEFAULT_FLAG}' END"
 _NEWS = f"(SELECT *, coalesce(content, titulo) AS resumen FROM {_ALERTS} WHERE k % 3 <> 0)"
+_NEWS_EVERY_LINK = _NEWS.replace(_CHILE_LINKED, "true")  # every alert of Chile has an item with its link
 ORACLES = {
     "stream_novelty": STANDIN_ORACLES["history_merge"],
     "job_outbox": f"""SELECT url, {_FLAG} || ' <b>NUEVA ALERTA - ' || pais || '</b>' || chr(10) || '🏛 <b>Institución:</b> ' || institucion
         || chr(10) || '📅 <b>Fecha:</b> ' || fecha || chr(10) || chr(10) || '⚠️ <b>' || {esc('resumen')} || '</b>' || chr(10) || chr(10)
-        || '🔗 ' || url AS message, '0' AS batch_id FROM {_NEWS}""",
+        || '🔗 ' || url AS message, '0' AS batch_id FROM {_NEWS_EVERY_LINK}""",
     "job_history": f"""SELECT {_URL} AS url, 'previa' AS titulo, '' AS resumen, 'Previo' AS pais FROM {_BASE} WHERE k % 3 = 0
-        UNION ALL SELECT url, titulo, resumen, pais FROM {_NEWS}""",
+        UNION ALL SELECT url, titulo, resumen, pais FROM {_NEWS_EVERY_LINK}""",
     "job_quarantine": f"""WITH b AS (SELECT *, {SOURCES}[k % 8 + 1] AS source_id, ((k // {BLOCK}) * 10 + categoria_rank) * 10 AS page_id FROM {_BASE})
         SELECT DISTINCT source_id, o_orderpriority AS categoria, page_id, NULL AS url, 'HTTP 500' AS error FROM b WHERE failed
         UNION ALL SELECT source_id, o_orderpriority, page_id, CASE WHEN k % 8 <> 1 THEN {_URL} END, CASE WHEN k % 8 = 1 THEN 'no link' WHEN k % 8 = 3 THEN 'bad date: ' || year(o_orderdate) || '-13-45'
