@@ -115,3 +115,49 @@ def test_no_path_leaves_the_parser(spark, pages):
     got = page_content(RU.with_rules(pages, RU.rules_from_dict(spark, RULES), "k"), "page_id", keep=["k"])
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "path" not in plan.split("MapInArrow")[0]
+
+
+def test_plain_markup_reads_as_the_event_parser_reads_it():
+    """Pages of plain markup are read tag by tag; anything else goes to the event parser."""
+    import random
+
+    from vigia.operators.tree import TreeParser, plain_tokens
+
+    class Calls(TreeParser):
+        def __init__(self):
+            super().__init__()
+            self.calls = []
+
+        def element(self, *a):
+            self.calls.append(("element", self.seq, *a))
+
+        def text(self, *a):
+            self.calls.append(("text", self.seq, *a))
+
+        def cut(self, depth):
+            self.calls.append(("cut", self.seq, depth))
+
+    def calls(html, way):
+        parser = Calls()
+        try:
+            way(parser, html)
+        except Exception as e:
+            return type(e)
+        return parser.calls
+
+    def by_events(parser, html):
+        parser.feed(html)
+        parser.close()
+        parser.end_text()
+
+    plain = ["<div>", "</div>", '<p class="a b">', "</p>", "<br>", "<Div Class='X'>", "</DIV>", "text", " ", "\n", "&amp;", "&lt", "& ", "&#0;",
+             '<a href="/x?a=1&copy=2">', "</a>", '<a\nhref="x"\tb="" >', '<a b="1" b="2">', "<td>", "</td>", ">"]
+    other = [*plain, "<!-- c -->", "<!DOCTYPE html>", "<script>", "</script>", "<pre>", "</pre>", "<title>", "</title>", "<template>", "< ", "<", "\"", "<a b=c>",
+             "<a b>", '<img src="u"/>', "<x-y>", "</div x>", "<![x[", "\x00", '<a b="1"c="2">']
+    rnd, read_plain = random.Random(5), 0
+    for i in range(6000):
+        html = "".join(rnd.choice(other if i % 2 else plain) for _ in range(rnd.randint(1, 12)))
+        read_plain += plain_tokens(html) is not None
+        assert calls(html, Calls.read) == calls(html, by_events), html
+    assert read_plain > 3000
+    assert plain_tokens("<p>a</p><script>x</script>") is None and plain_tokens("a < b") is None

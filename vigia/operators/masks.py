@@ -120,12 +120,14 @@ def record_reader(program: RecordProgram) -> Callable[[str], list[tuple]]:
     is_read = sum(masks.ends[c] for c, _, parent, _, _ in masks_of if not parent)
     is_text = sum(masks.ends[c] for c, _, parent, text, _ in masks_of if not parent and text)
     whole, cells, link_tag, link_attr = program.container is None, program.cells_tag, *program.link
+    known, first = masks.known, masks.first
 
     class Reader(TreeParser):
         def __init__(self):
             super().__init__()
             self.above = [0]  # bits of the open elements
             self.cards: list[tuple[int, ...]] = [(-1,) if whole else ()]  # records an open element lies in
+            self.paths: list[tuple[int, ...]] = [()]  # open elements in a record, itself last
             self.info: dict[int, tuple] = {}  # id → tag, seq, attributes, records
             self.read_of: dict[int, list[str]] = {}  # elements a field matches
             self.marks: dict[int, list[tuple[str, int]]] = {}  # parents a field reads
@@ -135,7 +137,8 @@ def record_reader(program: RecordProgram) -> Callable[[str], list[tuple]]:
 
         def element(self, nid, tag, attrs, stays_open):
             above, cards = self.above[-1], self.cards[-1]
-            new = masks.enter(above, tag, attrs.get("class", ""))
+            own = known.get((tag, cls := attrs.get("class", "")))
+            new = ((above << 1) | first) & (masks.of(tag, cls) if own is None else own)  # masks.enter
             if new & is_card:
                 cards = (*cards, nid)
             if cards:
@@ -162,13 +165,14 @@ def record_reader(program: RecordProgram) -> Callable[[str], list[tuple]]:
             if stays_open:
                 self.above.append(above | new)
                 self.cards.append(cards)
+                self.paths.append((*self.paths[-1], nid) if cards else ())
 
         def cut(self, depth):
-            del self.above[depth + 1:], self.cards[depth + 1:]
+            del self.above[depth + 1:], self.cards[depth + 1:], self.paths[depth + 1:]
 
         def text(self, parent, data, cdata_id):
             if self.cards[-1]:
-                self.runs.append((self.seq, data, cdata_id, tuple(nid for nid, _ in self.stack)))
+                self.runs.append((self.seq, data, cdata_id, self.paths[-1]))
 
         def parts(self) -> list[tuple]:
             out: list[tuple] = []
