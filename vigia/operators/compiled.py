@@ -21,7 +21,7 @@ from ..functions.dates import parse_ts
 from ..functions.text import clean_title_costarica, clean_title_mexico, strip_ws
 from ..functions.urls import absolute_url
 from .history import dedupe_last
-from .masks import PART_FIELDS, parsed_pages, record_program, record_reader
+from .masks import PART_FIELDS, element_text, parsed_pages, record_cells, record_program, record_reader, records_of
 from .profiles import NO_TITLE, PROFILES
 from .select import Field, RecordSpec
 
@@ -126,32 +126,26 @@ def _records(pages: DataFrame, rows: Sequence[ProfileRow], carried: list[str]) -
 
     page = ["page_id", *carried]
     parts = parsed_pages(pages.withColumn("_source", F.col("source_id")), readers, "page_id", carried, PART_FIELDS, extra="_source")
-    raw, stripped = F.col("text"), F.nullif(strip_ws(F.col("text")), F.lit(""))
-    one = ("attrs", "self_f", "par_marks", "first_desc_attr", "page_error", "elem_tag")
-    elements = parts.withColumn("_raw", raw).withColumn("_str", stripped).repartition(*page, "card_id").groupBy(*page, "card_id", "elem_id").agg(
-        F.coalesce(F.expr("listagg(_str, '') within group (order by seq)"), F.lit("")).alias("text_a"),
-        strip_ws(F.coalesce(F.expr("listagg(_raw, '') within group (order by seq)"), F.lit(""))).alias("text_b"),
-        F.coalesce(F.expr("listagg(_str, ' ') within group (order by seq)"), F.lit("")).alias("text_c"),
-        *[F.first(c, ignorenulls=True).alias(c) for c in one])
+    cards = records_of(parts, page)
     modes = [x for r in rows for k, f in r.fields.items() for x in (F.lit(f"{r.source_id}/{k}"), F.lit(f.get("value", "text_b")))]
     mode_of = F.create_map(*modes) if modes else F.lit(None).cast("map<string,string>")
 
-    def value(name: Column) -> Column:
+    def value(name: Column, e: Column) -> Column:
         mode = F.try_element_at(mode_of, F.concat(F.col("source_id"), F.lit("/"), name))
-        return (F.when(mode == "text_a", F.col("text_a")).when(mode == "text_b", F.col("text_b")).when(mode == "text_c", F.col("text_c"))
-                .otherwise(F.try_element_at(F.col("attrs"), F.substring(mode, 6, 1000))))
+        return (F.when(mode == "text_a", element_text(e, "text_a")).when(mode == "text_b", element_text(e, "text_b")).when(mode == "text_c", element_text(e, "text_c"))
+                .otherwise(F.try_element_at(e["attrs"], F.substring(mode, 6, 1000))))
 
-    own = F.when(F.col("elem_id") != F.col("card_id"), F.transform("self_f", lambda n: F.struct(n.alias("f"), F.col("elem_id").alias("o"), value(n).alias("v"))))
-    above = F.transform("par_marks", lambda m: F.struct(m["f"].alias("f"), m["o"].alias("o"), value(m["f"]).alias("v")))
     none = F.array().cast("array<struct<f:string,o:int,v:string>>")
-    elements = elements.withColumn("_marks", F.concat(F.coalesce(own, none), F.coalesce(above, none)))
-    is_card = F.col("elem_id") == F.col("card_id")
+
+    def marks(e: Column) -> Column:
+        own = F.when(e["elem_id"] != F.col("card_id"), F.transform(e["self_f"], lambda n: F.struct(n.alias("f"), e["elem_id"].alias("o"), value(n, e).alias("v"))))
+        above = F.transform(e["par_marks"], lambda m: F.struct(m["f"].alias("f"), m["o"].alias("o"), value(m["f"], e).alias("v")))
+        return F.concat(F.coalesce(own, none), F.coalesce(above, none))
+
     tags = F.create_map(*[F.lit(x) for r in rows if r.cells_tag for x in (r.source_id, r.cells_tag)]) if any(r.cells_tag for r in rows) else F.lit(None).cast("map<string,string>")
-    cell = F.when((F.col("elem_tag") == F.try_element_at(tags, F.col("source_id"))) & ~is_card,
-                  F.struct(F.col("elem_id").alias("id"), F.col("text_a"), F.col("first_desc_attr").alias("link")))
-    cards = elements.groupBy(*page, "card_id").agg(
-        F.min_by(F.when(is_card, F.col("attrs")), F.when(is_card, F.col("elem_id"))).alias("card_attrs"),
-        F.array_sort(F.flatten(F.collect_list("_marks"))).alias("_all"), F.array_sort(F.collect_list(cell)).alias("cells"), F.max("page_error").alias("page_error"))
+    cards = cards.select(*page, "card_id", F.try_element_at(F.filter("elems", lambda e: e["elem_id"] == F.col("card_id")), F.lit(1))["attrs"].alias("card_attrs"),
+                         F.array_sort(F.flatten(F.transform("elems", marks))).alias("_all"),
+                         record_cells(F.try_element_at(tags, F.col("source_id"))).alias("cells"), "page_error")
     names = F.array_distinct(F.transform("_all", lambda m: m["f"]))  # marks are sorted by field, then place: the first of a field is its value
     return cards.withColumn("values", F.map_from_arrays(names, F.transform(names, lambda n: F.element_at(F.filter("_all", lambda m: m["f"] == n), 1)["v"]))).drop("_all")
 
@@ -172,7 +166,7 @@ def compile_profiles(pages: DataFrame, rows: Sequence[ProfileRow], run_year: int
     carried = ["source_id", "categoria", "categoria_rank"]
     table = spark.createDataFrame([tuple((list(v) if isinstance(v, tuple) else v) for v in (asdict(r)[f.name] for f in _COLUMNS)) for r in rows], _COLUMNS)
     mine = pages.where(F.col("source_id").isin([r.source_id for r in rows]))
-    r = _records(mine, rows, carried).join(table, "source_id")
+    r = _records(mine, rows, carried).join(F.broadcast(table), "source_id")  # the driver holds these few rows anyway
     unread = F.col("page_error").isNotNull()
     if any(row.top_n is not None for row in rows):
         order = Window.partitionBy("source_id", "categoria", unread).orderBy("page_id", "card_id")

@@ -24,12 +24,12 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import collapse_ws, empty_to_null, strip_ws
-from .select import RecordSpec, grouped_records, parse_selector, record_texts
+from .select import RecordSpec, parse_selector
 from .tree import TreeParser
 
 Step = tuple[str | None, tuple[str, ...], str | None]
@@ -95,18 +95,20 @@ def record_program(spec: RecordSpec) -> RecordProgram:
                          spec.cells_tag, spec.first_desc_attr)
 
 
-PART_FIELDS = [
-    T.StructField("card_id", T.IntegerType()), T.StructField("elem_id", T.IntegerType()), T.StructField("elem_tag", T.StringType()),
-    T.StructField("seq", T.IntegerType()), T.StructField("attrs", T.MapType(T.StringType(), T.StringType())), T.StructField("text", T.StringType()),
+#: What is read of an element: its runs in order, the fields that match it or a child of it.
+ELEMENT = T.StructType([
+    T.StructField("elem_id", T.IntegerType()), T.StructField("elem_tag", T.StringType()), T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
     T.StructField("self_f", T.ArrayType(T.StringType())),
     T.StructField("par_marks", T.ArrayType(T.StructType([T.StructField("f", T.StringType()), T.StructField("o", T.IntegerType())]))),
-    T.StructField("first_desc_attr", T.StringType()), T.StructField("page_error", T.StringType()),
-]
+    T.StructField("first_desc_attr", T.StringType()),
+    T.StructField("runs", T.ArrayType(T.StructType([T.StructField("seq", T.IntegerType()), T.StructField("text", T.StringType())]))),
+])
+PART_FIELDS = [T.StructField("card_id", T.IntegerType()), T.StructField("elems", T.ArrayType(ELEMENT)), T.StructField("page_error", T.StringType())]
 ERROR_CARD = -2  # the record of a page the parser gave up on
 
 
 def record_reader(program: RecordProgram) -> Callable[[str], list[tuple]]:
-    """html → part rows (the values of ``PART_FIELDS``)."""
+    """html → one row a record (the values of ``PART_FIELDS``)."""
     chains: list[list[Step]] = list(program.container or [])
     masks_of: list[tuple[int, str, bool, bool, tuple]] = []
     first_field = len(chains)
@@ -128,7 +130,7 @@ def record_reader(program: RecordProgram) -> Callable[[str], list[tuple]]:
             self.above = [0]  # bits of the open elements
             self.cards: list[tuple[int, ...]] = [(-1,) if whole else ()]  # records an open element lies in
             self.paths: list[tuple[int, ...]] = [()]  # open elements in a record, itself last
-            self.info: dict[int, tuple] = {}  # id → tag, seq, attributes, records
+            self.info: dict[int, tuple] = {}  # id → tag, attributes, records
             self.read_of: dict[int, list[str]] = {}  # elements a field matches
             self.marks: dict[int, list[tuple[str, int]]] = {}  # parents a field reads
             self.needed: set[int] = set()  # elements whose text is read
@@ -147,7 +149,7 @@ def record_reader(program: RecordProgram) -> Callable[[str], list[tuple]]:
                     kept = attrs
                     if new & is_text or tag == cells:
                         self.needed.add(nid)
-                self.info[nid] = (tag, self.seq, kept, cards)
+                self.info[nid] = (tag, kept, cards)
                 if new:
                     for bit, name, parent, tests in tests_of:
                         if new & bit and _holds(attrs, tests):
@@ -175,27 +177,27 @@ def record_reader(program: RecordProgram) -> Callable[[str], list[tuple]]:
                 self.runs.append((self.seq, data, cdata_id, self.paths[-1]))
 
         def parts(self) -> list[tuple]:
-            out: list[tuple] = []
-            for nid, (tag, seq, attrs, cards) in self.info.items():
-                if nid in self.needed or attrs is not None:
-                    read = self.read_of.get(nid)
-                    for card in cards:
-                        own = attrs if attrs is not None and (read or nid == card) else None
-                        out.append((card, nid, tag, seq, None if own is None else list(own.items()), None, read,
-                                    self.marks.get(nid), self.links.get(nid), None))
+            needed = self.needed
+            said: dict[int, list[tuple[int, str]]] = {nid: [] for nid in needed}
             for seq, data, cdata_id, path in self.runs:
                 for nid in path:
-                    if nid in self.needed and (cdata_id is None or cdata_id == nid):
-                        for card in self.info[nid][3]:
-                            out.append((card, nid, None, seq, None, data, None, None, None, None))
-            return out
+                    if nid in needed and (cdata_id is None or cdata_id == nid):
+                        said[nid].append((seq, data))
+            out: dict[int, list[tuple]] = {}
+            for nid, (tag, attrs, cards) in self.info.items():
+                if nid in needed or attrs is not None:
+                    read = self.read_of.get(nid)
+                    for card in cards:
+                        own = list(attrs.items()) if attrs is not None and (read or nid == card) else None
+                        out.setdefault(card, []).append((nid, tag, own, read, self.marks.get(nid), self.links.get(nid), said.get(nid)))
+            return [(card, elems, None) for card, elems in out.items()]
 
     def read(html: str) -> list[tuple]:
         reader = Reader()
         try:
             reader.read(html)
         except Exception as e:  # malformed beyond the parser: nothing of the page, a reason
-            return [(ERROR_CARD, ERROR_CARD, None, 0, None, None, None, None, None, f"{type(e).__name__}: {e}")]
+            return [(ERROR_CARD, None, f"{type(e).__name__}: {e}")]
         return reader.parts()
 
     return read
@@ -240,6 +242,53 @@ def parsed_pages(pages: DataFrame, make_reader: Callable, id_col: str, carried:
     return src.mapInArrow(_page_task(make_reader, id_col, carried, schema.json(), extra), schema)
 
 
+def records_of(parts: DataFrame, page: list[str]) -> DataFrame:
+    """One row a record from what the parser gave: ``elems`` (one entry an element, by place) and
+    ``page_error``. Pages of the same id are one page, as they are to :func:`grouped_records`: an
+    element then has the runs of all of them."""
+    cards = parts.repartition(*page[:1], "card_id").groupBy(*page, "card_id").agg(
+        F.collect_list("elems").alias("_lists"), F.max("page_error").alias("page_error"))
+    every = F.flatten("_lists")
+    ids = F.array_sort(F.array_distinct(F.transform(every, lambda e: e["elem_id"])))
+
+    def merged(i: Column) -> Column:
+        same = F.filter(every, lambda e: e["elem_id"] == i)
+        first = lambda c: F.try_element_at(F.filter(F.transform(same, lambda e: e[c]), lambda x: x.isNotNull()), F.lit(1))
+        has = F.exists(same, lambda e: e["runs"].isNotNull())
+        runs = F.when(has, F.array_sort(F.flatten(F.transform(same, lambda e: F.coalesce(e["runs"], F.array())))))
+        return F.struct(i.alias("elem_id"), *[first(c).alias(c) for c in ("elem_tag", "attrs", "self_f", "par_marks", "first_desc_attr")], runs.alias("runs"))
+
+    elems = F.when(F.size("_lists") > 1, F.transform(ids, merged)).otherwise(F.coalesce(F.try_element_at("_lists", F.lit(1)), F.array()))
+    return cards.select(*page, "card_id", elems.alias("elems"), "page_error")
+
+
+def element_text(e: Column, mode: str) -> Column:
+    """The text of an element in a text mode: runs stripped and joined (a), joined and stripped (b),
+    stripped and joined by a space (c)."""
+    texts = F.transform(e["runs"], lambda r: r["text"])
+    if mode == "text_b":
+        joined = strip_ws(F.array_join(texts, ""))
+    else:
+        said = F.filter(F.transform(texts, lambda t: strip_ws(t)), lambda t: t != "")
+        joined = F.array_join(said, "" if mode == "text_a" else " ")
+    return F.when(e.isNotNull(), F.coalesce(joined, F.lit("")))
+
+
+def first_element(field: str, parent: bool) -> Column:
+    """The first element of ``elems`` that ``field`` matches, or the parent of the first match."""
+    if not parent:
+        hit = lambda e: F.array_contains(e["self_f"], field) & (e["elem_id"] != F.col("card_id"))
+        return F.try_element_at(F.filter("elems", hit), F.lit(1))
+    places = F.transform("elems", lambda e: F.array_min(F.transform(F.filter(e["par_marks"], lambda m: m["f"] == F.lit(field)), lambda m: m["o"])))
+    return F.try_element_at(F.col("elems"), F.array_position(places, F.array_min(places)).cast("int"))
+
+
+def record_cells(tag: Column) -> Column:
+    """The cells of a record in order: ``id, text_a, link``."""
+    cells = F.filter("elems", lambda e: (e["elem_tag"] == tag) & (e["elem_id"] != F.col("card_id")))
+    return F.transform(cells, lambda e: F.struct(e["elem_id"].alias("id"), element_text(e, "text_a").alias("text_a"), e["first_desc_attr"].alias("link")))
+
+
 def page_records(pages: DataFrame, id_col: str, spec: RecordSpec, keep: list[str] | None = None) -> DataFrame:
     """Pages (``id_col``, ``html``, ``keep``) → the records of ``spec``, each page parsed once.
 
@@ -247,12 +296,18 @@ def page_records(pages: DataFrame, id_col: str, spec: RecordSpec, keep: list[str
     with ``page_error`` (null otherwise) and ``card_id`` -2. The input keeps its partitions."""
     keep = keep or []
     program = record_program(spec)
-    parts = parsed_pages(pages, lambda: record_reader(program), id_col, keep, PART_FIELDS)
-    one = ("attrs", "self_f", "par_marks", "first_desc_attr", "page_error", "elem_tag")  # one row an element has them
-    per_elem = parts.withColumn("_raw", F.col("text")).withColumn("_str", F.nullif(strip_ws(F.col("text")), F.lit(""))) \
-        .repartition(id_col, "card_id").groupBy(id_col, *keep, "card_id", "elem_id").agg(
-            *record_texts(spec), *[F.first(c, ignorenulls=True).alias(c) for c in one])
-    return grouped_records(per_elem, id_col, spec, keep, F.max("page_error").alias("page_error"))
+    cards = records_of(parsed_pages(pages, lambda: record_reader(program), id_col, keep, PART_FIELDS), [id_col, *keep])
+
+    def value(f, e: Column) -> Column:
+        return F.try_element_at(e["attrs"], F.lit(f.value[5:])) if f.value.startswith("attr:") else element_text(e, f.value)
+
+    out = [F.try_element_at(F.filter("elems", lambda e: e["elem_id"] == F.col("card_id")), F.lit(1))["attrs"].alias("card_attrs")]
+    found = cards.select("*", *[first_element(k, f.parent).alias(f"_{k}") for k, f in spec.fields.items()])
+    for k in [k for k, f in spec.fields.items() if not f.parent] + [k for k, f in spec.fields.items() if f.parent]:
+        out += [value(spec.fields[k], F.col(f"_{k}")).alias(k), F.col(f"_{k}").isNotNull().alias(f"{k}__found")]
+    if spec.cells_tag:
+        out.append(record_cells(F.lit(spec.cells_tag)).alias("cells"))
+    return found.select(id_col, *keep, "card_id", *out, "page_error")
 
 
 # --------------------------------------------------------------------------------------------
