@@ -116,3 +116,21 @@ def test_connected_long_path_of_shuffled_ids(spark):
     df = spark.createDataFrame(edges, "x struct<a:long,b:long>, y struct<a:long,b:long>")
     got = {r.x.a: r.label.a for r in connected(df, "test").collect()}
     assert got == {**{i: 0 for i in ids}, 5000: 5000, 5001: 5001, 5002: 5001}
+
+
+def test_words_are_held_for_a_slice_of_a_tile_only(monkeypatch):
+    """Texts of a tile may be long: their words are not all held at once, their n-gram sets are the same."""
+    import numpy as np
+    import pyarrow as pa
+
+    from vigia.llm import near_copies as N
+
+    texts = pa.array([" ".join(f"w{(i * 7 + j) % 50000}" for j in range(40_000)) for i in range(12)] + ["", "a b", "A  b c d e f"])
+    h, first, _, _ = N.words(pa.compute.utf8_lower(texts))
+    g, begin = N.ngrams(h, first, 5)
+    want = [np.unique(g[a:b]) for a, b in zip(begin[:-1], begin[1:])]
+    read, words = [], N.words
+    monkeypatch.setattr(N, "words", lambda strings: read.append(strings.nbytes) or words(strings))
+    got = N._gram_sets(texts, 5)
+    assert len(got) == len(want) and all((a == b).all() for a, b in zip(got, want))
+    assert max(read) < texts.nbytes / 2

@@ -97,6 +97,16 @@ def _signature_task(n: int, bands: int, rows: int) -> Callable:
 
 # ---- tiles ---------------------------------------------------------------------------------
 
+def _gram_sets(text: pa.Array, n: int) -> list[np.ndarray]:
+    """The n-gram set of each text, sorted. Words and their places are held for a slice of texts only."""
+    sets: list[np.ndarray] = []
+    for part in slices(iter([pa.RecordBatch.from_arrays([text], ["text"])])):
+        h, first, _, _ = words(pc.utf8_lower(part.column("text")))
+        g, begin = ngrams(h, first, n)
+        sets += [np.unique(g[a:b]) for a, b in zip(begin[:-1], begin[1:])]
+    return sets
+
+
 def _whole_tiles(batches: Iterator[pa.RecordBatch], rows: int = 4096) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     """Rows sorted by (band, bi, bj), cut between tiles: (rows, first row of each tile and the end).
 
@@ -130,7 +140,7 @@ def _whole_tiles(batches: Iterator[pa.RecordBatch], rows: int = 4096) -> Iterato
             yield whole, np.append(starts(whole), whole.num_rows)
 
 
-def _tile_pairs(batch: pa.RecordBatch, at: np.ndarray, most: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _tile_pairs(batch: pa.RecordBatch, at: np.ndarray, most: int = 1 << 14) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row pairs (i < j) of the same tile whose first shared band is the tile's band, some at a time.
 
     In a tile of two blocks only pairs across the blocks count, so every pair counts once."""
@@ -186,9 +196,7 @@ def _verify_task(n: int, similarity: float) -> Callable:
     forest of a tile's links joins the same nodes as all of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, at in _whole_tiles(slices(batches), 512):
-            h, first, _, _ = words(pc.utf8_lower(batch.column("text")))
-            g, begin = ngrams(h, first, n)
-            sets = [np.unique(g[a:b]) for a, b in zip(begin[:-1], begin[1:])]
+            sets = _gram_sets(batch.column("text"), n)
             size = np.asarray([len(x) for x in sets], float)
             tile = np.repeat(np.arange(len(at) - 1), np.diff(at))
             copies = batch.column("copies").to_numpy()
