@@ -245,7 +245,7 @@ def parsed_pages(pages: DataFrame, make_reader: Callable, id_col: str, carried:
 def records_of(parts: DataFrame, page: list[str]) -> DataFrame:
     """One row a record from what the parser gave: ``elems`` (one entry an element, by place) and
     ``page_error``. Pages of the same id are one page, as they are to :func:`grouped_records`: an
-    element then has the runs of all of them."""
+    element then has the runs of all of them, those of one place as the pages came."""
     cards = parts.repartition(*page[:1], "card_id").groupBy(*page, "card_id").agg(
         F.collect_list("elems").alias("_lists"), F.max("page_error").alias("page_error"))
     every = F.flatten("_lists")
@@ -255,7 +255,7 @@ def records_of(parts: DataFrame, page: list[str]) -> DataFrame:
         same = F.filter(every, lambda e: e["elem_id"] == i)
         first = lambda c: F.try_element_at(F.filter(F.transform(same, lambda e: e[c]), lambda x: x.isNotNull()), F.lit(1))
         has = F.exists(same, lambda e: e["runs"].isNotNull())
-        runs = F.when(has, F.array_sort(F.flatten(F.transform(same, lambda e: F.coalesce(e["runs"], F.array())))))
+        runs = F.when(has, F.array_sort(F.flatten(F.transform(same, lambda e: F.coalesce(e["runs"], F.array()))), lambda a, b: a["seq"] - b["seq"]))
         return F.struct(i.alias("elem_id"), *[first(c).alias(c) for c in ("elem_tag", "attrs", "self_f", "par_marks", "first_desc_attr")], runs.alias("runs"))
 
     elems = F.when(F.size("_lists") > 1, F.transform(ids, merged)).otherwise(F.coalesce(F.try_element_at("_lists", F.lit(1)), F.array()))
