@@ -81,6 +81,25 @@ def test_edge_texts(spark):
     assert run(spark, []) == {}
 
 
+def test_blocks_weigh_alike(spark):
+    rows = [*corpus(), ("long", "uno dos " * 300), ("one", "Hola.")]
+    assert run(spark, rows, block_chars=400) == run(spark, rows, block_chars=10**9) == plain(rows)
+
+
+def test_texts_of_one_key_are_one_text(spark):
+    rows = [*corpus(6), ("a", "Uno dos tres. Cuatro cinco."), ("a", "Uno dos tres. Cuatro cinco."), ("a", " ")]
+    merged = [*corpus(6), ("a", "Uno dos tres. Uno dos tres. Cuatro cinco. Cuatro cinco.")]
+    assert run(spark, rows, block_chars=400) == run(spark, merged) == plain(merged)
+
+
+def test_no_row_a_text_and_term_moves(spark):
+    df = spark.createDataFrame(corpus(), "content_key string, content string")
+    plan = extractive_summaries(df, block_chars=400)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.split("\n") if "Exchange" in line]
+    assert len(dealt) == 3 and sum("hashpartitioning(_b#" in x for x in dealt) == 2 and sum("hashpartitioning(term#" in x for x in dealt) == 1
+    assert "Join" not in plan
+
+
 def test_a_repeated_sentence_comes_last(spark):
     text = "Retiro del lote siete del jarabe. Retiro del lote siete del jarabe. Consulte la farmacia mas cercana hoy."
     assert run(spark, [("a", text), ("b", "Otra cosa.")])["a"] == "Retiro del lote siete del jarabe. Consulte la farmacia mas cercana hoy."
